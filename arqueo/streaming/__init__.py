@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reconciliation reports work on closed periods (fiscal years, months), so
+nothing here is a stream operator: the source library has no streams,
+watermarks or state.  Every operator of :mod:`arqueo.operators` is a plain
+DataFrame -> DataFrame function, so it can also run inside a Structured
+Streaming ``foreachBatch`` on each micro-batch when files arrive continuously.
+"""
