@@ -90,28 +90,41 @@ def revenue_vs_deposits(revenue: DataFrame, deposits: DataFrame, keys: Sequence[
     return op.reconcile(r, deposits, keys, {"recursos_siif": "importe"}, {"depositos_banco": "importe"})
 
 
-def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1) -> DataFrame:
-    """D-IV2: vouchers of the ledger vs works loads, full outer on year + voucher.
+VOUCHER_ATTRS = ("tipo", "fuente", "mes", "cta_cte", "cuit", "partida")
 
-    Both sides are first summed per (year, voucher, attributes); flags mark
-    differences in year, account, fund, supplier, amount (> tol) and type.
+
+def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
+                    attrs: Sequence[str] = VOUCHER_ATTRS) -> DataFrame:
+    """D-IV2: ledger vouchers vs works loads, full outer on (year, voucher).
+
+    Ledger: a regularisation (``REG``) without fund number counts as ``CYO``.
+    Loads: advances (``PA6``) are left out.  The ledger side is one row per
+    voucher (amounts summed, attributes of its first row), so the join is
+    one-to-many and never pairs lines.  A flag is raised for every attribute
+    present on both sides that differs (NULL on either side counts), and for
+    amounts (missing = 0) more than ``tol`` apart; rows with any flag are kept.
     """
     keys = ["ejercicio", "nro_comprobante"]
-    attrs = ["fuente", "cta_cte", "cuit"]
-    lg = op.group_sum(ledger, keys + attrs, ["importe"])
-    lg = lg.select(*[F.col(c).alias("siif_" + c) for c in lg.columns])
-    ld = loads.withColumn("tipo", F.when((F.col("tipo") == K.WORKS_REGULARISATION_TYPE) & F.col("fuente").isNull(),
-                                         F.lit("CYO")).otherwise(F.col("tipo")))
-    ic = op.group_sum(ld, keys + attrs + ["tipo"], ["importe"])
-    ic = ic.select(*[F.col(c).alias("icaro_" + c) for c in ic.columns])
-    m = op.match_vouchers(lg, ic, [("siif_ejercicio", "icaro_ejercicio"), ("siif_nro_comprobante",
-                                                                         "icaro_nro_comprobante")],
+    lg = ledger
+    if "clase_reg" in lg.columns:
+        fondo = F.col("nro_fondo").isNull() if "nro_fondo" in lg.columns else F.lit(True)
+        lg = lg.withColumn("clase_reg", F.when((F.col("clase_reg") == K.WORKS_REGULARISATION_TYPE) & fondo,
+                                               F.lit("CYO")).otherwise(F.col("clase_reg")))
+        lg = lg.withColumnRenamed("tipo", "_tipo_orig") if "tipo" in lg.columns else lg
+        lg = lg.withColumnRenamed("clase_reg", "tipo")
+    la = [a for a in attrs if a in lg.columns]
+    first = F.struct(*[e for i, a in enumerate(la) for e in (F.col(a).isNull().alias(f"n{i}"), F.col(a).alias(a))])
+    lg = lg.groupBy(*keys).agg(F.sum("importe").alias("importe"), F.min(first).alias("_a"))
+    lg = lg.select(F.col("ejercicio").alias("siif_ejercicio"), F.col("nro_comprobante").alias("siif_nro"),
+                   F.col("importe").alias("siif_importe"), *[F.col("_a").getField(a).alias("siif_" + a) for a in la])
+    ic = loads.filter(not_in_keep_null("tipo", [K.WORKS_ADVANCE_TYPE]))
+    ia = [a for a in attrs if a in ic.columns]
+    ic = ic.select(F.col("ejercicio").alias("icaro_ejercicio"), F.col("nro_comprobante").alias("icaro_nro"),
+                   F.col("importe").alias("icaro_importe"), *[F.col(a).alias("icaro_" + a) for a in ia])
+    m = op.match_vouchers(lg, ic, [("siif_ejercicio", "icaro_ejercicio"), ("siif_nro", "icaro_nro")],
                           coalesce={"ejercicio": ("siif_ejercicio", "icaro_ejercicio")})
-    pairs = {
-        "err_nro": ("siif_nro_comprobante", "icaro_nro_comprobante"),
-        "err_fuente": ("siif_fuente", "icaro_fuente"),
-        "err_cta_cte": ("siif_cta_cte", "icaro_cta_cte"),
-        "err_cuit": ("siif_cuit", "icaro_cuit"),
-        "err_importe": ("siif_importe", "icaro_importe", tol),
-    }
+    m = m.fillna(0, subset=["siif_importe", "icaro_importe"])
+    pairs = {"err_nro": ("siif_nro", "icaro_nro")}
+    pairs.update({f"err_{a}": (f"siif_{a}", f"icaro_{a}") for a in attrs if a in la and a in ia})
+    pairs["err_importe"] = ("siif_importe", "icaro_importe", tol)
     return op.flag_mismatch(m, pairs)

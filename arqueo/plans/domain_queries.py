@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from . import controls
+from . import controls, works
 from .generic_queries import FIRST_SNAP_SQL
 from .registry import V, fin, query
 
@@ -65,3 +65,201 @@ SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) A
 FROM a FULL JOIN b ON a.ejercicio = b.ejercicio AND a.mes = b.mes AND a.cta_cte = b.cta_cte""")
 def d_co1(spark, d):
     return fin(controls.works_vs_paid(net_loads(spark, d), V(spark, d, "payments")))
+
+
+# ---------------------------------------------------------------- works status (D-EO*)
+
+EO_YEARS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
+
+
+def _eo_sql(group: list[str], cur: int, years: list[str], where: str = "TRUE", total: str = "acum") -> str:
+    g = ", ".join(group)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in group)
+    piv = ",\n  ".join(f"CAST(coalesce(sum(CASE WHEN ejercicio = '{y}' THEN s END), 0) AS DOUBLE) AS \"{y}\""
+                       for y in years)
+    curso = "coalesce(sum(CASE WHEN wmax < 1 THEN s END), 0)"
+    ant = f"coalesce(sum(CASE WHEN CAST(ejercicio AS INTEGER) < {cur} AND wprev1 THEN s END), 0)"
+    return f"""
+WITH d AS (SELECT {g}, obra, ejercicio, sum(importe) AS s, max(avance) AS mx, max(avance = 1) AS hit1
+           FROM works WHERE {where} AND {nn} GROUP BY ALL),
+f AS (SELECT obra, max(mx) AS wmax, max(CASE WHEN CAST(ejercicio AS INTEGER) < {cur} THEN hit1 END) AS wprev1
+      FROM d WHERE obra IS NOT NULL GROUP BY obra),
+j AS (SELECT d.*, f.wmax, f.wprev1 FROM d LEFT JOIN f ON d.obra = f.obra)
+SELECT {g}, min(ejercicio) AS alta,
+  {piv},
+  CAST(coalesce(sum(s), 0) AS DOUBLE) AS {total},
+  CAST({curso} AS DOUBLE) AS en_curso,
+  CAST({ant} AS DOUBLE) AS terminadas_ant,
+  CAST(coalesce(sum(s), 0) - {curso} - {ant} AS DOUBLE) AS terminadas_actual
+FROM j GROUP BY {g}"""
+
+
+@query("d_eo5", _eo_sql(["actividad", "partida", "fuente", "obra"], 2000, EO_YEARS,
+                        where="starts_with(actividad, 'Brand#1')", total="ejecucion_total"))
+def d_eo5(spark, d):
+    w = op.prefix_filter(V(spark, d, "works"), "actividad", prefix="Brand#1")
+    return fin(works.works_report(w, ["actividad", "partida", "fuente", "obra"], "2000", pivot_years=EO_YEARS,
+                                  total="ejecucion_total"))
+
+
+@query("d_eo6", _eo_sql(["actividad", "partida", "fuente"], 2000, ["1999", "2000", "2001"]))
+def d_eo6(spark, d):
+    return fin(works.works_report(V(spark, d, "works"), ["actividad", "partida", "fuente"], "2000", last_n=3))
+
+
+@query("d_eo7", """
+WITH y AS (SELECT DISTINCT ejercicio AS hasta FROM works WHERE ejercicio IS NOT NULL),
+d AS (SELECT actividad, partida, obra, ejercicio, sum(importe) AS s, max(avance) AS mx FROM works
+      WHERE actividad IS NOT NULL AND partida IS NOT NULL GROUP BY ALL),
+wy AS (SELECT obra, ejercicio, max(mx) AS mx FROM d WHERE obra IS NOT NULL GROUP BY ALL),
+wf AS (SELECT w.obra, y.hasta, max(w.mx) AS mx_le,
+              max(CASE WHEN CAST(w.ejercicio AS INTEGER) < CAST(y.hasta AS INTEGER) THEN w.mx END) AS mx_lt
+       FROM wy w JOIN y ON CAST(w.ejercicio AS INTEGER) <= CAST(y.hasta AS INTEGER) GROUP BY ALL),
+e AS (SELECT d.*, y.hasta FROM d JOIN y ON CAST(d.ejercicio AS INTEGER) <= CAST(y.hasta AS INTEGER)),
+a AS (SELECT e.actividad, e.partida, e.hasta,
+             coalesce(sum(e.s), 0) AS acum,
+             coalesce(sum(CASE WHEN e.ejercicio = e.hasta THEN e.s END), 0) AS ejecucion,
+             coalesce(sum(CASE WHEN wf.mx_le < 1 THEN e.s END), 0) AS en_curso,
+             coalesce(sum(CASE WHEN CAST(e.ejercicio AS INTEGER) < CAST(e.hasta AS INTEGER) AND wf.mx_lt = 1
+                               THEN e.s END), 0) AS terminadas_ant
+      FROM e LEFT JOIN wf ON e.obra = wf.obra AND e.hasta = wf.hasta GROUP BY ALL),
+al AS (SELECT actividad, partida, min(ejercicio) AS alta FROM d GROUP BY ALL)
+SELECT al.actividad || '-' || al.partida AS estructura, al.alta, a.hasta AS ejercicio,
+       CAST(acum AS DOUBLE) AS acum, CAST(en_curso AS DOUBLE) AS en_curso,
+       CAST(terminadas_ant AS DOUBLE) AS terminadas_ant, CAST(ejecucion AS DOUBLE) AS ejecucion,
+       CAST(acum - en_curso - terminadas_ant AS DOUBLE) AS terminadas_actual
+FROM al JOIN a ON al.actividad = a.actividad AND al.partida = a.partida""")
+def d_eo7(spark, d):
+    return fin(works.works_ledger_for_accounting(V(spark, d, "works"), ["actividad", "partida"], from_year=None))
+
+
+@query("d_eo8", """
+SELECT * FROM (
+  SELECT conv_id, turn, role,
+         last_value(heading_turn IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading_turn
+  FROM headings) WHERE role <> 'user'""")
+def d_eo8(spark, d):
+    return works.opening_balances(V(spark, d, "headings"), ["heading_turn"], "turn", ["conv_id"],
+                                  detail=F.col("role") != "user")
+
+
+# ---------------------------------------------------------------- netting views (D-NET3, D-NET4)
+
+def _payroll_vouchers(spark, d):
+    return V(spark, d, "loads").filter(F.col("tipo") == "CYO").select("ejercicio", "nro_comprobante", "mes",
+                                                                      "cta_cte", "importe")
+
+
+def net_vouchers(spark, d, years=("1998", "1999")):
+    return op.net_pending_semi(_payroll_vouchers(spark, d), V(spark, d, "snapshots"), list(years))
+
+
+NET3_SQL = f"""
+v AS (SELECT ejercicio, nro_comprobante, mes, cta_cte, importe FROM loads WHERE tipo = 'CYO'),
+{FIRST_SNAP_SQL},
+{LAST_SNAP_SQL},
+neg2 AS (SELECT nro_comprobante, mes, ejercicio, cuit, CAST(NULL AS DATE) AS fecha, -saldo AS importe FROM (
+           SELECT *, row_number() OVER (PARTITION BY nro_comprobante, mes ORDER BY fecha_hasta ASC NULLS LAST,
+               saldo ASC NULLS LAST, ejercicio ASC NULLS LAST, cuit ASC NULLS LAST) AS rn FROM snapshots)
+         WHERE rn = 1 AND nro_comprobante IN (SELECT nro_comprobante FROM v)),
+lst AS (SELECT nro_comprobante, cuit, saldo, fecha_hasta FROM (
+           SELECT *, row_number() OVER (PARTITION BY nro_comprobante ORDER BY fecha_hasta DESC NULLS FIRST,
+               saldo DESC NULLS FIRST, ejercicio DESC NULLS FIRST, cuit DESC NULLS FIRST) AS rn FROM snapshots)
+        WHERE rn = 1),
+pos AS (SELECT nro_comprobante, strftime(fecha_hasta + INTERVAL 1 MONTH, '%m/%Y') AS mes,
+               CAST(year(fecha_hasta + INTERVAL 1 MONTH) AS VARCHAR) AS ejercicio, cuit,
+               CAST(fecha_hasta + INTERVAL 1 MONTH AS DATE) AS fecha, saldo AS importe
+        FROM lst WHERE nro_comprobante IN (SELECT nro_comprobante FROM v)
+          AND CAST(year(fecha_hasta + INTERVAL 1 MONTH) AS VARCHAR) IN ('1998', '1999')),
+net3 AS (SELECT ejercicio, nro_comprobante, mes, cta_cte, importe, NULL AS cuit, CAST(NULL AS DATE) AS fecha,
+                NULL AS clase_reg, NULL AS clase_mod, NULL AS clase_gto, CAST(NULL AS BOOLEAN) AS es_comprometido,
+                CAST(NULL AS BOOLEAN) AS es_verificado, CAST(NULL AS BOOLEAN) AS es_aprobado,
+                CAST(NULL AS BOOLEAN) AS es_pagado FROM v
+         UNION ALL
+         SELECT ejercicio, nro_comprobante, mes, NULL, importe, cuit, fecha, 'CYO', 'NOR', 'RDEU', true, true, true, true
+         FROM (SELECT * FROM neg2 UNION ALL SELECT * FROM pos))"""
+
+
+@query("d_net3", f"""
+WITH {NET3_SQL}
+SELECT ejercicio, nro_comprobante, mes, cta_cte, CAST(importe AS DOUBLE) AS importe, cuit, fecha, clase_reg,
+       clase_mod, clase_gto, es_comprometido, es_verificado, es_aprobado, es_pagado FROM net3""")
+def d_net3(spark, d):
+    n = net_vouchers(spark, d)
+    return fin(n.select("ejercicio", "nro_comprobante", "mes", "cta_cte", "importe", "cuit", "fecha", "clase_reg",
+                        "clase_mod", "clase_gto", "es_comprometido", "es_verificado", "es_aprobado", "es_pagado"))
+
+
+@query("d_net4", """
+SELECT nro_comprobante, mes, fecha_hasta, CAST(saldo AS DOUBLE) AS saldo FROM snapshots
+WHERE ejercicio = '1999'
+  AND strptime(mes, '%m/%Y') = (SELECT max(strptime(mes, '%m/%Y')) FROM snapshots WHERE ejercicio = '1999')""")
+def d_net4(spark, d):
+    s = op.years(V(spark, d, "snapshots"), "1999")
+    return fin(op.latest_period(s, "mes").select("nro_comprobante", "mes", "fecha_hasta", "saldo"))
+
+
+@query("d_hb1", f"""
+WITH {NET3_SQL},
+a AS (SELECT ejercicio, mes, sum(importe) AS ejecutado_siif FROM net3
+      WHERE ejercicio IS NOT NULL AND mes IS NOT NULL GROUP BY ALL),
+b AS (SELECT ejercicio, mes, sum(importe_neto) AS pagado_sscc FROM payments
+      WHERE ejercicio IS NOT NULL AND mes IS NOT NULL GROUP BY ALL),
+r AS (SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) AS mes,
+             coalesce(ejecutado_siif, 0) AS ejecutado_siif, coalesce(pagado_sscc, 0) AS pagado_sscc,
+             coalesce(ejecutado_siif, 0) - coalesce(pagado_sscc, 0) AS diferencia
+      FROM a FULL JOIN b ON a.ejercicio = b.ejercicio AND a.mes = b.mes)
+SELECT ejercicio, mes, CAST(ejecutado_siif AS DOUBLE) AS ejecutado_siif, CAST(pagado_sscc AS DOUBLE) AS pagado_sscc,
+       CAST(diferencia AS DOUBLE) AS diferencia,
+       CAST(sum(diferencia) OVER (ORDER BY ejercicio, mes ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS DOUBLE) AS dif_acum
+FROM r""")
+def d_hb1(spark, d):
+    paid = V(spark, d, "payments").withColumnRenamed("importe_neto", "importe")
+    return fin(controls.payroll_vs_paid(net_vouchers(spark, d), paid))
+
+
+@query("d_sg1", """
+WITH a AS (SELECT mes, cta_cte, sum(importe_neto) AS neto_sgf, sum(retenciones) AS retenciones_sgf FROM payments
+           WHERE mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+     b AS (SELECT mes, cta_cte, sum(-importe) AS debitos_sscc FROM bank
+           WHERE movimiento IS DISTINCT FROM 'DEPOSITO' AND cod_imputacion IS DISTINCT FROM '031'
+             AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+     r AS (SELECT coalesce(a.mes, b.mes) AS mes, coalesce(a.cta_cte, b.cta_cte) AS cta_cte,
+                  coalesce(neto_sgf, 0) AS neto_sgf, coalesce(retenciones_sgf, 0) AS retenciones_sgf,
+                  coalesce(debitos_sscc, 0) AS debitos_sscc
+           FROM a FULL JOIN b ON a.mes = b.mes AND a.cta_cte = b.cta_cte)
+SELECT mes, cta_cte, CAST(neto_sgf AS DOUBLE) AS neto_sgf, CAST(retenciones_sgf AS DOUBLE) AS retenciones_sgf,
+       CAST(debitos_sscc AS DOUBLE) AS debitos_sscc,
+       CAST(neto_sgf + retenciones_sgf - debitos_sscc AS DOUBLE) AS diferencia
+FROM r WHERE abs(neto_sgf + retenciones_sgf - debitos_sscc) >= 0.1""")
+def d_sg1(spark, d):
+    return fin(controls.payments_vs_bank(V(spark, d, "payments"), V(spark, d, "bank")))
+
+
+@query("d_iv2", """
+WITH lg AS (SELECT ejercicio AS siif_ejercicio, nro_comprobante AS siif_nro, siif_importe, mes AS siif_mes,
+                   cta_cte AS siif_cta_cte, cuit AS siif_cuit FROM (
+              SELECT *, sum(importe_bruto) OVER (PARTITION BY ejercicio, nro_comprobante) AS siif_importe,
+                     row_number() OVER (PARTITION BY ejercicio, nro_comprobante ORDER BY mes ASC NULLS LAST,
+                         cta_cte ASC NULLS LAST, cuit ASC NULLS LAST) AS rn FROM payments) WHERE rn = 1),
+     ic AS (SELECT ejercicio AS icaro_ejercicio, nro_comprobante AS icaro_nro, importe AS icaro_importe,
+                   tipo AS icaro_tipo, fuente AS icaro_fuente, mes AS icaro_mes, cta_cte AS icaro_cta_cte,
+                   cuit AS icaro_cuit FROM loads WHERE tipo IS DISTINCT FROM 'PA6'),
+     m AS (SELECT * FROM lg FULL JOIN ic ON siif_ejercicio = icaro_ejercicio AND siif_nro = icaro_nro),
+     f AS (SELECT *, coalesce(siif_ejercicio, icaro_ejercicio) AS ejercicio,
+                  coalesce(siif_nro <> icaro_nro, true) AS err_nro,
+                  coalesce(siif_mes <> icaro_mes, true) AS err_mes,
+                  coalesce(siif_cta_cte <> icaro_cta_cte, true) AS err_cta_cte,
+                  coalesce(siif_cuit <> icaro_cuit, true) AS err_cuit,
+                  abs(coalesce(siif_importe, 0) - coalesce(icaro_importe, 0)) > 0.1 AS err_importe FROM m)
+SELECT ejercicio, siif_nro, icaro_nro, icaro_tipo, CAST(coalesce(siif_importe, 0) AS DOUBLE) AS siif_importe,
+       CAST(coalesce(icaro_importe, 0) AS DOUBLE) AS icaro_importe, siif_mes, icaro_mes, err_nro, err_mes,
+       err_cta_cte, err_cuit, err_importe
+FROM f WHERE err_nro OR err_mes OR err_cta_cte OR err_cuit OR err_importe""")
+def d_iv2(spark, d):
+    ledger = V(spark, d, "payments").withColumnRenamed("importe_bruto", "importe")
+    out = controls.voucher_control(ledger, V(spark, d, "loads"))
+    return fin(out.select("ejercicio", "siif_nro", "icaro_nro", "icaro_tipo", "siif_importe", "icaro_importe",
+                          "siif_mes", "icaro_mes", "err_nro", "err_mes", "err_cta_cte", "err_cuit", "err_importe"))
