@@ -128,3 +128,113 @@ def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
     pairs.update({f"err_{a}": (f"siif_{a}", f"icaro_{a}") for a in attrs if a in la and a in ia})
     pairs["err_importe"] = ("siif_importe", "icaro_importe", tol)
     return op.flag_mismatch(m, pairs)
+
+
+def revenue_vs_deposits_by_group(revenue: DataFrame, deposits: DataFrame,
+                                 keys: Sequence[str] = ("ejercicio", "mes", "cta_cte", "grupo")) -> DataFrame:
+    """D-CR2: revenue vs deposits with the fund group; natural full outer on the
+    keys, gaps left NULL, no difference column."""
+    a = op.group_sum(revenue, keys, {"recursos_siif": "importe"})
+    b = op.group_sum(deposits, keys, {"depositos_banco": "importe"})
+    return op.concat_columns({"siif": a, "banco": b}, list(keys))
+
+
+def ledger_works_budget(budget: DataFrame, lines: Sequence[str] = ("421", "422"),
+                        structure: str = "01-00-00-03-354") -> DataFrame:
+    """D-SRC8: works budget of the ledger: lines 421/422 or one structure."""
+    return budget.filter(F.col("partida").isin(list(lines)) | F.coalesce(F.col("estructura") == structure,
+                                                                         F.lit(False)))
+
+
+def ledger_works_vouchers(vouchers: DataFrame, lines: Sequence[str] = ("421", "422"), line_354: str = "354",
+                          skip_cuits: Sequence[str] = ()) -> DataFrame:
+    """D-SRC7: works vouchers of the ledger: lines 421/422, or 354 except some tax ids."""
+    w = F.col("partida").isin(list(lines))
+    o = (F.col("partida") == line_354) & not_in_keep_null("cuit", list(skip_cuits))
+    return vouchers.filter(F.coalesce(w | o, F.lit(False)))
+
+
+def yearly_execution(budget: DataFrame, loads: DataFrame, keys: Sequence[str] = ("ejercicio", "estructura", "fuente"),
+                     tol: float = 0.1, descriptions: DataFrame | None = None) -> DataFrame:
+    """D-IV1: budget executed (ordered) vs works loads by year, structure, fund;
+    full outer, |difference| > tol, with descriptions."""
+    ld = loads.withColumn("estructura", F.concat_ws("-", "actividad", "partida")) \
+        if "estructura" not in loads.columns else loads
+    r = op.reconcile(budget, ld, list(keys), {"ejecutado_siif": "ordenado"}, {"ejecutado_icaro": "importe"})
+    r = op.beyond(r, "diferencia", tol)
+    if descriptions is not None:
+        r = op.enrich(r, descriptions, "estructura")
+    return r
+
+
+def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFrame, tol: float = 0.1) -> DataFrame:
+    """D-IV3: contractor advances (fund summary) with their regularisation
+    vouchers, against advance loads and regularisation loads.
+
+    funds LEFT JOIN ledger REG vouchers (year, fund number) FULL JOIN advance
+    loads (fund number) LEFT JOIN regularisation loads (year, voucher).  The
+    load sides are summed per voucher first, so every join is one-to-many.
+    Missing values compare equal (the original filled everything with 0);
+    amounts differ beyond ``tol``.  Sorted by severity of the flags.
+    """
+    from ..functions.scalars import voucher_number
+    f = fund_summary.select("ejercicio", voucher_number("nro_fondo", "ejercicio").alias("siif_nro_fondo"),
+                            F.col("mes").alias("siif_mes_pa6"), F.col("ingresos").alias("siif_importe_pa6"),
+                            F.col("saldo").alias("siif_saldo_pa6"))
+    g = vouchers.filter(F.col("clase_reg") == K.WORKS_REGULARISATION_TYPE).select(
+        "ejercicio", voucher_number("nro_fondo", "ejercicio").alias("siif_nro_fondo"),
+        F.col("nro_comprobante").alias("siif_nro_reg"), F.col("importe").alias("siif_importe_reg"),
+        F.col("mes").alias("siif_mes_reg"), F.col("clase_reg").alias("siif_tipo"),
+        F.col("fuente").alias("siif_fuente"), F.col("cta_cte").alias("siif_cta_cte"), F.col("cuit").alias("siif_cuit"))
+    df = f.join(g, on=["ejercicio", "siif_nro_fondo"], how="left")
+    pa6 = loads.filter(F.col("tipo") == K.WORKS_ADVANCE_TYPE).groupBy("nro_comprobante").agg(
+        F.min("mes").alias("icaro_mes_pa6"), F.sum("importe").alias("icaro_importe_pa6")) \
+        .withColumnRenamed("nro_comprobante", "icaro_nro_fondo")
+    df = df.join(pa6, df["siif_nro_fondo"] == pa6["icaro_nro_fondo"], "full")
+    first = F.struct(*[F.col(c) for c in ("mes", "tipo", "fuente", "cta_cte", "cuit")])
+    reg = loads.filter(not_in_keep_null("tipo", [K.WORKS_ADVANCE_TYPE])).groupBy(
+        F.col("ejercicio").alias("_rej"), F.col("nro_comprobante").alias("icaro_nro_reg")).agg(
+        F.sum("importe").alias("icaro_importe_reg"), F.min(first).alias("_a"))
+    reg = reg.select("_rej", "icaro_nro_reg", "icaro_importe_reg",
+                     *[F.col("_a").getField(c).alias(n) for c, n in (("mes", "icaro_mes_reg"), ("tipo", "icaro_tipo"),
+                                                                   ("fuente", "icaro_fuente"),
+                                                                   ("cta_cte", "icaro_cta_cte"),
+                                                                   ("cuit", "icaro_cuit"))])
+    df = df.join(reg, (df["ejercicio"] == reg["_rej"]) & (df["siif_nro_reg"] == reg["icaro_nro_reg"]), "left") \
+        .drop("_rej")
+    df = op.fill0(df, ["siif_importe_pa6", "icaro_importe_pa6", "siif_importe_reg", "icaro_importe_reg"])
+    pairs = {
+        "err_nro_fondo": ("siif_nro_fondo", "icaro_nro_fondo"), "err_mes_pa6": ("siif_mes_pa6", "icaro_mes_pa6"),
+        "err_importe_pa6": ("siif_importe_pa6", "icaro_importe_pa6", tol),
+        "err_nro_reg": ("siif_nro_reg", "icaro_nro_reg"), "err_mes_reg": ("siif_mes_reg", "icaro_mes_reg"),
+        "err_importe_reg": ("siif_importe_reg", "icaro_importe_reg", tol),
+        "err_tipo": ("siif_tipo", "icaro_tipo"), "err_fuente": ("siif_fuente", "icaro_fuente"),
+        "err_cta_cte": ("siif_cta_cte", "icaro_cta_cte"), "err_cuit": ("siif_cuit", "icaro_cuit")}
+    out = op.flag_mismatch(df, pairs, null_policy="equal")
+    order = ["err_nro_fondo", "err_importe_pa6", "err_nro_reg", "err_importe_reg", "err_fuente", "err_cta_cte",
+             "err_cuit", "err_tipo", "err_mes_pa6", "err_mes_reg"]
+    return out.orderBy(*[F.col(c).desc() for c in order])
+
+
+def works_list(works: DataFrame) -> DataFrame:
+    """D-CO2: works list with the numeric code cut out of the name and
+    ``actividad-partida`` as imputation."""
+    from ..functions.scalars import strip_code_prefix
+    return works.withColumn("obra", strip_code_prefix("obra")) \
+        .withColumn("imputacion", F.concat_ws("-", "actividad", "partida"))
+
+
+def works_crosswalk(works: DataFrame, register: DataFrame, name_len: int = 85) -> tuple[DataFrame, DataFrame]:
+    """D-CO3: works list <-> works register by name (cut to 85 characters and
+    trimmed), both directions.  For lines of programme 29 whose name starts
+    with 1-3 digits, those digits are the register code."""
+    from ..functions.scalars import is_numeric_prefix, strip_code_prefix
+    w = works.withColumn("obra_key", F.trim(F.substring(strip_code_prefix("obra"), 1, name_len)))
+    r = register.withColumn("obra_key", F.trim(F.substring(F.trim("obra"), 1, name_len)))
+    reg_keys = op.dedupe(r.select("obra_key", "cod_obra"), ["obra_key"], ["cod_obra"], "first")
+    w2 = w.join(reg_keys, on="obra_key", how="left")
+    prog29 = F.coalesce(F.col("actividad").startswith("29"), F.lit(False)) & is_numeric_prefix("obra")
+    w2 = op.overwrite(w2, prog29, "cod_obra", F.substring("obra", 1, 3))
+    imp = op.dedupe(w.select("obra_key", "actividad", "partida"), ["obra_key"], ["actividad", "partida"], "first")
+    r2 = r.join(imp, on="obra_key", how="left")
+    return w2.drop("obra_key"), r2.drop("obra_key")

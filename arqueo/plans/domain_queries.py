@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from . import controls, works
+from . import bank, controls, receivables, works
 from .generic_queries import FIRST_SNAP_SQL
 from .registry import V, fin, query
 
@@ -263,3 +263,91 @@ def d_iv2(spark, d):
     out = controls.voucher_control(ledger, V(spark, d, "loads"))
     return fin(out.select("ejercicio", "siif_nro", "icaro_nro", "icaro_tipo", "siif_importe", "icaro_importe",
                           "siif_mes", "icaro_mes", "err_nro", "err_mes", "err_cta_cte", "err_cuit", "err_importe"))
+
+
+# ---------------------------------------------------------------- bank (D-FC1, D-CB2)
+
+BANK_CLASSES = {"1 - Recursos": ["purchase", "signup"], "2 - Gtos. Funcionamiento": ["click"],
+                "3 - Inversión Obras": ["view"]}
+
+
+@query("d_fc1", """
+SELECT ejercicio, CASE WHEN cod_imputacion IN ('purchase', 'signup') THEN '1 - Recursos'
+                       WHEN cod_imputacion IN ('click') THEN '2 - Gtos. Funcionamiento'
+                       WHEN cod_imputacion IN ('view') THEN '3 - Inversión Obras' ELSE '4 - OTROS' END AS clase,
+       CAST(sum(importe) AS DOUBLE) AS importe
+FROM bank WHERE ejercicio IS NOT NULL GROUP BY ALL""")
+def d_fc1(spark, d):
+    return fin(bank.yearly_cash_flow(V(spark, d, "bank"), BANK_CLASSES))
+
+
+@query("d_cb2", """
+WITH dly AS (SELECT cta_cte, fecha, sum(importe) AS v FROM bank
+             WHERE cta_cte IS NOT NULL AND fecha IS NOT NULL GROUP BY ALL),
+     cum AS (SELECT cta_cte, fecha, sum(v) OVER (PARTITION BY cta_cte ORDER BY fecha
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS saldo FROM dly),
+     lst AS (SELECT ejercicio, mes, fecha AS dia, cta_cte, max(fecha) AS fecha FROM bank
+             WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND fecha IS NOT NULL AND cta_cte IS NOT NULL
+             GROUP BY ALL)
+SELECT lst.ejercicio, lst.mes, lst.dia, lst.cta_cte, CAST(cum.saldo AS DOUBLE) AS saldo
+FROM lst JOIN cum ON lst.cta_cte = cum.cta_cte AND lst.fecha = cum.fecha""")
+def d_cb2(spark, d):
+    b = V(spark, d, "bank").withColumn("dia", F.col("fecha"))
+    return fin(bank.running_balance_at_period_end(b, keys=["ejercicio", "mes", "dia", "cta_cte"]))
+
+
+# ---------------------------------------------------------------- receivables (D-RC5, D-RC6, D-RC12)
+
+def _reasons(spark, d):
+    p = V(spark, d, "payments").select("ejercicio", F.col("codigo").alias("cod_motivo"),
+                                       F.col("codigo").alias("motivo"), F.col("retenciones").alias("importe"))
+    return op.group_sum(p, ["ejercicio", "cod_motivo", "motivo"], ["importe"])
+
+
+REASONS_SQL = """
+r AS (SELECT ejercicio, codigo AS cod_motivo, codigo AS motivo, sum(retenciones) AS importe FROM payments
+      WHERE ejercicio IS NOT NULL AND codigo IS NOT NULL GROUP BY ALL)"""
+
+
+@query("d_rc5", f"""
+WITH {REASONS_SQL},
+y AS (SELECT ejercicio, cod_motivo, motivo, abs(importe) AS importe FROM r WHERE ejercicio = '1998')
+SELECT ejercicio, cod_motivo, motivo, CAST(importe AS DOUBLE) AS importe,
+       CAST(importe AS DOUBLE) / CAST(sum(importe) OVER () AS DOUBLE) * 100.0 AS participacion,
+       CAST(row_number() OVER (ORDER BY importe DESC, cod_motivo) AS INTEGER) AS ranking
+FROM y""")
+def d_rc5(spark, d):
+    return fin(receivables.reason_ranking(_reasons(spark, d), "1998"))
+
+
+@query("d_rc6", f"""
+WITH {REASONS_SQL},
+dd AS (SELECT ejercicio, cod_motivo, motivo, abs(importe) AS importe,
+              CAST(abs(importe) AS DOUBLE) / CAST(sum(abs(importe)) OVER (PARTITION BY ejercicio) AS DOUBLE) * 100.0
+                AS participacion FROM r),
+t AS (SELECT cod_motivo FROM dd WHERE ejercicio = '1998' GROUP BY cod_motivo
+      ORDER BY sum(abs(importe)) DESC, cod_motivo LIMIT 2),
+f AS (SELECT ejercicio,
+             CASE WHEN cod_motivo IN (SELECT cod_motivo FROM t) THEN cod_motivo ELSE 'OT' END AS cod_motivo,
+             CASE WHEN cod_motivo IN (SELECT cod_motivo FROM t) THEN motivo ELSE 'OTROS MOTIVOS' END AS motivo,
+             importe, participacion FROM dd)
+SELECT ejercicio, cod_motivo, motivo, CAST(sum(importe) AS DOUBLE) AS importe, sum(participacion) AS participacion
+FROM f GROUP BY ALL""")
+def d_rc6(spark, d):
+    return fin(receivables.top_reasons_over_time(_reasons(spark, d), "1998", n=2))
+
+
+@query("d_rc12", """
+WITH g AS (SELECT ejercicio, sum(importe_bruto) AS importe_bruto, sum(importe_neto) AS importe_neto,
+                  sum(retenciones) AS retenciones FROM payments WHERE ejercicio = '1998' GROUP BY ALL),
+l AS (SELECT ejercicio, 'importe_bruto' AS concepto, CAST(abs(importe_bruto) AS DECIMAL(38,4)) AS importe FROM g
+      UNION ALL SELECT ejercicio, 'importe_neto', CAST(abs(importe_neto) AS DECIMAL(38,4)) FROM g
+      UNION ALL SELECT ejercicio, 'retenciones', CAST(abs(retenciones) AS DECIMAL(38,4)) FROM g),
+s AS (SELECT *, CAST(importe AS DOUBLE) / CAST(sum(importe) OVER (PARTITION BY ejercicio) AS DOUBLE) * 100.0
+                AS participacion FROM l)
+SELECT ejercicio, CASE WHEN concepto IN ('importe_bruto', 'importe_neto') THEN concepto ELSE 'otros' END AS concepto,
+       CAST(sum(importe) AS DOUBLE) AS importe, sum(participacion) AS participacion
+FROM s GROUP BY ALL""")
+def d_rc12(spark, d):
+    return fin(receivables.collected_composition(V(spark, d, "payments"), "1998", n=2,
+                                                 concepts=["importe_bruto", "importe_neto", "retenciones"]))
