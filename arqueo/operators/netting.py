@@ -65,7 +65,8 @@ def net_pending(loads: DataFrame, snapshots: DataFrame, years: str | Sequence[st
     5. the year filter on the union.
     """
     base = loads.filter(not_in_keep_null("tipo", [advance, regularisation]))
-    pa6 = loads.filter(F.col("tipo") == advance)
+    # steps 1 and 3 together are "every load but regularisations": one scan
+    kept = loads.filter(not_in_keep_null("tipo", [regularisation]))
 
     first = first_snapshot_per_month(snapshots, voucher, month, date, balance)
     neg = (first.join(base, on=[voucher, month], how="inner")
@@ -83,7 +84,7 @@ def net_pending(loads: DataFrame, snapshots: DataFrame, years: str | Sequence[st
     pos = (pos.withColumn(amount, F.col(balance)).withColumn("tipo", F.lit(debt))
            .withColumn("id", F.concat(F.col(voucher), F.lit("C"))).drop(balance))
 
-    out = union_all(pos, neg, base, pa6)
+    out = union_all(pos, neg, kept)
     return year_filter(out, years)
 
 
@@ -94,9 +95,9 @@ def net_pending_semi(vouchers: DataFrame, snapshots: DataFrame, years: str | Seq
     """D-NET3: ledger vouchers net of floating debt, matched on the voucher only.
 
     Negative rows: earliest snapshot per (voucher, month) of vouchers present in
-    ``vouchers`` (semi-join), deduped on (voucher, month, balance), not filtered
-    by year.  Positive rows: last snapshot per voucher one month later, in the
-    requested years, same semi-join and dedupe.  ``flags`` are literal columns
+    ``vouchers`` (semi-join), not filtered by year.  Positive rows: last
+    snapshot per voucher one month later, in the requested years, same
+    semi-join.  ``flags`` are literal columns
     written on the synthetic rows.
     """
     flags = flags if flags is not None else {
@@ -107,13 +108,13 @@ def net_pending_semi(vouchers: DataFrame, snapshots: DataFrame, years: str | Seq
 
     s = snapshots.select(voucher, month, balance, date, *snap_rest)
     first = dedupe(s, [voucher, month], [date], "first", tie_break=[balance, *snap_rest]).drop(date)
+    # the original also dropped repeats of (voucher, month, balance); these rows
+    # are already one per (voucher, month), so that step is a no-op and skipped
     neg = first.join(keys, on=voucher, how="left_semi")
-    neg = dedupe(neg, [voucher, month, balance], (), "first")
     neg = neg.withColumn(amount, -F.col(balance)).drop(balance)
 
     paid = paid_after_last_snapshot(snapshots, voucher, date, balance, snap_rest)
-    paid = year_filter(paid, years).join(keys, on=voucher, how="left_semi")
-    paid = dedupe(paid, [voucher, "mes", balance], (), "first")
+    paid = year_filter(paid, years).join(keys, on=voucher, how="left_semi")  # one row per voucher already
     pos = paid.withColumn(amount, F.col(balance)).drop(balance)
 
     synth = union_all(neg, pos).withColumns({k: F.lit(v) for k, v in flags.items()})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from . import bank, controls, receivables, works
+from . import bank, controls, receivables, withholdings, works
 from .generic_queries import FIRST_SNAP_SQL
 from .registry import V, fin, query
 
@@ -351,3 +351,76 @@ FROM s GROUP BY ALL""")
 def d_rc12(spark, d):
     return fin(receivables.collected_composition(V(spark, d, "payments"), "1998", n=2,
                                                  concepts=["importe_bruto", "importe_neto", "retenciones"]))
+
+
+# ---------------------------------------------------------------- D-CO4, D-CR2, D-RT2
+
+@query("d_co4", f"""
+WITH {NET_SQL},
+a AS (SELECT ejercicio, mes, cta_cte, sum(importe) AS icaro_total FROM net
+      WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+b AS (SELECT ejercicio, mes, cta_cte, sum(importe_bruto) AS sgf_total FROM payments
+      WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+t AS (SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) AS mes,
+             coalesce(a.cta_cte, b.cta_cte) AS cta_cte, coalesce(icaro_total, 0) AS icaro_total,
+             coalesce(sgf_total, 0) AS sgf_total, coalesce(icaro_total, 0) - coalesce(sgf_total, 0) AS diferencia
+      FROM a FULL JOIN b ON a.ejercicio = b.ejercicio AND a.mes = b.mes AND a.cta_cte = b.cta_cte),
+dd AS (SELECT ejercicio, mes, cta_cte, 'icaro' AS lado, id AS icaro_id, tipo AS icaro_tipo, importe AS icaro_importe,
+              NULL AS sgf_nro_comprobante, NULL AS sgf_importe_bruto FROM net
+       UNION ALL
+       SELECT ejercicio, mes, cta_cte, 'sgf', NULL, NULL, NULL, nro_comprobante, importe_bruto FROM payments)
+SELECT dd.ejercicio, dd.mes, dd.cta_cte, lado, icaro_id, icaro_tipo, CAST(icaro_importe AS DOUBLE) AS icaro_importe,
+       sgf_nro_comprobante, CAST(sgf_importe_bruto AS DOUBLE) AS sgf_importe_bruto,
+       CAST(icaro_total AS DOUBLE) AS icaro_total, CAST(sgf_total AS DOUBLE) AS sgf_total,
+       CAST(diferencia AS DOUBLE) AS diferencia
+FROM dd LEFT JOIN t ON dd.ejercicio = t.ejercicio AND dd.mes = t.mes AND dd.cta_cte = t.cta_cte""")
+def d_co4(spark, d):
+    a = net_loads(spark, d).select(*KEYS3, "id", "tipo", "importe")
+    b = V(spark, d, "payments").select(*KEYS3, "nro_comprobante", "importe_bruto")
+    out = controls.works_vs_paid_detail(a, b)
+    return fin(out.select(*KEYS3, "lado", "icaro_id", "icaro_tipo", "icaro_importe", "sgf_nro_comprobante",
+                          "sgf_importe_bruto", "icaro_total", "sgf_total", "diferencia"))
+
+
+GROUP_SQL = ("CASE WHEN cta_cte = '10270' THEN 'FONAVI' "
+             "WHEN cta_cte IN ('130832-12', '334', 'Macro', 'Patagonia') THEN 'RECUPEROS' ELSE 'OTROS' END")
+
+
+@query("d_cr2", f"""
+WITH a AS (SELECT ejercicio, mes, cta_cte, {GROUP_SQL} AS grupo, sum(importe) AS recursos_siif FROM loads
+           WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+     b AS (SELECT ejercicio, mes, cta_cte, {GROUP_SQL} AS grupo, sum(importe) AS depositos_banco FROM bank
+           WHERE movimiento = 'DEPOSITO' AND ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL
+           GROUP BY ALL)
+SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) AS mes,
+       coalesce(a.cta_cte, b.cta_cte) AS cta_cte, coalesce(a.grupo, b.grupo) AS grupo,
+       CAST(recursos_siif AS DOUBLE) AS recursos_siif, CAST(depositos_banco AS DOUBLE) AS depositos_banco
+FROM a FULL JOIN b ON a.ejercicio = b.ejercicio AND a.mes = b.mes AND a.cta_cte = b.cta_cte AND a.grupo = b.grupo""")
+def d_cr2(spark, d):
+    rev = V(spark, d, "loads").withColumn("grupo", controls.fund_group("cta_cte"))
+    dep = controls.revenue_deposits(V(spark, d, "bank"))
+    return fin(controls.revenue_vs_deposits_by_group(rev, dep))
+
+
+@query("d_rt2", """
+WITH w AS (SELECT nro_comprobante AS id_carga, codigo, retenciones AS importe FROM payments
+           WHERE nro_comprobante IN (SELECT id FROM loads)),
+     p AS (SELECT id_carga,
+                  coalesce(sum(CASE WHEN codigo = 'A' THEN importe END), 0) AS a_,
+                  coalesce(sum(CASE WHEN codigo = 'N' THEN importe END), 0) AS n_,
+                  coalesce(sum(CASE WHEN codigo = 'R' THEN importe END), 0) AS r_
+           FROM w WHERE id_carga IS NOT NULL GROUP BY id_carga),
+     j AS (SELECT l.*, coalesce(a_, 0) AS a_, coalesce(n_, 0) AS n_, coalesce(r_, 0) AS r_,
+                  coalesce(a_ + n_ + r_, 0) AS ret FROM loads l LEFT JOIN p ON l.id = p.id_carga)
+SELECT id, ejercicio, mes, fecha, cta_cte, tipo, fuente, cuit,
+       CAST(a_ AS DOUBLE) AS "A", CAST(n_ AS DOUBLE) AS "N", CAST(r_ AS DOUBLE) AS "R",
+       CAST(CASE WHEN importe < 0 THEN -ret ELSE ret END AS DOUBLE) AS retenciones,
+       CAST(importe AS DOUBLE) AS importe_bruto,
+       CAST(importe - CASE WHEN importe < 0 THEN -ret ELSE ret END AS DOUBLE) AS importe_neto
+FROM j""")
+def d_rt2(spark, d):
+    wh = V(spark, d, "payments").select(F.col("nro_comprobante").alias("id_carga"), "codigo",
+                                        F.col("retenciones").alias("importe"))
+    out = withholdings.loads_with_withholdings(V(spark, d, "loads"), wh, codes=["A", "N", "R"])
+    return fin(out.select("id", "ejercicio", "mes", "fecha", "cta_cte", "tipo", "fuente", "cuit", "A", "N", "R",
+                          "retenciones", "importe_bruto", "importe_neto"))
