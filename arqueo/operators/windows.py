@@ -80,9 +80,8 @@ def share(df: DataFrame, value: str, part: Sequence[str] = (), out: str = "parti
         tot = d.groupBy(*part).agg(F.sum(value).alias("_tot"))
         j = _null_safe_join(d, tot, part)
     else:
-        # keyless total: a one-row aggregate, joined on a constant key
-        tot = d.agg(F.sum(value).alias("_tot")).withColumn("_one", F.lit(1))
-        j = d.withColumn("_one", F.lit(1)).join(F.broadcast(tot), on="_one", how="inner").drop("_one")
+        # keyless total: a scalar subquery (one aggregate, no join)
+        j = d.withColumn("_tot", d.agg(F.sum(value)).scalar())
     return j.withColumn(out, F.try_divide(F.col(value).cast("double"), F.col("_tot").cast("double"))
                         * F.lit(100.0)).drop("_tot")
 
