@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # fiscal years are text ('2024'); partition folders must not turn them into integers
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
