@@ -6,16 +6,16 @@ above 1, or never set, falls in neither, so it ends in "finished now"
 (= total - in progress - finished before).
 
 Every measure is a conditional sum over rows pre-aggregated to
-(group, work, year); work-level flags are aggregates by work joined back.
-No step sorts a raw group, and the per-year expansion (as of each year)
-multiplies only the pre-aggregated rows.
+(group, work, year); work-level flags are windows by work over those
+aggregated rows.  No step sorts a raw group, and the per-year expansion (as
+of each year) multiplies only the pre-aggregated rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import operators as op
@@ -23,6 +23,12 @@ from ..functions.nulls import drop_null_keys
 from ..operators.agg import pivot_values
 
 
+def _min_year(year: str):
+    """First year: years are 4-digit text, so the integer minimum is the text
+    minimum, and an integer buffer keeps the aggregate hash-based."""
+    return F.min(F.col(year).cast("int")).cast("string")
+
+
 def _cond_sum(cond, value="s"):
     return F.coalesce(F.sum(F.when(F.coalesce(cond, F.lit(False)), F.col(value))), F.lit(0))
 
@@ -42,20 +48,24 @@ def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | i
     in progress, finished in earlier years, finished this year.
 
     ``pivot_years`` fixes the year columns; otherwise the years present are
-    used (the ``last_n`` most recent ones when given).
+    used (the ``last_n`` most recent ones when given).  Work-level flags are
+    windows over the (group, work, year) aggregate partitioned by work: a
+    partition holds one row per group and year of the work, never its raw
+    lines, and the source is scanned once.
     """
     g = list(group_cols)
     cur = int(current_year)
     d = _pre(df, g, work, year, value, progress)
     yr = F.col(year).cast("int")
-    flags = d.filter(F.col(work).isNotNull()).groupBy(work).agg(
-        F.max("mx").alias("_wmax"),
-        F.max(F.when(yr < F.lit(cur), F.col("hit1"))).alias("_wprev1"))
-    j = d.join(flags, on=work, how="left")
+    w = Window.partitionBy(work)
+    has_work = F.col(work).isNotNull()
+    j = d.withColumns({
+        "_wmax": F.when(has_work, F.max("mx").over(w)),
+        "_wprev1": F.when(has_work, F.max(F.when(yr < F.lit(cur), F.col("hit1"))).over(w))})
     if pivot_years is None:
         ys = sorted(pivot_values(df, year), key=int, reverse=True)
         pivot_years = sorted(ys[:last_n] if last_n else ys, key=int)
-    aggs = [F.min(year).alias("alta")]
+    aggs = [_min_year(year).alias("alta")]
     aggs += [_cond_sum(F.col(year) == F.lit(str(y))).alias(str(y)) for y in pivot_years]
     aggs += [F.coalesce(F.sum("s"), F.lit(0)).alias(total),
              _cond_sum(F.col("_wmax") < F.lit(1)).alias("en_curso"),
@@ -71,6 +81,10 @@ def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[
     in progress as of Y, finished before Y, finished in Y.
 
     Report years default to the years present (the ``last_n`` most recent).
+    One scan: rows are aggregated to (group, work, year), repeated for every
+    Y >= year, and the work flags as of Y are windows over (work, Y) on those
+    aggregated rows.  The first year of a group is the minimum year seen at
+    the last Y (which includes every year up to it).
     """
     g = list(group_cols)
     if years is None:
@@ -80,22 +94,20 @@ def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[
     d = _pre(df, g, work, year, value, progress)
     yr = F.col(year).cast("int")
     hy = F.col("hasta").cast("int")
-
-    # work flags as of each Y: max progress over years <= Y and over years < Y
-    wy = d.filter(F.col(work).isNotNull()).groupBy(work, year).agg(F.max("mx").alias("mx"))
-    wy = op.as_of_years(wy, years, year)
-    flags = wy.groupBy(work, "hasta").agg(
-        F.max("mx").alias("_mx_le"),
-        F.max(F.when(yr < hy, F.col("mx"))).alias("_mx_lt"))
-
-    e = op.as_of_years(d, years, year).join(flags, on=[work, "hasta"], how="left")
+    e = op.as_of_years(d, years, year)
+    w = Window.partitionBy(work, "hasta")
+    has_work = F.col(work).isNotNull()
+    e = e.withColumns({"_mx_le": F.when(has_work, F.max("mx").over(w)),
+                       "_mx_lt": F.when(has_work, F.max(F.when(yr < hy, F.col("mx"))).over(w))})
     agg = e.groupBy(*g, "hasta").agg(
+        _min_year(year).alias("_alta"),
         F.coalesce(F.sum("s"), F.lit(0)).alias("acum"),
         _cond_sum(F.col(year) == F.col("hasta")).alias("ejecucion"),
         _cond_sum(F.col("_mx_le") < F.lit(1)).alias("en_curso"),
         _cond_sum((yr < hy) & (F.col("_mx_lt") == F.lit(1))).alias("terminadas_ant"))
-    alta = d.groupBy(*g).agg(F.min(year).alias("alta"))
-    out = alta.join(agg, on=g, how="inner").withColumnRenamed("hasta", "ejercicio")
+    last_y = str(max(int(y) for y in years))
+    alta = F.min(F.when(F.col("hasta") == F.lit(last_y), F.col("_alta"))).over(Window.partitionBy(*g))
+    out = agg.withColumn("alta", alta).withColumnRenamed("hasta", "ejercicio")
     out = out.withColumn("terminadas_actual", F.col("acum") - F.col("en_curso") - F.col("terminadas_ant"))
     return out.select(*g, "alta", "ejercicio", "acum", "en_curso", "terminadas_ant", "ejecucion",
                       "terminadas_actual")
