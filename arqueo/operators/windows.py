@@ -54,18 +54,23 @@ def running_balance(df: DataFrame, keys: Sequence[str], part: str = "cta_cte", o
 
 
 def cumulative(df: DataFrame, order: Sequence[str], value: str, part: Sequence[str] = (), out: str = "acum",
-               order_expr=None) -> DataFrame:
-    """W-02: running total over an ordered result (sum by order key first).
-
-    ``order_expr`` orders the distinct order keys when their text order is not
-    the right one (e.g. 'MM/YYYY' months).  The window runs over distinct
-    (part, order) keys, which is the aggregated result the reports use.
+               order_expr=None, presummed: bool = False) -> DataFrame:
+    """W-02: running total over an ordered result; rows with equal order keys
+    share one running value (their sum is taken together).
+
+    ``presummed=True`` is for inputs that already hold one row per
+    (part, order), such as a reconciliation: one RANGE window, no join.
+    Otherwise the values are first summed by (part, order) and the running
+    totals joined back, so the window holds distinct order keys, not rows.
+    ``order_expr`` orders the keys when their text order is not the right one.
     """
     order, part = list(order), list(part)
-    g = df.groupBy(*part, *order).agg(sum0(value).alias("_v"))
     ok = order_expr if order_expr is not None else [F.col(c) for c in order]
     ok = ok if isinstance(ok, list) else [ok]
-    w = Window.partitionBy(*part).orderBy(*ok).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*part).orderBy(*ok)  # default frame: RANGE unbounded preceding .. current row
+    if presummed:
+        return df.withColumn(out, F.sum(F.coalesce(F.col(value), F.lit(0))).over(w))
+    g = df.groupBy(*part, *order).agg(sum0(value).alias("_v"))
     g = g.select(*part, *order, F.sum("_v").over(w).alias(out))
     return _null_safe_join(df, g, part + order)
 

@@ -549,7 +549,7 @@ FROM r""")
 def w_cumulative_diff(spark, d):
     r = op.reconcile(V(spark, d, "loads"), V(spark, d, "payments"), ["ejercicio", "mes"],
                      {"ejecutado": "importe"}, {"pagado": "importe_bruto"})
-    return fin(op.cumulative(r, ["ejercicio", "mes"], "diferencia", out="dif_acum"))
+    return fin(op.cumulative(r, ["ejercicio", "mes"], "diferencia", out="dif_acum", presummed=True))
 
 
 @query("w_forward_fill", """

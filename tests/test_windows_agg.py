@@ -97,6 +97,10 @@ def test_recent_years_and_cumulative(spark):
     assert rows(op.recent_years(df, 2), "v") == [(2.0,), (3.0,), (4.0,)]
     c = op.cumulative(op.group_sum(df, ["ejercicio"], ["v"]), ["ejercicio"], "v")
     assert rows(c, "ejercicio", "acum") == [("2021", 1.0), ("2022", 3.0), ("2023", 10.0)]
+    raw = op.cumulative(df, ["ejercicio"], "v")  # equal keys share one running value
+    assert rows(raw, "v", "acum") == [(1.0, 1.0), (2.0, 3.0), (3.0, 10.0), (4.0, 10.0)]
+    direct = op.cumulative(df, ["ejercicio"], "v", presummed=True)
+    assert rows(direct, "v", "acum") == rows(raw, "v", "acum")
 
 
 def test_union_dedupe_subset_unpivot(spark):
