@@ -92,3 +92,21 @@ def bank_with_imputation_type(bank: DataFrame, codes: DataFrame) -> DataFrame:
 def ledger_bank_without_advances(book: DataFrame, advance_type: str = "PAP") -> DataFrame:
     """D-SRC15: ledger bank book without contractor-advance rows."""
     return book.filter(not_in_keep_null("tipo_comprobante", [advance_type]))
+
+
+def ledger_bank_gap(ledger_vs_bank: DataFrame, revenue_ctrl: DataFrame, works_ctrl: DataFrame,
+                    payroll_ctrl: DataFrame, debits_ctrl: DataFrame, advances: DataFrame | None = None,
+                    fees_ctrl: DataFrame | None = None, notary_ctrl: DataFrame | None = None) -> DataFrame:
+    """D-CB5 with its usual controls: the ledger-bank gap (D-CB4) explained by
+    revenue (D-CR1, sign flipped), works (D-CO1), payroll (D-HB1) and bank
+    debits (D-DB1), and optionally contractor advances (S-20 outflows), fees
+    (D-CH4 gross) and notaries (D-CE3)."""
+    ctrls = {"recursos_dif": (revenue_ctrl, "diferencia", -1), "obras_dif": (works_ctrl, "diferencia", 1),
+             "haberes_dif": (payroll_ctrl, "diferencia", 1), "debitos_banca_dif": (debits_ctrl, "diferencia", 1)}
+    if advances is not None:
+        ctrls["pa6_reg"] = (advances, "egresos", 1)
+    if fees_ctrl is not None:
+        ctrls["honorarios_dif"] = (fees_ctrl, "importe_bruto", 1)
+    if notary_ctrl is not None:
+        ctrls["escribanos_dif"] = (notary_ctrl, "dif_pagos", 1)
+    return gap_explained(ledger_vs_bank, ctrls)

@@ -424,3 +424,25 @@ def d_rt2(spark, d):
     out = withholdings.loads_with_withholdings(V(spark, d, "loads"), wh, codes=["A", "N", "R"])
     return fin(out.select("id", "ejercicio", "mes", "fecha", "cta_cte", "tipo", "fuente", "cuit", "A", "N", "R",
                           "retenciones", "importe_bruto", "importe_neto"))
+
+
+@query("d_cb3", """
+WITH fin AS (SELECT ejercicio, cta_cte, sum(importe) AS sldo_final FROM bank
+             WHERE ejercicio IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+     dly AS (SELECT cta_cte, fecha, sum(importe) AS v FROM bank
+             WHERE cta_cte IS NOT NULL AND fecha IS NOT NULL GROUP BY ALL),
+     cum AS (SELECT cta_cte, fecha, sum(v) OVER (PARTITION BY cta_cte ORDER BY fecha
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS saldo FROM dly),
+     lst AS (SELECT ejercicio, cta_cte, max(fecha) AS fecha FROM bank
+             WHERE ejercicio IS NOT NULL AND cta_cte IS NOT NULL AND fecha IS NOT NULL GROUP BY ALL),
+     acu AS (SELECT lst.ejercicio, lst.cta_cte, cum.saldo AS sldo_acum FROM lst
+             JOIN cum ON lst.cta_cte = cum.cta_cte AND lst.fecha = cum.fecha)
+SELECT coalesce(fin.ejercicio, acu.ejercicio) AS ejercicio, coalesce(fin.cta_cte, acu.cta_cte) AS cta_cte,
+       CAST(coalesce(sldo_final, 0) AS DOUBLE) AS sldo_final, CAST(coalesce(sldo_acum, 0) AS DOUBLE) AS sldo_acum,
+       CAST(coalesce(sldo_final, 0) - coalesce(sldo_acum, 0) AS DOUBLE) AS dif
+FROM fin FULL JOIN acu ON fin.ejercicio = acu.ejercicio AND fin.cta_cte = acu.cta_cte""")
+def d_cb3(spark, d):
+    b = V(spark, d, "bank")
+    final = op.group_sum(b, ["ejercicio", "cta_cte"], {"saldo": "importe"})
+    running = bank.running_balance_at_period_end(b, keys=["ejercicio", "cta_cte"])
+    return fin(bank.final_vs_running(final, running))

@@ -215,3 +215,15 @@ def test_loads_with_descriptions_and_basic_modules(spark):
                                                                         "info_adicional"])
     bm = sources_clean.basic_module_loads(acc, wl)
     assert rows(bm, "id", "localidad") == [("L2", "CAPITAL")]
+
+
+def test_ledger_bank_gap_composite(spark):
+    lvb = spark.createDataFrame([("2024", "c", D(10), D(4), D(6))], "ejercicio string, cta_cte string, "
+                                "sldo_siif decimal(18,2), sldo_invico decimal(18,2), dif_sldo decimal(18,2)")
+
+    def ctrl(v, col="diferencia"):
+        return spark.createDataFrame([("2024", D(v))], f"ejercicio string, {col} decimal(18,2)")
+
+    out = bank.ledger_bank_gap(lvb, ctrl(1), ctrl(-2), ctrl(-3), ctrl(-1), fees_ctrl=ctrl(5, "importe_bruto"))
+    got = {r.concepto: r.importe for r in out.collect()}
+    assert got["recursos_dif"] == D(-1) and got["dif_sldo_ajustado"] == D(6 - 1 - 2 - 3 - 1 + 5)
