@@ -402,22 +402,28 @@ def d_cr2(spark, d):
     return fin(controls.revenue_vs_deposits_by_group(rev, dep))
 
 
-@query("d_rt2", """
-WITH w AS (SELECT nro_comprobante AS id_carga, codigo, retenciones AS importe FROM payments
-           WHERE nro_comprobante IN (SELECT id FROM loads)),
-     p AS (SELECT id_carga,
-                  coalesce(sum(CASE WHEN codigo = 'A' THEN importe END), 0) AS a_,
-                  coalesce(sum(CASE WHEN codigo = 'N' THEN importe END), 0) AS n_,
-                  coalesce(sum(CASE WHEN codigo = 'R' THEN importe END), 0) AS r_
-           FROM w WHERE id_carga IS NOT NULL GROUP BY id_carga),
-     j AS (SELECT l.*, coalesce(a_, 0) AS a_, coalesce(n_, 0) AS n_, coalesce(r_, 0) AS r_,
-                  coalesce(a_ + n_ + r_, 0) AS ret FROM loads l LEFT JOIN p ON l.id = p.id_carga)
+RT2_SQL = """
+w AS (SELECT nro_comprobante AS id_carga, codigo, retenciones AS importe FROM payments
+      WHERE nro_comprobante IN (SELECT id FROM loads)),
+p AS (SELECT id_carga,
+             coalesce(sum(CASE WHEN codigo = 'A' THEN importe END), 0) AS a_,
+             coalesce(sum(CASE WHEN codigo = 'N' THEN importe END), 0) AS n_,
+             coalesce(sum(CASE WHEN codigo = 'R' THEN importe END), 0) AS r_
+      FROM w WHERE id_carga IS NOT NULL GROUP BY id_carga),
+j AS (SELECT l.*, coalesce(a_, 0) AS a_, coalesce(n_, 0) AS n_, coalesce(r_, 0) AS r_,
+             coalesce(a_ + n_ + r_, 0) AS ret FROM loads l LEFT JOIN p ON l.id = p.id_carga),
+rt2 AS (SELECT id, ejercicio, mes, fecha, cta_cte, tipo, fuente, cuit, a_, n_, r_,
+               CASE WHEN importe < 0 THEN -ret ELSE ret END AS retenciones, importe AS importe_bruto,
+               importe - CASE WHEN importe < 0 THEN -ret ELSE ret END AS importe_neto FROM j)"""
+
+
+@query("d_rt2", f"""
+WITH {RT2_SQL}
 SELECT id, ejercicio, mes, fecha, cta_cte, tipo, fuente, cuit,
        CAST(a_ AS DOUBLE) AS "A", CAST(n_ AS DOUBLE) AS "N", CAST(r_ AS DOUBLE) AS "R",
-       CAST(CASE WHEN importe < 0 THEN -ret ELSE ret END AS DOUBLE) AS retenciones,
-       CAST(importe AS DOUBLE) AS importe_bruto,
-       CAST(importe - CASE WHEN importe < 0 THEN -ret ELSE ret END AS DOUBLE) AS importe_neto
-FROM j""")
+       CAST(retenciones AS DOUBLE) AS retenciones, CAST(importe_bruto AS DOUBLE) AS importe_bruto,
+       CAST(importe_neto AS DOUBLE) AS importe_neto
+FROM rt2""")
 def d_rt2(spark, d):
     wh = V(spark, d, "payments").select(F.col("nro_comprobante").alias("id_carga"), "codigo",
                                         F.col("retenciones").alias("importe"))
@@ -446,3 +452,43 @@ def d_cb3(spark, d):
     final = op.group_sum(b, ["ejercicio", "cta_cte"], {"saldo": "importe"})
     running = bank.running_balance_at_period_end(b, keys=["ejercicio", "cta_cte"])
     return fin(bank.final_vs_running(final, running))
+
+
+def _loads_with_withholdings(spark, d):
+    wh = V(spark, d, "payments").select(F.col("nro_comprobante").alias("id_carga"), "codigo",
+                                        F.col("retenciones").alias("importe"))
+    return withholdings.loads_with_withholdings(V(spark, d, "loads"), wh, codes=["A", "N", "R"])
+
+
+RT3_SQL = f"""{RT2_SQL},
+rt3 AS (SELECT ejercicio, mes, cta_cte, sum(a_) AS a_, sum(n_) AS n_, sum(r_) AS r_, sum(retenciones) AS retenciones,
+               sum(importe_bruto) AS importe_bruto, sum(importe_neto) AS importe_neto
+        FROM rt2 WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL)"""
+
+
+@query("d_rt3", f"""
+WITH {RT3_SQL}
+SELECT ejercicio, mes, cta_cte, CAST(a_ AS DOUBLE) AS "A", CAST(n_ AS DOUBLE) AS "N", CAST(r_ AS DOUBLE) AS "R",
+       CAST(retenciones AS DOUBLE) AS retenciones, CAST(importe_bruto AS DOUBLE) AS importe_bruto,
+       CAST(importe_neto AS DOUBLE) AS importe_neto
+FROM rt3""")
+def d_rt3(spark, d):
+    return fin(withholdings.loads_summary(_loads_with_withholdings(spark, d)))
+
+
+@query("d_rt11", f"""
+WITH {RT3_SQL},
+sg AS (SELECT ejercicio, mes, cta_cte, sum(importe_bruto) AS importe_bruto, sum(importe_neto) AS importe_neto,
+              sum(retenciones) AS retenciones
+       FROM payments WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL)
+SELECT coalesce(rt3.ejercicio, sg.ejercicio) AS ejercicio, coalesce(rt3.mes, sg.mes) AS mes,
+       coalesce(rt3.cta_cte, sg.cta_cte) AS cta_cte,
+       CAST(0 AS DOUBLE) AS "A", CAST(0 AS DOUBLE) AS "N", CAST(0 AS DOUBLE) AS "R",
+       CAST(coalesce(rt3.retenciones, 0) - coalesce(sg.retenciones, 0) AS DOUBLE) AS retenciones,
+       CAST(coalesce(rt3.importe_bruto, 0) - coalesce(sg.importe_bruto, 0) AS DOUBLE) AS importe_bruto,
+       CAST(coalesce(rt3.importe_neto, 0) - coalesce(sg.importe_neto, 0) AS DOUBLE) AS importe_neto
+FROM rt3 FULL JOIN sg ON rt3.ejercicio = sg.ejercicio AND rt3.mes = sg.mes AND rt3.cta_cte = sg.cta_cte""")
+def d_rt11(spark, d):
+    icaro = withholdings.loads_summary(_loads_with_withholdings(spark, d))
+    sgf = withholdings.renditions_summary(V(spark, d, "payments"))
+    return fin(withholdings.compare(icaro, sgf, how="union"))
