@@ -35,3 +35,35 @@ def test_filters_reach_the_scan(spark):
 def test_column_pruning(spark):
     plan = _plan(entry.queries()["a_totals"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_tax:double>" in plan
+
+
+def test_hot_key_dedupe_aggregates_map_side(spark):
+    """A key holding a third of the rows is reduced inside each map task."""
+    from pyspark.sql import functions as F
+
+    from arqueo import operators as op
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") % 97).alias("f"), F.col("id").alias("v"))
+    out = op.dedupe(df, ["k"], ["f"], "first")
+    plan = _plan(out)
+    assert "partial_min" in plan and "Window" not in plan
+    hot = out.filter(F.col("k") == "HOT").first()
+    assert (hot.f, hot.v) == (0, 0)
+    assert out.count() == 20001
+
+
+def test_running_balance_window_sees_days_not_rows(spark):
+    from pyspark.sql import functions as F
+
+    from arqueo import operators as op
+    df = spark.range(0, 20000).select(
+        F.lit("2024").alias("ejercicio"), F.lit("01/2024").alias("mes"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")).alias("cta_cte"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 31).cast("int")).alias("fecha"),
+        F.lit(1).cast("decimal(18,2)").alias("importe"))
+    out = op.running_balance(df, ["ejercicio", "mes", "cta_cte"])
+    plan = _plan(out)
+    # the window input is the (account, day) aggregate: an aggregate sits below the window
+    assert plan.index("Window") < plan.rindex("HashAggregate")
+    assert out.filter(F.col("cta_cte") == "HOT").first().saldo == 6667
