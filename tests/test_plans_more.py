@@ -57,7 +57,7 @@ def test_works_crosswalk_and_list(spark):
                                     ("2", "123 VIVIENDAS SUR", "29-02-01-01", "421")],
               ["id", "obra", "actividad", "partida"])
     reg = frame(spark, "works_register", [("C9", "ESCUELA NORTE"), ("C1", "OTRA")], ["cod_obra", "obra"])
-    lst = works_list = controls.works_list(w)
+    lst = controls.works_list(w)
     assert rows(lst, "obra", "imputacion")[0] == ("123 VIVIENDAS SUR", "29-02-01-01-421")
     a, b = controls.works_crosswalk(w, reg)
     got = dict((r.id, r.cod_obra) for r in a.collect())
