@@ -52,6 +52,24 @@ def fee_vouchers(vouchers: DataFrame, own_cuit: str, accounts: Sequence[str] = (
     return op.matches(v, "glosa", list(words), keep=True)
 
 
+def fee_vouchers_summary(vouchers: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "nro_comprobante", "cta_cte"),
+                         count_flags: bool = True) -> DataFrame:
+    """D-CH2: fee vouchers summed by free keys.  The original summed every
+    numeric column including the boolean flags (a count of True per group);
+    ``count_flags=False`` sums amounts only."""
+    return op.sum_numeric(vouchers, keys, bools=count_flags)
+
+
+def fee_renditions_summary(renditions: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cuit", "beneficiario"),
+                           only_gross: bool = False) -> DataFrame:
+    """D-CH2: fee renditions by free keys, five withholding columns folded into 'otras'."""
+    fold = [c for c in RENDITION_OTHER_COLS if c in renditions.columns]
+    d = renditions.withColumn("otras", op.filters.row_total_expr(["otras"] + fold)).drop(*fold)
+    if only_gross:
+        d = d.select(*keys, "importe_bruto")
+    return op.sum_numeric(d, keys)
+
+
 def ledger_vs_fees(ledger: DataFrame, fees: DataFrame, tol: float = 1e-8) -> DataFrame:
     """D-CH3: ledger vouchers vs fees by (year, voucher), full outer; flags
     for account, month and amount (amounts filled 0; equal within tol); only

@@ -227,3 +227,19 @@ def test_ledger_bank_gap_composite(spark):
     out = bank.ledger_bank_gap(lvb, ctrl(1), ctrl(-2), ctrl(-3), ctrl(-1), fees_ctrl=ctrl(5, "importe_bruto"))
     got = {r.concepto: r.importe for r in out.collect()}
     assert got["recursos_dif"] == D(-1) and got["dif_sldo_ajustado"] == D(6 - 1 - 2 - 3 - 1 + 5)
+
+
+def test_fee_summaries(spark):
+    vo = frame(spark, "expense_vouchers", [("2024", "01/2024", "1/24", "c", D(10), True, False),
+                                           ("2024", "01/2024", "1/24", "c", D(5), True, True)],
+               ["ejercicio", "mes", "nro_comprobante", "cta_cte", "importe", "es_pagado", "es_aprobado"])
+    s = fees.fee_vouchers_summary(vo).first()
+    assert s.importe == D(15) and s.es_pagado == 2 and s.es_aprobado == 1  # flags counted, as the original
+    assert "es_pagado" not in fees.fee_vouchers_summary(vo, count_flags=False).columns
+    rd = frame(spark, "renditions", [("2024", "01/2024", "20-1", "X", D(100), D(1), D(2), D(3), D(4), D(5), D(6))],
+               ["ejercicio", "mes", "cuit", "beneficiario", "importe_bruto", "otras", "gcias", "suss", "invico",
+                "salud", "mutual"])
+    r = fees.fee_renditions_summary(rd).first()
+    assert r.otras == D(21) and "gcias" not in r.asDict()
+    assert fees.fee_renditions_summary(rd, only_gross=True).columns == ["ejercicio", "mes", "cuit", "beneficiario",
+                                                                        "importe_bruto"]
