@@ -14,45 +14,55 @@ from ..functions.nulls import not_in_keep_null
 # FIXED VALUES: accounts whose renditions repeat, the columns that identify a
 # repeated rendition, and the bank rows added to the renditions.
 REPEATED_RENDITION_ACCOUNTS = ["106", "2210178150"]
-RENDITION_DEDUPE_COLS = ["mes", "fecha", "beneficiario", "libramiento_sgf", "importe_neto"]
+RENDITION_DEDUPE_COLS = ["mes", "fecha", "beneficiario", "libramiento_sgf", "importe_bruto"]
 NEGATIVE_CERTIFICATE_CODE = "018"
 NEGATIVE_CERTIFICATE_CUIT = "30632351514"
 ALIMONY_CODE = "049"
+ALIMONY_LABEL = "EMBARGO POR ALIMENTOS"
 FEE_DESTINATIONS = ["HONORARIOS - FUNCIONAMIENTO", "COMISIONES - FUNCIONAMIENTO", "HONORARIOS - EPAM"]
 
 
-def renditions_clean(renditions: DataFrame, bank: DataFrame | None = None, net_negative_certificates: bool = False
-                     ) -> DataFrame:
-    """D-SRC1: renditions with the repeated rows of two accounts removed
-    (dedupe on five columns, only for those accounts); optionally plus bank
-    deposits of negative certificates (code 018, not cheques) as negative
-    gross/net rows with a fixed tax id."""
-    cond = F.col("cta_cte").isin(REPEATED_RENDITION_ACCOUNTS)
-    r = op.dedupe_subset(renditions, cond, ["cta_cte"] + RENDITION_DEDUPE_COLS)
+def renditions_clean(renditions: DataFrame, bank: DataFrame | None = None, net_negative_certificates: bool = False,
+                     account_map: DataFrame | None = None) -> DataFrame:
+    """D-SRC1: renditions (account mapped) with the repeated rows of two
+    accounts removed (dedupe on five columns, only inside those accounts);
+    optionally plus bank deposits of negative certificates (code 018, not
+    cheques) as negative gross = net rows with a fixed tax id."""
+    r = renditions
+    if account_map is not None:
+        r = op.lookup(r, account_map, "cta_cte", "sgf_cta_cte", "map_to")
+    for account in REPEATED_RENDITION_ACCOUNTS:
+        r = op.dedupe_subset(r, F.col("cta_cte") == account, ["cta_cte"] + RENDITION_DEDUPE_COLS)
     if net_negative_certificates and bank is not None:
         b = bank.filter((F.col("cod_imputacion") == NEGATIVE_CERTIFICATE_CODE) & (F.col("movimiento") == K.DEPOSIT)
-                        & ~F.coalesce(F.col("es_cheque"), F.lit(False)))
-        b = b.select("ejercicio", "mes", "fecha", "cta_cte", F.col("concepto").alias("beneficiario"),
-                     F.col("libramiento").alias("libramiento_sgf"),
+                        & (F.col("es_cheque") == F.lit(False)))
+        b = b.select("ejercicio", "mes", "fecha", "cta_cte", F.lit("BANCO").alias("origen"),
+                     F.lit(NEGATIVE_CERTIFICATE_CUIT).alias("cuit"), F.col("concepto").alias("beneficiario"),
+                     "movimiento", F.col("imputacion").alias("destino"),
                      (-F.col("importe")).alias("importe_bruto"), (-F.col("importe")).alias("importe_neto"))
-        b = b.withColumns({"cuit": F.lit(NEGATIVE_CERTIFICATE_CUIT), "origen": F.lit("BANCO"),
-                           "destino": F.lit("CERTIFICADO NEGATIVO")})
         r = op.union_all(r, b)
     return r
 
 
 def fee_renditions(renditions: DataFrame, bank: DataFrame | None = None, accounts: Sequence[str] = ("130832-05",
                                                                                                     "130832-07"),
-                   with_alimony: bool = True) -> DataFrame:
-    """D-SRC2: fee renditions (not works, two accounts, three destinations),
-    plus alimony seizures from the bank (account 130832-05, code 049) negated."""
+                   with_alimony: bool = True, account_map: DataFrame | None = None) -> DataFrame:
+    """D-SRC2: fee renditions (not works, two accounts, three destinations,
+    account mapped), plus alimony seizures from the bank (account 130832-05,
+    code 049): gross = other withholdings = withholdings = the seized amount
+    (sign flipped), net 0; numbers filled with 0."""
     r = renditions.filter(not_in_keep_null("origen", ["OBRAS"])).filter(F.col("cta_cte").isin(list(accounts)))
     r = op.codes(r, "destino", include=FEE_DESTINATIONS)
+    if account_map is not None:
+        r = op.lookup(r, account_map, "cta_cte", "sgf_cta_cte", "map_to")
     if with_alimony and bank is not None:
         b = bank.filter((F.col("cta_cte") == K.FEES_ACCOUNT) & (F.col("cod_imputacion") == ALIMONY_CODE))
-        b = b.select("ejercicio", "mes", "fecha", "cta_cte", F.col("concepto").alias("beneficiario"),
-                     (-F.col("importe")).alias("importe_bruto"), (-F.col("importe")).alias("importe_neto"))
-        b = b.withColumn("destino", F.lit("EMBARGO POR ALIMENTOS"))
+        gross = -F.col("importe")
+        b = b.select("ejercicio", "mes", "fecha", F.lit(ALIMONY_LABEL).alias("beneficiario"),
+                     F.lit(ALIMONY_LABEL).alias("destino"), "cta_cte",
+                     F.col("libramiento").alias("libramiento_sgf"), "movimiento", gross.alias("importe_bruto"),
+                     gross.alias("otras"), gross.alias("retenciones"),
+                     F.lit(0).cast("decimal(18,2)").alias("importe_neto"))
         r = op.fill0(op.union_all(r, b))
     return r
 

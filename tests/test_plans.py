@@ -253,9 +253,10 @@ def test_sources_cleaning(spark):
         ("2024", "01/2024", day("2024-01-02"), "A", "106", "L1", D(10)),
         ("2024", "01/2024", day("2024-01-02"), "A", "200", "L1", D(10)),
         ("2024", "01/2024", day("2024-01-02"), "A", "200", "L1", D(10))],
-        ["ejercicio", "mes", "fecha", "beneficiario", "cta_cte", "libramiento_sgf", "importe_neto"])
+        ["ejercicio", "mes", "fecha", "beneficiario", "cta_cte", "libramiento_sgf", "importe_bruto"])
     assert sources_clean.renditions_clean(rend).count() == 3
     b = _bank(spark)
     with_cert = sources_clean.renditions_clean(rend, b, net_negative_certificates=True)
-    assert with_cert.filter(F.col("cuit") == sources_clean.NEGATIVE_CERTIFICATE_CUIT).first().importe_neto == D(-9)
+    cert = with_cert.filter(F.col("cuit") == sources_clean.NEGATIVE_CERTIFICATE_CUIT).first()
+    assert cert.importe_neto == D(-9) and cert.importe_bruto == D(-9) and cert.origen == "BANCO"
     assert rows(sources_clean.bank_payments(b).filter(F.col("cod_imputacion") == "049"), "importe") == [(D(3),)]

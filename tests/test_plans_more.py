@@ -87,8 +87,10 @@ def test_fee_renditions_with_alimony(spark):
                                         D(5), D(5))],
                  ["ejercicio", "mes", "origen", "destino", "cta_cte", "importe_bruto", "importe_neto"])
     out = sources_clean.fee_renditions(rend, _bank(spark))
-    assert rows(out, "destino", "importe_bruto") == [("EMBARGO POR ALIMENTOS", D(3)),
-                                                     ("HONORARIOS - FUNCIONAMIENTO", D(10))]
+    assert rows(out, "destino", "importe_bruto", "importe_neto") == [("EMBARGO POR ALIMENTOS", D(3), D(0)),
+                                                                     ("HONORARIOS - FUNCIONAMIENTO", D(10), D(9))]
+    emb = out.filter(F.col("destino") == "EMBARGO POR ALIMENTOS").first()
+    assert emb.otras == D(3) and emb.retenciones == D(3) and emb.beneficiario == "EMBARGO POR ALIMENTOS"
 
 
 def test_fee_vouchers_notary_contribution(spark):
