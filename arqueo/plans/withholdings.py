@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions.nulls import contains_any, not_in_keep_null
+from ..functions import codes as K
+from ..functions.nulls import not_in_keep_null
 
 KEYS3 = ("ejercicio", "mes", "cta_cte")
 # FIXED VALUES: withholding codes of works payments and their column names.
@@ -23,11 +24,10 @@ LEDGER_BANK_ACCOUNT = "1112-2-6"
 LEDGER_CONTRACTORS_ACCOUNT = "2111-1-2"
 LEDGER_WITHHOLDINGS_ACCOUNT = "2122-1-2"
 PAYMENT_VOUCHER_TYPES = ["CAP", "ANP", "CAD"]
-# bank: codes of contractor payments, the transfer code of withholdings and
-# the words that name each withholding in the transfer text.
+# bank: the transfer code of withholdings and the text that names each
+# withholding in the transfer concept.
 BANK_TRANSFER_CODE = "034"
-BANK_WITHHOLDING_WORDS = {"gcias": ["GANANCIAS", "GCIAS"], "sellos": ["SELLOS"], "iibb": ["IIBB", "INGRESOS BRUTOS"],
-                          "suss": ["SUSS"], "invico": ["INVICO"]}
+BANK_WITHHOLDING_WORDS = {"iibb": "IIBB", "sellos": "SELLOS", "gcias": "GCI", "suss": "SUSS", "invico": "INV"}
 
 
 def withholdings_per_load(loads: DataFrame, withholdings: DataFrame,
@@ -113,20 +113,26 @@ def renditions_summary(renditions: DataFrame, keys: Sequence[str] = KEYS3) -> Da
     return op.sum_numeric(renditions, keys)
 
 
-def bank_summary(bank: DataFrame, keys: Sequence[str] = KEYS3, payment_codes: Sequence[str] = ("002", "034"),
-                 words: Mapping[str, Sequence[str]] = BANK_WITHHOLDING_WORDS) -> DataFrame:
-    """D-RT8: bank: transfers (code 034) are withholdings split by text words;
-    the rest is the net paid; sign flipped (payments are negative in the bank)."""
+def bank_summary(bank: DataFrame, keys: Sequence[str] = KEYS3, parity: bool = False,
+                 words: Mapping[str, str] = BANK_WITHHOLDING_WORDS) -> DataFrame:
+    """D-RT8: bank movements of works investment codes plus transfers (034).
+
+    Transfers are withholdings (sign flipped); each named column takes the
+    transfer when its text appears in the concept (a transfer may count in
+    several columns, and ``retenciones`` is the whole transfer amount).  Other
+    movements are the net paid (sign flipped).  Gross = net + withholdings.
+    """
     keys = list(keys)
-    b = op.codes(bank, "cod_imputacion", include=list(payment_codes))
-    is_tr = F.col("cod_imputacion") == BANK_TRANSFER_CODE
-    cols = {}
-    for name, ws in words.items():
-        cols[name] = F.when(is_tr & contains_any("concepto", ws), -F.col("importe")).otherwise(F.lit(0))
-    cols["importe_neto"] = F.when(~is_tr, -F.col("importe")).otherwise(F.lit(0))
-    b = b.withColumns(cols)
-    out = op.group_sum(b, keys, list(cols))
-    out = out.withColumn("retenciones", op.filters.row_total_expr(list(words)))
+    codes_ = list(K.cash_flow_classes(parity)["3 - Inversión Obras"]) + [BANK_TRANSFER_CODE]
+    b = op.codes(bank, "cod_imputacion", include=codes_)
+    is_tr = F.coalesce(F.col("cod_imputacion") == BANK_TRANSFER_CODE, F.lit(False))
+    zero = F.lit(0).cast(bank.schema["importe"].dataType)
+    cols = {"retenciones": F.when(is_tr, -F.col("importe")).otherwise(zero)}
+    for name, word in words.items():
+        hit = is_tr & F.coalesce(F.col("concepto").contains(word), F.lit(False))
+        cols[name] = F.when(hit, -F.col("importe")).otherwise(zero)
+    cols["importe_neto"] = F.when(~is_tr, -F.col("importe")).otherwise(zero)
+    out = op.group_sum(b.withColumns(cols), keys, list(cols))
     return out.withColumn("importe_bruto", F.col("importe_neto") + F.col("retenciones"))
 
 

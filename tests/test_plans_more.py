@@ -126,12 +126,15 @@ def test_fees_vs_renditions_null_one_sided(spark):
 
 
 def test_withholdings_bank_and_renditions(spark):
-    b = frame(spark, "bank", [("2024", "01/2024", "c", "034", "RET GANANCIAS", D(-4)),
+    b = frame(spark, "bank", [("2024", "01/2024", "c", "034", "RET GCIAS", D(-4)),
                               ("2024", "01/2024", "c", "034", "SELLOS", D(-1)),
-                              ("2024", "01/2024", "c", "002", "PAGO", D(-50))],
+                              ("2024", "01/2024", "c", "034", None, D(-2)),
+                              ("2024", "01/2024", "c", "018", "PAGO OBRA", D(-50)),
+                              ("2024", "01/2024", "c", "002", "OTRO", D(-9))],
               ["ejercicio", "mes", "cta_cte", "cod_imputacion", "concepto", "importe"])
     s = withholdings.bank_summary(b).first()
-    assert s.gcias == D(4) and s.sellos == D(1) and s.importe_neto == D(50) and s.importe_bruto == D(55)
+    assert s.gcias == D(4) and s.sellos == D(1) and s.retenciones == D(7)
+    assert s.importe_neto == D(50) and s.importe_bruto == D(57)
     rend = frame(spark, "renditions", [("FUNCIONAMIENTO", "c", D(1)), ("OBRAS", "c", D(2)), (None, "c", D(3))],
                  ["origen", "cta_cte", "importe_bruto"])
     r = withholdings.renditions_for_withholdings(rend)
