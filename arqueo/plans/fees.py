@@ -19,6 +19,7 @@ OPENING_VOUCHER_TYPE = "APE"
 BANK_DEBITS_LINE = "355"
 BANK_DEBITS_CODE = "031"
 CONTRIBUTION_CODE = "337"
+NOTARY_BANK_SKIP_CODES = ["004", "034", "213", "102"]
 
 
 def fees_with_account(fees: DataFrame, vouchers: DataFrame, skip_words: Sequence[str] = ("SIIF",)) -> DataFrame:
@@ -97,22 +98,51 @@ def fees_vs_renditions(fees_sum: DataFrame, renditions_sum: DataFrame, keys: Seq
 
 
 def notary_ledger(ledger: DataFrame) -> DataFrame:
-    """D-SRC11: notary account of the ledger without opening entries; unpaid = credits - debits."""
+    """D-SRC11: notary account of the ledger without opening entries: credits
+    are loads, debits payments, unpaid = loads - payments."""
     d = ledger.filter(F.col("cta_contable") == NOTARY_LEDGER_ACCOUNT)
     d = d.filter(not_in_keep_null("tipo_comprobante", [OPENING_VOUCHER_TYPE]))
-    return d.withColumn("no_pagado", F.col("creditos") - F.col("debitos")).withColumnRenamed("auxiliar_1", "cuit")
+    d = d.withColumnsRenamed({"auxiliar_1": "cuit", "creditos": "carga_fei", "debitos": "pagos_fei"})
+    return d.withColumn("fei_impagos", F.col("carga_fei") - F.col("pagos_fei"))
 
 
-def notary_bank(bank: DataFrame, skip_codes: Sequence[str] = ("004", "034", "005", "013")) -> DataFrame:
-    """D-CE1: notary bank account without four codes, sign flipped."""
-    b = bank.filter(F.col("cta_cte") == K.NOTARY_ACCOUNT)
-    return op.negate(op.codes(b, "cod_imputacion", exclude=list(skip_codes)), "importe")
+def notary_ledger_summary(ledger_rows: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cuit")) -> DataFrame:
+    """D-CE1: notary ledger summed by free keys."""
+    return op.group_sum(ledger_rows, keys, ["carga_fei", "pagos_fei", "fei_impagos"])
 
 
-def notary_vs(a_sum: DataFrame, b_sum: DataFrame, keys: Sequence[str], a_col: str, b_col: str,
-              diff: str = "dif_pagos", only_diff: bool = False) -> DataFrame:
-    """D-CE2 / D-CE3: side by side on the union of keys with the difference."""
-    out = op.reconcile(a_sum, b_sum, list(keys), {a_col: a_col}, {b_col: b_col}, diff=diff)
+def notary_renditions_summary(renditions: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cuit",
+                                                                            "beneficiario")) -> DataFrame:
+    """D-CE1: renditions of the notary account, net paid by free keys."""
+    r = renditions.filter(F.col("cta_cte") == K.NOTARY_ACCOUNT)
+    return op.group_sum(r, keys, ["importe_neto"])
+
+
+def notary_bank_summary(bank: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cod_imputacion", "imputacion"),
+                        skip_codes: Sequence[str] = NOTARY_BANK_SKIP_CODES) -> DataFrame:
+    """D-CE1: notary bank account without four codes, summed, sign flipped."""
+    b = op.codes(bank.filter(F.col("cta_cte") == K.NOTARY_ACCOUNT), "cod_imputacion", exclude=list(skip_codes))
+    return op.group_sum(b, keys, {"importe_neto": -F.col("importe")})
+
+
+def notary_renditions_vs_bank(renditions_sum: DataFrame, bank_sum: DataFrame, keys: Sequence[str],
+                              only_diff: bool = False) -> DataFrame:
+    """D-CE2: renditions minus bank on the union of keys, in the renditions' columns."""
+    out = op.subtract(renditions_sum, bank_sum, list(keys), how="union")
+    out = out.select(*[c for c in renditions_sum.columns if c in out.columns])
+    return op.only_diff(out) if only_diff else out
+
+
+def notary_ledger_vs_renditions(ledger_sum: DataFrame, renditions_sum: DataFrame, keys: Sequence[str],
+                                only_diff: bool = False) -> DataFrame:
+    """D-CE3: ledger and renditions side by side on the union of keys (gaps 0),
+    ``dif_pagos`` = ledger payments - renditions paid."""
+    keys = list(keys)
+    a = ledger_sum.select(*keys, "carga_fei", "pagos_fei", "fei_impagos")
+    b = renditions_sum.select(*keys, F.col("importe_neto").alias("pagos_sgf"))
+    out = op.reconcile(a, b, keys, {"carga_fei": "carga_fei", "pagos_fei": "pagos_fei",
+                                    "fei_impagos": "fei_impagos"}, {"pagos_sgf": "pagos_sgf"}, diff="dif_pagos",
+                       diff_expr=F.col("pagos_fei") - F.col("pagos_sgf"), aggregate=False)
     return op.only_diff(out) if only_diff else out
 
 

@@ -202,8 +202,8 @@ def test_fees_and_debits(spark):
     dc = fees.debits_control(vo, _bank(spark), ["ejercicio", "mes", "cta_cte"]).collect()
     got = dict(((r.mes, r.cta_cte), r.diferencia) for r in dc)
     assert got[("01/2024", "130832-05")] == D(100) and got[("02/2024", "130832-05")] == D(-2)
-    nb = fees.notary_bank(_bank(spark))
-    assert rows(nb, "importe") == [(D(11),)]
+    nb = fees.notary_bank_summary(_bank(spark), ["ejercicio", "mes", "cod_imputacion"])
+    assert rows(nb, "cod_imputacion", "importe_neto") == [("040", D(11))]
 
 
 def test_debt_vs_accounting(spark):

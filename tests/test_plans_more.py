@@ -106,16 +106,24 @@ def test_fee_vouchers_notary_contribution(spark):
                 ["ejercicio", "mes", "cta_contable", "tipo_comprobante", "nro_entrada", "auxiliar_1", "debitos",
                  "creditos", "saldo"])
     nl = fees.notary_ledger(led)
-    assert rows(nl, "cuit", "no_pagado") == [("20-9", D(8))]
+    assert rows(nl, "cuit", "carga_fei", "pagos_fei", "fei_impagos") == [("20-9", D(10), D(2), D(8))]
+    ls = fees.notary_ledger_summary(nl)
+    rend = frame(spark, "renditions", [("2024", "01/2024", "20-9", "N", "130832-08", D(1)),
+                                       ("2024", "02/2024", "20-9", "N", "130832-08", D(4))],
+                 ["ejercicio", "mes", "cuit", "beneficiario", "cta_cte", "importe_neto"])
+    rs = fees.notary_renditions_summary(rend, ["ejercicio", "mes", "cuit"])
+    v3 = {r.mes: r for r in fees.notary_ledger_vs_renditions(ls, rs, ["ejercicio", "mes", "cuit"]).collect()}
+    assert v3["01/2024"].dif_pagos == D(1) and v3["02/2024"].carga_fei == D(0) and v3["02/2024"].dif_pagos == D(-4)
+    bs = fees.notary_bank_summary(_bank(spark), ["ejercicio", "mes"])
+    v2 = {r.mes: r.importe_neto for r in fees.notary_renditions_vs_bank(
+        fees.notary_renditions_summary(rend, ["ejercicio", "mes"]), bs, ["ejercicio", "mes"]).collect()}
+    assert v2 == {"01/2024": D(1), "02/2024": D(4) - D(11)}
     cw = fees.contribution_withholdings(led)
     assert rows(cw, "retencion_337") == [(D(7),)]
     rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "c", D(7), True, True)],
                 ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_verificado"])
     cr = fees.contribution_revenue(rev, ["ejercicio", "mes"])
     assert fees.contribution_control(cr, cw, ["ejercicio", "mes"], only_diff=True).count() == 1  # parity: row total
-    a = spark.createDataFrame([("2024", "20-9", D(8))], "ejercicio string, cuit string, no_pagado decimal(18,2)")
-    b = spark.createDataFrame([("2024", "20-9", D(8))], "ejercicio string, cuit string, pagado decimal(18,2)")
-    assert fees.notary_vs(a, b, ["ejercicio", "cuit"], "no_pagado", "pagado").first().dif_pagos == D(0)
 
 
 def test_fees_vs_renditions_null_one_sided(spark):
