@@ -157,10 +157,21 @@ def bank_debits(bank: DataFrame, code: str = BANK_DEBITS_CODE) -> DataFrame:
 
 
 def debits_control(vouchers: DataFrame, bank: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cta_cte"),
-                   only_diff: bool = False) -> DataFrame:
-    """D-DB1: ledger bank-debit vouchers vs bank debits by free keys."""
-    r = op.reconcile(bank_debit_vouchers(vouchers), bank_debits(bank), list(keys), {"ejecutado_siif": "importe"},
-                     {"debitado_sscc": "importe"})
+                   only_diff: bool = False, count_flags: bool = True) -> DataFrame:
+    """D-DB1: ledger bank-debit vouchers (line 355) vs bank debits (code 031)
+    by free keys, on the union of keys, ``diferencia`` = ledger - bank.
+
+    The ledger side sums every numeric column; as in the original, boolean
+    flags are summed too (counts of True) unless ``count_flags=False``.
+    """
+    keys = list(keys)
+    a = op.sum_numeric(bank_debit_vouchers(vouchers), keys, bools=count_flags) \
+        .withColumnRenamed("importe", "ejecutado_siif")
+    b = op.group_sum(bank.filter(F.col("cod_imputacion") == BANK_DEBITS_CODE), keys,
+                     {"debitos_sscc": -F.col("importe")})
+    meas = [c for c in a.columns if c not in keys]
+    r = op.reconcile(a, b, keys, {c: c for c in meas}, {"debitos_sscc": "debitos_sscc"}, diff="diferencia",
+                     diff_expr=F.col("ejecutado_siif") - F.col("debitos_sscc"), aggregate=False)
     return op.only_diff(r) if only_diff else r
 
 
