@@ -19,6 +19,7 @@ OPENING_VOUCHER_TYPE = "APE"
 BANK_DEBITS_LINE = "355"
 BANK_DEBITS_CODE = "031"
 CONTRIBUTION_CODE = "337"
+CONTRIBUTION_ACCOUNT = "2122-1-2"
 NOTARY_BANK_SKIP_CODES = ["004", "034", "213", "102"]
 
 
@@ -176,28 +177,40 @@ def debits_control(vouchers: DataFrame, bank: DataFrame, keys: Sequence[str] = (
 
 
 def contribution_revenue(revenue: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cta_cte")) -> DataFrame:
-    """D-AE1: 3 % revenue: own funds, verified, summed by free keys."""
+    """D-AE1: the 3 % revenue (own funds, verified), summed by free keys."""
     r = revenue.filter((F.col("es_invico") == F.lit(True)) & (F.col("es_verificado") == F.lit(True)))
-    return op.group_sum(r, keys, {"recurso_siif": "importe"})
+    return op.group_sum(r, keys, {"recurso_3%": "importe"})
 
 
 def contribution_withholdings(ledger: DataFrame, account_map: DataFrame | None = None,
                               keys: Sequence[str] = ("ejercicio", "mes")) -> DataFrame:
-    """D-AE2: ledger rows of withholding code 337 joined to their bank row by
-    year + entry, account mapped, summed by free keys."""
-    r = ledger.filter(F.col("auxiliar_1") == CONTRIBUTION_CODE)
-    bank = ledger.filter(F.col("cta_contable") == "1112-2-6").select(
+    """D-AE2: ledger withholdings of code 337 (account 2122-1-2, no opening
+    entries) with the bank account of their entry (year + entry), mapped,
+    summed by free keys: payments (debits) and charges (credits).
+
+    The bank side is one account per entry, so an entry booked on several
+    bank lines cannot repeat the withholding.
+    """
+    def no_opening(d):
+        return d.filter(not_in_keep_null("tipo_comprobante", [OPENING_VOUCHER_TYPE]))
+
+    bank = no_opening(ledger.filter(F.col("cta_contable") == "1112-2-6")).select(
         "ejercicio", "nro_entrada", F.col("auxiliar_1").alias("cta_cte"))
     bank = op.dedupe(bank, ["ejercicio", "nro_entrada"], ["cta_cte"], "first")
+    r = no_opening(ledger.filter(F.col("cta_contable") == CONTRIBUTION_ACCOUNT))
+    r = r.filter(F.col("auxiliar_1") == CONTRIBUTION_CODE).select(
+        "ejercicio", "mes", "fecha", "nro_entrada", "tipo_comprobante", F.col("debitos").alias("pagos_337_siif"),
+        F.col("creditos").alias("gastos_337_siif"))
     d = r.join(bank, on=["ejercicio", "nro_entrada"], how="left")
     if account_map is not None:
         d = op.lookup(d, account_map, "cta_cte", "siif_contabilidad_cta_cte", "map_to")
-    return op.group_sum(d, keys, {"retencion_337": "debitos"})
+    return op.group_sum(d, keys, ["pagos_337_siif", "gastos_337_siif"])
 
 
 def contribution_control(revenue_sum: DataFrame, withholding_sum: DataFrame, keys: Sequence[str],
                          only_diff: bool = False) -> DataFrame:
-    """D-AE3: revenue vs code-337 payments side by side on the union of keys."""
-    out = op.reconcile(revenue_sum, withholding_sum, list(keys), {"recurso_siif": "recurso_siif"},
-                       {"retencion_337": "retencion_337"}, diff=None)
+    """D-AE3: 3 % revenue vs code-337 payments side by side on the union of
+    keys (gaps 0), no difference column."""
+    out = op.reconcile(revenue_sum, withholding_sum, list(keys), {"recurso_3%": "recurso_3%"},
+                       {"pagos_337_siif": "pagos_337_siif"}, diff=None, aggregate=False)
     return op.only_diff(out) if only_diff else out

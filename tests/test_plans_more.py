@@ -101,7 +101,7 @@ def test_fee_vouchers_notary_contribution(spark):
     assert fees.fee_vouchers(vo, "30-1").count() == 1
     led = frame(spark, "ledger", [("2024", "01/2024", "2113-2-9", "CAO", "E1", "20-9", D(2), D(10), None),
                                   ("2024", "01/2024", "2113-2-9", "APE", "E2", "20-9", D(0), D(50), None),
-                                  ("2024", "01/2024", "4112", "CAP", "E3", "337", D(7), D(0), None),
+                                  ("2024", "01/2024", "2122-1-2", "CAP", "E3", "337", D(7), D(0), None),
                                   ("2024", "01/2024", "1112-2-6", "CAP", "E3", "130832-03", D(0), D(7), None)],
                 ["ejercicio", "mes", "cta_contable", "tipo_comprobante", "nro_entrada", "auxiliar_1", "debitos",
                  "creditos", "saldo"])
@@ -119,7 +119,7 @@ def test_fee_vouchers_notary_contribution(spark):
         fees.notary_renditions_summary(rend, ["ejercicio", "mes"]), bs, ["ejercicio", "mes"]).collect()}
     assert v2 == {"01/2024": D(1), "02/2024": D(4) - D(11)}
     cw = fees.contribution_withholdings(led)
-    assert rows(cw, "retencion_337") == [(D(7),)]
+    assert rows(cw, "pagos_337_siif", "gastos_337_siif") == [(D(7), D(0))]
     rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "c", D(7), True, True)],
                 ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_verificado"])
     cr = fees.contribution_revenue(rev, ["ejercicio", "mes"])
