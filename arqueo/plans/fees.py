@@ -12,7 +12,7 @@ from ..functions import codes as K
 from ..functions.nulls import not_in_keep_null
 
 # FIXED VALUES: withholding columns folded into "otras" by the fee summaries.
-FEE_OTHER_COLS = ["seguro", "otras_retenciones", "anticipo", "descuento", "embargo", "mutual"]
+FEE_OTHER_COLS = ["otras_retenciones", "anticipo", "descuento", "embargo", "mutual"]
 RENDITION_OTHER_COLS = ["gcias", "suss", "invico", "salud", "mutual"]
 NOTARY_LEDGER_ACCOUNT = "2113-2-9"
 OPENING_VOUCHER_TYPE = "APE"
@@ -25,24 +25,30 @@ NOTARY_BANK_SKIP_CODES = ["004", "034", "213", "102"]
 
 def fees_with_account(fees: DataFrame, vouchers: DataFrame, skip_words: Sequence[str] = ("SIIF",)) -> DataFrame:
     """D-SRC14: professional fees without vouchers containing 'SIIF', with the
-    ledger account of their voucher, amounts filled with 0."""
+    ledger account of their voucher (one per year and voucher), numbers filled
+    with 0, the payee as ``beneficiario``."""
     f = op.matches(fees, "nro_comprobante", list(skip_words), keep=False)
     acct = op.dedupe(vouchers.select("ejercicio", "nro_comprobante", "cta_cte"), ["ejercicio", "nro_comprobante"],
                      ["cta_cte"], "first")
-    return op.fill0(f.join(acct, on=["ejercicio", "nro_comprobante"], how="left"))
+    out = op.fill0(f.join(acct, on=["ejercicio", "nro_comprobante"], how="left"))
+    out = out.withColumnRenamed("razon_social", "beneficiario")
+    return out.drop("id") if "id" in out.columns else out
 
 
 def fees_summary(fees: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "nro_comprobante", "cta_cte"),
                  only_gross: bool = False) -> DataFrame:
-    """D-CH1: fees by free keys: 'otras' folds six columns, stamps include 'lp',
-    net = gross - withholdings."""
+    """D-CH1: fees by free keys: 'otras' folds five columns, stamps include
+    'lp', withholdings = iibb + stamps + insurance + otras, net = gross -
+    withholdings."""
+    keys = list(keys)
     d = fees.withColumn("otras", op.filters.row_total_expr([c for c in FEE_OTHER_COLS if c in fees.columns]))
     d = d.withColumn("sellos", F.coalesce(F.col("sellos"), F.lit(0)) + F.coalesce(F.col("lp"), F.lit(0)))
-    meas = ["importe_bruto", "iibb", "sellos", "otras"]
-    g = op.group_sum(d, keys, meas)
-    g = g.withColumn("retenciones", op.filters.row_total_expr(["iibb", "sellos", "otras"]))
-    g = g.withColumn("importe_neto", F.col("importe_bruto") - F.col("retenciones"))
-    return g.select(*keys, "importe_bruto") if only_gross else g
+    d = d.withColumn("retenciones", op.filters.row_total_expr(["iibb", "sellos", "seguro", "otras"]))
+    d = d.withColumn("importe_neto", F.col("importe_bruto") - F.col("retenciones"))
+    if only_gross:
+        return op.group_sum(d, keys, ["importe_bruto"])
+    return op.group_sum(d, keys, ["importe_bruto", "iibb", "sellos", "seguro", "otras", "retenciones",
+                                  "importe_neto"])
 
 
 def fee_vouchers(vouchers: DataFrame, own_cuit: str, accounts: Sequence[str] = ("130832-05", "130832-07"),
@@ -72,29 +78,42 @@ def fee_renditions_summary(renditions: DataFrame, keys: Sequence[str] = ("ejerci
     return op.sum_numeric(d, keys)
 
 
+def _one_per_voucher(df: DataFrame, amount: str, prefix: str) -> DataFrame:
+    first = F.struct(F.col("mes").isNull().alias("n0"), F.col("mes").alias("mes"),
+                     F.col("cta_cte").isNull().alias("n1"), F.col("cta_cte").alias("cta_cte"))
+    g = df.groupBy("ejercicio", "nro_comprobante").agg(F.sum(amount).alias("_imp"), F.min(first).alias("_a"))
+    return g.select(F.col("ejercicio").alias(f"{prefix}ejercicio"), F.col("nro_comprobante").alias(f"{prefix}nro"),
+                    F.col("_imp").alias(f"{prefix}importe"), F.col("_a.mes").alias(f"{prefix}mes"),
+                    F.col("_a.cta_cte").alias(f"{prefix}cta_cte"))
+
+
 def ledger_vs_fees(ledger: DataFrame, fees: DataFrame, tol: float = 1e-8) -> DataFrame:
-    """D-CH3: ledger vouchers vs fees by (year, voucher), full outer; flags
-    for account, month and amount (amounts filled 0; equal within tol); only
-    mismatches, sorted by year and voucher."""
-    keys = ["ejercicio", "nro_comprobante"]
-    a = op.group_sum(ledger, keys + ["mes", "cta_cte"], {"siif_importe": "importe"})
-    a = a.select(F.col("ejercicio").alias("siif_ejercicio"), F.col("nro_comprobante").alias("siif_nro"),
-                 F.col("mes").alias("siif_mes"), F.col("cta_cte").alias("siif_cta_cte"), "siif_importe")
-    b = op.group_sum(fees, keys + ["mes", "cta_cte"], {"slave_importe": "importe_bruto"})
-    b = b.select(F.col("ejercicio").alias("slave_ejercicio"), F.col("nro_comprobante").alias("slave_nro"),
-                 F.col("mes").alias("slave_mes"), F.col("cta_cte").alias("slave_cta_cte"), "slave_importe")
+    """D-CH3: ledger fee vouchers vs the fee system by (year, voucher), full
+    outer; flags for voucher, amount (not within ``tol``), month and account,
+    missing values compared as 0; only mismatches, most severe first.
+
+    Each side is one row per (year, voucher) (amounts summed, month and
+    account of the first row), so the full join never pairs lines.
+    """
+    a = _one_per_voucher(ledger, "importe", "siif_")
+    b = _one_per_voucher(fees, "importe_bruto", "slave_")
     m = op.match_vouchers(a, b, [("siif_ejercicio", "slave_ejercicio"), ("siif_nro", "slave_nro")],
                           coalesce={"ejercicio": ("siif_ejercicio", "slave_ejercicio")})
     m = op.fill0(m, ["siif_importe", "slave_importe"])
-    m = op.flag_mismatch(m, {"err_mes": ("siif_mes", "slave_mes"), "err_cta_cte": ("siif_cta_cte", "slave_cta_cte"),
-                             "err_importe": ("siif_importe", "slave_importe", tol)}, null_policy="equal")
-    return m
+    m = op.flag_mismatch(m, {"err_nro": ("siif_nro", "slave_nro"),
+                             "err_importe": ("siif_importe", "slave_importe", tol),
+                             "err_mes": ("siif_mes", "slave_mes"), "err_cta_cte": ("siif_cta_cte", "slave_cta_cte")},
+                         null_policy="equal")
+    cols = ["ejercicio", "siif_nro", "slave_nro", "err_nro", "siif_importe", "slave_importe", "err_importe",
+            "siif_mes", "slave_mes", "err_mes", "siif_cta_cte", "slave_cta_cte", "err_cta_cte"]
+    return op.sort_out(m.select(*cols), ["err_nro", "err_importe", "err_cta_cte", "err_mes"], False)
 
 
 def fees_vs_renditions(fees_sum: DataFrame, renditions_sum: DataFrame, keys: Sequence[str],
                        only_diff: bool = False) -> DataFrame:
     """D-CH4: union-aligned subtraction (no fill of one-sided columns: NULL)."""
     out = op.subtract(fees_sum, renditions_sum, list(keys), how="union", left_only="null")
+    out = out.select(*[c for c in fees_sum.columns if c in out.columns])  # the fee system's columns
     return op.only_diff(out, tol=1e-8) if only_diff else out
 
 

@@ -196,7 +196,8 @@ def test_fees_and_debits(spark):
     fwa = fees.fees_with_account(fe, vo)
     assert fwa.count() == 1 and fwa.first().cta_cte == "130832-05"
     fsum = fees.fees_summary(fwa).first()
-    assert fsum.sellos == D(2) and fsum.otras == D(2) and fsum.importe_neto == D(93)
+    # stamps 1 + lp 1; insurance 2 stays its own column; withholdings 3 + 2 + 2 + 0
+    assert fsum.sellos == D(2) and fsum.seguro == D(2) and fsum.otras == D(0) and fsum.importe_neto == D(93)
     chk = fees.ledger_vs_fees(vo, fwa)
     assert chk.count() == 0
     dc = fees.debits_control(vo, _bank(spark), ["ejercicio", "mes", "cta_cte"]).collect()
