@@ -83,11 +83,16 @@ def verified_revenue(revenue: DataFrame) -> DataFrame:
     return r.withColumn("grupo", fund_group("cta_cte"))
 
 
+def _third_party_revenue(revenue: DataFrame) -> DataFrame:
+    """Revenue that is neither own funds nor carried over (flags must be False)."""
+    return revenue.filter((F.col("es_invico") == F.lit(False)) & (F.col("es_remanente") == F.lit(False)))
+
+
 def revenue_vs_deposits(revenue: DataFrame, deposits: DataFrame, keys: Sequence[str] = KEYS3) -> DataFrame:
-    """D-CR1: verified revenue without own and carried-over funds vs revenue deposits."""
-    r = revenue.filter(~F.coalesce(F.col("es_invico"), F.lit(False)) & ~F.coalesce(F.col("es_remanente"),
-                                                                                  F.lit(False)))
-    return op.reconcile(r, deposits, keys, {"recursos_siif": "importe"}, {"depositos_banco": "importe"})
+    """D-CR1: verified revenue without own and carried-over funds vs revenue
+    deposits, on the union of keys, ``diferencia`` = revenue - deposits."""
+    return op.reconcile(_third_party_revenue(revenue), deposits, keys, {"recursos_siif": "importe"},
+                        {"depositos_sscc": "importe"})
 
 
 VOUCHER_ATTRS = ("tipo", "fuente", "mes", "cta_cte", "cuit", "partida")
@@ -134,7 +139,7 @@ def revenue_vs_deposits_by_group(revenue: DataFrame, deposits: DataFrame,
                                  keys: Sequence[str] = ("ejercicio", "mes", "cta_cte", "grupo")) -> DataFrame:
     """D-CR2: revenue vs deposits with the fund group; natural full outer on the
     keys, gaps left NULL, no difference column."""
-    a = op.group_sum(revenue, keys, {"recursos_siif": "importe"})
+    a = op.group_sum(_third_party_revenue(revenue), keys, {"recursos_siif": "importe"})
     b = op.group_sum(deposits, keys, {"depositos_banco": "importe"})
     return op.concat_columns({"siif": a, "banco": b}, list(keys))
 
@@ -156,11 +161,13 @@ def ledger_works_vouchers(vouchers: DataFrame, lines: Sequence[str] = ("421", "4
 
 def yearly_execution(budget: DataFrame, loads: DataFrame, keys: Sequence[str] = ("ejercicio", "estructura", "fuente"),
                      tol: float = 0.1, descriptions: DataFrame | None = None) -> DataFrame:
-    """D-IV1: budget executed (ordered) vs works loads by year, structure, fund;
-    full outer, |difference| > tol, with descriptions."""
-    ld = loads.withColumn("estructura", F.concat_ws("-", "actividad", "partida")) \
-        if "estructura" not in loads.columns else loads
-    r = op.reconcile(budget, ld, list(keys), {"ejecutado_siif": "ordenado"}, {"ejecutado_icaro": "importe"})
+    """D-IV1: budget executed (ordered, D-SRC8 lines) vs works loads without
+    advances, by year, structure (activity-line) and fund; full outer,
+    |difference| > tol, with descriptions."""
+    ld = loads.filter(not_in_keep_null("tipo", [K.WORKS_ADVANCE_TYPE])) if "tipo" in loads.columns else loads
+    if "estructura" not in ld.columns:
+        ld = ld.withColumn("estructura", F.concat(F.col("actividad"), F.lit("-"), F.col("partida")))
+    r = op.reconcile(budget, ld, list(keys), {"ejecucion_siif": "ordenado"}, {"ejecucion_icaro": "importe"})
     r = op.beyond(r, "diferencia", tol)
     if descriptions is not None:
         r = op.enrich(r, descriptions, "estructura")

@@ -397,7 +397,8 @@ SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) A
        CAST(recursos_siif AS DOUBLE) AS recursos_siif, CAST(depositos_banco AS DOUBLE) AS depositos_banco
 FROM a FULL JOIN b ON a.ejercicio = b.ejercicio AND a.mes = b.mes AND a.cta_cte = b.cta_cte AND a.grupo = b.grupo""")
 def d_cr2(spark, d):
-    rev = V(spark, d, "loads").withColumn("grupo", controls.fund_group("cta_cte"))
+    rev = V(spark, d, "loads").withColumns({"grupo": controls.fund_group("cta_cte"), "es_invico": F.lit(False),
+                                            "es_remanente": F.lit(False)})
     dep = controls.revenue_deposits(V(spark, d, "bank"))
     return fin(controls.revenue_vs_deposits_by_group(rev, dep))
 

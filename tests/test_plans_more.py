@@ -257,3 +257,17 @@ def test_fee_summaries(spark):
     assert r.otras == D(21) and "gcias" not in r.asDict()
     assert fees.fee_renditions_summary(rd, only_gross=True).columns == ["ejercicio", "mes", "cuit", "beneficiario",
                                                                         "importe_bruto"]
+
+
+def test_revenue_controls_flag_rules(spark):
+    rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "10270", D(10), False, False, True),
+                                            ("2024", "01/2024", "10270", D(5), None, False, True),
+                                            ("2024", "01/2024", "10270", D(7), True, False, True)],
+                ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_remanente", "es_verificado"])
+    dep = controls.revenue_deposits(_bank(spark))
+    r = {(x.mes, x.cta_cte): x for x in controls.revenue_vs_deposits(rev, dep).collect()}
+    assert r[("01/2024", "10270")].recursos_siif == D(10)  # NULL or True flags are not third-party revenue
+    assert r[("02/2024", "10270")].depositos_sscc == D(50) and r[("02/2024", "10270")].diferencia == D(-50)
+    g = controls.revenue_vs_deposits_by_group(rev.withColumn("grupo", controls.fund_group("cta_cte")), dep)
+    assert rows(g, "mes", "grupo", "recursos_siif", "depositos_banco") == [("01/2024", "FONAVI", D(10), None),
+                                                                           ("02/2024", "FONAVI", None, D(50))]
