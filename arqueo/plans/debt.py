@@ -52,43 +52,95 @@ def liabilities(ledger: DataFrame, year: str | None = None, with_adjustments: bo
     return op.codes(d, "tipo_comprobante", include=types).withColumnRenamed("saldo", "saldo_contable")
 
 
-def ledger_of_debt(debt: DataFrame, ledger: DataFrame, years: Sequence[str]) -> DataFrame:
-    """D-NET7 / D-NET8 step: for every year, the ledger rows whose original
-    number is one of that year's unpaid vouchers, plus the adjustments.
-
-    The per-year loop is one semi-join on (year, original number): the debt
-    side carries its year, so all years run in one plan.
-    """
-    d = op.years(debt, list(years)).select(F.col("ejercicio").alias("ejercicio_contable"),
-                                           voucher_int_text("nro_comprobante").alias("nro_original")).distinct()
-    l = ledger.withColumnRenamed("ejercicio", "ejercicio_contable")
-    hit = l.join(d, on=["ejercicio_contable", "nro_original"], how="left_semi")
-    aju = l.filter(F.col("tipo_comprobante") == ADJUSTMENT_TYPE)
-    return op.union_all(hit, aju)
-
-
-def debt_with_accounting(debt: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    """D-NET7: ledger rows matched to the latest debt on year + original number."""
-    d = debt.withColumn("nro_original", voucher_int_text("nro_comprobante")) \
-        .withColumnRenamed("ejercicio", "ejercicio_contable").withColumnRenamed("saldo", "saldo_rdeu")
-    d = op.dedupe(d, ["ejercicio_contable", "nro_original"], ["nro_comprobante"], "first")
-    return ledger_rows.join(d, on=["ejercicio_contable", "nro_original"], how="left")
-
-
-def adjustments_not_in_debt(ledger: DataFrame, year: str, tol: float = 0.1) -> DataFrame:
-    """D-NET8: adjustments that count as floating debt: known exceptions
-    dropped, groups of original number with |sum| > tol kept (semi-join on the
-    HAVING result), plus one voucher always kept; fund 11, sign flipped."""
-    aju = ledger.filter(F.col("tipo_comprobante") == ADJUSTMENT_TYPE)
+DEBT_COLS = ["ejercicio", "fuente", "cta_cte", "nro_original", "saldo_rdeu", "cuit", "glosa", "nro_expte"]
+KNOWN_BAD_DEBT_VOUCHERS = ["02749/11"]
+
+
+def latest_debt_by_year(snapshots: DataFrame, years: Sequence[str],
+                        drop_vouchers: Sequence[str] = ()) -> DataFrame:
+    """D-NET4 for several report years at once: for each year Y, the debt at
+    the latest snapshot month of Y (``ejercicio_contable`` = Y), origin number
+    as ``nro_original`` and balance as ``saldo_rdeu``."""
+    d = snapshots.withColumn("ejercicio_contable", F.substring("mes_hasta", -4, 4))
+    d = op.years(d, list(years), "ejercicio_contable")
+    d = op.latest_period(d, "mes_hasta", keys=["ejercicio_contable"])
+    if drop_vouchers:
+        d = d.filter(not_in_keep_null("nro_comprobante", list(drop_vouchers)))
+    return d.withColumnsRenamed({"nro_origen": "nro_original", "saldo": "saldo_rdeu"})
+
+
+def ledger_of_debt(debt_by_year: DataFrame, liab: DataFrame, years: Sequence[str],
+                   with_adjustments: bool) -> DataFrame:
+    """D-NET7 / D-NET8: for every report year Y, the liabilities of Y whose
+    original number is one of Y's own unpaid vouchers (number part of the
+    voucher), plus (optionally) the adjustments of Y.  One semi-join on
+    (year, number) replaces the per-year loop."""
+    l = op.years(liab, list(years))
+    own = debt_by_year.filter(F.col("ejercicio") == F.col("ejercicio_contable")).select(
+        F.col("ejercicio_contable").alias("ejercicio"), voucher_int_text("nro_comprobante").alias("nro_original"))
+    hit = l.join(own, on=["ejercicio", "nro_original"], how="left_semi")
+    if with_adjustments:
+        hit = op.union_all(hit, l.filter(F.col("tipo_comprobante") == ADJUSTMENT_TYPE))
+    return hit
+
+
+def _one_row_per_origin(debt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Debt lines of one origin number summed into one row (first attributes),
+    so the join with the ledger is one-to-many."""
+    attrs = [c for c in DEBT_COLS if c not in keys and c != "saldo_rdeu"]
+    first = F.struct(*[e for i, c in enumerate(attrs) for e in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(c))])
+    g = debt.groupBy(*keys).agg(F.sum("saldo_rdeu").alias("saldo_rdeu"), F.min(first).alias("_a"))
+    return g.select(*keys, *[F.col("_a").getField(c).alias(c) for c in attrs], "saldo_rdeu")
+
+
+def debt_with_accounting_class(snapshots: DataFrame, ledger: DataFrame, years: Sequence[str]) -> DataFrame:
+    """D-NET7: ledger rows of every year's own unpaid vouchers, matched to the
+    debt of the last year on (year, original number)."""
+    years = sorted({str(y) for y in years}, key=int)
+    debt = latest_debt_by_year(snapshots, years)
+    filt = ledger_of_debt(debt, liabilities(ledger, with_adjustments=False), years, with_adjustments=False)
+    last = _one_row_per_origin(op.years(debt, years[-1], "ejercicio_contable"), ["ejercicio", "nro_original"])
+    return last.join(filt, on=["ejercicio", "nro_original"], how="left")
+
+
+def adjustments_not_in_debt(acc_ledger: DataFrame, tol: float = 0.1) -> DataFrame:
+    """D-NET8: adjustments that count as floating debt, per report year
+    (``ejercicio_contable``): known exceptions dropped, groups of original
+    number with |sum| > tol kept (semi-join on the HAVING result), plus one
+    voucher always kept; fund 11, sign flipped."""
+    aju = acc_ledger.filter(F.col("tipo_comprobante") == ADJUSTMENT_TYPE)
     aju = aju.withColumn("nro_comprobante", F.concat(F.col("nro_entrada"), F.lit("/"), F.substring("ejercicio", 3, 2)))
     aju = aju.filter(~F.coalesce(F.col("cta_contable").startswith(ADJUSTMENT_SKIP_PREFIX), F.lit(False)))
     aju = aju.filter(not_in_keep_null("cta_contable", [ADJUSTMENT_SKIP_ACCOUNT]))
     aju = aju.filter(not_in_keep_null("nro_comprobante", ADJUSTMENT_SKIP_VOUCHERS))
-    keep = aju.filter(F.col("nro_comprobante") == ADJUSTMENT_KEEP_VOUCHER)
-    kept = op.having_semi(aju, ["nro_original"], "saldo_contable", lambda s: F.abs(s) > F.lit(tol))
+    keep = aju.filter(F.col("nro_comprobante") == ADJUSTMENT_KEEP_VOUCHER).drop("nro_comprobante")
+    kept = op.having_semi(aju, ["ejercicio_contable", "nro_original"], "saldo_contable",
+                          lambda s: F.abs(s) > F.lit(tol))
     out = op.union_all(kept, keep)
-    return out.withColumns({"ejercicio_contable": F.lit(str(year)), "fuente": F.lit("11"),
-                            "saldo_rdeu": -F.col("saldo_contable")})
+    return out.withColumns({"fuente": F.lit("11"), "saldo_rdeu": -F.col("saldo_contable")})
+
+
+def debt_with_accounting(snapshots: DataFrame, ledger: DataFrame, years: Sequence[str]) -> dict[str, DataFrame]:
+    """D-NET8 (functional version): for every report year Y (ascending):
+
+    * ``rdeu012``: the debt at Y's latest month (a known bad voucher dropped);
+    * ``rcocc31``: Y's liabilities of Y's own unpaid vouchers plus Y's adjustments;
+    * ``rdeu_cta_contable``: Y's debt left-joined on (year, original number) to
+      the ledger rows filtered in every year up to Y (the original accumulated
+      them, so earlier adjustments repeat in later years), plus the
+      adjustments that count as debt.
+
+    The accumulation is the bounded year expansion (J-12) of the filtered
+    ledger, so all years run in one plan.
+    """
+    years = sorted({str(y) for y in years}, key=int)
+    debt = latest_debt_by_year(snapshots, years, KNOWN_BAD_DEBT_VOUCHERS)
+    filt = ledger_of_debt(debt, liabilities(ledger, with_adjustments=True), years, with_adjustments=True)
+    acc = op.as_of_years(filt, years, "ejercicio", out="ejercicio_contable")
+    deb = _one_row_per_origin(debt, ["ejercicio_contable", "ejercicio", "nro_original"])
+    joined = deb.join(acc, on=["ejercicio_contable", "ejercicio", "nro_original"], how="left")
+    aju = adjustments_not_in_debt(acc)
+    return {"rdeu012": debt, "rcocc31": filt, "rdeu_cta_contable": op.union_all(joined, aju)}
 
 
 def account_summary(matched: DataFrame, keys: Sequence[str] = ("ejercicio_contable", "cta_contable")) -> DataFrame:

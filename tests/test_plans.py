@@ -209,21 +209,34 @@ def test_fees_and_debits(spark):
 
 def test_debt_vs_accounting(spark):
     led = frame(spark, "ledger", [
-        ("2024", "2111-1-2", "CAP", "100", "2749", D(-5)),
-        ("2024", "2111-1-2", "AJU", "200", "77", D(-0.05)),
-        ("2024", "2241-1-1", "AJU", "201", "78", D(-9)),
-        ("2024", "2111-1-2", "AJU", "202", "79", D(-3)),
-        ("2024", "1112-2-6", "CAP", "100", "2749", D(5))],
+        ("2023", "2111-1-2", "CAP", "100", "2749", D(-5)),
+        ("2023", "2111-1-2", "AJU", "202", "79", D(-3)),
+        ("2023", "2111-1-2", "AJU", "200", "77", D(-0.05)),
+        ("2023", "2241-1-1", "AJU", "201", "78", D(-9)),
+        ("2024", "2111-1-2", "CAP", "300", "12", D(-6)),
+        ("2024", "1112-2-6", "CAP", "300", "12", D(6))],
         ["ejercicio", "cta_contable", "tipo_comprobante", "nro_entrada", "nro_original", "saldo"])
-    liab = debt.liabilities(led, "2024")
-    assert liab.count() == 4 and "saldo_contable" in liab.columns
-    rdeu = frame(spark, "floating_debt", [("2024", "02749/24", D(5))], ["ejercicio", "nro_comprobante", "saldo"])
-    lr = debt.ledger_of_debt(rdeu, liab, ["2024"])
-    assert rows(lr, "nro_original") == [("2749",), ("77",), ("78",), ("79",)]
-    matched = debt.debt_with_accounting(rdeu, lr)
-    assert matched.filter(F.col("nro_original") == "2749").first().saldo_rdeu == D(5)
-    aju = debt.adjustments_not_in_debt(liab, "2024")
-    assert rows(aju, "nro_original", "saldo_rdeu") == [("79", D(3))]
+    assert debt.liabilities(led, "2023").count() == 4
+    snaps = frame(spark, "floating_debt", [
+        ("2023", "02749/23", "2749", "11/2023", D(4)), ("2023", "02749/23", "2749", "12/2023", D(5)),
+        ("2024", "00012/24", "12", "12/2024", D(6)), ("2023", "02749/23", "2749", "12/2024", D(5))],
+        ["ejercicio", "nro_comprobante", "nro_origen", "mes_hasta", "saldo"])
+    out = debt.debt_with_accounting(snaps, led, ["2023", "2024"])
+    assert rows(out["rdeu012"], "ejercicio_contable", "nro_comprobante") == [
+        ("2023", "02749/23"), ("2024", "00012/24"), ("2024", "02749/23")]
+    # the 2023 filter keeps entry 100 (own voucher 2749) and the adjustments of 2023
+    assert rows(out["rcocc31"], "ejercicio", "nro_original") == [
+        ("2023", "2749"), ("2023", "77"), ("2023", "78"), ("2023", "79"), ("2024", "12")]
+    m = out["rdeu_cta_contable"]
+    got = rows(m.filter(F.col("nro_entrada").isNotNull()), "ejercicio_contable", "nro_original", "nro_entrada")
+    # 2024 sees the ledger accumulated since 2023: voucher 2749 (carried over) still matches entry 100
+    assert ("2024", "2749", "100") in got and ("2023", "2749", "100") in got and ("2024", "12", "300") in got
+    # adjustment 79 counts as debt in both report years (repeated, as the original); 77 is below 0.1; 78 skipped
+    aju = rows(m.filter(F.col("tipo_comprobante") == "AJU").filter(F.col("fuente") == "11"),
+               "ejercicio_contable", "nro_original", "saldo_rdeu")
+    assert aju == [("2023", "79", D(3)), ("2024", "79", D(3))]
+    cls = debt.debt_with_accounting_class(snaps, led, ["2023", "2024"])
+    assert rows(cls, "nro_original", "nro_entrada") == [("12", "300"), ("2749", "100")]
 
 
 def test_voucher_and_advance_controls(spark):
