@@ -224,24 +224,32 @@ def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFr
 
 
 def works_list(works: DataFrame) -> DataFrame:
-    """D-CO2: works list with the numeric code cut out of the name and
-    ``actividad-partida`` as imputation."""
-    from ..functions.scalars import strip_code_prefix
-    return works.withColumn("obra", strip_code_prefix("obra")) \
-        .withColumn("imputacion", F.concat_ws("-", "actividad", "partida"))
+    """D-CO2: works list with the name without its leading numeric code
+    (``obra_sin_cod``) and ``imputacion`` = activity-line, both in front."""
+    w = works.drop("id") if "id" in works.columns else works
+    w = w.withColumns({"obra_sin_cod": F.ltrim(F.regexp_replace("obra", r"^\d+-\d+", "")),
+                       "imputacion": F.concat(F.col("actividad"), F.lit("-"), F.col("partida"))})
+    return op.front(w, ["obra_sin_cod", "imputacion"])
 
 
 def works_crosswalk(works: DataFrame, register: DataFrame, name_len: int = 85) -> tuple[DataFrame, DataFrame]:
-    """D-CO3: works list <-> works register by name (cut to 85 characters and
-    trimmed), both directions.  For lines of programme 29 whose name starts
-    with 1-3 digits, those digits are the register code."""
-    from ..functions.scalars import is_numeric_prefix, strip_code_prefix
-    w = works.withColumn("obra_key", F.trim(F.substring(strip_code_prefix("obra"), 1, name_len)))
-    r = register.withColumn("obra_key", F.trim(F.substring(F.trim("obra"), 1, name_len)))
-    reg_keys = op.dedupe(r.select("obra_key", "cod_obra"), ["obra_key"], ["cod_obra"], "first")
-    w2 = w.join(reg_keys, on="obra_key", how="left")
-    prog29 = F.coalesce(F.col("actividad").startswith("29"), F.lit(False)) & is_numeric_prefix("obra")
-    w2 = op.overwrite(w2, prog29, "cod_obra", F.substring("obra", 1, 3))
-    imp = op.dedupe(w.select("obra_key", "actividad", "partida"), ["obra_key"], ["actividad", "partida"], "first")
-    r2 = r.join(imp, on="obra_key", how="left")
-    return w2.drop("obra_key"), r2.drop("obra_key")
+    """D-CO3: works list <-> works register by name, both directions.
+
+    Names are compared without the leading code, cut to 85 characters and
+    trimmed.  For ``29-`` imputations whose name starts with digits, the first
+    three characters are the register code.  Each side keeps one row per name
+    (the first), so a repeated name cannot multiply rows.
+    """
+    from ..functions.scalars import is_numeric_prefix
+    w = works.drop("id") if "id" in works.columns else works
+    w = w.withColumns({"obra": F.ltrim(F.regexp_replace("obra", r"^\d+-\d+", "")),
+                       "imputacion": F.concat(F.col("actividad"), F.lit("-"), F.col("partida"))})
+    w = w.withColumn("obra", F.trim(F.substring("obra", 1, name_len)))
+    r = register.withColumn("obra", F.trim(F.substring("obra", 1, name_len)))
+    reg_keys = op.dedupe(r.select("obra", "cod_obra"), ["obra"], ["cod_obra"], "first")
+    w2 = w.join(reg_keys, on="obra", how="left")
+    coded = F.coalesce(F.col("imputacion").startswith("29-"), F.lit(False)) & is_numeric_prefix("obra")
+    w2 = op.front(op.overwrite(w2, coded, "cod_obra", F.substring("obra", 1, 3)), ["cod_obra"])
+    imp = op.dedupe(w.select("obra", "imputacion"), ["obra"], ["imputacion"], "first")
+    r2 = op.front(r.join(imp, on="obra", how="left"), ["imputacion"])
+    return w2, r2

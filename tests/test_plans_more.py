@@ -54,15 +54,19 @@ def test_ledger_bank_book_and_summary(spark):
 
 def test_works_crosswalk_and_list(spark):
     w = frame(spark, "works_list", [("1", "29-01 ESCUELA NORTE", "29-01-01-01", "422"),
-                                    ("2", "123 VIVIENDAS SUR", "29-02-01-01", "421")],
+                                    ("2", "123 VIVIENDAS SUR", "29-02-01-01", "421"),
+                                    ("3", "12-3 POZO", "30-01-01-01", "421")],
               ["id", "obra", "actividad", "partida"])
     reg = frame(spark, "works_register", [("C9", "ESCUELA NORTE"), ("C1", "OTRA")], ["cod_obra", "obra"])
     lst = controls.works_list(w)
-    assert rows(lst, "obra", "imputacion")[0] == ("123 VIVIENDAS SUR", "29-02-01-01-421")
+    assert lst.columns[:2] == ["obra_sin_cod", "imputacion"] and "id" not in lst.columns
+    assert rows(lst, "obra_sin_cod", "imputacion") == [("123 VIVIENDAS SUR", "29-02-01-01-421"),
+                                                       ("ESCUELA NORTE", "29-01-01-01-422"),
+                                                       ("POZO", "30-01-01-01-421")]
     a, b = controls.works_crosswalk(w, reg)
-    got = dict((r.id, r.cod_obra) for r in a.collect())
-    assert got == {"1": "C9", "2": "123"}
-    assert dict((r.cod_obra, r.actividad) for r in b.collect())["C9"] == "29-01-01-01"
+    got = dict((r.obra, r.cod_obra) for r in a.collect())
+    assert got == {"ESCUELA NORTE": "C9", "123 VIVIENDAS SUR": "123", "POZO": None}
+    assert dict((r.cod_obra, r.imputacion) for r in b.collect()) == {"C9": "29-01-01-01-422", "C1": None}
 
 
 def test_yearly_execution_and_sources(spark):
