@@ -92,19 +92,46 @@ def works_execution_icaro_desc(budget: DataFrame, descriptions: DataFrame) -> Da
     return op.enrich(b, descriptions, "actividad")
 
 
-def loads_with_descriptions(loads: DataFrame, descriptions: DataFrame, suppliers: DataFrame,
-                            cash_basis: bool = False, key: str = "actividad") -> DataFrame:
-    """D-EO3: loads on accrual basis (no advances) or cash basis (no
-    regularisations), with descriptions and the first supplier name per tax id."""
-    skip = K.WORKS_REGULARISATION_TYPE if cash_basis else K.WORKS_ADVANCE_TYPE
-    d = loads.filter(not_in_keep_null("tipo", [skip]))
-    d = op.enrich(d, descriptions, key)
-    prov = op.dedupe(suppliers.select("cuit", "desc_prov"), ["cuit"], [], "first")
+def _with_descriptions(d: DataFrame, descriptions: DataFrame, siif_desc: bool) -> DataFrame:
+    if siif_desc:  # ledger descriptions are keyed by structure = activity-line
+        d = d.withColumn("estructura", F.concat(F.col("actividad"), F.lit("-"), F.col("partida")))
+        return op.enrich(d, descriptions, "estructura").drop("estructura")
+    return op.enrich(d, descriptions, "actividad")
+
+
+def _with_supplier(d: DataFrame, suppliers: DataFrame) -> DataFrame:
+    prov = op.dedupe(suppliers.select("cuit", F.col("desc_prov").alias("proveedor")), ["cuit"], [], "first")
     return op.enrich(d, prov, "cuit")
 
 
-def basic_module_loads(loads_desc: DataFrame, works: DataFrame, prefix: str = "29") -> DataFrame:
-    """D-EO4: loads of activities starting with 29 with works attributes."""
-    d = op.prefix_filter(loads_desc, "actividad", prefix=prefix)
+def _year_scope(d: DataFrame, up_to_year: str | None, years) -> DataFrame:
+    if years is not None:
+        return op.years(d, years)
+    return op.up_to(d, up_to_year) if up_to_year is not None else d
+
+
+def loads_with_descriptions(loads: DataFrame, descriptions: DataFrame, suppliers: DataFrame,
+                            cash_basis: bool = False, up_to_year: str | None = None, years=None,
+                            siif_desc: bool = True, lines: Sequence[str] = ("421", "422")) -> DataFrame:
+    """D-EO3: works loads on accrual basis (no advances) or cash basis (no
+    regularisations), up to a year (or a list of years), works lines only,
+    with budget descriptions and the first supplier name per tax id."""
+    skip = K.WORKS_REGULARISATION_TYPE if cash_basis else K.WORKS_ADVANCE_TYPE
+    d = _year_scope(loads.filter(not_in_keep_null("tipo", [skip])), up_to_year, years)
+    d = d.filter(F.col("partida").isin(list(lines)))
+    return _with_supplier(_with_descriptions(d, descriptions, siif_desc), suppliers)
+
+
+def basic_module_loads(loads: DataFrame, works: DataFrame, descriptions: DataFrame, suppliers: DataFrame,
+                       up_to_year: str | None = None, skip_regularisations: bool = False,
+                       skip_advances: bool = True, siif_desc: bool = True, prefix: str = "29") -> DataFrame:
+    """D-EO4: loads of activities starting with 29 up to a year, with the
+    works' town, legal norm and agreement (one row per work), descriptions and
+    supplier."""
+    skip = [t for t, on in ((K.WORKS_ADVANCE_TYPE, skip_advances),
+                            (K.WORKS_REGULARISATION_TYPE, skip_regularisations)) if on]
+    d = loads.filter(not_in_keep_null("tipo", skip)) if skip else loads
+    d = _year_scope(op.prefix_filter(d, "actividad", prefix=prefix), up_to_year, None)
     w = op.dedupe(works.select("obra", "localidad", "norma_legal", "info_adicional"), ["obra"], [], "first")
-    return op.enrich(d, w, "obra")
+    d = op.enrich(d, w, "obra")
+    return _with_supplier(_with_descriptions(d, descriptions, siif_desc), suppliers)

@@ -220,19 +220,36 @@ def test_receivables_more(spark):
 
 
 def test_loads_with_descriptions_and_basic_modules(spark):
-    ld = frame(spark, "works_loads", [("L1", "PA6", "29-01", "20-1", "O1"), ("L2", "REG", "29-01", "20-1", "O1"),
-                                      ("L3", "CYO", "30-01", "20-2", "O2")],
-               ["id", "tipo", "actividad", "cuit", "obra"])
-    desc = spark.createDataFrame([("29-01", "DESC")], "actividad string, desc_act string")
+    ld = frame(spark, "works_loads", [("L1", "2024", "PA6", "29-01", "422", "20-1", "O1"),
+                                      ("L2", "2024", "REG", "29-01", "422", "20-1", "O1"),
+                                      ("L3", "2024", "CYO", "30-01", "421", "20-2", "O2"),
+                                      ("L4", "2025", "CYO", "29-01", "422", "20-1", "O1"),
+                                      ("L5", "2024", "CYO", "29-01", "100", "20-1", "O1")],
+               ["id", "ejercicio", "tipo", "actividad", "partida", "cuit", "obra"])
+    desc = spark.createDataFrame([("29-01-422", "DESC")], "estructura string, desc_act string")
     prov = frame(spark, "suppliers", [("20-1", "ACME"), ("20-1", "ACME SA")], ["cuit", "desc_prov"])
-    acc = sources_clean.loads_with_descriptions(ld, desc, prov)
-    assert rows(acc, "id", "desc_prov") == [("L2", "ACME"), ("L3", None)]
-    cash = sources_clean.loads_with_descriptions(ld, desc, prov, cash_basis=True)
+    acc = sources_clean.loads_with_descriptions(ld, desc, prov, up_to_year="2024")
+    assert rows(acc, "id", "desc_act", "proveedor") == [("L2", "DESC", "ACME"), ("L3", None, None)]
+    cash = sources_clean.loads_with_descriptions(ld, desc, prov, cash_basis=True, years=["2024"])
     assert rows(cash, "id") == [("L1",), ("L3",)]
     wl = frame(spark, "works_list", [("O1", "CAPITAL", "R1", "CONV")], ["obra", "localidad", "norma_legal",
                                                                         "info_adicional"])
-    bm = sources_clean.basic_module_loads(acc, wl)
-    assert rows(bm, "id", "localidad") == [("L2", "CAPITAL")]
+    bm = sources_clean.basic_module_loads(ld, wl, desc, prov, up_to_year="2024")
+    assert rows(bm, "id", "localidad", "desc_act") == [("L2", "CAPITAL", "DESC"), ("L5", "CAPITAL", None)]
+
+
+def test_revenue_controls_flag_rules(spark):
+    rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "10270", D(10), False, False, True),
+                                            ("2024", "01/2024", "10270", D(5), None, False, True),
+                                            ("2024", "01/2024", "10270", D(7), True, False, True)],
+                ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_remanente", "es_verificado"])
+    dep = controls.revenue_deposits(_bank(spark))
+    r = {(x.mes, x.cta_cte): x for x in controls.revenue_vs_deposits(rev, dep).collect()}
+    assert r[("01/2024", "10270")].recursos_siif == D(10)  # NULL or True flags are not third-party revenue
+    assert r[("02/2024", "10270")].depositos_sscc == D(50) and r[("02/2024", "10270")].diferencia == D(-50)
+    g = controls.revenue_vs_deposits_by_group(rev.withColumn("grupo", controls.fund_group("cta_cte")), dep)
+    assert rows(g, "mes", "grupo", "recursos_siif", "depositos_banco") == [("01/2024", "FONAVI", D(10), None),
+                                                                           ("02/2024", "FONAVI", None, D(50))]
 
 
 def test_ledger_bank_gap_composite(spark):
@@ -261,17 +278,3 @@ def test_fee_summaries(spark):
     assert r.otras == D(21) and "gcias" not in r.asDict()
     assert fees.fee_renditions_summary(rd, only_gross=True).columns == ["ejercicio", "mes", "cuit", "beneficiario",
                                                                         "importe_bruto"]
-
-
-def test_revenue_controls_flag_rules(spark):
-    rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "10270", D(10), False, False, True),
-                                            ("2024", "01/2024", "10270", D(5), None, False, True),
-                                            ("2024", "01/2024", "10270", D(7), True, False, True)],
-                ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_remanente", "es_verificado"])
-    dep = controls.revenue_deposits(_bank(spark))
-    r = {(x.mes, x.cta_cte): x for x in controls.revenue_vs_deposits(rev, dep).collect()}
-    assert r[("01/2024", "10270")].recursos_siif == D(10)  # NULL or True flags are not third-party revenue
-    assert r[("02/2024", "10270")].depositos_sscc == D(50) and r[("02/2024", "10270")].diferencia == D(-50)
-    g = controls.revenue_vs_deposits_by_group(rev.withColumn("grupo", controls.fund_group("cta_cte")), dep)
-    assert rows(g, "mes", "grupo", "recursos_siif", "depositos_banco") == [("01/2024", "FONAVI", D(10), None),
-                                                                           ("02/2024", "FONAVI", None, D(50))]
