@@ -1,4 +1,4 @@
-"""Source cleaning done before the controls (D-SRC1, D-SRC2, D-SRC5, D-SRC13, D-EO1..D-EO4)."""
+"""Source cleaning and execution listings (D-SRC1, D-SRC2, D-SRC5, D-SRC13, D-EO1..D-EO4, D-EG1)."""
 
 from __future__ import annotations
 
@@ -77,19 +77,49 @@ def permanent_fund_vouchers(vouchers: DataFrame, account: str = K.FEES_ACCOUNT)
     return vouchers.filter(F.col("nro_fondo").isNotNull() & (F.col("cta_cte") == account))
 
 
-def works_execution(budget: DataFrame, descriptions: DataFrame, lines: Sequence[str] = ("421", "422"),
-                    year: str | None = None) -> DataFrame:
-    """D-EO1: works budget execution (lines 421/422) with ledger descriptions."""
-    b = op.years(budget, year) if year is not None else budget
-    b = b.filter(F.col("partida").isin(list(lines)))
-    return op.enrich(b, descriptions, "estructura")
+DESC_FRONT = ["ejercicio", "estructura", "partida", "fuente", "desc_prog", "desc_subprog", "desc_proy", "desc_act"]
+
 
+def _drop(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.drop(*[c for c in cols if c in df.columns])
 
-def works_execution_icaro_desc(budget: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """D-EO2: budget with works-system descriptions: ordered > 0, activity =
-    first 11 characters of the structure."""
-    b = budget.filter(F.col("ordenado") > 0).withColumn("actividad", F.substring("estructura", 1, 11))
-    return op.enrich(b, descriptions, "actividad")
+
+def works_execution(budget: DataFrame, descriptions: DataFrame, years=None, current_only: str | None = None,
+                    lines: Sequence[str] = ("421", "422")) -> DataFrame:
+    """D-EO1: works budget execution (lines 421/422) with ledger descriptions
+    by structure, descriptions first; ``current_only`` keeps one year and drops
+    the year column (the current-year report)."""
+    b = op.years(budget, years) if years is not None else budget
+    b = b.filter(F.col("partida").isin(list(lines)))
+    d = _drop(op.enrich(b, descriptions, "estructura"),
+              ["org", "pendiente", "programa", "subprograma", "proyecto", "actividad", "grupo"])
+    d = op.front(d, DESC_FRONT)
+    if current_only is not None:
+        d = op.years(d, current_only).drop("ejercicio")
+    return d
+
+
+def works_execution_icaro_desc(budget: DataFrame, descriptions: DataFrame, years=None,
+                               lines: Sequence[str] = ("421", "422")) -> DataFrame:
+    """D-EO2: works budget execution with works-system descriptions: lines
+    421/422 with ordered > 0, the structure cut to the activity (11 chars)."""
+    b = op.years(budget, years) if years is not None else budget
+    b = b.filter(F.col("partida").isin(list(lines)) & (F.col("ordenado") > 0))
+    b = _drop(b, ["org", "pendiente", "programa", "subprograma", "proyecto", "actividad", "grupo"])
+    b = b.withColumn("actividad", F.substring("estructura", 1, 11))
+    d = op.enrich(b, descriptions, "actividad").withColumn("estructura", F.col("actividad"))
+    d = _drop(d, ["ejercicio", "actividad", "desc_subprog"]).withColumnsRenamed(
+        {"desc_prog": "prog_con_desc", "desc_proy": "proy_con_desc", "desc_act": "act_con_desc"})
+    return op.front(d, ["estructura", "partida", "fuente", "prog_con_desc", "proy_con_desc", "act_con_desc"])
+
+
+def expense_execution(budget: DataFrame, descriptions: DataFrame, years=None) -> DataFrame:
+    """D-EG1: expense budget execution with ledger descriptions, descriptions first."""
+    b = op.years(budget, years) if years is not None else budget
+    d = _drop(op.enrich(b, descriptions, "estructura"), ["org", "pendiente", "subprograma", "proyecto",
+                                                         "actividad"])
+    d = d.withColumn("programa", F.col("programa").cast("int"))
+    return op.front(d, DESC_FRONT)
 
 
 def _with_descriptions(d: DataFrame, descriptions: DataFrame, siif_desc: bool) -> DataFrame:

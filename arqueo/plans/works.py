@@ -202,9 +202,3 @@ def budget_descriptions(structure_desc: DataFrame, up_to_year: str | None = None
     lbl = {"desc_prog": "programa", "desc_subprog": "subprograma", "desc_proy": "proyecto", "desc_act": "actividad"}
     return out.select("estructura", *[F.concat(F.col(code), F.lit(" - "), F.col(txt)).alias(txt)
                                       for txt, code in lbl.items()])
-
-
-def execution_with_descriptions(budget: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """D-EG1 / D-EO1: budget execution left-joined to its descriptions."""
-    return op.enrich(budget, descriptions, ["actividad"] if "estructura" not in descriptions.columns
-                     else ["estructura"])

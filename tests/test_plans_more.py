@@ -186,7 +186,14 @@ def test_worksheet_and_execution(spark):
     assert len(ws) == 1 and ws[0].estructura == "29-01-01-01" and ws[0].act_con_desc == "A"
     assert ws[0].saldo_remte == D(5) and ws[0].remte == D(0) and ws[0].f_y_f is None
     e2 = sources_clean.works_execution_icaro_desc(bud, desc)
-    assert e2.filter(F.col("desc_act") == "A").count() == 1
+    assert e2.columns[:6] == ["estructura", "partida", "fuente", "prog_con_desc", "proy_con_desc", "act_con_desc"]
+    assert rows(e2, "estructura", "act_con_desc") == [("29-01-01-01", "A"), ("29-01-01-02", None)]
+    sdesc = spark.createDataFrame([("29-01-01-01-422", "P", "S", "Y", "A")], "estructura string, desc_prog string, "
+                                  "desc_subprog string, desc_proy string, desc_act string")
+    e1 = sources_clean.works_execution(bud, sdesc, current_only="2024")
+    assert e1.columns[:7] == ["estructura", "partida", "fuente", "desc_prog", "desc_subprog", "desc_proy", "desc_act"]
+    eg = sources_clean.expense_execution(bud, sdesc)
+    assert eg.first().programa == 29 and eg.columns[0] == "ejercicio"
 
 
 def test_receivables_more(spark):
