@@ -43,12 +43,15 @@ def _pre(df: DataFrame, group_cols: Sequence[str], work: str, year: str, value:
 def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | int,
                  pivot_years: Sequence[str] | None = None, last_n: int | None = None, total: str = "acum",
                  work: str = "obra", year: str = "ejercicio", value: str = "importe",
-                 progress: str = "avance") -> DataFrame:
+                 progress: str = "avance", pivot_col: str | None = None,
+                 pivot_labels: dict | None = None) -> DataFrame:
     """D-EO5 / D-EO6: per group: first year, amount per year (pivot), total,
     in progress, finished in earlier years, finished this year.
 
     ``pivot_years`` fixes the year columns; otherwise the years present are
-    used (the ``last_n`` most recent ones when given).  Work-level flags are
+    used (the ``last_n`` most recent ones when given).  ``pivot_col`` pivots
+    by another column instead (its values present, ``pivot_labels`` renaming
+    some of them).  Work-level flags are
     windows over the (group, work, year) aggregate partitioned by work: a
     partition holds one row per group and year of the work, never its raw
     lines, and the source is scanned once.
@@ -62,11 +65,19 @@ def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | i
     j = d.withColumns({
         "_wmax": F.when(has_work, F.max("mx").over(w)),
         "_wprev1": F.when(has_work, F.max(F.when(yr < F.lit(cur), F.col("hit1"))).over(w))})
-    if pivot_years is None:
-        ys = sorted(pivot_values(df, year), key=int, reverse=True)
-        pivot_years = sorted(ys[:last_n] if last_n else ys, key=int)
     aggs = [_min_year(year).alias("alta")]
-    aggs += [_cond_sum(F.col(year) == F.lit(str(y))).alias(str(y)) for y in pivot_years]
+    if pivot_col is not None:
+        labels = pivot_labels or {}
+        if pivot_col not in j.columns:  # a work attribute: one value per work (the first)
+            attr = op.dedupe(df.select(work, pivot_col).filter(F.col(work).isNotNull()), [work], [pivot_col], "first")
+            j = j.join(attr, on=work, how="left")
+        aggs += [_cond_sum(F.col(pivot_col) == F.lit(v)).alias(labels.get(v, str(v)))
+                 for v in pivot_values(df, pivot_col)]
+    else:
+        if pivot_years is None:
+            ys = sorted(pivot_values(df, year), key=int, reverse=True)
+            pivot_years = sorted(ys[:last_n] if last_n else ys, key=int)
+        aggs += [_cond_sum(F.col(year) == F.lit(str(y))).alias(str(y)) for y in pivot_years]
     aggs += [F.coalesce(F.sum("s"), F.lit(0)).alias(total),
              _cond_sum(F.col("_wmax") < F.lit(1)).alias("en_curso"),
              _cond_sum((yr < F.lit(cur)) & F.col("_wprev1")).alias("terminadas_ant")]
@@ -74,6 +85,23 @@ def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | i
     return out.withColumn("terminadas_actual", F.col(total) - F.col("en_curso") - F.col("terminadas_ant"))
 
 
+BASIC_MODULE_GROUPS = ["desc_prog", "desc_proy", "desc_act", "actividad", "partida", "fuente", "localidad",
+                       "norma_legal", "obra"]
+
+
+def basic_module_report(loads_bm: DataFrame, current_year: str | int, by_agreement: bool = True,
+                        group_cols: Sequence[str] = BASIC_MODULE_GROUPS) -> DataFrame:
+    """D-EO5: basic-module works report.  By agreement: fund 11 only, amounts
+    pivoted by agreement (``info_adicional``; the empty one is 'Sin Convenio');
+    otherwise pivoted by year."""
+    g = [c for c in group_cols if c in loads_bm.columns]
+    if by_agreement:
+        d = loads_bm.filter(F.col("fuente") == "11")
+        return works_report(d, g, current_year, total="ejecucion_total", pivot_col="info_adicional",
+                            pivot_labels={"": "Sin Convenio"})
+    return works_report(loads_bm, g, current_year, total="ejecucion_total")
+
+
 def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[str] | None = None,
                       last_n: int | None = None, work: str = "obra", year: str = "ejercicio",
                       value: str = "importe", progress: str = "avance") -> DataFrame:

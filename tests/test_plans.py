@@ -274,3 +274,17 @@ def test_sources_cleaning(spark):
     cert = with_cert.filter(F.col("cuit") == sources_clean.NEGATIVE_CERTIFICATE_CUIT).first()
     assert cert.importe_neto == D(-9) and cert.importe_bruto == D(-9) and cert.origen == "BANCO"
     assert rows(sources_clean.bank_payments(b).filter(F.col("cod_imputacion") == "049"), "importe") == [(D(3),)]
+
+
+def test_basic_module_report_by_agreement(spark):
+    ld = spark.createDataFrame([
+        ("29-01", "422", "11", "w1", "2023", 1.0, D(10), "CONV A"), ("29-01", "422", "11", "w2", "2024", 0.5, D(5), ""),
+        ("29-01", "422", "10", "w3", "2024", 0.5, D(99), "CONV A")],
+        "actividad string, partida string, fuente string, obra string, ejercicio string, avance double, "
+        "importe decimal(18,2), info_adicional string")
+    r = works.basic_module_report(ld, "2024", by_agreement=True)
+    got = {x.obra: x for x in r.collect()}
+    assert set(got) == {"w1", "w2"} and got["w1"]["CONV A"] == D(10) and got["w2"]["Sin Convenio"] == D(5)
+    assert got["w1"].terminadas_ant == D(10) and got["w2"].en_curso == D(5)
+    by_year = works.basic_module_report(ld, "2024", by_agreement=False)
+    assert {"2023", "2024"} <= set(by_year.columns) and by_year.count() == 3
