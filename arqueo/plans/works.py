@@ -102,6 +102,16 @@ def basic_module_report(loads_bm: DataFrame, current_year: str | int, by_agreeme
     return works_report(loads_bm, g, current_year, total="ejecucion_total")
 
 
+def works_ledger_report(loads_desc: DataFrame, current_year: str | int, full: bool = False, by_line: bool = True,
+                        by_fund: bool = True, last_n: int | None = None) -> DataFrame:
+    """D-EO6: works ledger ("planillometro"): per activity (and work, line,
+    fund when asked) the first year, the amount of each year (all, or the
+    last N), total, in progress, finished before and finished this year."""
+    g = [c for c in ("desc_prog", "desc_proy", "desc_act") if c in loads_desc.columns] + ["actividad"]
+    g += (["obra"] if full else []) + (["partida"] if by_line else []) + (["fuente"] if by_fund else [])
+    return works_report(loads_desc, g, current_year, last_n=last_n)
+
+
 def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[str] | None = None,
                       last_n: int | None = None, work: str = "obra", year: str = "ejercicio",
                       value: str = "importe", progress: str = "avance") -> DataFrame:
@@ -143,13 +153,21 @@ def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[
 
 def works_ledger_for_accounting(loads: DataFrame, group_cols: Sequence[str], years: Sequence[str] | None = None,
                                 from_year: int | None = 2009, date_up_to=None, opening: DataFrame | None = None,
-                                last_n: int | None = None) -> DataFrame:
+                                last_n: int | None = None, current_cash: DataFrame | None = None,
+                                current_year: str | None = None) -> DataFrame:
     """D-EO7 with its input steps: year floor, optional date bound and the 2008
     opening balances (progress 1, work = activity description), then the
-    as-of-year status; ``estructura`` = activity-line."""
+    as-of-year status; ``estructura`` = activity-line.
+
+    ``current_cash`` (with ``current_year``) replaces the current year by its
+    cash-basis loads (advances in, regularisations out), as the original's
+    option to include advances.
+    """
     df = loads
     if from_year is not None:
         df = op.up_to(df, from_year, op=">=")
+    if current_cash is not None and current_year is not None:
+        df = op.union_all(op.up_to(df, current_year, op="<"), op.years(current_cash, current_year))
     if date_up_to is not None:
         df = op.date_bound(df, "fecha", date_up_to)
     if opening is not None:

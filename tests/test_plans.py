@@ -288,3 +288,19 @@ def test_basic_module_report_by_agreement(spark):
     assert got["w1"].terminadas_ant == D(10) and got["w2"].en_curso == D(5)
     by_year = works.basic_module_report(ld, "2024", by_agreement=False)
     assert {"2023", "2024"} <= set(by_year.columns) and by_year.count() == 3
+
+
+def test_works_ledger_report_and_current_cash(spark):
+    ld = spark.createDataFrame([
+        ("29-01", "422", "11", "w1", "2023", 1.0, D(10), "CYO"), ("29-01", "421", "11", "w2", "2024", 0.5, D(5), "CYO"),
+        ("29-01", "421", "11", "w2", "2024", 0.5, D(3), "PA6")],
+        "actividad string, partida string, fuente string, obra string, ejercicio string, avance double, "
+        "importe decimal(18,2), tipo string")
+    accrual = ld.filter(F.col("tipo") != "PA6")
+    rep = works.works_ledger_report(accrual, "2024", by_line=False, by_fund=False)
+    assert rep.columns[:2] == ["actividad", "alta"] and rep.first().acum == D(15)
+    cash = ld.filter(F.col("tipo") != "REG")
+    out = works.works_ledger_for_accounting(accrual, ["actividad", "partida"], from_year=None, current_cash=cash,
+                                            current_year="2024")
+    got = {(r.estructura, r.ejercicio): r.acum for r in out.collect()}
+    assert got[("29-01-421", "2024")] == D(8)  # the current year on cash basis includes the advance
