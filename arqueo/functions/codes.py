@@ -43,6 +43,7 @@ FUND_GROUP_RECOVERY_ACCOUNTS = ["130832-12", "334", "Macro", "Patagonia"]
 FUND_GROUP_LABELS = ("FONAVI", "RECUPEROS", "OTROS")
 
 # --- fixed values: movements, accounts and texts --------------------------
+OWN_CUIT = "30632351514"
 DEPOSIT = "DEPOSITO"
 PAYROLL_ACCOUNT = "130832-04"
 FEES_ACCOUNT = "130832-05"

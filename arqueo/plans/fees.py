@@ -19,6 +19,7 @@ OPENING_VOUCHER_TYPE = "APE"
 BANK_DEBITS_LINE = "355"
 BANK_DEBITS_CODE = "031"
 CONTRIBUTION_CODE = "337"
+FEE_VOUCHER_WORDS = ["HONOR", "RECON", "LOC"]
 CONTRIBUTION_ACCOUNT = "2122-1-2"
 NOTARY_BANK_SKIP_CODES = ["004", "034", "213", "102"]
 
@@ -51,9 +52,8 @@ def fees_summary(fees: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "nr
                                   "importe_neto"])
 
 
-def fee_vouchers(vouchers: DataFrame, own_cuit: str, accounts: Sequence[str] = ("130832-05", "130832-07"),
-                 group: str = "300", skip_line: str = "384",
-                 words: Sequence[str] = ("HONORARIOS", "COMISIONES", "SERVICIOS")) -> DataFrame:
+def fee_vouchers(vouchers: DataFrame, own_cuit: str = K.OWN_CUIT, accounts: Sequence[str] = ("130832-05", "130832-07"),
+                 group: str = "300", skip_line: str = "384", words: Sequence[str] = FEE_VOUCHER_WORDS) -> DataFrame:
     """D-SRC9: fee vouchers: own tax id, group 300, not line 384, two accounts, text patterns."""
     v = vouchers.filter((F.col("cuit") == own_cuit) & (F.col("grupo") == group))
     v = v.filter(not_in_keep_null("partida", [skip_line])).filter(F.col("cta_cte").isin(list(accounts)))

@@ -16,7 +16,7 @@ from ..functions.nulls import not_in_keep_null
 REPEATED_RENDITION_ACCOUNTS = ["106", "2210178150"]
 RENDITION_DEDUPE_COLS = ["mes", "fecha", "beneficiario", "libramiento_sgf", "importe_bruto"]
 NEGATIVE_CERTIFICATE_CODE = "018"
-NEGATIVE_CERTIFICATE_CUIT = "30632351514"
+NEGATIVE_CERTIFICATE_CUIT = K.OWN_CUIT
 ALIMONY_CODE = "049"
 ALIMONY_LABEL = "EMBARGO POR ALIMENTOS"
 FEE_DESTINATIONS = ["HONORARIOS - FUNCIONAMIENTO", "COMISIONES - FUNCIONAMIENTO", "HONORARIOS - EPAM"]
