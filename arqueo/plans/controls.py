@@ -151,8 +151,12 @@ def ledger_works_budget(budget: DataFrame, lines: Sequence[str] = ("421", "422")
                                                                          F.lit(False)))
 
 
+# FIXED VALUES: tax ids whose line-354 vouchers are not works.
+LINE_354_SKIP_CUITS = ["30500049460", "30632351514", "20231243527"]
+
+
 def ledger_works_vouchers(vouchers: DataFrame, lines: Sequence[str] = ("421", "422"), line_354: str = "354",
-                          skip_cuits: Sequence[str] = ()) -> DataFrame:
+                          skip_cuits: Sequence[str] = tuple(LINE_354_SKIP_CUITS)) -> DataFrame:
     """D-SRC7: works vouchers of the ledger: lines 421/422, or 354 except some tax ids."""
     w = F.col("partida").isin(list(lines))
     o = (F.col("partida") == line_354) & not_in_keep_null("cuit", list(skip_cuits))
