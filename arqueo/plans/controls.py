@@ -70,6 +70,11 @@ def revenue_deposits(bank: DataFrame, parity: bool = False) -> DataFrame:
     return b.withColumn("grupo", fund_group("cta_cte"))
 
 
+def receivable_deposits(bank: DataFrame, parity: bool = False) -> DataFrame:
+    """D-SRC3, receivables version: revenue deposits of the recovery group only."""
+    return revenue_deposits(bank, parity).filter(F.col("grupo") == K.FUND_GROUP_LABELS[1])
+
+
 def fund_group(c: str):
     fon, rec, other = K.FUND_GROUP_LABELS
     return (F.when(F.col(c) == K.FUND_GROUP_FONAVI_ACCOUNT, fon)

@@ -91,7 +91,9 @@ def new_vs_delivered_by_neighbourhood(new: DataFrame, reason_by_nbh: DataFrame,
 
 def collected_vs_bank(collected: DataFrame, bank_revenue: DataFrame, after_year: int = 2017,
                       by_month: bool = False) -> DataFrame:
-    """D-RC9: collected per the receivables system vs bank, by year or calendar month."""
+    """D-RC9: collected per the receivables system vs bank deposits
+    (``controls.receivable_deposits``) of the same years, by year or by
+    calendar month (all years together), inner on the key."""
     c = op.up_to(collected, after_year, op=">")
     b = op.semi(bank_revenue, op.distinct_values(c, ["ejercicio"]), "ejercicio")
     key = "mes" if by_month else "ejercicio"

@@ -51,6 +51,7 @@ def test_payroll_bank_and_revenue_deposits(spark):
     assert rows(dep, "cta_cte", "grupo") == [("10270", "FONAVI")]  # code 018 is not revenue
     dep_parity = controls.revenue_deposits(b, parity=True)
     assert rows(dep_parity, "grupo") == [("FONAVI",), ("RECUPEROS",)]  # the original excluded '18', not '018'
+    assert rows(controls.receivable_deposits(b, parity=True), "cta_cte") == [("334",)]
 
 
 def test_payments_vs_bank_tolerance(spark):
