@@ -116,16 +116,15 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order: str, part: Sequence[
     return j.withColumns(filled).select(*df.columns)
 
 
-def _order_struct(order: Sequence[str], tie_break: Sequence[str], keep: str):
-    """Struct whose ordering is ``order`` with NULLs last (ascending), then ties."""
-    fields = []
-    for i, c in enumerate(order):
+def _order_fields(order: Sequence[str], tie_break: Sequence[str]) -> tuple[list, dict]:
+    """Fields whose struct ordering is ``order`` then ``tie_break``, each
+    ascending with NULLs last; also where each column's value sits."""
+    fields, where = [], {}
+    for i, c in enumerate(list(order) + list(tie_break)):
         fields.append(F.col(c).isNull().alias(f"_n{i}"))
-        fields.append(F.col(c).alias(f"_o{i}"))
-    for i, c in enumerate(tie_break):
-        fields.append(F.col(c).isNull().alias(f"_tn{i}"))
-        fields.append(F.col(c).alias(f"_t{i}"))
-    return F.struct(*fields)
+        fields.append(F.col(c).alias(f"_v{i}"))
+        where.setdefault(c, f"_v{i}")
+    return fields, where
 
 
 def dedupe(df: DataFrame, subset: Sequence[str], order: Sequence[str] = (), keep: str = "first",
@@ -135,15 +134,19 @@ def dedupe(df: DataFrame, subset: Sequence[str], order: Sequence[str] = (), keep
     Ascending order with NULLs last, as the original sort did; ``tie_break``
     (default: every other column) makes the choice deterministic.  Written as
     ``min``/``max`` of a struct per key, so it aggregates map-side and a hot
-    key never lands whole in one task.
+    key never lands whole in one task.  Columns already in the ordering are
+    read back from it, so the struct carries each value once.
     """
     subset, order = list(subset), list(order)
     rest = [c for c in df.columns if c not in subset]
     tie = [c for c in (rest if tie_break is None else tie_break) if c not in order]
-    key = F.struct(_order_struct(order, tie, keep).alias("k"), F.struct(*rest).alias("p"))
+    fields, where = _order_fields(order, tie)
+    payload = [c for c in rest if c not in where]
+    key = F.struct(*fields, F.struct(*payload).alias("_p")) if payload else F.struct(*fields)
     agg = F.min(key) if keep == "first" else F.max(key)
     out = df.groupBy(*subset).agg(agg.alias("_d"))
-    return out.select(*subset, *[F.col("_d.p").getField(c).alias(c) for c in rest]).select(*df.columns)
+    cols = [F.col(f"_d.{where[c]}").alias(c) if c in where else F.col("_d._p").getField(c).alias(c) for c in rest]
+    return out.select(*subset, *cols).select(*df.columns)
 
 
 def latest_snapshot(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:
