@@ -27,6 +27,25 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(shuffle_partitions: int = 8000, advisory_mb: int = 256, max_partition_mb: int = 512) -> dict:
+    """Settings for a large cluster (hundreds of TB, ~1000 executors).
+
+    Shuffle partitions start high and AQE coalesces them to ~``advisory_mb``;
+    skewed partitions above 5x the median (and 256 MB) are split for joins;
+    scans read ``max_partition_mb`` per task.  Pass the result as ``conf`` to
+    :func:`build_session`, or set it in the deployment.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": f"{max_partition_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(master: str = "local[8]", app: str = "arqueo", shuffle_partitions: int | None = 8,
                   conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
