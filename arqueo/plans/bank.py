@@ -56,9 +56,16 @@ def final_vs_running(final_balance: DataFrame, running: DataFrame, keys: Sequenc
 def ledger_vs_bank_final(ledger_summary: DataFrame, final_balance: DataFrame,
                          keys: Sequence[str] = ("ejercicio", "cta_cte"), only_diff: bool = False,
                          ledger_measure: str = "saldo") -> DataFrame:
-    """D-CB4: ledger vs bank year-end balance, union-aligned, ``dif_sldo``."""
-    r = op.reconcile(ledger_summary, final_balance, keys, {"sldo_siif": ledger_measure}, {"sldo_invico": "saldo"},
-                     diff="dif_sldo")
+    """D-CB4: ledger vs bank year-end balance, union-aligned, ``dif_sldo``.
+
+    Every numeric column of the ledger bank summary is carried (debits,
+    credits), its balance as ``sldo_siif``.
+    """
+    keys = list(keys)
+    meas = {("sldo_siif" if c == ledger_measure else c): c
+            for c in op.numeric_cols(ledger_summary) if c not in keys}
+    r = op.reconcile(ledger_summary, final_balance, keys, meas, {"sldo_invico": "saldo"}, diff="dif_sldo",
+                     diff_expr=F.col("sldo_siif") - F.col("sldo_invico"))
     return op.only_diff(r) if only_diff else r
 
 

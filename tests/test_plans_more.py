@@ -31,9 +31,10 @@ def test_final_vs_running_and_ledger_vs_bank(spark):
     # c (0 + 1 - 1 = 0) is hidden, as in the original
     assert rows(r, "cta_cte", "dif") == [("a", D(0)), ("b", D(3))]
     assert rows(bank.final_vs_running(fin_, run).filter(F.col("dif") != 0), "cta_cte") == [("b",), ("c",)]
-    led = spark.createDataFrame([("2024", "a", D(7))], "ejercicio string, cta_cte string, saldo decimal(18,2)")
+    led = spark.createDataFrame([("2024", "a", D(9), D(2), D(7))], "ejercicio string, cta_cte string, "
+                                "debitos decimal(18,2), creditos decimal(18,2), saldo decimal(18,2)")
     l2 = bank.ledger_vs_bank_final(led, fin_)
-    assert rows(l2, "cta_cte", "dif_sldo") == [("a", D(-3)), ("b", D(-3))]
+    assert rows(l2, "cta_cte", "debitos", "sldo_siif", "dif_sldo") == [("a", D(9), D(7), D(-3)), ("b", D(0), D(0), D(-3))]
 
 
 def test_ledger_bank_book_and_summary(spark):
