@@ -492,4 +492,4 @@ FROM rt3 FULL JOIN sg ON rt3.ejercicio = sg.ejercicio AND rt3.mes = sg.mes AND r
 def d_rt11(spark, d):
     icaro = withholdings.loads_summary(_loads_with_withholdings(spark, d))
     sgf = withholdings.renditions_summary(V(spark, d, "payments"))
-    return fin(withholdings.compare(icaro, sgf, how="union"))
+    return fin(withholdings.compare(icaro, sgf, how="union", fold_lp=True))

@@ -137,10 +137,20 @@ def bank_summary(bank: DataFrame, keys: Sequence[str] = KEYS3, parity: bool = Fa
 
 
 def compare(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS3, how: str = "left",
-            only_diff: bool = False) -> DataFrame:
-    """D-RT9..D-RT12: aligned subtraction of two summaries (left keys by default,
-    as the original computed missing keys from a frame minus itself)."""
-    out = op.subtract(a, b, list(keys), how=how)
+            only_diff: bool = False, fold_lp: bool = False) -> DataFrame:
+    """D-RT9..D-RT12: aligned subtraction of two summaries, in the left
+    summary's columns (a column only on the right is not shown).
+
+    ``how='left'`` reproduces D-RT9 / D-RT10, whose missing keys came from a
+    frame minus itself (so only left keys remain); D-RT11 / D-RT12 align on
+    the union of keys and first fold ``lp`` into ``sellos`` (``fold_lp``).
+    """
+    keys = list(keys)
+    if fold_lp and "lp" in a.columns:
+        a = a.withColumn("sellos", F.coalesce(F.col("sellos"), F.lit(0)) + F.coalesce(F.col("lp"), F.lit(0))) \
+            .drop("lp")
+    out = op.subtract(a, b, keys, how=how)
+    out = out.select(*[c for c in a.columns if c in out.columns])
     return op.only_diff(out) if only_diff else out
 
 

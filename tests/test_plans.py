@@ -183,9 +183,12 @@ def test_withholdings_chain(spark):
     assert rows(wp, "cod_ret", "cta_cte") == [("iibb", "130832-03")]
     ls = withholdings.ledger_summary(cp, wp, ["ejercicio", "mes", "cta_cte"]).first()
     assert ls.importe_neto == D(90) and ls.iibb == D(3) and ls.importe_bruto == D(93)
-    cmpd = withholdings.compare(s.withColumn("cta_cte", F.lit("130832-03")), withholdings.ledger_summary(
-        cp, wp, ["ejercicio", "mes", "cta_cte"]))
-    assert cmpd.count() == 1
+    left = s.withColumn("cta_cte", F.lit("130832-03"))
+    cmpd = withholdings.compare(left, withholdings.ledger_summary(cp, wp, ["ejercicio", "mes", "cta_cte"]))
+    assert cmpd.count() == 1 and cmpd.columns == left.columns  # only the left summary's columns
+    assert cmpd.first().iibb == D(4) - D(3) and cmpd.first().importe_bruto == D(50) - D(93)
+    folded = withholdings.compare(left, left, how="union", fold_lp=True)
+    assert "lp" not in folded.columns and folded.first().sellos == D(0)
 
 
 def test_fees_and_debits(spark):
