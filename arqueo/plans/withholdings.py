@@ -53,8 +53,8 @@ def loads_with_withholdings(loads: DataFrame, withholdings: DataFrame,
 
 
 def loads_summary(loads_w: DataFrame, keys: Sequence[str] = KEYS3) -> DataFrame:
-    """D-RT3: D-RT2 summed by free keys."""
-    return op.sum_numeric(loads_w, keys, exclude=("avance",))
+    """D-RT3: D-RT2 summed by free keys (retention guarantee and progress left out)."""
+    return op.sum_numeric(loads_w, keys, exclude=("fondo_reparo", "avance"))
 
 
 def _bank_account_by_entry(ledger: DataFrame, account_map: DataFrame | None, with_year: bool) -> DataFrame:
@@ -98,7 +98,11 @@ def withholding_payments(ledger: DataFrame, account_map: DataFrame | None = None
 
 
 def ledger_summary(contractors: DataFrame, withholdings: DataFrame, keys: Sequence[str] = KEYS3) -> DataFrame:
-    """D-RT6: ledger summary: net, one column per withholding, gross = net + withholdings."""
+    """D-RT6: ledger summary: net, one column per withholding, gross = net + withholdings.
+
+    The six withholding columns are always present (0 when a code has no
+    payment), so the summary keeps one schema whatever the data.
+    """
     keys = list(keys)
     net = op.group_sum(contractors, keys, ["importe_neto"])
     names = list(WITHHOLDING_NAMES.values())
