@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import codes as K
 from ..functions.nulls import not_in_keep_null
-from ..functions.scalars import voucher_int_text
+from ..functions.scalars import voucher_int_text, zfill
 
 # FIXED VALUES: voucher types of the liabilities ledger, and the adjustments
 # that are not floating debt (account prefix, account, eight vouchers) plus
@@ -23,23 +23,38 @@ ADJUSTMENT_SKIP_VOUCHERS = ["16535/11", "15793/12", "17773/16", "17096/13", "170
                             "16986/24"]
 ADJUSTMENT_KEEP_VOUCHER = "16536/11"
 PAYROLL_SKIP_LINES = ["150", "151"]
+PAYROLL_NET_ACCOUNT = "2122-1-2"
 PAYROLL_NET_CODES = ["245", "310"]
+PAYROLL_NET_TEXTS = {"245": "RET. GCIAS. 4TA CATEGORÍA", "310": "HABERES ERRONEOS COD 310"}
+PAYROLL_NET_EXPTE_PREFIX = "90000000"
 
 
 def payroll_vouchers(vouchers: DataFrame, ledger: DataFrame | None = None, skip_art: bool = False,
-                     net_codes: bool = False, account: str = K.PAYROLL_ACCOUNT) -> DataFrame:
-    """D-NET2: payroll vouchers (one account); optionally without lines 150/151;
-    optionally with ledger credits of codes 245/310 as negative synthetic vouchers."""
+                     net_codes: bool = False, account: str = K.PAYROLL_ACCOUNT,
+                     own_name: str | None = None) -> DataFrame:
+    """D-NET2: payroll vouchers (one account); optionally without lines
+    150/151; optionally plus the ledger credits of withholding codes 245/310
+    (account 2122-1-2, no opening entries) as negative synthetic vouchers.
+    ``own_name`` is the payee written on them (the institution's name)."""
     v = vouchers.filter(F.col("cta_cte") == account)
     if skip_art:
         v = v.filter(not_in_keep_null("partida", PAYROLL_SKIP_LINES))
     if net_codes and ledger is not None:
-        g = ledger.filter(F.col("auxiliar_1").isin(PAYROLL_NET_CODES) & (F.col("creditos") != 0))
-        g = g.select("ejercicio", "mes", "fecha", F.col("nro_entrada").alias("nro_comprobante"),
-                     (-F.col("creditos")).alias("importe"))
-        g = g.withColumns({"cta_cte": F.lit(account), "clase_reg": F.lit("CYO"), "clase_mod": F.lit("NOR"),
-                           "clase_gto": F.lit("RDEU"), "es_comprometido": F.lit(True), "es_verificado": F.lit(True),
-                           "es_aprobado": F.lit(True), "es_pagado": F.lit(True)})
+        g = ledger.filter(F.col("cta_contable") == PAYROLL_NET_ACCOUNT)
+        g = g.filter(not_in_keep_null("tipo_comprobante", ["APE"])).filter(F.col("auxiliar_1").isin(PAYROLL_NET_CODES))
+        g = g.select(
+            "ejercicio", "mes", "fecha",
+            F.concat(zfill(F.col("nro_entrada"), 5), F.lit("/"), F.substring("ejercicio", -2, 2), F.lit("A"))
+            .alias("nro_comprobante"),
+            (-F.col("creditos")).alias("importe"), F.lit("100").alias("grupo"), F.col("auxiliar_1").alias("partida"),
+            "nro_entrada", F.col("nro_entrada").alias("nro_origen"),
+            F.concat(F.lit(PAYROLL_NET_EXPTE_PREFIX), F.col("ejercicio")).alias("nro_expte"),
+            F.when(F.col("auxiliar_1") == "245", F.lit(PAYROLL_NET_TEXTS["245"]))
+            .otherwise(F.lit(PAYROLL_NET_TEXTS["310"])).alias("glosa"),
+            F.lit(own_name).cast("string").alias("beneficiario"), F.lit(None).cast("string").alias("nro_fondo"),
+            F.lit("11").alias("fuente"), F.lit(account).alias("cta_cte"), F.lit(K.OWN_CUIT).alias("cuit"),
+            F.lit("CYO").alias("clase_reg"), F.lit("NOR").alias("clase_mod"), F.lit("REM").alias("clase_gto"),
+            *[F.lit(True).alias(c) for c in ("es_comprometido", "es_verificado", "es_aprobado", "es_pagado")])
         v = op.union_all(v, g)
     return v
 

@@ -208,15 +208,19 @@ def opening_balances(sheet: DataFrame, heading_cols: Sequence[str] = ("prog", "s
 
 def works_descriptions(programs: DataFrame, subprograms: DataFrame, projects: DataFrame,
                        activities: DataFrame) -> DataFrame:
-    """D-DIM1: activity -> project -> subprogramme -> programme with ``code - text`` labels."""
+    """D-DIM1: activity -> project -> subprogramme -> programme, each label
+    ``NN - text`` with NN the matching two digits of the activity code
+    (``PP-SS-YY-AA``); a missing subprogramme text is ''."""
     h = op.hierarchy([(activities, []), (projects, ["proyecto"]), (subprograms, ["subprograma"]),
                       (programs, ["programa"])])
-    return h.select(
-        "actividad", "proyecto", "subprograma", "programa",
-        F.concat_ws(" - ", "programa", "desc_prog").alias("desc_prog"),
-        F.concat_ws(" - ", "subprograma", F.coalesce("desc_subprog", F.lit(""))).alias("desc_subprog"),
-        F.concat_ws(" - ", "proyecto", "desc_proy").alias("desc_proy"),
-        F.concat_ws(" - ", "actividad", "desc_act").alias("desc_act"))
+    act = F.col("actividad")
+
+    def label(start: int, text):
+        return F.concat(F.substring(act, start, 2), F.lit(" - "), text)
+
+    return h.select("actividad", label(1, F.col("desc_prog")).alias("desc_prog"),
+                    label(4, F.coalesce(F.col("desc_subprog"), F.lit(""))).alias("desc_subprog"),
+                    label(7, F.col("desc_proy")).alias("desc_proy"), label(10, F.col("desc_act")).alias("desc_act"))
 
 
 def budget_descriptions(structure_desc: DataFrame, up_to_year: str | None = None,

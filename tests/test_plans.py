@@ -92,10 +92,11 @@ def test_opening_balances_and_descriptions(spark):
     assert rows(ob, "row_no", "prog", "subprog", "proy") == [(3, "01", "02", "03"), (4, "01", "02", "03")]
     prog = frame(spark, "programs", [("29", "VIVIENDA")], ["programa", "desc_prog"])
     sub = frame(spark, "subprograms", [("29-01", "29", None)], ["subprograma", "programa", "desc_subprog"])
-    proy = frame(spark, "projects", [("29-01-01", "29-01", "BARRIO")], ["proyecto", "subprograma", "desc_proy"])
-    act = frame(spark, "activities", [("29-01-01-01", "29-01-01", "CASAS")], ["actividad", "proyecto", "desc_act"])
+    proy = frame(spark, "projects", [("29-01-02", "29-01", "BARRIO")], ["proyecto", "subprograma", "desc_proy"])
+    act = frame(spark, "activities", [("29-01-02-03", "29-01-02", "CASAS")], ["actividad", "proyecto", "desc_act"])
     dsc = works.works_descriptions(prog, sub, proy, act).first()
-    assert dsc.desc_prog == "29 - VIVIENDA" and dsc.desc_subprog == "29-01 - " and dsc.desc_act == "29-01-01-01 - CASAS"
+    assert (dsc.desc_prog, dsc.desc_subprog, dsc.desc_proy, dsc.desc_act) == (
+        "29 - VIVIENDA", "01 - ", "02 - BARRIO", "03 - CASAS")
 
 
 def test_budget_descriptions_newest_wins(spark):

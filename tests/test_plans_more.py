@@ -165,10 +165,14 @@ def test_payroll_vouchers_and_treasury_debt(spark):
                                            ("2024", "01/2024", "V2", "130832-04", "100", D(20)),
                                            ("2024", "01/2024", "V3", "x", "100", D(30))],
                ["ejercicio", "mes", "nro_comprobante", "cta_cte", "partida", "importe"])
-    led = frame(spark, "ledger", [("2024", "01/2024", day("2024-01-09"), "E7", "245", D(0), D(4))],
-                ["ejercicio", "mes", "fecha", "nro_entrada", "auxiliar_1", "debitos", "creditos"])
+    led = frame(spark, "ledger", [("2024", "01/2024", day("2024-01-09"), "2122-1-2", "CAP", "77", "245", D(0), D(4)),
+                                  ("2024", "01/2024", day("2024-01-09"), "2122-1-2", "APE", "78", "245", D(0), D(9))],
+                ["ejercicio", "mes", "fecha", "cta_contable", "tipo_comprobante", "nro_entrada", "auxiliar_1",
+                 "debitos", "creditos"])
     out = debt.payroll_vouchers(vo, led, skip_art=True, net_codes=True)
-    assert rows(out, "nro_comprobante", "importe") == [("E7", D(-4)), ("V2", D(20))]
+    assert rows(out, "nro_comprobante", "importe") == [("00077/24A", D(-4)), ("V2", D(20))]
+    syn = out.filter(F.col("clase_gto") == "REM").first()
+    assert syn.glosa == "RET. GCIAS. 4TA CATEGORÍA" and syn.nro_expte == "900000002024" and syn.partida == "245"
     tr = frame(spark, "floating_debt", [("12/2024", D(1)), ("11/2024", D(2))], ["mes_hasta", "saldo"])
     assert remainder.treasury_debt(tr, "2024").count() == 1
     snaps = frame(spark, "floating_debt", [("2024", "A", "11/2024", D(1)), ("2024", "B", "12/2024", D(2)),
