@@ -291,3 +291,31 @@ def test_fee_summaries(spark):
     assert r.otras == D(21) and "gcias" not in r.asDict()
     assert fees.fee_renditions_summary(rd, only_gross=True).columns == ["ejercicio", "mes", "cuit", "beneficiario",
                                                                         "importe_bruto"]
+
+
+def test_report_runs_write_every_table(spark):
+    import tempfile
+
+    from arqueo.plans import reports
+    bud = frame(spark, "budget", [("2024", "29-01-01-01-422", "29", "422", "10", D(5), D(9))],
+                ["ejercicio", "estructura", "programa", "partida", "fuente", "saldo", "ordenado"])
+    wdesc = spark.createDataFrame([("29-01-01-01", "P", "S", "Y", "A")], "actividad string, desc_prog string, "
+                                  "desc_subprog string, desc_proy string, desc_act string")
+    ldesc = spark.createDataFrame([("29-01-01-01-422", "P", "S", "Y", "A")], "estructura string, desc_prog string, "
+                                  "desc_subprog string, desc_proy string, desc_act string")
+    final = frame(spark, "bank_final_balance", [("2024", "130832-03", D(100))], ["ejercicio", "cta_cte", "saldo"])
+    snaps = frame(spark, "floating_debt", [("2024", "V1", "10", "12/2024", D(30))],
+                  ["ejercicio", "nro_comprobante", "fuente", "mes_hasta", "saldo"])
+    rev = frame(spark, "revenue_vouchers", [("2024", "10", D(80), False)], ["ejercicio", "fuente", "importe",
+                                                                            "es_remanente"])
+    out = reports.remainder_report(bud, wdesc, final, snaps, snaps, rev, "2024", tempfile.mkdtemp(prefix="arqueo-r-"))
+    assert len(out) == 8 and spark.read.parquet(out["rem_met_1"]).count() == 3
+    loads = frame(spark, "works_loads", [("L1", "2024", "CYO", "11", "29-01-01-01", "422", "20-1", "O1", D(10), 0.5)],
+                  ["id", "ejercicio", "tipo", "fuente", "actividad", "partida", "cuit", "obra", "importe", "avance"])
+    prov = frame(spark, "suppliers", [("20-1", "ACME")], ["cuit", "desc_prov"])
+    wl = frame(spark, "works_list", [("O1", "CAPITAL", "R1", "CONV")], ["obra", "localidad", "norma_legal",
+                                                                        "info_adicional"])
+    out = reports.works_execution_report(bud, ldesc, wdesc, loads, prov, wl, "2024",
+                                         tempfile.mkdtemp(prefix="arqueo-w-"), last_n=2)
+    assert len(out) == 8
+    assert spark.read.parquet(out["mod_basicos_por_convenio"]).first()["CONV"] == D(10)
