@@ -137,7 +137,8 @@ def having_semi(df: DataFrame, keys: Sequence[str], measure: str, cond) -> DataF
 
 def as_of_years(df: DataFrame, years: Sequence[str], year_col: str = "ejercicio", out: str = "hasta",
                 strict: bool = False) -> DataFrame:
-    """J-12: repeat each row for every requested year Y with ``year <= Y``.
+    """J-12 (and U-04, the union of per-year results): repeat each row for every
+    requested year Y with ``year <= Y``.
 
     The year list is a parameter (bounded), so the expansion is a narrow
     ``explode`` of a literal array: no join and no shuffle.  Aggregate the

@@ -35,7 +35,8 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], a_measures: Mappi
               b_measures: Mapping[str, str | Column], how: str = "union", diff: str | None = "diferencia",
               diff_expr: Column | None = None, fill: bool = True, null_safe: bool = False,
               aggregate: bool = True) -> DataFrame:
-    """J-06 / J-10 / J-11: align two systems on their keys and difference them.
+    """J-06 / J-10 / J-11 (and U-03, the key difference/union the original
+    computed by hand): align two systems on their keys and difference them.
 
     ``a_measures`` / ``b_measures`` map output names to source columns; each side
     is summed by ``keys`` (NULL keys dropped).  ``how='union'`` keeps keys of

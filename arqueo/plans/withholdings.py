@@ -142,7 +142,7 @@ def bank_summary(bank: DataFrame, keys: Sequence[str] = KEYS3, parity: bool = Fa
 
 def compare(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS3, how: str = "left",
             only_diff: bool = False, fold_lp: bool = False) -> DataFrame:
-    """D-RT9..D-RT12: aligned subtraction of two summaries, in the left
+    """D-RT9, D-RT10, D-RT11, D-RT12: aligned subtraction of two summaries, in the left
     summary's columns (a column only on the right is not shown).
 
     ``how='left'`` reproduces D-RT9 / D-RT10, whose missing keys came from a

@@ -42,7 +42,7 @@ def read_source(spark: SparkSession, name: str, path: str, years: str | Sequence
 
 def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "parquet", mode: str = "overwrite",
                  partition_by_year: bool = True) -> dict[str, str]:
-    """Write several result tables, one folder per table (workbook sheets re-aimed).
+    """K-01: write several result tables, one folder per table (workbook sheets re-aimed).
 
     Tables that carry ``ejercicio`` are partitioned by it so later reads of one
     year prune the rest.

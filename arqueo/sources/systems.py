@@ -65,8 +65,8 @@ def activities(spark, root):
     return _read(spark, root, "icaro_actividades", "activities")
 
 
-def works_loads(spark, root, years: Years = None, amap=None, skip_advances: bool = False,
-                skip_regularisations: bool = False):                                    # S-10
+def works_loads(spark, root, years: Years = None, amap=None, skip_advances: bool = False,  # S-10
+                skip_regularisations: bool = False):
     d = _map(_read(spark, root, "icaro_carga", "works_loads", years), amap, "icaro_cta_cte")
     skip = [t for t, on in ((K.WORKS_ADVANCE_TYPE, skip_advances), (K.WORKS_REGULARISATION_TYPE,
                                                                       skip_regularisations)) if on]
@@ -156,41 +156,41 @@ def ledger_bank_book(spark, root, years: Years = None, amap=None):
     return _map(d, amap, "siif_contabilidad_cta_cte")
 
 
-def _receivables(spark, root, table, schema, up_to):                                    # S-31 .. S-38
+def _receivables(spark, root, table, schema, up_to):
     d = _read(spark, root, table, schema)
     # the original compared the year as text ('<='), which equals the integer order for 4-digit years
     return d if up_to is None else d.filter(F.col("ejercicio") <= F.lit(str(up_to)))
 
 
-def new_neighbourhoods(spark, root, up_to=None):
+def new_neighbourhoods(spark, root, up_to=None):       # S-31
     return _receivables(spark, root, "barrios_nuevos", "new_neighbourhoods", up_to)
 
 
-def billed(spark, root, up_to=None):
+def billed(spark, root, up_to=None):                   # S-32
     return _receivables(spark, root, "resumen_facturado", "billed", up_to)
 
 
-def collected(spark, root, up_to=None):
+def collected(spark, root, up_to=None):                # S-33
     return _receivables(spark, root, "resumen_recaudado", "collected", up_to)
 
 
-def balance_variation(spark, root, up_to=None):
+def balance_variation(spark, root, up_to=None):        # S-34
     return _receivables(spark, root, "saldo_barrio_variacion", "balance_variation", up_to)
 
 
-def neighbourhood_balance(spark, root, up_to=None):
+def neighbourhood_balance(spark, root, up_to=None):    # S-35
     return _receivables(spark, root, "saldo_barrio", "neighbourhood_balance", up_to)
 
 
-def receivable_variation(spark, root, up_to=None):
+def receivable_variation(spark, root, up_to=None):     # S-36
     return _receivables(spark, root, "saldo_recuperos_cobrar_variacion", "receivable_variation", up_to)
 
 
-def reason_neighbourhood_balance(spark, root, up_to=None):
+def reason_neighbourhood_balance(spark, root, up_to=None): # S-37
     return _receivables(spark, root, "saldo_motivo_por_barrio", "reason_neighbourhood_balance", up_to)
 
 
-def reason_balance(spark, root, up_to=None):
+def reason_balance(spark, root, up_to=None):           # S-38
     return _receivables(spark, root, "saldo_motivo", "reason_balance", up_to)
 
 
