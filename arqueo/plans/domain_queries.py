@@ -493,3 +493,22 @@ def d_rt11(spark, d):
     icaro = withholdings.loads_summary(_loads_with_withholdings(spark, d))
     sgf = withholdings.renditions_summary(V(spark, d, "payments"))
     return fin(withholdings.compare(icaro, sgf, how="union", fold_lp=True))
+
+
+@query("d_rt1", f"""
+WITH {RT2_SQL}
+SELECT id_carga, CAST(a_ AS DOUBLE) AS "A", CAST(n_ AS DOUBLE) AS "N", CAST(r_ AS DOUBLE) AS "R",
+       CAST(a_ + n_ + r_ AS DOUBLE) AS retenciones
+FROM p""")
+def d_rt1(spark, d):
+    wh = V(spark, d, "payments").select(F.col("nro_comprobante").alias("id_carga"), "codigo",
+                                        F.col("retenciones").alias("importe"))
+    return fin(withholdings.withholdings_per_load(V(spark, d, "loads"), wh, codes=["A", "N", "R"]))
+
+
+@query("d_rc2", """
+SELECT ejercicio, CAST(sum(saldo) AS DOUBLE) / 1000000000.0 AS saldo_actual FROM snapshots
+WHERE ejercicio IS NOT NULL GROUP BY ejercicio""")
+def d_rc2(spark, d):
+    bal = V(spark, d, "snapshots").withColumnRenamed("saldo", "saldo_actual")
+    return receivables.balance_per_year(bal)
