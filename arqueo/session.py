@@ -46,6 +46,9 @@ def cluster_conf(shuffle_partitions: int = 8000, advisory_mb: int = 256, max_par
     }
 
 
+LOCAL_CHECKPOINT_KEY = "arqueo.localCheckpointFolder"
+
+
 def build_session(master: str = "local[8]", app: str = "arqueo", shuffle_partitions: int | None = 8,
                   conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
@@ -68,10 +71,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local runs, tests) a scratch folder is created.
     """
     conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    path = (conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get(LOCAL_CHECKPOINT_KEY, None))
     if not path:
+        # spark.checkpoint.dir cannot change at run time; remember the local
+        # fallback under a session key of our own
         path = tempfile.mkdtemp(prefix="arqueo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.conf.set(LOCAL_CHECKPOINT_KEY, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
