@@ -41,11 +41,15 @@ def read_source(spark: SparkSession, name: str, path: str, years: str | Sequence
 
 
 def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "parquet", mode: str = "overwrite",
-                 partition_by_year: bool = True) -> dict[str, str]:
+                 partition_by_year: bool = True,
+                 bucket_by: dict[str, tuple[int, Sequence[str]]] | None = None) -> dict[str, str]:
     """K-01: write several result tables, one folder per table (workbook sheets re-aimed).
 
     Tables that carry ``ejercicio`` are partitioned by it so later reads of one
-    year prune the rest.
+    year prune the rest.  ``bucket_by`` maps a table to (buckets, columns): the
+    table is registered in the session catalog with that bucketing (and sorted
+    by those columns), so two tables bucketed alike on a join key join without
+    a shuffle; read them back with ``spark.table(name)``.
     """
     out = {}
     for name, df in tables.items():
@@ -55,6 +59,10 @@ def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "parquet",
             w = w.option("header", "true")
         if partition_by_year and "ejercicio" in df.columns:
             w = w.partitionBy("ejercicio")
-        w.save(target)
+        if bucket_by and name in bucket_by:
+            n, cols = bucket_by[name]
+            w.bucketBy(int(n), *cols).sortBy(*cols).option("path", target).saveAsTable(name)
+        else:
+            w.save(target)
         out[name] = target
     return out

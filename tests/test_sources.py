@@ -31,3 +31,20 @@ def test_csv_opening_balances(spark):
         f.write("1,29,,,,,,,,,\n2,,,,O1,,29-01,29-01-01-01,422,2008,5.50\n")
     df = systems.opening_2008(spark, root)
     assert df.filter(F.col("row_no") == 2).first().acum_2008 == D(5.5)
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    root = tempfile.mkdtemp(prefix="arqueo-bkt-")
+    a = spark.range(0, 2000).select(F.col("id").cast("string").alias("nro_comprobante"), F.lit(1).alias("x"))
+    b = spark.range(0, 2000).select(F.col("id").cast("string").alias("nro_comprobante"), F.lit(2).alias("y"))
+    io.write_tables({"bk_ledger": a, "bk_loads": b}, root, partition_by_year=False,
+                    bucket_by={"bk_ledger": (8, ["nro_comprobante"]), "bk_loads": (8, ["nro_comprobante"])})
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bk_ledger").join(spark.table("bk_loads"), "nro_comprobante")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
