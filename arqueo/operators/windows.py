@@ -157,12 +157,30 @@ def latest_snapshot(df: DataFrame, part: Sequence[str], order: str) -> DataFrame
 
 
 def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool = True, out: str = "ranking",
-            tie_break: Sequence[str] = ()) -> DataFrame:
-    """W-07: row number by (absolute) ``value`` descending within ``part``.
-
-    Meant for aggregated rows (e.g. reasons within a year, as in the reports):
-    aggregate first, then rank the small result.
+            tie_break: Sequence[str] = (), method: str = "range", partitions: int | None = None) -> DataFrame:
+    """W-07: row number by (absolute) ``value`` descending within ``part``
+    (ties ordered by ``tie_break``).
+
+    ``method='range'`` (default) never holds a whole group in one task: rows
+    are range-partitioned on (part, value, tie-break), numbered inside each
+    (range partition, part), and shifted by the count of the same part in the
+    earlier range partitions (a prefix sum over per-partition counts, at most
+    partitions x parts rows).  ``method='window'`` is one window per part, for
+    small aggregated inputs.
     """
-    v = F.abs(F.col(value)) if absolute else F.col(value)
-    w = Window.partitionBy(*part).orderBy(v.desc(), *[F.col(c) for c in tie_break])
-    return df.withColumn(out, F.row_number().over(w))
+    part, tie = list(part), list(tie_break)
+    d = df.withColumn("_rv", F.abs(F.col(value)) if absolute else F.col(value))
+    order = [F.col(c).asc_nulls_first() for c in part] + [F.col("_rv").desc_nulls_last()] + \
+            [F.col(c).asc_nulls_first() for c in tie]
+    local_order = order[len(part):]
+    if method == "window":
+        w = Window.partitionBy(*part).orderBy(*local_order)
+        return d.withColumn(out, F.row_number().over(w)).drop("_rv")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = d.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    r = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", *part).orderBy(*local_order)))
+    counts = r.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", *part, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    j = _null_safe_join(r, offsets, ["_pid", *part])
+    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).select(*df.columns, out)

@@ -87,3 +87,15 @@ def test_reconcile_matches_outer_merge(spark, left, right):
     m = pd.concat([pa, pb], axis=1).fillna(0)
     want = {k: (int(x), int(y), int(x - y)) for k, (x, y) in m.iterrows()}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["HOT", "HOT", "y1", None]), amounts, st.integers(0, 3)),
+                min_size=1, max_size=80), st.integers(min_value=1, max_value=6))
+def test_distributed_rank_equals_window_rank(spark, rows_, n):
+    df = spark.createDataFrame(rows_, "ejercicio string, importe int, cod int")
+    a = op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method="range", partitions=n)
+    b = op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method="window")
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    g = op.rank_by(df, "importe", [], tie_break=["ejercicio", "cod"], method="range", partitions=n)
+    assert sorted(r.ranking for r in g.collect()) == list(range(1, len(rows_) + 1))
