@@ -54,25 +54,32 @@ def running_balance(df: DataFrame, keys: Sequence[str], part: str = "cta_cte", o
 
 
 def cumulative(df: DataFrame, order: Sequence[str], value: str, part: Sequence[str] = (), out: str = "acum",
-               order_expr=None, presummed: bool = False) -> DataFrame:
-    """W-02: running total over an ordered result; rows with equal order keys
-    share one running value (their sum is taken together).
-
-    ``presummed=True`` is for inputs that already hold one row per
-    (part, order), such as a reconciliation: one RANGE window, no join.
-    Otherwise the values are first summed by (part, order) and the running
-    totals joined back, so the window holds distinct order keys, not rows.
+               order_expr=None, presummed: bool = False, partitions: int | None = None) -> DataFrame:
+    """W-02: running total in ``order`` within ``part``; rows with equal order
+    keys share one running value (their sum is taken together).
+
+    Default: range-partition on (part, order), running sums inside each range
+    partition (equal keys never straddle two partitions), plus each part's
+    total of the earlier partitions, so no window holds a whole group.
+    ``presummed=True`` is for small results with one row per (part, order),
+    such as a monthly reconciliation: one window, no extra job.
     ``order_expr`` orders the keys when their text order is not the right one.
     """
     order, part = list(order), list(part)
     ok = order_expr if order_expr is not None else [F.col(c) for c in order]
     ok = ok if isinstance(ok, list) else [ok]
-    w = Window.partitionBy(*part).orderBy(*ok)  # default frame: RANGE unbounded preceding .. current row
+    v = F.coalesce(F.col(value), F.lit(0))
     if presummed:
-        return df.withColumn(out, F.sum(F.coalesce(F.col(value), F.lit(0))).over(w))
-    g = df.groupBy(*part, *order).agg(sum0(value).alias("_v"))
-    g = g.select(*part, *order, F.sum("_v").over(w).alias(out))
-    return _null_safe_join(df, g, part + order)
+        w = Window.partitionBy(*part).orderBy(*ok)  # default frame: RANGE unbounded preceding .. current row
+        return df.withColumn(out, F.sum(v).over(w))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = df.repartitionByRange(n, *[F.col(c) for c in part], *ok).withColumn("_pid", F.spark_partition_id())
+    r = r.withColumn("_lc", F.sum(v).over(Window.partitionBy("_pid", *part).orderBy(*ok)))
+    tot = r.groupBy("_pid", *part).agg(F.sum(v).alias("_t"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_pid", *part, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    j = _null_safe_join(r, off, ["_pid", *part])
+    return j.withColumn(out, F.col("_lc") + F.col("_off")).select(*df.columns, out)
 
 
 def share(df: DataFrame, value: str, part: Sequence[str] = (), out: str = "participacion",

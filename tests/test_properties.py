@@ -99,3 +99,13 @@ def test_distributed_rank_equals_window_rank(spark, rows_, n):
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
     g = op.rank_by(df, "importe", [], tie_break=["ejercicio", "cod"], method="range", partitions=n)
     assert sorted(r.ranking for r in g.collect()) == list(range(1, len(rows_) + 1))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["HOT", "HOT", "p2", None]), st.integers(0, 12), amounts),
+                min_size=1, max_size=80), st.integers(min_value=1, max_value=6))
+def test_distributed_cumulative_equals_window(spark, rows_, n):
+    df = spark.createDataFrame(rows_, "cta string, k int, v int")
+    a = op.cumulative(df, ["k"], "v", ["cta"], partitions=n)
+    b = op.cumulative(df, ["k"], "v", ["cta"], presummed=True)
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
