@@ -512,3 +512,21 @@ WHERE ejercicio IS NOT NULL GROUP BY ejercicio""")
 def d_rc2(spark, d):
     bal = V(spark, d, "snapshots").withColumnRenamed("saldo", "saldo_actual")
     return receivables.balance_per_year(bal)
+
+
+@query("d_co2", r"""
+SELECT ltrim(regexp_replace(p_name, '^\d+-\d+', '')) AS obra_sin_cod, p_brand || '-' || p_type AS imputacion,
+       p_name AS obra, p_brand AS actividad, p_type AS partida, CAST(p_partkey AS VARCHAR) AS cod
+FROM part""")
+def d_co2(spark, d):
+    parts = spark.read.parquet(f"{d}/part.parquet").select(
+        F.col("p_name").alias("obra"), F.col("p_brand").alias("actividad"), F.col("p_type").alias("partida"),
+        F.col("p_partkey").cast("string").alias("cod"))
+    return controls.works_list(parts)
+
+
+@query("d_cb1", """
+SELECT ejercicio, mes, cta_cte, CAST(sum(importe) AS DOUBLE) AS importe FROM bank
+WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL""")
+def d_cb1(spark, d):
+    return fin(bank.ledger_bank_summary(V(spark, d, "bank")))
