@@ -22,6 +22,13 @@ from pyspark.sql import functions as F
 from ..functions.nulls import drop_null_keys, sum0
 
 FILL_BLOCK_ROWS = 1 << 16
+# Largest input a single window task may sort whole (rows, measured).
+ONE_TASK_ROWS = 1_000_000
+
+
+def _fits_one_task(df: DataFrame, bound: int = ONE_TASK_ROWS) -> bool:
+    """True when ``df`` provably has at most ``bound`` rows (a bounded count)."""
+    return df.limit(bound + 1).count() <= bound
 
 
 def _null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -173,9 +180,14 @@ def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool
     (range partition, part), and shifted by the count of the same part in the
     earlier range partitions (a prefix sum over per-partition counts, at most
     partitions x parts rows).  ``method='window'`` is one window per part, for
-    small aggregated inputs.
+    small aggregated inputs.  ``method='auto'`` measures the input with a
+    bounded count and uses the window only when it has at most
+    ``ONE_TASK_ROWS`` rows (the count recomputes the input, so it pays only
+    when the input is cheap to produce).
     """
     part, tie = list(part), list(tie_break)
+    if method == "auto":
+        method = "window" if _fits_one_task(df) else "range"
     d = df.withColumn("_rv", F.abs(F.col(value)) if absolute else F.col(value))
     order = [F.col(c).asc_nulls_first() for c in part] + [F.col("_rv").desc_nulls_last()] + \
             [F.col(c).asc_nulls_first() for c in tie]

@@ -114,3 +114,11 @@ def test_union_dedupe_subset_unpivot(spark):
     assert rows(d, "n") == [(1,), (3,), (4,)]
     w = spark.createDataFrame([("2024", 1.0, 2.0)], "ejercicio string, a double, b double")
     assert rows(op.unpivot(w, ["ejercicio"], ["a", "b"])) == [("2024", "a", 1.0), ("2024", "b", 2.0)]
+
+
+def test_rank_methods_agree(spark):
+    df = spark.createDataFrame([("2024", "a", -60.0), ("2024", "b", 30.0), ("2024", "c", 30.0), ("2023", "a", 5.0)],
+                               "ejercicio string, cod string, importe double")
+    want = rows(op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method="window"))
+    for m in ("auto", "range"):
+        assert rows(op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method=m, partitions=3)) == want
