@@ -41,6 +41,7 @@ def payroll_vs_paid(net_vouchers: DataFrame, bank_payroll: DataFrame, keys: Sequ
                     ) -> DataFrame:
     """D-HB1: payroll executed vs paid by month, with the running difference."""
     r = op.reconcile(net_vouchers, bank_payroll, keys, {"ejecutado_siif": "importe"}, {"pagado_sscc": "importe"})
+    # one row per (year, month) after the reconciliation: the window holds months, not movements
     return op.cumulative(r, list(keys), "diferencia", out="dif_acum", presummed=True)
 
 

@@ -549,6 +549,7 @@ FROM r""")
 def w_cumulative_diff(spark, d):
     r = op.reconcile(V(spark, d, "loads"), V(spark, d, "payments"), ["ejercicio", "mes"],
                      {"ejecutado": "importe"}, {"pagado": "importe_bruto"})
+    # one row per (year, month) after the reconciliation: the window holds months, not movements
     return fin(op.cumulative(r, ["ejercicio", "mes"], "diferencia", out="dif_acum", presummed=True))
 
 
