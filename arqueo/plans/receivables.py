@@ -16,10 +16,10 @@ from .. import operators as op
 from ..functions import codes as K
 from ..functions.scalars import safe_percent
 
+# FIXED VALUES: the collected concepts in report order, the concept labels of
+# the receivable-variation report and the labels of the amortisation row.
 COLLECTED_CONCEPTS = ["amortizacion", "int_financiero", "int_mora", "gtos_adm", "seg_incendio", "seg_vida",
                       "subsidio", "pago_amigable", "escritura", "pend_acreditacion"]
-# FIXED VALUES: concept labels of the receivable-variation report and the
-# labels of the amortisation row.
 OPENING_CLOSING = ["SALDO AL INICIO:", "SALDO AL FINAL:"]
 AMORTISATION_CODE, AMORTISATION_LABEL = "AM", "AMORTIZACION"
 OTHER_REASONS_LABEL = "OTROS MOTIVOS"
