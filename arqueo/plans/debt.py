@@ -12,9 +12,11 @@ from ..functions import codes as K
 from ..functions.nulls import not_in_keep_null
 from ..functions.scalars import voucher_int_text, zfill
 
-# FIXED VALUES: voucher types of the liabilities ledger, and the adjustments
-# that are not floating debt (account prefix, account, eight vouchers) plus
-# the one adjustment kept whatever its balance.
+# FIXED VALUES: voucher types of the liabilities ledger; the adjustments that
+# are not floating debt (account prefix, account, eight vouchers) plus the one
+# adjustment kept whatever its balance; the voucher that must not be in the
+# debt; the payroll lines, account, codes and texts of the synthetic vouchers.
+KNOWN_BAD_DEBT_VOUCHERS = ["02749/11"]
 LIABILITY_TYPES = ["CAO", "CAP", "CAM", "CAD", "ANP"]
 ADJUSTMENT_TYPE = "AJU"
 ADJUSTMENT_SKIP_PREFIX = "2241"
@@ -68,7 +70,6 @@ def liabilities(ledger: DataFrame, year: str | None = None, with_adjustments: bo
 
 
 DEBT_COLS = ["ejercicio", "fuente", "cta_cte", "nro_original", "saldo_rdeu", "cuit", "glosa", "nro_expte"]
-KNOWN_BAD_DEBT_VOUCHERS = ["02749/11"]
 
 
 def latest_debt_by_year(snapshots: DataFrame, years: Sequence[str],

@@ -11,7 +11,9 @@ from .. import operators as op
 from ..functions import codes as K
 from ..functions.nulls import not_in_keep_null
 
-# FIXED VALUES: withholding columns folded into "otras" by the fee summaries.
+# FIXED VALUES: withholding columns folded into "otras" by the fee summaries,
+# the notary, bank-debit and employer-contribution accounts, lines and codes,
+# and the text fragments of fee vouchers.
 FEE_OTHER_COLS = ["otras_retenciones", "anticipo", "descuento", "embargo", "mutual"]
 RENDITION_OTHER_COLS = ["gcias", "suss", "invico", "salud", "mutual"]
 NOTARY_LEDGER_ACCOUNT = "2113-2-9"
