@@ -5,7 +5,6 @@ Nothing here holds state: operators take DataFrames and return DataFrames.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,24 +59,30 @@ def build_session(master: str = "local[8]", app: str = "arqueo", shuffle_partiti
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def checkpoint_root(spark: SparkSession) -> str:
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and is only read here.
-    Only when it is unset (local runs, tests) a scratch folder is created.
+    The deployment sets it; it is only read here.  Where it is unset, a scratch
+    folder is made in local mode (one machine, as in tests); on a cluster the
+    call raises, because executors would not see each other's files.
     """
-    conf = spark.sparkContext.getConf()
-    path = (conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get(LOCAL_CHECKPOINT_KEY, None))
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_CHECKPOINT_KEY, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         # spark.checkpoint.dir cannot change at run time; remember the local
         # fallback under a session key of our own
         path = tempfile.mkdtemp(prefix="arqueo-ckpt-")
         spark.conf.set(LOCAL_CHECKPOINT_KEY, path)
+    return path
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Point ``checkpoint()`` at :func:`checkpoint_root` and return it."""
+    path = checkpoint_root(spark)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -90,7 +95,6 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     re-reads files instead of recomputing the whole lineage.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, f"{name or 'table'}-{uuid.uuid4().hex}")
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name or 'table'}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
