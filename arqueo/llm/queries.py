@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, url_filter, warc
+from . import bpe, line_windows, mcd_rules, packing, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,11 +40,36 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.convert_pages(table(spark, sf_dir, "pages")).drop("url")
 
 
+@query("op4_mcd_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mcd_rules.judge(table(spark, sf_dir, "documents")).select(
+        "key.id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "outlier_distance",
+    ).withColumnRenamed("id", "doc_id")
+
+
 @query("op5_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), digests=True)
 
 
+@query("op7_line_windows", """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+t AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM l),
+w AS (
+  SELECT doc_id, i, lead(i) OVER d AS i2, lead(i, 2) OVER d AS i3, x || chr(10) || lead(x) OVER d || chr(10) || lead(x, 2) OVER d AS k
+  FROM t WHERE x != '' WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS rn FROM w WHERE k IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, unnest([i, i2, i3]) AS i FROM r WHERE rn > 1)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(a.text, '') END AS text, coalesce(a.n_lines, 0) AS n_lines, coalesce(a.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS text, count(*) AS n_lines, count(g.i) AS n_removed
+  FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY 1) a ON a.doc_id = d.doc_id
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_windows.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 @query("op9_url_filter", """
 WITH r(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 u AS (SELECT page_id, coalesce(regexp_extract(url, '^(?s:.)*?://((?s:.)*)$', 1), '') AS rest FROM pages),
