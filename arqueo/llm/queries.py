@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_windows, mcd_rules, packing, url_filter, warc
+from . import bpe, line_windows, mcd_rules, packing, rff_quality, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), digests=True)
 
 
+@query("op6_rff_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rff_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("id", "held_out", "score", "predicted").withColumnRenamed("id", "doc_id")
+
+
 @query("op7_line_windows", """
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
