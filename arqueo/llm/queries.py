@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_windows, mcd_rules, packing, rff_quality, url_filter, warc
+from . import bpe, line_windows, log_bilinear, mcd_rules, packing, rff_quality, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.convert_pages(table(spark, sf_dir, "pages")).drop("url")
 
 
+@query("op3_log_bilinear")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op4_mcd_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcd_rules.judge(table(spark, sf_dir, "documents")).select(
