@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +67,44 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     # every edge now goes from a node to the root of its component
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def streamed(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of a partition that is sorted by ``keys``, one at a time, whatever the batch borders."""
+    held: list[pd.DataFrame] = []
+    last = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        k = pdf[keys].to_numpy()
+        cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(pdf)]):
+            if last is not None and tuple(k[a]) != last:
+                yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+                held = []
+            held.append(pdf.iloc[a:b])
+            last = tuple(k[a])
+    if held:
+        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+
+
+def dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt out by ``keys`` and sorted, for :func:`streamed`."""
+    return df.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest place in the component of each of ``n`` places, from links a - b (few rounds of label passing)."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_windows, log_bilinear, mcd_rules, packing, rff_quality, url_filter, warc
+from . import bpe, chosen_path, line_windows, log_bilinear, mcd_rules, packing, rff_quality, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query("op8_chosen_path")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chosen_path.join_documents(table(spark, sf_dir, "documents"))
+    return out.select("id", "class_id", "n_links", "kept").withColumnRenamed("id", "doc_id")
+
+
 @query("op9_url_filter", """
 WITH r(h, p, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 u AS (SELECT page_id, coalesce(regexp_extract(url, '^(?s:.)*?://((?s:.)*)$', 1), '') AS rest FROM pages),
