@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chosen_path, line_windows, log_bilinear, mcd_rules, packing, rff_quality, url_filter, warc
+from . import bpe, chosen_path, cover_tree, line_windows, log_bilinear, mcd_rules, packing, rff_quality, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,23 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_cover_tree", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id != b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY 1),
+c AS (
+  WITH RECURSIVE r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+  SELECT a, least(a, min(b)) AS component FROM r GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_arc_to_warc", """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
