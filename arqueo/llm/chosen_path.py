@@ -286,7 +286,7 @@ def exact_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col: str
     k, m = own["key"], members["key"]
     same = k["id"].eqNullSafe(m["id"]) & (k["a"] == m["a"]) & (k["b"] == m["b"])
     # rows equal in id and text give the same set: one of them is enough
-    texts = own.join(members, same).select("component", "node", "copies", "blocks", word_hashes(F.col("t")).alias("w"))
+    texts = own.join(members.hint("merge"), same).select("component", "node", "copies", "blocks", word_hashes(F.col("t")).alias("w"))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

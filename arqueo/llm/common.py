@@ -40,6 +40,25 @@ def row_key(id_col: str | Column, text_col: str | Column) -> Column:
                     F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
+def fresh(taken: list[str], name: str) -> str:
+    """``name``, lengthened until it is no column of the caller's table."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` but for the rows whose :func:`row_key` is among ``keys`` (id, a, b).
+
+    Always a merge join: the keys grow with the documents, so that a broadcast would only hold while both are small.
+    """
+    names = {c: fresh(docs.columns, f"llm_{c}") for c in ("id", "a", "b")}
+    gone = keys.select(*(F.col(c).alias(n) for c, n in names.items()))
+    own = row_key(id_col, F.col(text_col).cast("string"))
+    same = F.col(id_col).eqNullSafe(F.col(names["id"])) & (own["a"] == F.col(names["a"])) & (own["b"] == F.col(names["b"]))
+    return docs.join(gone.hint("merge"), same, "left_anti")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components: (node, component), component being the smallest node; only nodes of ``edges``.
 
