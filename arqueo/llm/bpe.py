@@ -73,7 +73,6 @@ class WordBpe:
         self.words = regex.compile(split).findall
         self.space = regex.compile(r"\s+")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
-        self.mark = regex.compile("|".join(map(regex.escape, self.special))).search
 
     def word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
@@ -124,7 +123,7 @@ class WordBpe:
 
     def pieces(self, text: str) -> Iterator[tuple[bool, str]]:
         """(is special, part): specials are cut from the raw text, the rest is normalised."""
-        if self.mark(text) is None:
+        if not any(x in text for x in self.special):
             yield False, text
             return
         for i, part in enumerate(self.cut(text)):
@@ -182,7 +181,7 @@ class TextIds:
         self.cache = Cache(self._make)
 
     def _make(self, chunk: str) -> tuple[str, str]:
-        words = self.bpe.words(chunk)
+        words = [chunk] if chunk.isalpha() else self.bpe.words(chunk)  # letters only: one pre-token
         if len(words) > 1:
             a, b = zip(*map(self.cache.__getitem__, words))
             return " ".join(a), " ".join(b)
@@ -205,37 +204,40 @@ class TextIds:
 class TextBytes:
     """Whole texts to their ids as little-endian unsigned 32-bit numbers, one after another.
 
-    The unseen words of a batch of texts are merged side by side (:class:`Lockstep`).
+    The unseen words of a batch of texts are merged side by side (:class:`Lockstep`); what lies between spaces is
+    kept in a bounded cache of two generations.
     """
 
-    def __init__(self, bpe: WordBpe):
-        self.bpe = bpe
+    def __init__(self, bpe: WordBpe, limit: int = 2 * CACHE_WORDS):
+        self.bpe, self.limit = bpe, limit
         self.merged = Lockstep(bpe)
-        self.cache = Cache(self._make)
-
-    def _make(self, chunk: str) -> bytes:
-        words = self.bpe.words(chunk)
-        if len(words) > 1:
-            return b"".join(map(self.cache.__getitem__, words))
-        ids = self.bpe.word(words[0]) if words else []
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, fresh: set[str]) -> list[str]:
+        """Put every chunk of ``fresh`` into the cache; those that are too long to stay there."""
+        cache, old, words = self.cache, self.old, self.bpe.words
+        fresh -= cache.keys()
+        cache.update((c, old[c]) for c in fresh & old.keys())
+        fresh -= cache.keys()
+        whole = [c for c in fresh if c.isalpha()]  # letters only: one pre-token
+        parts = {c: words(c) for c in fresh.difference(whole)}
+        known = self.merged({*whole, *(w for p in parts.values() for w in p)})
+        cache.update((c, known[c]) for c in whole)
+        cache.update((c, b"".join([known[w] for w in p])) for c, p in parts.items())
+        return [c for c in fresh if len(c) > CACHE_LENGTH]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        bpe, cache = self.bpe, self.cache
+        bpe = self.bpe
+        if len(self.cache) > self.limit:
+            self.old, self.cache = self.cache, {}
         parts = [[(special, [part] if special else bpe.chunks(part)) for special, part in bpe.pieces(t)] for t in texts]
-        fresh: set[str] = set()
-        for row in parts:
-            for special, chunks in row:
-                if not special:
-                    fresh.update(chunks)
-        words: set[str] = set()
-        for chunk in fresh:
-            if chunk not in cache and chunk not in cache.old and len(chunk) <= CACHE_LENGTH:
-                words.update(bpe.words(chunk))
-        for word, ids in self.merged([w for w in words if w not in cache and w not in cache.old]):
-            cache.put(word, ids)
-        return [b"".join(struct.pack("<I", bpe.special[c[0]]) if special else b"".join(map(cache.__getitem__, c))
-                         for special, c in row) for row in parts]
+        long = self.learn(set().union(*(chunks for row in parts for special, chunks in row if not special)))
+        get = self.cache.__getitem__
+        out = [b"".join([struct.pack("<I", bpe.special[c[0]]) if special else b"".join(map(get, c)) for special, c in row]) for row in parts]
+        for c in long:
+            del self.cache[c]
+        return out
 
 
 class Lockstep:
@@ -262,16 +264,20 @@ class Lockstep:
         at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
         return np.where((self.key[at] == want) & (a >= 0) & (b >= 0), self.rank[at], self.none), at
 
-    def __call__(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        data = [(w, w.encode("utf-8")) for w in words]
-        for w, d in data:
+    def __call__(self, words: set[str]) -> dict[str, bytes]:
+        out, some = {}, {}
+        for w in words:
+            d = w.encode("utf-8")
             if len(d) > self.WIDTH:
-                yield w, struct.pack(f"<{len(i := self.bpe.word(w))}I", *i)
-        data = sorted((x for x in data if 0 < len(x[1]) <= self.WIDTH), key=lambda x: len(x[1]))
-        for lo in range(0, len(data), self.ROWS):
-            some = data[lo:lo + self.ROWS]
-            for (w, _), ids in zip(some, self.rows([d for _, d in some])):
-                yield w, ids
+                ids = self.bpe.word(w)
+                out[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                some[w] = d
+        order = sorted(some, key=lambda w: len(some[w]))
+        for lo in range(0, len(order), self.ROWS):
+            part = order[lo:lo + self.ROWS]
+            out.update(zip(part, self.rows([some[w] for w in part])))
+        return out
 
     def rows(self, data: list[bytes]) -> list[bytes]:
         n, width = len(data), max(map(len, data))

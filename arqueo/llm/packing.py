@@ -136,8 +136,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = text_bytes(tokenizer_path(vocabulary))
         for pdf in batches:
-            for lo in range(0, len(pdf), 500):
-                part = pdf.iloc[lo:lo + 500]
+            # some millions of characters at a time
+            size = pdf["text"].str.len().fillna(0).cumsum().to_numpy()
+            for _, part in pdf.groupby(size // 4_000_000, sort=False):
                 ids = encode.batch([x if isinstance(x, str) else "" for x in part["text"]])
                 rows = []
                 for doc, data in zip(part["id"], ids):
