@@ -210,7 +210,7 @@ def candidate_edges(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets at the places ``left`` with those at ``right``.
+    """Sizes of the intersections of the sets at the places ``left`` with those at ``right`` (undefined for a set with itself).
 
     Tokens in many sets go through matrix products, a slice at a time; those in few sets are paired off one by one.
     """
