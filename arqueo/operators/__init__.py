@@ -5,7 +5,7 @@ from .agg import (conditional_rows, distinct_values, group_having, group_min_max
 from .filters import (beyond, classify, codes, date_bound, dropna, fill0, flag_mismatch, front,  # noqa: F401
                       matches, negate, numeric_cols, only_diff, overwrite, prefix_columns, prefix_filter,
                       up_to, with_literals, years)
-from .joins import (anti, as_of_years, checked_small, concat_columns, enrich, full_detail,  # noqa: F401
+from .joins import (anti, as_of_years, concat_columns, enrich, full_detail,  # noqa: F401
                     having_semi, hierarchy, inner, lookup, natural_join, semi, star)
 from .netting import net_pending, net_pending_semi  # noqa: F401
 from .reconcile import match_vouchers, reconcile, subtract  # noqa: F401

@@ -1,22 +1,21 @@
 """Aggregations (A-01..A-12).
 
-Every aggregation is a hash aggregate with a partial (map-side) step, so a hot
-key is reduced inside each map task before the shuffle.
+Every aggregation has a partial (map-side) step, so a hot key is reduced inside
+each map task before the shuffle.  Sums are hash aggregates; minima of structs
+and texts plan as sort aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import drop_null_keys as _drop_null_keys, sum0
 from ..functions.scalars import month_start, safe_percent
 from .filters import classify_expr, numeric_cols, row_total_expr
 
-MAX_PIVOT_VALUES = 1_000
-
 
 def _measures(measures: Sequence[str] | Mapping[str, str | Column]) -> dict[str, str | Column]:
     if isinstance(measures, Mapping):
@@ -57,25 +56,20 @@ def group_min_max(df: DataFrame, keys: Sequence[str], mins: Mapping[str, str] |
     return _drop(df, keys).groupBy(*keys).agg(*aggs)
 
 
-def pivot_values(df: DataFrame, pivot_col: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    """Distinct pivot values (the one list the engine collects), bounded."""
-    vals = [r[0] for r in df.select(pivot_col).filter(F.col(pivot_col).isNotNull()).distinct().limit(limit + 1)
-            .collect()]
-    if len(vals) > limit:
-        raise ValueError(f"pivot on {pivot_col!r} has more than {limit} values; pass them explicitly")
-    return sorted(vals)
-
-
 def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, value: str, values: Sequence | None = None,
               fill: bool = True, total: str | None = None) -> DataFrame:
     """A-04 (+A-05): pivot-sum with 0 fill and an optional row total.
 
-    Passing ``values`` avoids the extra job that discovers them.  The pivot is
-    written as conditional sums, so it is one hash aggregate.
+    ``values`` names the columns of the wide form, written as conditional sums,
+    so it is one hash aggregate.  Without them the result is the long form
+    (keys, pivot column, value): a header is never read from the data.
     """
     keys = list(keys)
-    values = pivot_values(df, pivot_col) if values is None else list(values)
     src = _drop(df, keys)
+    if values is None:
+        out = group_sum(src.filter(F.col(pivot_col).isNotNull()), [*keys, pivot_col], [value])
+        return out.withColumn(total, F.sum(value).over(Window.partitionBy(*keys))) if total else out
+    values = list(values)
     aggs = []
     for v in values:
         s = F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col(value)))

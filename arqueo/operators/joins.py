@@ -1,15 +1,13 @@
 """Joins (J-01..J-16).
 
-Broadcast is only used behind a measured size: :func:`checked_small` runs one
-small aggregate over the candidate side (row count and key multiplicity) and
-returns a broadcast hint only when the count is under the bound; otherwise
-the join stays a shuffle join and AQE decides at run time.
+No join carries a broadcast hint: Spark broadcasts a side by its size in bytes,
+known from files or measured at run time, and shuffles otherwise.  That lookup
+keys are unique is asserted inside the plan, without a job of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,53 +15,31 @@ from pyspark.sql import functions as F
 
 from .agg import group_sum
 
-# Largest side we ever broadcast on purpose (rows).  Code maps and year lists
-# are a few hundred rows; anything beyond this bound is joined by shuffle.
-MAX_BROADCAST_ROWS = 200_000
-
-
-@dataclass(frozen=True)
-class SideStats:
-    rows: int
-    distinct_keys: int
-    max_multiplicity: int
-
-
-def side_stats(df: DataFrame, keys: Sequence[str] | None = None) -> SideStats:
-    """Row count, distinct keys and largest key multiplicity in one small job."""
-    if not keys:
-        n = df.count()
-        return SideStats(n, n, 1)
-    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-         .agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.max("_n").alias("mult"))
-         .first())
-    return SideStats(int(r["rows"] or 0), int(r["keys"] or 0), int(r["mult"] or 0))
-
-
-def checked_small(df: DataFrame, keys: Sequence[str] | None = None, max_rows: int = MAX_BROADCAST_ROWS,
-                  require_unique: bool = False) -> tuple[DataFrame, SideStats]:
-    """Broadcast-hint ``df`` only when its measured row count is within ``max_rows``."""
-    st = side_stats(df, keys)
-    if require_unique and st.max_multiplicity > 1:
-        raise ValueError(f"lookup keys {list(keys or [])} are not unique (a key repeats {st.max_multiplicity}x); "
-                         "a join against it would multiply rows")
-    return (F.broadcast(df) if st.rows <= max_rows else df), st
-
-
 def _eq(a: Column, b: Column, null_safe: bool) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 
 
+def unique_map(map_df: DataFrame, map_key: str, map_val: str, key: str = "_lk_key", val: str = "_lk_val") -> DataFrame:
+    """(key, val) with one row per non-NULL key; a key that repeats fails the job that reads it."""
+    m = (map_df.filter(F.col(map_key).isNotNull()).groupBy(F.col(map_key).alias(key))
+         .agg(F.min(map_val).alias(val), F.count(F.lit(1)).alias("_n")))
+    message = F.concat(F.lit(f"lookup key {map_key} is not unique: "), F.col(key).cast("string"), F.lit(" repeats "),
+                       F.col("_n").cast("string"), F.lit(" times; a join against it would multiply rows"))
+    return m.select(key, F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(val)).alias(val))
+
+
 def lookup(df: DataFrame, map_df: DataFrame, left_col: str, map_key: str, map_val: str, out: str | None = None,
-           replace: bool = True, check_unique: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           replace: bool = True, check_unique: bool = True) -> DataFrame:
     """J-01: map a code through a lookup; unmatched codes become NULL.
 
     Map rows with a NULL key are ignored (a NULL code is never looked up) and
     map keys must be unique, so the join can never multiply rows.
     """
-    m = (map_df.select(F.col(map_key).alias("_lk_key"), F.col(map_val).alias("_lk_val"))
-         .filter(F.col("_lk_key").isNotNull()))
-    m, _ = checked_small(m, ["_lk_key"], max_broadcast_rows, require_unique=check_unique)
+    if check_unique:
+        m = unique_map(map_df, map_key, map_val)
+    else:
+        m = (map_df.select(F.col(map_key).alias("_lk_key"), F.col(map_val).alias("_lk_val"))
+             .filter(F.col("_lk_key").isNotNull()))
     j = df.join(m, df[left_col] == m["_lk_key"], "left")
     target = left_col if replace else (out or map_val)
     if replace:
@@ -72,24 +48,22 @@ def lookup(df: DataFrame, map_df: DataFrame, left_col: str, map_key: str, map_va
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], cols: Sequence[str] | None = None,
-           how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
-    """J-02: left enrichment by key.  ``max_broadcast_rows`` turns on the checked broadcast."""
+           how: str = "left") -> DataFrame:
+    """J-02: left enrichment by key."""
     on = [on] if isinstance(on, str) else list(on)
     if cols is not None:
         dim = dim.select(*on, *[c for c in cols if c not in on])
-    if max_broadcast_rows:
-        dim, _ = checked_small(dim, None, max_broadcast_rows)
     return df.join(dim, on=on, how=how)
 
 
-def hierarchy(levels: Sequence[tuple[DataFrame, Sequence[str]]], max_broadcast_rows: int | None = None) -> DataFrame:
+def hierarchy(levels: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """J-03: chain level n -> n-1 -> ... by successive left joins.
 
     ``levels[0]`` is the leaf frame; each further item is ``(parent, keys)``.
     """
     out = levels[0][0]
     for parent, keys in levels[1:]:
-        out = enrich(out, parent, keys, max_broadcast_rows=max_broadcast_rows)
+        out = enrich(out, parent, keys)
     return out
 
 
@@ -135,20 +109,26 @@ def having_semi(df: DataFrame, keys: Sequence[str], measure: str, cond) -> DataF
     return semi(df, g.filter(cond(F.col("_having"))), keys)
 
 
-def as_of_years(df: DataFrame, years: Sequence[str], year_col: str = "ejercicio", out: str = "hasta",
+def as_of_years(df: DataFrame, years: Sequence[str] | Column, year_col: str = "ejercicio", out: str = "hasta",
                 strict: bool = False) -> DataFrame:
     """J-12 (and U-04, the union of per-year results): repeat each row for every
     requested year Y with ``year <= Y``.
 
-    The year list is a parameter (bounded), so the expansion is a narrow
-    ``explode`` of a literal array: no join and no shuffle.  Aggregate the
-    input to (group, year) first so the expansion multiplies few rows.
+    The years are a list, or an array column such as :func:`years_present`, so
+    the expansion is a narrow ``explode``: no join and no shuffle.  Aggregate
+    the input to (group, year) first so the expansion multiplies few rows.
     """
-    ys = sorted({int(y) for y in years})
-    arr = F.array(*[F.lit(y) for y in ys])
+    arr = years if isinstance(years, Column) else F.array(*[F.lit(y) for y in sorted({int(y) for y in years})])
     y = F.col(year_col).cast("int")
-    keep = F.filter(arr, (lambda v: v > y) if strict else (lambda v: v >= y))
-    return df.withColumn(out, F.explode(keep)).withColumn(out, F.col(out).cast("string"))
+    df = df.withColumn("_ys", arr)
+    keep = F.filter(F.col("_ys"), (lambda v: v > y) if strict else (lambda v: v >= y))
+    return df.withColumn(out, F.explode(keep)).withColumn(out, F.col(out).cast("string")).drop("_ys")
+
+
+def years_present(df: DataFrame, last_n: int | None = None, year_col: str = "ejercicio") -> Column:
+    """The distinct years of ``df`` (the ``last_n`` most recent), newest first, as a scalar subquery: no job of its own."""
+    ys = F.sort_array(F.collect_set(F.col(year_col).cast("int")), asc=False)
+    return df.agg((F.slice(ys, 1, int(last_n)) if last_n else ys).alias("_ys")).scalar()
 
 
 def concat_columns(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Sort, limit and top-k (T-01..T-04).
 
-Top-N keys are at most N rows, so they are the one side broadcast without a
-measurement: the size bound is the parameter ``n`` itself.
+The side with the top N keys has at most N rows; joins leave the choice of a
+broadcast to the byte threshold and run-time statistics.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import drop_null_keys, sum0
 
-MAX_TOP_N = 10_000
-
 
 def sort_out(df: DataFrame, cols: Sequence[str], ascending: bool | Sequence[bool] = True) -> DataFrame:
     """T-01: multi-key sort with mixed directions (only at the output edge)."""
@@ -28,8 +26,8 @@ def top_n(df: DataFrame, n: int, by: Sequence[str], ascending: bool | Sequence[b
 
 
 def _check_n(n: int) -> int:
-    if not 0 < int(n) <= MAX_TOP_N:
-        raise ValueError(f"top-n size must be in 1..{MAX_TOP_N}")
+    if int(n) <= 0:
+        raise ValueError("top-n size must be positive")
     return int(n)
 
 
@@ -51,7 +49,7 @@ def top_n_other(df: DataFrame, n: int, key: str, value: str, part: Sequence[str]
     """
     part = list(part)
     keys = top_keys(base if base is not None else df, n, key, value, absolute).withColumn("_top", F.lit(True))
-    d = df.join(F.broadcast(keys), on=key, how="left")
+    d = df.join(keys, on=key, how="left")
     in_top = F.coalesce(F.col("_top"), F.lit(False))
     d = d.withColumn(key, F.when(in_top, F.col(key)).otherwise(F.lit(other_label)))
     extra = {}
@@ -67,4 +65,4 @@ def recent_years(df: DataFrame, n: int, year_col: str = "ejercicio") -> DataFram
     n = _check_n(n)
     ys = (df.select(F.col(year_col)).filter(F.col(year_col).isNotNull()).distinct()
           .orderBy(F.col(year_col).cast("int").desc()).limit(n))
-    return df.join(F.broadcast(ys), on=year_col, how="left_semi")
+    return df.join(ys, on=year_col, how="left_semi")

@@ -8,7 +8,11 @@ No operator here sorts a whole raw group inside one task:
   ``row_number`` over a possibly hot key;
 * forward fill is a blocked prefix scan: a window per (group, block of rows),
   then a window over the per-block summaries, then a join back;
-* shares divide by a group total computed by aggregation and joined back.
+* shares divide by a group total computed by aggregation and joined back;
+* ranks and running totals range-partition the rows once, write them with
+  their partition number and work from the written table: a range exchange
+  samples its boundaries anew each time it runs, so rows and per-partition
+  totals must come from one run of it.
 """
 
 from __future__ import annotations
@@ -20,15 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import drop_null_keys, sum0
+from ..session import materialize
 
 FILL_BLOCK_ROWS = 1 << 16
-# Largest input a single window task may sort whole (rows, measured).
-ONE_TASK_ROWS = 1_000_000
-
-
-def _fits_one_task(df: DataFrame, bound: int = ONE_TASK_ROWS) -> bool:
-    """True when ``df`` provably has at most ``bound`` rows (a bounded count)."""
-    return df.limit(bound + 1).count() <= bound
 
 
 def _null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,9 +63,10 @@ def cumulative(df: DataFrame, order: Sequence[str], value: str, part: Sequence[s
     """W-02: running total in ``order`` within ``part``; rows with equal order
     keys share one running value (their sum is taken together).
 
-    Default: range-partition on (part, order), running sums inside each range
-    partition (equal keys never straddle two partitions), plus each part's
-    total of the earlier partitions, so no window holds a whole group.
+    Default: range-partition on (part, order) and write the rows (a job of its
+    own), running sums inside each range partition (equal keys never straddle
+    two partitions), plus each part's total of the earlier partitions, so no
+    window holds a whole group.
     ``presummed=True`` is for small results with one row per (part, order),
     such as a monthly reconciliation: one window, no extra job.
     ``order_expr`` orders the keys when their text order is not the right one.
@@ -80,7 +79,7 @@ def cumulative(df: DataFrame, order: Sequence[str], value: str, part: Sequence[s
         w = Window.partitionBy(*part).orderBy(*ok)  # default frame: RANGE unbounded preceding .. current row
         return df.withColumn(out, F.sum(v).over(w))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *[F.col(c) for c in part], *ok).withColumn("_pid", F.spark_partition_id())
+    r = materialize(df.repartitionByRange(n, *[F.col(c) for c in part], *ok).withColumn("_pid", F.spark_partition_id()), "ranges")
     r = r.withColumn("_lc", F.sum(v).over(Window.partitionBy("_pid", *part).orderBy(*ok)))
     tot = r.groupBy("_pid", *part).agg(F.sum(v).alias("_t"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -176,18 +175,16 @@ def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool
     (ties ordered by ``tie_break``).
 
     ``method='range'`` (default) never holds a whole group in one task: rows
-    are range-partitioned on (part, value, tie-break), numbered inside each
-    (range partition, part), and shifted by the count of the same part in the
-    earlier range partitions (a prefix sum over per-partition counts, at most
-    partitions x parts rows).  ``method='window'`` is one window per part, for
-    small aggregated inputs.  ``method='auto'`` measures the input with a
-    bounded count and uses the window only when it has at most
-    ``ONE_TASK_ROWS`` rows (the count recomputes the input, so it pays only
-    when the input is cheap to produce).
+    are range-partitioned on (part, value, tie-break) and written (a job of its
+    own), numbered inside each (range partition, part), and shifted by the
+    count of the same part in the earlier range partitions (a prefix sum over
+    per-partition counts, at most partitions x parts rows).
+    ``method='window'`` is one window per part, for results that are small by
+    their nature, such as one row per reason.
     """
     part, tie = list(part), list(tie_break)
-    if method == "auto":
-        method = "window" if _fits_one_task(df) else "range"
+    if method not in ("range", "window"):
+        raise ValueError(f"method must be 'range' or 'window', not {method!r}")
     d = df.withColumn("_rv", F.abs(F.col(value)) if absolute else F.col(value))
     order = [F.col(c).asc_nulls_first() for c in part] + [F.col("_rv").desc_nulls_last()] + \
             [F.col(c).asc_nulls_first() for c in tie]
@@ -196,7 +193,7 @@ def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool
         w = Window.partitionBy(*part).orderBy(*local_order)
         return d.withColumn(out, F.row_number().over(w)).drop("_rv")
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = d.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    r = materialize(d.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranges")
     r = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", *part).orderBy(*local_order)))
     counts = r.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

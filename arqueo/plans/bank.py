@@ -92,8 +92,7 @@ def gap_explained(ledger_vs_bank: DataFrame, controls: Mapping[str, tuple[DataFr
 
 def bank_with_imputation_type(bank: DataFrame, codes: DataFrame) -> DataFrame:
     """D-SRC15: bank movements with the type of their imputation code."""
-    return op.enrich(bank, codes.select("cod_imputacion", "tipo"), "cod_imputacion",
-                     max_broadcast_rows=op.joins.MAX_BROADCAST_ROWS)
+    return op.enrich(bank, codes.select("cod_imputacion", "tipo"), "cod_imputacion")
 
 
 def ledger_bank_without_advances(book: DataFrame, advance_type: str = "PAP") -> DataFrame:

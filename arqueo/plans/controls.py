@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import operators as op
@@ -104,41 +104,66 @@ def revenue_vs_deposits(revenue: DataFrame, deposits: DataFrame, keys: Sequence[
 VOUCHER_ATTRS = ("tipo", "fuente", "mes", "cta_cte", "cuit", "partida")
 
 
+def _first_attrs(attrs: Sequence[str], when=None):
+    """The first row's attributes (ascending, NULLs last), as a struct to aggregate with ``min``."""
+    s = F.struct(*[e for a in attrs for e in (F.col(a).isNull().alias(f"n_{a}"), F.col(a).alias(a))])
+    return F.min(s if when is None else F.when(when, s))
+
+
 def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
                     attrs: Sequence[str] = VOUCHER_ATTRS) -> DataFrame:
-    """D-IV2: ledger vouchers vs works loads, full outer on (year, voucher).
+    """D-IV2: ledger vouchers vs works loads by (year, voucher), line against line.
 
     Ledger: a regularisation (``REG``) without fund number counts as ``CYO``.
-    Loads: advances (``PA6``) are left out.  The ledger side is one row per
-    voucher (amounts summed, attributes of its first row), so the join is
-    one-to-many and never pairs lines.  A flag is raised for every attribute
-    present on both sides that differs (NULL on either side counts), and for
-    amounts (missing = 0) more than ``tol`` apart; rows with any flag are kept.
+    Loads: advances (``PA6``) are left out.  Both sides are summed per (year,
+    voucher, budget line); lines present on both sides face each other, the
+    others of a voucher are paired in order of line, and what is left stands
+    alone.  It is all aggregation: no line is joined to another.  A flag is
+    raised for every attribute present on both sides that differs (NULL on
+    either side counts), and for amounts (missing = 0) more than ``tol``
+    apart; rows with any flag are kept.
     """
-    keys = ["ejercicio", "nro_comprobante"]
     lg = ledger
     if "clase_reg" in lg.columns:
         fondo = F.col("nro_fondo").isNull() if "nro_fondo" in lg.columns else F.lit(True)
-        lg = lg.withColumn("clase_reg", F.when((F.col("clase_reg") == K.WORKS_REGULARISATION_TYPE) & fondo,
-                                               F.lit("CYO")).otherwise(F.col("clase_reg")))
-        lg = lg.withColumnRenamed("tipo", "_tipo_orig") if "tipo" in lg.columns else lg
-        lg = lg.withColumnRenamed("clase_reg", "tipo")
-    la = [a for a in attrs if a in lg.columns]
-    first = F.struct(*[e for i, a in enumerate(la) for e in (F.col(a).isNull().alias(f"n{i}"), F.col(a).alias(a))])
-    lg = lg.groupBy(*keys).agg(F.sum("importe").alias("importe"), F.min(first).alias("_a"))
-    lg = lg.select(F.col("ejercicio").alias("siif_ejercicio"), F.col("nro_comprobante").alias("siif_nro"),
-                   F.col("importe").alias("siif_importe"), *[F.col("_a").getField(a).alias("siif_" + a) for a in la])
+        lg = lg.withColumn("tipo", F.when((F.col("clase_reg") == K.WORKS_REGULARISATION_TYPE) & fondo,
+                                          F.lit("CYO")).otherwise(F.col("clase_reg")))
     ic = loads.filter(not_in_keep_null("tipo", [K.WORKS_ADVANCE_TYPE]))
-    ia = [a for a in attrs if a in ic.columns]
-    ic = ic.select(F.col("ejercicio").alias("icaro_ejercicio"), F.col("nro_comprobante").alias("icaro_nro"),
-                   F.col("importe").alias("icaro_importe"), *[F.col(a).alias("icaro_" + a) for a in ia])
-    m = op.match_vouchers(lg, ic, [("siif_ejercicio", "icaro_ejercicio"), ("siif_nro", "icaro_nro")],
-                          coalesce={"ejercicio": ("siif_ejercicio", "icaro_ejercicio")})
-    m = m.fillna(0, subset=["siif_importe", "icaro_importe"])
+    la, ia = ([a for a in attrs if a in d.columns] for d in (lg, ic))
+    voucher = ["ejercicio", "nro_comprobante"]
+
+    def side(d: DataFrame, name: str, own: Sequence[str]) -> DataFrame:
+        line = F.col("partida").cast("string") if "partida" in d.columns else F.lit(None).cast("string")
+        d = d.select(*voucher, line.alias("_line"), F.lit(name).alias("_side"), F.col("importe").alias("importe"),
+                     *[F.col(a).cast("string").alias(a) for a in own])
+        return d
+
+    lines = op.union_all(side(lg, "siif", la), side(ic, "icaro", ia))
+    every = [a for a in attrs if a in la or a in ia]
+
+    def both(per: dict) -> list:
+        return [f(name, F.col("_side") == name).alias(f"{name}_{out}") for name in ("siif", "icaro")
+                for out, f in per.items()]
+
+    per_line = {"n": lambda s, w: F.count(F.when(w, 1)), "importe": lambda s, w: F.sum(F.when(w, F.col("importe"))),
+                "a": lambda s, w: _first_attrs(every, w)}
+    by_line = lines.groupBy(*voucher, "_line").agg(*both(per_line))
+    # lines of one side only are numbered inside their voucher and side, so that they pair off in order
+    alone = F.when(F.col("siif_n") == 0, F.lit("icaro")).when(F.col("icaro_n") == 0, F.lit("siif")).otherwise(F.lit("both"))
+    by_line = by_line.withColumn("_alone", alone)
+    rank = F.row_number().over(Window.partitionBy(*voucher, "_alone").orderBy("_line"))
+    by_line = by_line.withColumn("_slot", F.when(F.col("_alone") == "both", F.concat(F.lit("="), F.coalesce("_line", F.lit(""))))
+                                 .otherwise(rank.cast("string")))
+    m = by_line.groupBy(*voucher, "_slot").agg(*[f(f"{n}_{c}").alias(f"{n}_{c}") for n in ("siif", "icaro")
+                                                 for c, f in (("n", F.sum), ("importe", F.sum), ("a", F.min))])
+    out = m.select("ejercicio", *[x for n, own in (("siif", la), ("icaro", ia)) for x in (
+        F.when(F.col(f"{n}_n") > 0, F.col("nro_comprobante")).alias(f"{n}_nro"),
+        F.coalesce(F.col(f"{n}_importe"), F.lit(0)).alias(f"{n}_importe"),
+        *[F.col(f"{n}_a").getField(a).alias(f"{n}_{a}") for a in own])])
     pairs = {"err_nro": ("siif_nro", "icaro_nro")}
     pairs.update({f"err_{a}": (f"siif_{a}", f"icaro_{a}") for a in attrs if a in la and a in ia})
     pairs["err_importe"] = ("siif_importe", "icaro_importe", tol)
-    return op.flag_mismatch(m, pairs)
+    return op.flag_mismatch(out, pairs)
 
 
 def revenue_vs_deposits_by_group(revenue: DataFrame, deposits: DataFrame,
@@ -189,8 +214,8 @@ def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFr
     vouchers, against advance loads and regularisation loads.
 
     funds LEFT JOIN ledger REG vouchers (year, fund number) FULL JOIN advance
-    loads (fund number) LEFT JOIN regularisation loads (year, voucher).  The
-    load sides are summed per voucher first, so every join is one-to-many.
+    loads (fund number) LEFT JOIN regularisation loads (year, voucher).  Ledger
+    lines and load lines are both summed per voucher first, so like faces like.
     Missing values compare equal (the original filled everything with 0);
     amounts differ beyond ``tol``.  Sorted by severity of the flags.
     """
@@ -198,11 +223,14 @@ def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFr
     f = fund_summary.select("ejercicio", voucher_number("nro_fondo", "ejercicio").alias("siif_nro_fondo"),
                             F.col("mes").alias("siif_mes_pa6"), F.col("ingresos").alias("siif_importe_pa6"),
                             F.col("saldo").alias("siif_saldo_pa6"))
-    g = vouchers.filter(F.col("clase_reg") == K.WORKS_REGULARISATION_TYPE).select(
+    ga = ("mes", "clase_reg", "fuente", "cta_cte", "cuit")
+    g = vouchers.filter(F.col("clase_reg") == K.WORKS_REGULARISATION_TYPE).groupBy(
         "ejercicio", voucher_number("nro_fondo", "ejercicio").alias("siif_nro_fondo"),
-        F.col("nro_comprobante").alias("siif_nro_reg"), F.col("importe").alias("siif_importe_reg"),
-        F.col("mes").alias("siif_mes_reg"), F.col("clase_reg").alias("siif_tipo"),
-        F.col("fuente").alias("siif_fuente"), F.col("cta_cte").alias("siif_cta_cte"), F.col("cuit").alias("siif_cuit"))
+        F.col("nro_comprobante").alias("siif_nro_reg")).agg(F.sum("importe").alias("siif_importe_reg"),
+                                                            _first_attrs(ga).alias("_g"))
+    g = g.select("ejercicio", "siif_nro_fondo", "siif_nro_reg", "siif_importe_reg",
+                 *[F.col("_g").getField(c).alias(n) for c, n in zip(ga, (
+                     "siif_mes_reg", "siif_tipo", "siif_fuente", "siif_cta_cte", "siif_cuit"))])
     df = f.join(g, on=["ejercicio", "siif_nro_fondo"], how="left")
     pa6 = loads.filter(F.col("tipo") == K.WORKS_ADVANCE_TYPE).groupBy("nro_comprobante").agg(
         F.min("mes").alias("icaro_mes_pa6"), F.sum("importe").alias("icaro_importe_pa6")) \

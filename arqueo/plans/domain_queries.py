@@ -104,7 +104,8 @@ def d_eo5(spark, d):
 
 @query("d_eo6", _eo_sql(["actividad", "partida", "fuente"], 2000, ["1999", "2000", "2001"]))
 def d_eo6(spark, d):
-    return fin(works.works_report(V(spark, d, "works"), ["actividad", "partida", "fuente"], "2000", last_n=3))
+    return fin(works.works_report(V(spark, d, "works"), ["actividad", "partida", "fuente"], "2000",
+                                  pivot_years=["1999", "2000", "2001"]))
 
 
 @query("d_eo7", """
@@ -133,15 +134,76 @@ def d_eo7(spark, d):
     return fin(works.works_ledger_for_accounting(V(spark, d, "works"), ["actividad", "partida"], from_year=None))
 
 
-@query("d_eo8", """
-SELECT * FROM (
-  SELECT conv_id, turn, role,
-         last_value(heading_turn IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading_turn
-  FROM headings) WHERE role <> 'user'""")
+def _sheet(spark, d):
+    """Opening sheet: orders as rows; some are programme headings, some project headings, the rest balances."""
+    k = F.col("o_orderkey")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    program, work = F.floor(k / 64) % 7, k % 8
+    o = V(spark, d, "orders_raw").withColumns({
+        "prog": two(program), "subprog": F.lit("00"), "proy": F.when(k % 64 >= 4, two(F.floor(k / 8) % 8)),
+        "obra": F.when((k % 64 >= 4) & (work >= 1), two(work))})
+    act = F.concat_ws("-", "prog", "subprog", "proy", "obra")
+    line = F.when(k % 2 == 0, "421").otherwise("422")
+    detail = F.col("obra").isNotNull()
+    return o.select(k.alias("row_no"), "prog", "subprog", "proy", "obra", F.col("o_orderpriority").alias("descripcion"),
+                    F.when(detail, F.concat_ws("-", act, line)).alias("estructura"), F.when(detail, act).alias("actividad"),
+                    F.when(detail, line).alias("partida"), F.when(detail, F.lit("2008")).alias("alta"),
+                    F.when(detail, F.col("o_totalprice").cast("decimal(18,2)")).alias("acum_2008"))
+
+
+SHEET_SQL = """
+k AS (SELECT o_orderkey AS row_no, o_orderpriority AS descripcion, CAST(o_totalprice AS DECIMAL(18,2)) AS price, '00' AS subprog,
+             lpad(CAST((o_orderkey // 64) % 7 AS VARCHAR), 2, '0') AS prog,
+             CASE WHEN o_orderkey % 64 >= 4 THEN lpad(CAST((o_orderkey // 8) % 8 AS VARCHAR), 2, '0') END AS proy,
+             CASE WHEN o_orderkey % 64 >= 4 AND o_orderkey % 8 >= 1 THEN lpad(CAST(o_orderkey % 8 AS VARCHAR), 2, '0') END AS obra,
+             CASE WHEN o_orderkey % 2 = 0 THEN '421' ELSE '422' END AS line FROM orders),
+h AS (SELECT *, CASE WHEN proy IS NULL THEN prog || ' - ' || descripcion END AS hp, CASE WHEN obra IS NULL THEN proy || ' - ' || descripcion END AS hy FROM k),
+fl AS (SELECT *, last_value(hp IGNORE NULLS) OVER w AS desc_prog, last_value(hy IGNORE NULLS) OVER w AS desc_proy
+       FROM h WINDOW w AS (ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ob AS (SELECT desc_prog, subprog || ' - --' AS desc_subprog, desc_proy, obra || ' - ' || descripcion AS desc_act,
+              prog || '-00-' || proy || '-' || obra AS actividad, line AS partida, prog || '-00-' || proy || '-' || obra || '-' || line AS estructura,
+              '2008' AS alta, price AS acum_2008 FROM fl WHERE obra IS NOT NULL)"""
+
+
+@query("d_eo8", f"""
+WITH {SHEET_SQL}
+SELECT * REPLACE (CAST(acum_2008 AS DOUBLE) AS acum_2008) FROM ob""")
 def d_eo8(spark, d):
-    return works.opening_balances(V(spark, d, "headings"), ["heading_turn"], "turn", ["conv_id"],
-                                  detail=F.col("role") != "user")
+    return fin(works.opening_balances(_sheet(spark, d)))
+
+
+@query("d_eo7_opening", f"""
+WITH {SHEET_SQL},
+ld AS (SELECT DISTINCT actividad || '-' || partida AS e, actividad FROM works),
+wk AS (SELECT lpad(CAST(CAST(obra AS BIGINT) % 7 AS VARCHAR), 2, '0') || '-00-' || lpad(CAST(CAST(obra AS BIGINT) % 8 AS VARCHAR), 2, '0') || '-01' AS actividad,
+              CASE WHEN partida = 'A' THEN '421' ELSE '422' END AS partida, obra, ejercicio, importe, avance, 'work ' || partida AS desc_act FROM works),
+ref AS (SELECT actividad || '-' || partida AS estructura, min(desc_act) AS desc_act FROM wk GROUP BY 1),
+op AS (SELECT ob.actividad, ob.partida, ob.desc_act AS obra, '2008' AS ejercicio, ob.acum_2008 AS importe, 1.0 AS avance,
+              CASE WHEN ref.estructura IS NULL THEN ob.desc_act ELSE ref.desc_act END AS desc_act
+       FROM ob LEFT JOIN ref USING (estructura)),
+al AS (SELECT actividad, partida, obra, ejercicio, importe, avance, desc_act FROM wk UNION ALL SELECT actividad, partida, obra, ejercicio, importe, avance, desc_act FROM op),
+dd AS (SELECT desc_act, actividad, partida, obra, CAST(ejercicio AS INTEGER) AS y, sum(importe) AS s, max(avance) AS mx FROM al
+       WHERE desc_act IS NOT NULL AND actividad IS NOT NULL AND partida IS NOT NULL AND ejercicio IS NOT NULL GROUP BY ALL),
+ys AS (SELECT DISTINCT y AS h FROM dd),
+wy AS (SELECT obra, y, max(mx) AS mx FROM dd GROUP BY ALL),
+wf AS (SELECT obra, h, max(mx) AS le, max(CASE WHEN y < h THEN mx END) AS lt FROM wy JOIN ys ON y <= h GROUP BY ALL),
+a AS (SELECT desc_act, actividad, partida, dd_h AS h, sum(s) AS acum, coalesce(sum(CASE WHEN y = dd_h THEN s END), 0) AS ejecucion,
+             coalesce(sum(CASE WHEN le < 1 THEN s END), 0) AS en_curso, coalesce(sum(CASE WHEN y < dd_h AND lt = 1 THEN s END), 0) AS terminadas_ant
+      FROM (SELECT dd.*, ys.h AS dd_h, wf.le, wf.lt FROM dd JOIN ys ON dd.y <= ys.h LEFT JOIN wf ON wf.obra = dd.obra AND wf.h = ys.h) GROUP BY ALL),
+fy AS (SELECT desc_act, actividad, partida, CAST(min(y) AS VARCHAR) AS alta FROM dd GROUP BY ALL)
+SELECT a.desc_act, a.actividad || '-' || a.partida AS estructura, alta, CAST(h AS VARCHAR) AS ejercicio, CAST(acum AS DOUBLE) AS acum,
+       CAST(en_curso AS DOUBLE) AS en_curso, CAST(terminadas_ant AS DOUBLE) AS terminadas_ant, CAST(ejecucion AS DOUBLE) AS ejecucion,
+       CAST(acum - en_curso - terminadas_ant AS DOUBLE) AS terminadas_actual
+FROM a JOIN fy USING (desc_act, actividad, partida)""")
+def d_eo7_opening(spark, d):
+    """The 2008 opening sheet (D-EO8) through the as-of-year report."""
+    code = lambda m: F.lpad((F.col("obra").cast("long") % m).cast("string"), 2, "0")
+    w = V(spark, d, "works").select(
+        F.concat_ws("-", code(7), F.lit("00"), code(8), F.lit("01")).alias("actividad"),
+        F.when(F.col("partida") == "A", "421").otherwise("422").alias("partida"), "obra", "ejercicio", "importe", "avance",
+        F.concat(F.lit("work "), "partida").alias("desc_act"))
+    return fin(works.works_ledger_for_accounting(w, ["desc_act", "actividad", "partida"], from_year=None,
+                                                 opening=works.opening_balances(_sheet(spark, d))))
 
 
 # ---------------------------------------------------------------- netting views (D-NET3, D-NET4)
@@ -238,31 +300,75 @@ def d_sg1(spark, d):
     return fin(controls.payments_vs_bank(V(spark, d, "payments"), V(spark, d, "bank")))
 
 
-@query("d_iv2", """
-WITH lg AS (SELECT ejercicio AS siif_ejercicio, nro_comprobante AS siif_nro, siif_importe, mes AS siif_mes,
-                   cta_cte AS siif_cta_cte, cuit AS siif_cuit FROM (
-              SELECT *, sum(importe_bruto) OVER (PARTITION BY ejercicio, nro_comprobante) AS siif_importe,
-                     row_number() OVER (PARTITION BY ejercicio, nro_comprobante ORDER BY mes ASC NULLS LAST,
-                         cta_cte ASC NULLS LAST, cuit ASC NULLS LAST) AS rn FROM payments) WHERE rn = 1),
-     ic AS (SELECT ejercicio AS icaro_ejercicio, nro_comprobante AS icaro_nro, importe AS icaro_importe,
-                   tipo AS icaro_tipo, fuente AS icaro_fuente, mes AS icaro_mes, cta_cte AS icaro_cta_cte,
-                   cuit AS icaro_cuit FROM loads WHERE tipo IS DISTINCT FROM 'PA6'),
-     m AS (SELECT * FROM lg FULL JOIN ic ON siif_ejercicio = icaro_ejercicio AND siif_nro = icaro_nro),
-     f AS (SELECT *, coalesce(siif_ejercicio, icaro_ejercicio) AS ejercicio,
-                  coalesce(siif_nro <> icaro_nro, true) AS err_nro,
-                  coalesce(siif_mes <> icaro_mes, true) AS err_mes,
-                  coalesce(siif_cta_cte <> icaro_cta_cte, true) AS err_cta_cte,
-                  coalesce(siif_cuit <> icaro_cuit, true) AS err_cuit,
-                  abs(coalesce(siif_importe, 0) - coalesce(icaro_importe, 0)) > 0.1 AS err_importe FROM m)
-SELECT ejercicio, siif_nro, icaro_nro, icaro_tipo, CAST(coalesce(siif_importe, 0) AS DOUBLE) AS siif_importe,
-       CAST(coalesce(icaro_importe, 0) AS DOUBLE) AS icaro_importe, siif_mes, icaro_mes, err_nro, err_mes,
-       err_cta_cte, err_cuit, err_importe
-FROM f WHERE err_nro OR err_mes OR err_cta_cte OR err_cuit OR err_importe""")
+def _iv_ledger(spark, d):
+    """Ledger lines: renditions with a fund number on every third voucher."""
+    nro = F.col("nro_comprobante").cast("long")
+    return V(spark, d, "payments").select(
+        "ejercicio", "nro_comprobante", F.col("importe_bruto").alias("importe"), "mes", "cta_cte", "cuit",
+        F.col("codigo").alias("partida"), F.concat(F.lit("1"), F.substring("cuit", -1, 1)).alias("fuente"),
+        F.when(nro % 2 == 0, "REG").otherwise("CYO").alias("clase_reg"),
+        F.when(nro % 3 == 0, F.col("nro_comprobante")).alias("nro_fondo"))
+
+
+def _iv_loads(spark, d):
+    """Loads of the same works, with a gap, another type, line, amount, month, account, tax id or fund in some vouchers."""
+    nro = F.col("nro_comprobante").cast("long")
+    led = _iv_ledger(spark, d).filter(nro % 13 != 0)
+    return led.select(
+        "ejercicio", F.when(nro % 17 == 0, F.concat(F.lit("x"), "nro_comprobante")).otherwise(F.col("nro_comprobante")).alias("nro_comprobante"),
+        F.when(nro % 11 == 0, F.col("importe") + 1).otherwise(F.col("importe")).alias("importe"),
+        F.when(nro % 19 == 0, "01/1990").otherwise(F.col("mes")).alias("mes"),
+        F.when(nro % 23 != 0, F.col("cta_cte")).alias("cta_cte"),
+        F.when(nro % 29 == 0, "0").otherwise(F.col("cuit")).alias("cuit"),
+        F.when((nro % 7 == 0) & (F.col("partida") == "A"), "Z").otherwise(F.col("partida")).alias("partida"),
+        F.when(nro % 31 == 0, "99").otherwise(F.col("fuente")).alias("fuente"),
+        F.when((nro % 2 == 0) & (nro % 3 == 0), "REG").when(nro % 37 == 0, "PA6").otherwise("CYO").alias("tipo"))
+
+
+IV_SQL = """
+led0 AS (SELECT ejercicio, nro_comprobante, importe_bruto AS importe, mes, cta_cte, cuit, codigo AS partida,
+                '1' || right(cuit, 1) AS fuente, CASE WHEN CAST(nro_comprobante AS BIGINT) % 2 = 0 THEN 'REG' ELSE 'CYO' END AS clase_reg,
+                CASE WHEN CAST(nro_comprobante AS BIGINT) % 3 = 0 THEN nro_comprobante END AS nro_fondo,
+                CAST(nro_comprobante AS BIGINT) AS n FROM payments),
+ic0 AS (SELECT ejercicio, CASE WHEN n % 17 = 0 THEN 'x' || nro_comprobante ELSE nro_comprobante END AS nro_comprobante,
+               CASE WHEN n % 11 = 0 THEN importe + 1 ELSE importe END AS importe,
+               CASE WHEN n % 19 = 0 THEN '01/1990' ELSE mes END AS mes, CASE WHEN n % 23 <> 0 THEN cta_cte END AS cta_cte,
+               CASE WHEN n % 29 = 0 THEN '0' ELSE cuit END AS cuit, CASE WHEN n % 7 = 0 AND partida = 'A' THEN 'Z' ELSE partida END AS partida,
+               CASE WHEN n % 31 = 0 THEN '99' ELSE fuente END AS fuente,
+               CASE WHEN n % 2 = 0 AND n % 3 = 0 THEN 'REG' WHEN n % 37 = 0 THEN 'PA6' ELSE 'CYO' END AS tipo
+        FROM led0 WHERE n % 13 <> 0)"""
+
+
+@query("d_iv2", f"""
+WITH {IV_SQL},
+led AS (SELECT *, CASE WHEN clase_reg = 'REG' AND nro_fondo IS NULL THEN 'CYO' ELSE clase_reg END AS tipo FROM led0),
+lg AS (SELECT * FROM (SELECT *, sum(importe) OVER k AS total, row_number() OVER (k ORDER BY tipo NULLS LAST, fuente NULLS LAST, mes NULLS LAST,
+                             cta_cte NULLS LAST, cuit NULLS LAST) AS rn FROM led WINDOW k AS (PARTITION BY ejercicio, nro_comprobante, partida)) WHERE rn = 1),
+ic AS (SELECT * FROM (SELECT *, sum(importe) OVER k AS total, row_number() OVER (k ORDER BY tipo NULLS LAST, fuente NULLS LAST, mes NULLS LAST,
+                             cta_cte NULLS LAST, cuit NULLS LAST) AS rn FROM ic0 WHERE tipo IS DISTINCT FROM 'PA6'
+                             WINDOW k AS (PARTITION BY ejercicio, nro_comprobante, partida)) WHERE rn = 1),
+l1 AS (SELECT lg.*, CASE WHEN ic.nro_comprobante IS NOT NULL THEN lg.partida ELSE CAST(row_number() OVER (
+         PARTITION BY lg.ejercicio, lg.nro_comprobante, ic.nro_comprobante IS NULL ORDER BY lg.partida) AS VARCHAR) END AS slot
+       FROM lg LEFT JOIN ic USING (ejercicio, nro_comprobante, partida)),
+i1 AS (SELECT ic.*, CASE WHEN lg.nro_comprobante IS NOT NULL THEN ic.partida ELSE CAST(row_number() OVER (
+         PARTITION BY ic.ejercicio, ic.nro_comprobante, lg.nro_comprobante IS NULL ORDER BY ic.partida) AS VARCHAR) END AS slot
+       FROM ic LEFT JOIN lg USING (ejercicio, nro_comprobante, partida)),
+m AS (SELECT coalesce(l.ejercicio, i.ejercicio) AS ejercicio, l.nro_comprobante AS siif_nro, i.nro_comprobante AS icaro_nro,
+             l.tipo AS siif_tipo, i.tipo AS icaro_tipo, l.fuente AS siif_fuente, i.fuente AS icaro_fuente,
+             coalesce(l.total, 0) AS siif_importe, coalesce(i.total, 0) AS icaro_importe, l.mes AS siif_mes, i.mes AS icaro_mes,
+             l.cta_cte AS siif_cta_cte, i.cta_cte AS icaro_cta_cte, l.cuit AS siif_cuit, i.cuit AS icaro_cuit,
+             l.partida AS siif_partida, i.partida AS icaro_partida
+      FROM l1 l FULL JOIN i1 i ON l.ejercicio = i.ejercicio AND l.nro_comprobante = i.nro_comprobante AND l.slot = i.slot),
+f AS (SELECT *, coalesce(siif_nro <> icaro_nro, true) AS err_nro, coalesce(siif_tipo <> icaro_tipo, true) AS err_tipo,
+             coalesce(siif_fuente <> icaro_fuente, true) AS err_fuente, abs(siif_importe - icaro_importe) > 0.1 AS err_importe,
+             coalesce(siif_mes <> icaro_mes, true) AS err_mes, coalesce(siif_cta_cte <> icaro_cta_cte, true) AS err_cta_cte,
+             coalesce(siif_cuit <> icaro_cuit, true) AS err_cuit, coalesce(siif_partida <> icaro_partida, true) AS err_partida FROM m)
+SELECT * REPLACE (CAST(siif_importe AS DOUBLE) AS siif_importe, CAST(icaro_importe AS DOUBLE) AS icaro_importe) FROM f
+WHERE err_nro OR err_tipo OR err_fuente OR err_importe OR err_mes OR err_cta_cte OR err_cuit OR err_partida""")
 def d_iv2(spark, d):
-    ledger = V(spark, d, "payments").withColumnRenamed("importe_bruto", "importe")
-    out = controls.voucher_control(ledger, V(spark, d, "loads"))
-    return fin(out.select("ejercicio", "siif_nro", "icaro_nro", "icaro_tipo", "siif_importe", "icaro_importe",
-                          "siif_mes", "icaro_mes", "err_nro", "err_mes", "err_cta_cte", "err_cuit", "err_importe"))
+    out = controls.voucher_control(_iv_ledger(spark, d), _iv_loads(spark, d))
+    sides = [f"{s}_{a}" for a in ("nro", "tipo", "fuente", "importe", "mes", "cta_cte", "cuit", "partida") for s in ("siif", "icaro")]
+    return fin(out.select("ejercicio", *sides, *[f"err_{a}" for a in ("nro", "tipo", "fuente", "importe", "mes", "cta_cte", "cuit", "partida")]))
 
 
 # ---------------------------------------------------------------- bank (D-FC1, D-CB2)
@@ -345,12 +451,13 @@ l AS (SELECT ejercicio, 'importe_bruto' AS concepto, CAST(abs(importe_bruto) AS
       UNION ALL SELECT ejercicio, 'retenciones', CAST(abs(retenciones) AS DECIMAL(38,4)) FROM g),
 s AS (SELECT *, CAST(importe AS DOUBLE) / CAST(sum(importe) OVER (PARTITION BY ejercicio) AS DOUBLE) * 100.0
                 AS participacion FROM l)
-SELECT ejercicio, CASE WHEN concepto IN ('importe_bruto', 'importe_neto') THEN concepto ELSE 'otros' END AS concepto,
+SELECT ejercicio, CASE WHEN rn <= 2 THEN concepto ELSE 'otros' END AS concepto,
        CAST(sum(importe) AS DOUBLE) AS importe, sum(participacion) AS participacion
-FROM s GROUP BY ALL""")
+FROM (SELECT *, row_number() OVER (PARTITION BY ejercicio ORDER BY importe DESC, concepto) AS rn FROM s) GROUP BY ALL""")
 def d_rc12(spark, d):
+    # the report's column order is not the order of the shares
     return fin(receivables.collected_composition(V(spark, d, "payments"), "1998", n=2,
-                                                 concepts=["importe_bruto", "importe_neto", "retenciones"]))
+                                                 concepts=["retenciones", "importe_neto", "importe_bruto"]))
 
 
 # ---------------------------------------------------------------- D-CO4, D-CR2, D-RT2

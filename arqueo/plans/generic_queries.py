@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import scalars as sc
+from ..sources.views import table
 from .registry import V, fin, query
 
 KEYS3 = ["ejercicio", "mes", "cta_cte"]
@@ -215,7 +216,7 @@ def j_left_enrich(spark, d):
     p = spark.read.parquet(f"{d}/part.parquet").select(
         F.col("p_partkey").cast("string").alias("obra"), F.col("p_name").alias("desc_obra"),
         F.col("p_brand").alias("brand"))
-    return fin(op.enrich(w, p, "obra", max_broadcast_rows=op.joins.MAX_BROADCAST_ROWS))
+    return fin(op.enrich(w, p, "obra"))
 
 
 @query("j_hierarchy", """
@@ -226,7 +227,7 @@ def j_hierarchy(spark, d):
     c = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     n = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
     r = spark.read.parquet(f"{d}/region.parquet").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    h = op.hierarchy([(c, []), (n, ["n_nationkey"]), (r, ["n_regionkey"])], max_broadcast_rows=10_000)
+    h = op.hierarchy([(c, []), (n, ["n_nationkey"]), (r, ["n_regionkey"])])
     return h.select("c_custkey", F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey", "r_name")
 
 
@@ -588,6 +589,26 @@ def w_rank(spark, d):
     return fin(op.rank_by(g, "importe", ["ejercicio"], tie_break=["cta_cte"]))
 
 
+@query("w_rank_lines", """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS importe,
+       CAST(row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS ranking
+FROM lineitem""")
+def w_rank_lines(spark, d):
+    # every line by amount, no group at all
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("importe"))
+    return fin(op.rank_by(li, "importe", tie_break=["l_orderkey", "l_linenumber"]))
+
+
+@query("w_cumulative_lines", """
+SELECT nro_comprobante, codigo, fecha, CAST(importe_bruto AS DOUBLE) AS importe_bruto,
+       CAST(sum(importe_bruto) OVER (PARTITION BY codigo ORDER BY fecha) AS DOUBLE) AS acum
+FROM payments""")
+def w_cumulative_lines(spark, d):
+    # running total over raw lines of three large groups; lines of one day share a value
+    p = V(spark, d, "payments").select("nro_comprobante", "codigo", "fecha", "importe_bruto")
+    return fin(op.cumulative(p, ["fecha"], "importe_bruto", ["codigo"]))
+
+
 # ---------------------------------------------------------------- top-k
 
 @query("t_top_n", """

@@ -126,14 +126,14 @@ def concept_share_of_collected(collected: DataFrame, concept: str, after_year: s
 
 def collected_composition(collected: DataFrame, year: str, n: int = 5,
                           concepts: Sequence[str] = COLLECTED_CONCEPTS) -> DataFrame:
-    """D-RC12: composition of collected in a year: the first N concepts in the
-    report's column order, plus 'otros' with the rest (amount and share)."""
+    """D-RC12: composition of collected in a year: the N concepts with the
+    largest share (ties by name), plus 'otros' with the rest (amount and share)."""
     g = op.group_sum(op.years(collected, year), ["ejercicio"], list(concepts))
     long = op.unpivot(g, ["ejercicio"], list(concepts), "concepto", "importe")
-    long = long.withColumn("importe", F.abs("importe"))
-    long = op.share(long, "importe", ["ejercicio"])
-    pos = F.array_position(F.array(*[F.lit(c) for c in concepts]), F.col("concepto"))
-    label = F.when(pos <= F.lit(n), F.col("concepto")).otherwise(F.lit("otros"))
+    long = op.share(long.withColumn("importe", F.abs("importe")), "importe", ["ejercicio"])
+    # one row per year and concept: the window is over the report's own lines
+    long = op.rank_by(long, "importe", ["ejercicio"], tie_break=["concepto"], out="_rank", method="window")
+    label = F.when(F.col("_rank") <= F.lit(n), F.col("concepto")).otherwise(F.lit("otros"))
     return op.group_sum(long.withColumn("concepto", label), ["ejercicio", "concepto"], ["importe", "participacion"])
 
 

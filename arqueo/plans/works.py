@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions.nulls import drop_null_keys
-from ..operators.agg import pivot_values
 
 
 def _min_year(year: str):
@@ -44,17 +43,19 @@ def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | i
                  pivot_years: Sequence[str] | None = None, last_n: int | None = None, total: str = "acum",
                  work: str = "obra", year: str = "ejercicio", value: str = "importe",
                  progress: str = "avance", pivot_col: str | None = None,
-                 pivot_labels: dict | None = None) -> DataFrame:
+                 pivot_values: Sequence[str] | None = None, pivot_labels: dict | None = None) -> DataFrame:
     """D-EO5 / D-EO6: per group: first year, amount per year (pivot), total,
     in progress, finished in earlier years, finished this year.
 
-    ``pivot_years`` fixes the year columns; otherwise the years present are
-    used (the ``last_n`` most recent ones when given).  ``pivot_col`` pivots
-    by another column instead (its values present, ``pivot_labels`` renaming
-    some of them).  Work-level flags are
-    windows over the (group, work, year) aggregate partitioned by work: a
-    partition holds one row per group and year of the work, never its raw
-    lines, and the source is scanned once.
+    ``pivot_years`` names the year columns; ``pivot_col`` with
+    ``pivot_values`` pivots by another column instead (``pivot_labels``
+    renames some values).  Without names the result is the long form: a row
+    per group and year (the ``last_n`` most recent years present) or value,
+    with its amount in ``value`` and the group's other columns repeated; no
+    header is read from the data.  Work-level flags are windows over the
+    (group, work, year) aggregate partitioned by work: a partition holds one
+    row per group and year of the work, never its raw lines, and the source
+    is scanned once.
     """
     g = list(group_cols)
     cur = int(current_year)
@@ -65,24 +66,30 @@ def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | i
     j = d.withColumns({
         "_wmax": F.when(has_work, F.max("mx").over(w)),
         "_wprev1": F.when(has_work, F.max(F.when(yr < F.lit(cur), F.col("hit1"))).over(w))})
-    aggs = [_min_year(year).alias("alta")]
+    labels, names, by = pivot_labels or {}, pivot_years, year
     if pivot_col is not None:
-        labels = pivot_labels or {}
+        names, by = pivot_values, pivot_col
         if pivot_col not in j.columns:  # a work attribute: one value per work (the first)
             attr = op.dedupe(df.select(work, pivot_col).filter(F.col(work).isNotNull()), [work], [pivot_col], "first")
             j = j.join(attr, on=work, how="left")
-        aggs += [_cond_sum(F.col(pivot_col) == F.lit(v)).alias(labels.get(v, str(v)))
-                 for v in pivot_values(df, pivot_col)]
-    else:
-        if pivot_years is None:
-            ys = sorted(pivot_values(df, year), key=int, reverse=True)
-            pivot_years = sorted(ys[:last_n] if last_n else ys, key=int)
-        aggs += [_cond_sum(F.col(year) == F.lit(str(y))).alias(str(y)) for y in pivot_years]
-    aggs += [F.coalesce(F.sum("s"), F.lit(0)).alias(total),
-             _cond_sum(F.col("_wmax") < F.lit(1)).alias("en_curso"),
-             _cond_sum((yr < F.lit(cur)) & F.col("_wprev1")).alias("terminadas_ant")]
-    out = j.groupBy(*g).agg(*aggs)
-    return out.withColumn("terminadas_actual", F.col(total) - F.col("en_curso") - F.col("terminadas_ant"))
+    status = {"alta": _min_year(year), total: F.coalesce(F.sum("s"), F.lit(0)),
+              "en_curso": _cond_sum(F.col("_wmax") < F.lit(1)),
+              "terminadas_ant": _cond_sum((yr < F.lit(cur)) & F.col("_wprev1"))}
+    done = F.col(total) - F.col("en_curso") - F.col("terminadas_ant")
+    if names is not None:
+        wide = [_cond_sum(F.col(by) == F.lit(str(v))).alias(labels.get(v, str(v))) for v in names]
+        aggs = [status["alta"].alias("alta"), *wide, *[e.alias(c) for c, e in status.items() if c != "alta"]]
+        return j.groupBy(*g).agg(*aggs).withColumn("terminadas_actual", done)
+    each = j.groupBy(*g, by).agg(F.sum("s").alias(value), *[e.alias(c) for c, e in status.items()])
+    wg = Window.partitionBy(*g)
+    each = each.withColumns({c: (F.min if c == "alta" else F.sum)(c).over(wg) for c in status})
+    if pivot_col is None and last_n:
+        each = each.withColumn("_ys", op.joins.years_present(df, last_n, year)).filter(F.array_contains("_ys", yr)).drop("_ys")
+    named = F.col(by)
+    for v, label in labels.items():
+        named = F.when(F.col(by) == F.lit(v), F.lit(label)).otherwise(named)
+    each = each.filter(F.col(by).isNotNull()).withColumn(by, named).withColumn("terminadas_actual", done)
+    return each.select(*g, by, value, *status, "terminadas_actual")
 
 
 BASIC_MODULE_GROUPS = ["desc_prog", "desc_proy", "desc_act", "actividad", "partida", "fuente", "localidad",
@@ -90,26 +97,30 @@ BASIC_MODULE_GROUPS = ["desc_prog", "desc_proy", "desc_act", "actividad", "parti
 
 
 def basic_module_report(loads_bm: DataFrame, current_year: str | int, by_agreement: bool = True,
-                        group_cols: Sequence[str] = BASIC_MODULE_GROUPS) -> DataFrame:
+                        group_cols: Sequence[str] = BASIC_MODULE_GROUPS, columns: Sequence[str] | None = None
+                        ) -> DataFrame:
     """D-EO5: basic-module works report.  By agreement: fund 11 only, amounts
     pivoted by agreement (``info_adicional``; the empty one is 'Sin Convenio');
-    otherwise pivoted by year."""
+    otherwise pivoted by year.  ``columns``: the agreements or years of the
+    wide form; without them the long form (see :func:`works_report`)."""
     g = [c for c in group_cols if c in loads_bm.columns]
     if by_agreement:
         d = loads_bm.filter(F.col("fuente") == "11")
         return works_report(d, g, current_year, total="ejecucion_total", pivot_col="info_adicional",
-                            pivot_labels={"": "Sin Convenio"})
-    return works_report(loads_bm, g, current_year, total="ejecucion_total")
+                            pivot_values=columns, pivot_labels={"": "Sin Convenio"})
+    return works_report(loads_bm, g, current_year, total="ejecucion_total", pivot_years=columns)
 
 
 def works_ledger_report(loads_desc: DataFrame, current_year: str | int, full: bool = False, by_line: bool = True,
-                        by_fund: bool = True, last_n: int | None = None) -> DataFrame:
+                        by_fund: bool = True, last_n: int | None = None, years: Sequence[str] | None = None
+                        ) -> DataFrame:
     """D-EO6: works ledger ("planillometro"): per activity (and work, line,
-    fund when asked) the first year, the amount of each year (all, or the
-    last N), total, in progress, finished before and finished this year."""
+    fund when asked) the first year, the amount of each year, total, in
+    progress, finished before and finished this year.  ``years`` names the
+    year columns; without them the long form (all years, or the last N)."""
     g = [c for c in ("desc_prog", "desc_proy", "desc_act") if c in loads_desc.columns] + ["actividad"]
     g += (["obra"] if full else []) + (["partida"] if by_line else []) + (["fuente"] if by_fund else [])
-    return works_report(loads_desc, g, current_year, last_n=last_n)
+    return works_report(loads_desc, g, current_year, pivot_years=years, last_n=last_n)
 
 
 def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[str] | None = None,
@@ -126,9 +137,10 @@ def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[
     """
     g = list(group_cols)
     if years is None:
-        ys = sorted(pivot_values(df, year), key=int, reverse=True)
-        years = ys[:last_n] if last_n else ys
-    years = [str(y) for y in years]
+        years = op.joins.years_present(df, last_n, year)
+        last_y = F.array_max(years).cast("string")
+    else:
+        last_y = F.lit(str(max(int(y) for y in years)))
     d = _pre(df, g, work, year, value, progress)
     yr = F.col(year).cast("int")
     hy = F.col("hasta").cast("int")
@@ -143,8 +155,7 @@ def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[
         _cond_sum(F.col(year) == F.col("hasta")).alias("ejecucion"),
         _cond_sum(F.col("_mx_le") < F.lit(1)).alias("en_curso"),
         _cond_sum((yr < hy) & (F.col("_mx_lt") == F.lit(1))).alias("terminadas_ant"))
-    last_y = str(max(int(y) for y in years))
-    alta = F.min(F.when(F.col("hasta") == F.lit(last_y), F.col("_alta"))).over(Window.partitionBy(*g))
+    alta = F.min(F.when(F.col("hasta") == last_y, F.col("_alta"))).over(Window.partitionBy(*g))
     out = agg.withColumn("alta", alta).withColumnRenamed("hasta", "ejercicio")
     out = out.withColumn("terminadas_actual", F.col("acum") - F.col("en_curso") - F.col("terminadas_ant"))
     return out.select(*g, "alta", "ejercicio", "acum", "en_curso", "terminadas_ant", "ejecucion",
@@ -181,8 +192,9 @@ def works_ledger_for_accounting(loads: DataFrame, group_cols: Sequence[str], yea
 
 def opening_rows(opening: DataFrame, loads: DataFrame, desc_cols: Sequence[str] = ("desc_prog", "desc_proy",
                                                                                     "desc_act")) -> DataFrame:
-    """2008 opening balances as load rows; those whose structure also appears in
-    the loads inherit the loads' descriptions (one description row per structure)."""
+    """2008 opening balances (D-EO8) as load rows: progress 1, work = activity
+    description; those whose structure also appears in the loads inherit the
+    loads' descriptions (one description row per structure)."""
     o = (opening.withColumn("ejercicio", F.lit("2008")).withColumn("avance", F.lit(1.0))
          .withColumn("obra", F.col("desc_act")).withColumnRenamed("acum_2008", "importe"))
     dcols = [c for c in desc_cols if c in loads.columns]
@@ -196,14 +208,24 @@ def opening_rows(opening: DataFrame, loads: DataFrame, desc_cols: Sequence[str]
     return op.union_all(rest, known)
 
 
-def opening_balances(sheet: DataFrame, heading_cols: Sequence[str] = ("prog", "subprog", "proy", "obra"),
-                     order: str = "row_no", part: Sequence[str] = (), detail=None) -> DataFrame:
-    """D-EO8: spreadsheet of 2008 balances: heading values are filled down the
-    rows (blocked scan), then only detail rows are kept (default: rows with an
-    amount)."""
-    filled = op.forward_fill(sheet, list(heading_cols), order, list(part))
-    cond = F.col("acum_2008").isNotNull() if detail is None else detail
-    return filled.filter(F.coalesce(cond, F.lit(False)))
+def opening_balances(sheet: DataFrame, order: str = "row_no", part: Sequence[str] = (), label: str = "descripcion",
+                     code: str = "estructura", amount: str = "acum_2008") -> DataFrame:
+    """D-EO8: spreadsheet of 2008 balances with headings above their rows.
+
+    A row without project is a programme heading, one without work a project
+    heading: their ``NN - text`` labels are filled down the rows in ``order``
+    (blocked scan).  Rows with a structure code are the balances; their own
+    text is the activity's, the subprogramme has no text.
+    """
+    def named(number: str):
+        return F.concat(F.col(number), F.lit(" - "), F.col(label))
+
+    d = sheet.withColumns({"desc_prog": F.when(F.col("proy").isNull(), named("prog")),
+                           "desc_proy": F.when(F.col("obra").isNull(), named("proy"))})
+    d = op.forward_fill(d, ["desc_prog", "desc_proy"], order, list(part)).filter(F.col(code).isNotNull())
+    keep = [c for c in ("actividad", "partida", "estructura", "alta") if c in d.columns]
+    return d.select(*part, "desc_prog", F.concat("subprog", F.lit(" - --")).alias("desc_subprog"), "desc_proy",
+                    named("obra").alias("desc_act"), *keep, F.col(amount).alias("acum_2008"))
 
 
 def works_descriptions(programs: DataFrame, subprograms: DataFrame, projects: DataFrame,

@@ -131,7 +131,12 @@ def headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders")
+
+
 BUILDERS = {
+    "orders_raw": orders_raw,
     "loads": loads, "payments": payments, "snapshots": snapshots, "works": works, "bank": bank,
     "acct_map": acct_map, "headings": headings,
 }

@@ -85,11 +85,24 @@ def test_works_report_status(spark):
 
 def test_opening_balances_and_descriptions(spark):
     sheet = frame(spark, "opening_2008", [
-        (1, "01", None, None, None, None, None), (2, None, "02", None, None, None, None),
-        (3, None, None, "03", "O1", "29-01-01-01", D(5)), (4, None, None, None, "O2", "29-01-01-01", D(7))],
-        ["row_no", "prog", "subprog", "proy", "obra", "actividad", "acum_2008"])
+        (1, "29", None, None, None, "VIVIENDA", None, None, None, None, None),
+        (2, "29", "00", "02", None, "BARRIO", None, None, None, None, None),
+        (3, "29", "00", "02", "03", "CASAS", "29-00-02-03-421", "29-00-02-03", "421", "2007", D(5)),
+        (4, "29", "00", "02", "04", None, "29-00-02-04-422", "29-00-02-04", "422", "2006", None)],
+        ["row_no", "prog", "subprog", "proy", "obra", "descripcion", "estructura", "actividad", "partida", "alta", "acum_2008"])
     ob = works.opening_balances(sheet)
-    assert rows(ob, "row_no", "prog", "subprog", "proy") == [(3, "01", "02", "03"), (4, "01", "02", "03")]
+    assert rows(ob, "estructura", "desc_prog", "desc_subprog", "desc_proy", "desc_act", "alta", "acum_2008") == [
+        ("29-00-02-03-421", "29 - VIVIENDA", "00 - --", "02 - BARRIO", "03 - CASAS", "2007", D(5)),
+        ("29-00-02-04-422", "29 - VIVIENDA", "00 - --", "02 - BARRIO", None, "2006", None)]
+    # through the as-of-year report: the balance is finished before the first year
+    loads = spark.createDataFrame([("29-00-02-03", "421", "w1", "2009", 0.5, D(7), "p", "y", "own text")],
+                                  "actividad string, partida string, obra string, ejercicio string, avance double, "
+                                  "importe decimal(18,2), desc_prog string, desc_proy string, desc_act string")
+    rep = works.works_ledger_for_accounting(loads, ["desc_prog", "desc_proy", "desc_act", "actividad", "partida"],
+                                            opening=ob).collect()
+    got = {(r.estructura, r.ejercicio): r for r in rep}
+    assert got["29-00-02-03-421", "2009"].desc_act == "own text" and got["29-00-02-03-421", "2009"].alta == "2008"
+    assert got["29-00-02-03-421", "2009"].acum == D(12) and got["29-00-02-03-421", "2009"].terminadas_ant == D(5)
     prog = frame(spark, "programs", [("29", "VIVIENDA")], ["programa", "desc_prog"])
     sub = frame(spark, "subprograms", [("29-01", "29", None)], ["subprograma", "programa", "desc_subprog"])
     proy = frame(spark, "projects", [("29-01-02", "29-01", "BARRIO")], ["proyecto", "subprograma", "desc_proy"])
@@ -257,13 +270,24 @@ def test_voucher_and_advance_controls(spark):
         ("2024", "00002/24", "REG", "11", D(50), "01/2024", "c1", "20-1", "421"),
     ], ["ejercicio", "nro_comprobante", "tipo", "fuente", "importe", "mes", "cta_cte", "cuit", "partida"])
     vc = controls.voucher_control(ledger, loads)
-    # voucher 1: REG without fund counts as CYO; two load lines each 'differ' in amount from the voucher total
-    assert rows(vc, "siif_nro", "icaro_nro", "err_tipo", "err_importe") == [
-        ("00001/24", "00001/24", False, True), ("00001/24", "00001/24", False, True)]
+    # voucher 1: REG without fund counts as CYO; its two load lines together are the ledger's amount
+    assert vc.count() == 0
+    # several lines on both sides face line by line: nothing differs
+    two = ledger.unionByName(ledger.filter(F.col("nro_fondo").isNull()).withColumns({"partida": F.lit("422"), "importe": F.lit(200).cast("decimal(18,2)")}))
+    both = loads.unionByName(loads.filter(F.col("importe") == 60).withColumns({"partida": F.lit("422"), "importe": F.lit(200).cast("decimal(18,2)")}))
+    assert controls.voucher_control(two, both).count() == 0
+    # a line under another code is paired with it, a missing one stands alone
+    other = controls.voucher_control(two, both.withColumn("partida", F.when(F.col("partida") == "422", "423").otherwise(F.col("partida"))))
+    assert rows(other, "siif_partida", "icaro_partida", "err_partida", "err_importe", "err_nro") == [("422", "423", True, False, False)]
+    assert rows(controls.voucher_control(two, loads), "siif_partida", "icaro_nro", "err_nro") == [("422", None, True)]
     funds = frame(spark, "fund_summary", [("2024", "7", "12/2023", D(80), D(30))],
                   ["ejercicio", "nro_fondo", "mes", "ingresos", "saldo"])
     adv = controls.advances_control(funds, ledger, loads)
     assert adv.count() == 0  # the advance and its regularisation match on both systems
+    # a regularisation in several ledger lines is one sum too
+    split = ledger.filter(F.col("nro_fondo").isNull()).unionByName(
+        ledger.filter(F.col("nro_fondo") == "7").withColumn("importe", F.explode(F.array(F.lit(20), F.lit(30)).cast("array<decimal(18,2)>"))))
+    assert controls.advances_control(funds, split, loads).count() == 0
 
 
 def test_sources_cleaning(spark):
@@ -287,11 +311,13 @@ def test_basic_module_report_by_agreement(spark):
         ("29-01", "422", "10", "w3", "2024", 0.5, D(99), "CONV A")],
         "actividad string, partida string, fuente string, obra string, ejercicio string, avance double, "
         "importe decimal(18,2), info_adicional string")
-    r = works.basic_module_report(ld, "2024", by_agreement=True)
+    long = works.basic_module_report(ld, "2024", by_agreement=True)
+    assert rows(long, "obra", "info_adicional", "importe") == [("w1", "CONV A", D(10)), ("w2", "Sin Convenio", D(5))]
+    r = works.basic_module_report(ld, "2024", by_agreement=True, columns=["CONV A", ""])
     got = {x.obra: x for x in r.collect()}
     assert set(got) == {"w1", "w2"} and got["w1"]["CONV A"] == D(10) and got["w2"]["Sin Convenio"] == D(5)
     assert got["w1"].terminadas_ant == D(10) and got["w2"].en_curso == D(5)
-    by_year = works.basic_module_report(ld, "2024", by_agreement=False)
+    by_year = works.basic_module_report(ld, "2024", by_agreement=False, columns=["2023", "2024"])
     assert {"2023", "2024"} <= set(by_year.columns) and by_year.count() == 3
 
 
@@ -303,7 +329,11 @@ def test_works_ledger_report_and_current_cash(spark):
         "importe decimal(18,2), tipo string")
     accrual = ld.filter(F.col("tipo") != "PA6")
     rep = works.works_ledger_report(accrual, "2024", by_line=False, by_fund=False)
-    assert rep.columns[:2] == ["actividad", "alta"] and rep.first().acum == D(15)
+    assert rows(rep, "actividad", "ejercicio", "importe", "acum") == [("29-01", "2023", D(10), D(15)), ("29-01", "2024", D(5), D(15))]
+    last = works.works_ledger_report(accrual, "2024", by_line=False, by_fund=False, last_n=1)
+    assert rows(last, "ejercicio", "importe", "acum") == [("2024", D(5), D(15))]
+    wide = works.works_ledger_report(accrual, "2024", by_line=False, by_fund=False, years=["2023", "2024"])
+    assert wide.columns[:2] == ["actividad", "alta"] and rows(wide, "2023", "2024", "acum") == [(D(10), D(5), D(15))]
     cash = ld.filter(F.col("tipo") != "REG")
     out = works.works_ledger_for_accounting(accrual, ["actividad", "partida"], from_year=None, current_cash=cash,
                                             current_year="2024")

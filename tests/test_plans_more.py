@@ -318,4 +318,5 @@ def test_report_runs_write_every_table(spark):
     out = reports.works_execution_report(bud, ldesc, wdesc, loads, prov, wl, "2024",
                                          tempfile.mkdtemp(prefix="arqueo-w-"), last_n=2)
     assert len(out) == 8
-    assert spark.read.parquet(out["mod_basicos_por_convenio"]).first()["CONV"] == D(10)
+    row = spark.read.parquet(out["mod_basicos_por_convenio"]).first()
+    assert (row.info_adicional, row.importe) == ("CONV", D(10))

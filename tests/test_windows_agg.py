@@ -20,7 +20,9 @@ def test_sum_numeric_excludes_booleans(spark):
 def test_pivot_fill_and_total(spark):
     df = spark.createDataFrame([("c1", "110", 5.0), ("c1", "111", 2.0), ("c2", "110", 1.0)],
                                "id string, codigo string, importe double")
-    p = op.pivot_sum(df, ["id"], "codigo", "importe", total="total")
+    long = op.pivot_sum(df, ["id"], "codigo", "importe", total="total")  # no header is read from the data
+    assert rows(long, "id", "codigo", "importe", "total") == [("c1", "110", 5.0, 7.0), ("c1", "111", 2.0, 7.0), ("c2", "110", 1.0, 1.0)]
+    p = op.pivot_sum(df, ["id"], "codigo", "importe", values=["110", "111"], total="total")
     assert p.columns == ["id", "110", "111", "total"]
     assert rows(p) == [("c1", 5.0, 2.0, 7.0), ("c2", 1.0, 0.0, 1.0)]
 
@@ -120,5 +122,19 @@ def test_rank_methods_agree(spark):
     df = spark.createDataFrame([("2024", "a", -60.0), ("2024", "b", 30.0), ("2024", "c", 30.0), ("2023", "a", 5.0)],
                                "ejercicio string, cod string, importe double")
     want = rows(op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method="window"))
-    for m in ("auto", "range"):
-        assert rows(op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method=m, partitions=3)) == want
+    assert rows(op.rank_by(df, "importe", ["ejercicio"], tie_break=["cod"], method="range", partitions=3)) == want
+
+
+def test_rank_and_running_total_over_many_rows(spark, tmp_path):
+    """Rows and per-partition totals come from one run of the range exchange: exact at any size, written in full."""
+    n = 400_000
+    df = spark.range(n).select("id", (F.xxhash64("id") % 90_000).alias("v"), F.concat(F.lit("x"), "id").alias("extra"))
+    path = str(tmp_path / "rank")
+    op.rank_by(df, "v", tie_break=["id"], absolute=False, partitions=8).write.parquet(path)
+    got = spark.read.parquet(path).toPandas().sort_values(["v", "id"], ascending=[False, True])
+    assert (got["ranking"].to_numpy() == range(1, n + 1)).all() and (got["extra"] == "x" + got["id"].astype(str)).all()
+    path = str(tmp_path / "sum")
+    op.cumulative(df, ["v"], "v", partitions=8).write.parquet(path)
+    got = spark.read.parquet(path).toPandas().sort_values("v")
+    total = got.groupby("v")["v"].sum().cumsum()
+    assert len(got) == n and (got["acum"].to_numpy() == total.loc[got["v"]].to_numpy()).all()
