@@ -1,7 +1,8 @@
 """Projections, filters and predicates (P-01..P-18).
 
-All are narrow transformations: no shuffle, and every filter on a source
-column is pushed into the Parquet scan by Catalyst.
+All are narrow transformations: no shuffle.  A filter on a source column is
+pushed into the Parquet scan by Catalyst; one on a year that is derived from a
+date is not, unless ``date_col`` names that date: then its range goes along.
 """
 
 from __future__ import annotations
@@ -24,17 +25,36 @@ def _as_list(v) -> list:
     return list(v)
 
 
-def years(df: DataFrame, y: str | Sequence[str] | None, c: str = "ejercicio") -> DataFrame:
-    """P-01: fiscal-year filter, one year or a list (``isin``)."""
+def _in_years(date_col: str, first: int | None, last: int | None) -> Column:
+    """Date range of the calendar years ``first`` to ``last``."""
+    cond = F.lit(True)
+    if first is not None:
+        cond = cond & (F.col(date_col) >= F.lit(dt.date(first, 1, 1)))
+    if last is not None:
+        cond = cond & (F.col(date_col) < F.lit(dt.date(last + 1, 1, 1)))
+    return cond
+
+
+def years(df: DataFrame, y: str | Sequence[str] | None, c: str = "ejercicio", date_col: str | None = None) -> DataFrame:
+    """P-01: fiscal-year filter, one year or a list (``isin``).
+
+    ``date_col``: the date that ``c`` is the calendar year of; the range of the
+    years is then tested on it as well and reaches the scan.
+    """
     if y is None:
         return df
-    return df.filter(F.col(c).isin([str(v) for v in _as_list(y)]))
+    ys = [str(v) for v in _as_list(y)]
+    if date_col and ys:
+        df = df.filter(_in_years(date_col, min(map(int, ys)), max(map(int, ys))))
+    return df.filter(F.col(c).isin(ys))
 
 
-def up_to(df: DataFrame, y: str | int, c: str = "ejercicio", op: str = "<=") -> DataFrame:
-    """P-02: compare the year as an integer (``<=``, ``<``, ``>``, ``>=``)."""
-    lhs, rhs = F.col(c).cast("int"), F.lit(int(y))
+def up_to(df: DataFrame, y: str | int, c: str = "ejercicio", op: str = "<=", date_col: str | None = None) -> DataFrame:
+    """P-02: compare the year as an integer (``<=``, ``<``, ``>``, ``>=``); ``date_col`` as in :func:`years`."""
+    lhs, rhs, n = F.col(c).cast("int"), F.lit(int(y)), int(y)
     cond = {"<=": lhs <= rhs, "<": lhs < rhs, ">": lhs > rhs, ">=": lhs >= rhs}[op]
+    if date_col:
+        df = df.filter(_in_years(date_col, *{"<=": (None, n), "<": (None, n - 1), ">": (n + 1, None), ">=": (n, None)}[op]))
     return df.filter(cond)
 
 

@@ -258,7 +258,7 @@ SELECT nro_comprobante, mes, fecha_hasta, CAST(saldo AS DOUBLE) AS saldo FROM sn
 WHERE ejercicio = '1999'
   AND strptime(mes, '%m/%Y') = (SELECT max(strptime(mes, '%m/%Y')) FROM snapshots WHERE ejercicio = '1999')""")
 def d_net4(spark, d):
-    s = op.years(V(spark, d, "snapshots"), "1999")
+    s = op.years(V(spark, d, "snapshots"), "1999", date_col="fecha_hasta")
     return fin(op.latest_period(s, "mes").select("nro_comprobante", "mes", "fecha_hasta", "saldo"))
 
 
@@ -456,7 +456,7 @@ SELECT ejercicio, CASE WHEN rn <= 2 THEN concepto ELSE 'otros' END AS concepto,
 FROM (SELECT *, row_number() OVER (PARTITION BY ejercicio ORDER BY importe DESC, concepto) AS rn FROM s) GROUP BY ALL""")
 def d_rc12(spark, d):
     # the report's column order is not the order of the shares
-    return fin(receivables.collected_composition(V(spark, d, "payments"), "1998", n=2,
+    return fin(receivables.collected_composition(op.years(V(spark, d, "payments"), "1998", date_col="fecha"), "1998", n=2,
                                                  concepts=["retenciones", "importe_neto", "importe_bruto"]))
 
 

@@ -19,13 +19,13 @@ SELECT id, ejercicio, mes, cta_cte, tipo, CAST(importe AS DOUBLE) AS importe
 FROM loads WHERE ejercicio IN ('1996', '1998')""")
 def p_years(spark, d):
     ld = V(spark, d, "loads")
-    return fin(op.years(ld, ["1996", "1998"]).select("id", "ejercicio", "mes", "cta_cte", "tipo", "importe"))
+    return fin(op.years(ld, ["1996", "1998"], date_col="fecha").select("id", "ejercicio", "mes", "cta_cte", "tipo", "importe"))
 
 
 @query("p_up_to_year", """
 SELECT id, ejercicio, CAST(importe AS DOUBLE) AS importe FROM loads WHERE CAST(ejercicio AS INTEGER) <= 1997""")
 def p_up_to_year(spark, d):
-    return fin(op.up_to(V(spark, d, "loads"), "1997").select("id", "ejercicio", "importe"))
+    return fin(op.up_to(V(spark, d, "loads"), "1997", date_col="fecha").select("id", "ejercicio", "importe"))
 
 
 @query("p_exclude_codes", """

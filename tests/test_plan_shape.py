@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
-import __spark_entry__ as entry
+from arqueo.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -18,22 +19,31 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_udf_no_cross_join(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(catalog.QUERIES[name](spark, SF))
     for node in FORBIDDEN:
         assert node not in plan, f"{name}: {node}"
 
 
 def test_filters_reach_the_scan(spark):
-    plan = _plan(entry.queries()["p_date_bound"](spark, SF))
+    plan = _plan(catalog.QUERIES["p_date_bound"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate,1997-07-01" in plan  # date bound rewritten on the raw timestamp
-    plan = _plan(entry.queries()["d_net4"](spark, SF))
+    plan = _plan(catalog.QUERIES["d_net4"](spark, SF))
     assert "EqualTo(l_linestatus,O)" in plan
 
 
+def test_year_filters_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for name, column, bounds in (("p_years", "o_orderdate", ("1996-01-01", "1999-01-01")), ("p_up_to_year", "o_orderdate", ("1998-01-01",)),
+                                 ("d_net4", "l_shipdate", ("1999-01-01", "2000-01-01")), ("d_rc12", "l_shipdate", ("1998-01-01", "1999-01-01"))):
+        pushed = [x for x in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", _plan(catalog.QUERIES[name](spark, SF)), re.M) if column in x]
+        assert pushed and all(b in pushed[0] for b in bounds), (name, pushed)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def test_column_pruning(spark):
-    plan = _plan(entry.queries()["a_totals"](spark, SF))
+    plan = _plan(catalog.QUERIES["a_totals"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_tax:double>" in plan
 
 

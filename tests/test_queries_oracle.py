@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from arqueo.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "conversations"]
@@ -45,15 +46,16 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert not missing, missing
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = catalog.QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(catalog.ORACLE[name])
     dcols = [c[0] for c in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
