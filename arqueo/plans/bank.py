@@ -64,8 +64,8 @@ def ledger_vs_bank_final(ledger_summary: DataFrame, final_balance: DataFrame,
     keys = list(keys)
     meas = {("sldo_siif" if c == ledger_measure else c): c
             for c in op.numeric_cols(ledger_summary) if c not in keys}
-    r = op.reconcile(ledger_summary, final_balance, keys, meas, {"sldo_invico": "saldo"}, diff="dif_sldo",
-                     diff_expr=F.col("sldo_siif") - F.col("sldo_invico"))
+    r = op.reconcile(ledger_summary, final_balance, keys, meas, {"sldo_banco": "saldo"}, diff="dif_sldo",
+                     diff_expr=F.col("sldo_siif") - F.col("sldo_banco"))
     return op.only_diff(r) if only_diff else r
 
 
@@ -77,7 +77,7 @@ def gap_explained(ledger_vs_bank: DataFrame, controls: Mapping[str, tuple[DataFr
     without a row in a control stays NULL, so the adjusted gap is NULL too
     (as in the original, no fill).
     """
-    base = op.group_sum(ledger_vs_bank, ["ejercicio"], ["sldo_siif", "sldo_invico", "dif_sldo"])
+    base = op.group_sum(ledger_vs_bank, ["ejercicio"], ["sldo_siif", "sldo_banco", "dif_sldo"])
     frames = {}
     for name, (df, measure, sign) in controls.items():
         frames[name] = op.group_sum(df, ["ejercicio"], {name: F.col(measure) * F.lit(sign)})

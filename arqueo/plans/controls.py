@@ -91,7 +91,7 @@ def verified_revenue(revenue: DataFrame) -> DataFrame:
 
 def _third_party_revenue(revenue: DataFrame) -> DataFrame:
     """Revenue that is neither own funds nor carried over (flags must be False)."""
-    return revenue.filter((F.col("es_invico") == F.lit(False)) & (F.col("es_remanente") == F.lit(False)))
+    return revenue.filter((F.col("es_propio") == F.lit(False)) & (F.col("es_remanente") == F.lit(False)))
 
 
 def revenue_vs_deposits(revenue: DataFrame, deposits: DataFrame, keys: Sequence[str] = KEYS3) -> DataFrame:

@@ -286,7 +286,7 @@ def d_hb1(spark, d):
 WITH a AS (SELECT mes, cta_cte, sum(importe_neto) AS neto_sgf, sum(retenciones) AS retenciones_sgf FROM payments
            WHERE mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
      b AS (SELECT mes, cta_cte, sum(-importe) AS debitos_sscc FROM bank
-           WHERE movimiento IS DISTINCT FROM 'DEPOSITO' AND cod_imputacion IS DISTINCT FROM '031'
+           WHERE movimiento IS DISTINCT FROM 'DEPOSITO' AND cod_imputacion IS DISTINCT FROM 'error'
              AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
      r AS (SELECT coalesce(a.mes, b.mes) AS mes, coalesce(a.cta_cte, b.cta_cte) AS cta_cte,
                   coalesce(neto_sgf, 0) AS neto_sgf, coalesce(retenciones_sgf, 0) AS retenciones_sgf,
@@ -297,7 +297,7 @@ SELECT mes, cta_cte, CAST(neto_sgf AS DOUBLE) AS neto_sgf, CAST(retenciones_sgf
        CAST(neto_sgf + retenciones_sgf - debitos_sscc AS DOUBLE) AS diferencia
 FROM r WHERE abs(neto_sgf + retenciones_sgf - debitos_sscc) >= 0.1""")
 def d_sg1(spark, d):
-    return fin(controls.payments_vs_bank(V(spark, d, "payments"), V(spark, d, "bank")))
+    return fin(controls.payments_vs_bank(V(spark, d, "payments"), V(spark, d, "bank"), debit_code="error"))
 
 
 def _iv_ledger(spark, d):
@@ -493,10 +493,21 @@ GROUP_SQL = ("CASE WHEN cta_cte = '10270' THEN 'FONAVI' "
              "WHEN cta_cte IN ('130832-12', '334', 'Macro', 'Patagonia') THEN 'RECUPEROS' ELSE 'OTROS' END")
 
 
+#: Segments that stand for the accounts of the two fund groups.
+FUND_ACCOUNTS = {"AUTOMOBILE": "10270", "BUILDING": "334", "FURNITURE": "Patagonia"}
+FUND_SQL = "CASE cta_cte " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FUND_ACCOUNTS.items()) + " ELSE cta_cte END"
+
+
+def _fund_accounts(df):
+    return df.replace(FUND_ACCOUNTS, subset=["cta_cte"])
+
+
 @query("d_cr2", f"""
-WITH a AS (SELECT ejercicio, mes, cta_cte, {GROUP_SQL} AS grupo, sum(importe) AS recursos_siif FROM loads
+WITH lf AS (SELECT ejercicio, mes, importe, {FUND_SQL} AS cta_cte FROM loads),
+     bf AS (SELECT ejercicio, mes, importe, movimiento, {FUND_SQL} AS cta_cte FROM bank),
+     a AS (SELECT ejercicio, mes, cta_cte, {GROUP_SQL} AS grupo, sum(importe) AS recursos_siif FROM lf
            WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
-     b AS (SELECT ejercicio, mes, cta_cte, {GROUP_SQL} AS grupo, sum(importe) AS depositos_banco FROM bank
+     b AS (SELECT ejercicio, mes, cta_cte, {GROUP_SQL} AS grupo, sum(importe) AS depositos_banco FROM bf
            WHERE movimiento = 'DEPOSITO' AND ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL
            GROUP BY ALL)
 SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) AS mes,
@@ -504,12 +515,27 @@ SELECT coalesce(a.ejercicio, b.ejercicio) AS ejercicio, coalesce(a.mes, b.mes) A
        CAST(recursos_siif AS DOUBLE) AS recursos_siif, CAST(depositos_banco AS DOUBLE) AS depositos_banco
 FROM a FULL JOIN b ON a.ejercicio = b.ejercicio AND a.mes = b.mes AND a.cta_cte = b.cta_cte AND a.grupo = b.grupo""")
 def d_cr2(spark, d):
-    rev = V(spark, d, "loads").withColumns({"grupo": controls.fund_group("cta_cte"), "es_invico": F.lit(False),
-                                            "es_remanente": F.lit(False)})
-    dep = controls.revenue_deposits(V(spark, d, "bank"))
+    rev = _fund_accounts(V(spark, d, "loads")).withColumns({"grupo": controls.fund_group("cta_cte"), "es_propio": F.lit(False),
+                                                            "es_remanente": F.lit(False)})
+    dep = controls.revenue_deposits(_fund_accounts(V(spark, d, "bank")))
     return fin(controls.revenue_vs_deposits_by_group(rev, dep))
 
 
+@query("d_cr1", f"""
+WITH a AS (SELECT ejercicio, mes, cta_cte, sum(importe) AS recursos_siif FROM loads
+           WHERE tipo <> 'PA6' AND tipo <> 'REG' AND ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL),
+     b AS (SELECT ejercicio, mes, cta_cte, sum(importe) AS depositos_sscc FROM bank
+           WHERE movimiento = 'DEPOSITO' AND ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL)
+SELECT ejercicio, mes, cta_cte, CAST(coalesce(recursos_siif, 0) AS DOUBLE) AS recursos_siif,
+       CAST(coalesce(depositos_sscc, 0) AS DOUBLE) AS depositos_sscc,
+       CAST(coalesce(recursos_siif, 0) - coalesce(depositos_sscc, 0) AS DOUBLE) AS diferencia
+FROM a FULL JOIN b USING (ejercicio, mes, cta_cte)""")
+def d_cr1(spark, d):
+    # advances stand for own funds, regularisations for carried-over ones
+    rev = V(spark, d, "loads").withColumns({"es_propio": F.col("tipo") == "PA6", "es_remanente": F.col("tipo") == "REG"})
+    return fin(controls.revenue_vs_deposits(rev, controls.revenue_deposits(V(spark, d, "bank"))))
+
+
 RT2_SQL = """
 w AS (SELECT nro_comprobante AS id_carga, codigo, retenciones AS importe FROM payments
       WHERE nro_comprobante IN (SELECT id FROM loads)),

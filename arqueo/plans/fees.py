@@ -15,7 +15,7 @@ from ..functions.nulls import not_in_keep_null
 # the notary, bank-debit and employer-contribution accounts, lines and codes,
 # and the text fragments of fee vouchers.
 FEE_OTHER_COLS = ["otras_retenciones", "anticipo", "descuento", "embargo", "mutual"]
-RENDITION_OTHER_COLS = ["gcias", "suss", "invico", "salud", "mutual"]
+RENDITION_OTHER_COLS = ["gcias", "suss", "propia", "salud", "mutual"]
 NOTARY_LEDGER_ACCOUNT = "2113-2-9"
 OPENING_VOUCHER_TYPE = "APE"
 BANK_DEBITS_LINE = "355"
@@ -199,7 +199,7 @@ def debits_control(vouchers: DataFrame, bank: DataFrame, keys: Sequence[str] = (
 
 def contribution_revenue(revenue: DataFrame, keys: Sequence[str] = ("ejercicio", "mes", "cta_cte")) -> DataFrame:
     """D-AE1: the 3 % revenue (own funds, verified), summed by free keys."""
-    r = revenue.filter((F.col("es_invico") == F.lit(True)) & (F.col("es_verificado") == F.lit(True)))
+    r = revenue.filter((F.col("es_propio") == F.lit(True)) & (F.col("es_verificado") == F.lit(True)))
     return op.group_sum(r, keys, {"recurso_3%": "importe"})
 
 

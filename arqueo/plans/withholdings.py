@@ -19,7 +19,7 @@ from ..functions.nulls import not_in_keep_null
 
 KEYS3 = ("ejercicio", "mes", "cta_cte")
 # FIXED VALUES: withholding codes of works payments and their column names.
-WITHHOLDING_NAMES = {"110": "iibb", "111": "sellos", "112": "lp", "113": "gcias", "114": "suss", "337": "invico"}
+WITHHOLDING_NAMES = {"110": "iibb", "111": "sellos", "112": "lp", "113": "gcias", "114": "suss", "337": "propia"}
 LEDGER_BANK_ACCOUNT = "1112-2-6"
 LEDGER_CONTRACTORS_ACCOUNT = "2111-1-2"
 LEDGER_WITHHOLDINGS_ACCOUNT = "2122-1-2"
@@ -27,7 +27,7 @@ PAYMENT_VOUCHER_TYPES = ["CAP", "ANP", "CAD"]
 # bank: the transfer code of withholdings and the text that names each
 # withholding in the transfer concept.
 BANK_TRANSFER_CODE = "034"
-BANK_WITHHOLDING_WORDS = {"iibb": "IIBB", "sellos": "SELLOS", "gcias": "GCI", "suss": "SUSS", "invico": "INV"}
+BANK_WITHHOLDING_WORDS = {"iibb": "IIBB", "sellos": "SELLOS", "gcias": "GCI", "suss": "SUSS", "propia": "INV"}
 
 
 def withholdings_per_load(loads: DataFrame, withholdings: DataFrame,

@@ -63,13 +63,13 @@ SCHEMAS: dict[str, T.StructType] = {
                                 ("fecha", DT), ("importe", D), ("es_comprometido", B), ("es_verificado", B),
                                 ("es_aprobado", B), ("es_pagado", B)),
     "revenue_vouchers": _schema(*_strings("ejercicio", "mes", "fuente", "cta_cte", "glosa"), ("importe", D),
-                                ("es_invico", B), ("es_remanente", B), ("es_verificado", B)),
+                                ("es_propio", B), ("es_remanente", B), ("es_verificado", B)),
     "ledger": _schema(*_strings("ejercicio", "mes", "cta_contable", "tipo_comprobante", "nro_entrada", "nro_original",
                                 "auxiliar_1", "auxiliar_2"), ("fecha", DT), ("fecha_aprobado", DT),
                       *_money("debitos", "creditos", "saldo")),
     "renditions": _schema(*_strings("ejercicio", "mes", "origen", "beneficiario", "destino", "cta_cte",
                                     "libramiento_sgf", "movimiento", "cuit"), ("fecha", DT),
-                          *_money("importe_bruto", "gcias", "sellos", "iibb", "suss", "invico", "seguro", "salud",
+                          *_money("importe_bruto", "gcias", "sellos", "iibb", "suss", "propia", "seguro", "salud",
                                   "mutual", "otras", "retenciones", "importe_neto")),
     "new_neighbourhoods": _schema(*_strings("ejercicio", "cod_barrio"), ("importe_total", D)),
     "billed": _schema(("ejercicio", S), ("facturado_total", D)),

@@ -37,12 +37,14 @@ def imputation_codes(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "sscc_imputaciones", "imputation_codes")
 
 
-def bank_movements(spark, root, years: Years = None, amap: DataFrame | None = None):   # S-03
-    return _map(_read(spark, root, "banco_invico", "bank", years), amap, "sscc_cta_cte")
+def bank_movements(spark, root, years: Years = None, amap: DataFrame | None = None,    # S-03
+                   table: str = "banco"):
+    return _map(_read(spark, root, table, "bank", years), amap, "sscc_cta_cte")
 
 
-def bank_final_balances(spark, root, years: Years = None, amap=None):                 # S-04
-    return _map(_read(spark, root, "sdo_final_banco_invico", "bank_final_balance", years), amap, "sscc_cta_cte")
+def bank_final_balances(spark, root, years: Years = None, amap=None,                  # S-04
+                        table: str = "sdo_final_banco"):
+    return _map(_read(spark, root, table, "bank_final_balance", years), amap, "sscc_cta_cte")
 
 
 def professional_fees(spark, root, years: Years = None):                               # S-05

@@ -100,14 +100,24 @@ def works(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Accounts of the bank that the other systems have too (segments of the customer table).
+SHARED_ACCOUNTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
 def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements of four years; five of seven accounts are shared with the other systems, one is the bank's own, one NULL."""
     ev = table(spark, sf_dir, "events")
-    return ev.select(
+    k = F.col("user_id") % 7
+    account = F.when(k == 6, F.col("user_id").cast("string"))
+    for i, name in enumerate(SHARED_ACCOUNTS):
+        account = account.when(k == i, F.lit(name))
+    day = F.add_months(F.to_date("ts"), (F.lit(-12) * (F.col("event_id") % 4 + 25)).cast("int"))
+    return ev.withColumn("_day", day).select(
         F.col("event_id").cast("string").alias("libramiento"),
-        F.col("user_id").cast("string").alias("cta_cte"),
-        year_of("ts").alias("ejercicio"),
-        month_of("ts").alias("mes"),
-        F.to_date("ts").alias("fecha"),
+        account.alias("cta_cte"),
+        year_of("_day").alias("ejercicio"),
+        month_of("_day").alias("mes"),
+        F.col("_day").alias("fecha"),
         F.col("event_type").alias("cod_imputacion"),
         F.when(F.col("event_type").isin("purchase", "signup"), "DEPOSITO").otherwise("DEBITO").alias("movimiento"),
         F.col("value").cast(MONEY).alias("importe"),
@@ -179,12 +189,14 @@ VIEW_SQL = {
                l.l_quantity / 50 AS avance, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS importe
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "bank": """
-        SELECT CAST(event_id AS VARCHAR) AS libramiento, CAST(user_id AS VARCHAR) AS cta_cte,
-               CAST(year(ts) AS VARCHAR) AS ejercicio, strftime(ts, '%m/%Y') AS mes, CAST(ts AS DATE) AS fecha,
+        SELECT CAST(event_id AS VARCHAR) AS libramiento,
+               CASE user_id % 7 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'FURNITURE' WHEN 3 THEN 'HOUSEHOLD'
+                                WHEN 4 THEN 'MACHINERY' WHEN 6 THEN CAST(user_id AS VARCHAR) END AS cta_cte,
+               CAST(year(dia) AS VARCHAR) AS ejercicio, strftime(dia, '%m/%Y') AS mes, dia AS fecha,
                event_type AS cod_imputacion,
                CASE WHEN event_type IN ('purchase', 'signup') THEN 'DEPOSITO' ELSE 'DEBITO' END AS movimiento,
                CAST(value AS DECIMAL(18,2)) AS importe
-        FROM events""",
+        FROM (SELECT *, CAST(CAST(ts AS DATE) - to_years(CAST(event_id % 4 + 25 AS INTEGER)) AS DATE) AS dia FROM events)""",
     "acct_map": """
         SELECT r.r_name AS map_to, NULLIF(n.n_name, 'NATION_3') AS sscc_cta_cte
         FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",

@@ -12,7 +12,7 @@ from test_plans import _bank, frame
 def test_bank_gap_explained_keeps_null_years(spark):
     lvb = spark.createDataFrame([("2023", "c", D(10), D(8), D(2)), ("2024", "c", D(5), D(5), D(0))],
                                 "ejercicio string, cta_cte string, sldo_siif decimal(18,2), "
-                                "sldo_invico decimal(18,2), dif_sldo decimal(18,2)")
+                                "sldo_banco decimal(18,2), dif_sldo decimal(18,2)")
     rec = spark.createDataFrame([("2023", D(1))], "ejercicio string, diferencia decimal(18,2)")
     obras = spark.createDataFrame([("2023", D(-3)), ("2024", D(4))], "ejercicio string, diferencia decimal(18,2)")
     out = bank.gap_explained(lvb, {"recursos_dif": (rec, "diferencia", -1), "obras_dif": (obras, "diferencia", 1)})
@@ -127,7 +127,7 @@ def test_fee_vouchers_notary_contribution(spark):
     cw = fees.contribution_withholdings(led)
     assert rows(cw, "pagos_337_siif", "gastos_337_siif") == [(D(7), D(0))]
     rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "c", D(7), True, True)],
-                ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_verificado"])
+                ["ejercicio", "mes", "cta_cte", "importe", "es_propio", "es_verificado"])
     cr = fees.contribution_revenue(rev, ["ejercicio", "mes"])
     assert fees.contribution_control(cr, cw, ["ejercicio", "mes"], only_diff=True).count() == 1  # parity: row total
 
@@ -255,7 +255,7 @@ def test_revenue_controls_flag_rules(spark):
     rev = frame(spark, "revenue_vouchers", [("2024", "01/2024", "10270", D(10), False, False, True),
                                             ("2024", "01/2024", "10270", D(5), None, False, True),
                                             ("2024", "01/2024", "10270", D(7), True, False, True)],
-                ["ejercicio", "mes", "cta_cte", "importe", "es_invico", "es_remanente", "es_verificado"])
+                ["ejercicio", "mes", "cta_cte", "importe", "es_propio", "es_remanente", "es_verificado"])
     dep = controls.revenue_deposits(_bank(spark))
     r = {(x.mes, x.cta_cte): x for x in controls.revenue_vs_deposits(rev, dep).collect()}
     assert r[("01/2024", "10270")].recursos_siif == D(10)  # NULL or True flags are not third-party revenue
@@ -267,7 +267,7 @@ def test_revenue_controls_flag_rules(spark):
 
 def test_ledger_bank_gap_composite(spark):
     lvb = spark.createDataFrame([("2024", "c", D(10), D(4), D(6))], "ejercicio string, cta_cte string, "
-                                "sldo_siif decimal(18,2), sldo_invico decimal(18,2), dif_sldo decimal(18,2)")
+                                "sldo_siif decimal(18,2), sldo_banco decimal(18,2), dif_sldo decimal(18,2)")
 
     def ctrl(v, col="diferencia"):
         return spark.createDataFrame([("2024", D(v))], f"ejercicio string, {col} decimal(18,2)")
@@ -285,7 +285,7 @@ def test_fee_summaries(spark):
     assert s.importe == D(15) and s.es_pagado == 2 and s.es_aprobado == 1  # flags counted, as the original
     assert "es_pagado" not in fees.fee_vouchers_summary(vo, count_flags=False).columns
     rd = frame(spark, "renditions", [("2024", "01/2024", "20-1", "X", D(100), D(1), D(2), D(3), D(4), D(5), D(6))],
-               ["ejercicio", "mes", "cuit", "beneficiario", "importe_bruto", "otras", "gcias", "suss", "invico",
+               ["ejercicio", "mes", "cuit", "beneficiario", "importe_bruto", "otras", "gcias", "suss", "propia",
                 "salud", "mutual"])
     r = fees.fee_renditions_summary(rd).first()
     assert r.otras == D(21) and "gcias" not in r.asDict()
@@ -320,3 +320,16 @@ def test_report_runs_write_every_table(spark):
     assert len(out) == 8
     row = spark.read.parquet(out["mod_basicos_por_convenio"]).first()
     assert (row.info_adicional, row.importe) == ("CONV", D(10))
+
+
+def test_registered_controls_have_matched_and_unmatched_keys(spark):
+    """The controls over the driver tables see keys of both sides and of either side alone."""
+    from arqueo.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    for name, left, right in (("d_sg1", "neto_sgf", "debitos_sscc"), ("d_cr1", "recursos_siif", "depositos_sscc"), ("d_cr2", "recursos_siif", "depositos_banco")):
+        d = catalog.QUERIES[name](spark, sf).fillna(0, subset=[left, right])
+        both = d.filter((F.col(left) != 0) & (F.col(right) != 0)).count()
+        assert both > 0 and d.filter((F.col(left) != 0) & (F.col(right) == 0)).count() > 0, name
+        assert d.filter((F.col(left) == 0) & (F.col(right) != 0)).count() > 0, name
+    assert {r.grupo for r in catalog.QUERIES["d_cr2"](spark, sf).select("grupo").distinct().collect()} == {"FONAVI", "RECUPEROS", "OTROS"}
+    assert catalog.QUERIES["d_fc1"](spark, sf).select("ejercicio").distinct().count() == 4
