@@ -156,7 +156,7 @@ def test_model_query(spark, sf):
 def test_model_learns_order_and_head_overflow(spark, make_docs, monkeypatch):
     """Words that follow one another get far more than their frequency; counts beyond the head are joined."""
     monkeypatch.setattr(log_bilinear, "HEAD", 6)
-    texts = {i: "A b C d " * 150 for i in range(60)} | {100: None, 101: "", 102: "b d é x \x1c " + "long" * 100, None: "a b"}
+    texts = {i: "A b C d " * 1500 for i in range(60)} | {100: None, 101: "", 102: "b d é x \x1c " + "long" * 100, None: "a b"}
     got = check_model(log_bilinear.score_documents(make_docs(list(texts.items()))).collect(), texts)
     assert all(got[i].score > 0.6 * got[i].base_score for i in range(60))
     twice = log_bilinear.score_documents(make_docs([(1, "a b zz"), (1, "a b zz"), (2, "q")])).collect()
