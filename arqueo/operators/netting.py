@@ -4,6 +4,10 @@ An expense voucher that was accrued in one month but paid later appears in
 the monthly unpaid-voucher snapshots.  Netting moves it from accrual to cash
 timing: a negative row in each month it is reported unpaid, and a positive row
 one month after its last snapshot (when it was paid).
+
+The snapshots are aggregated once and written; the joins of that table with the
+loads therefore have an exchange of their own on either side, so that AQE can
+split the loads of a hot voucher.
 """
 
 from __future__ import annotations
@@ -16,30 +20,41 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.nulls import not_in_keep_null
 from ..functions.scalars import add_one_month, month_of, year_from_month
+from ..session import materialize
 from .filters import years as year_filter
 from .reshape import union_all
 from .windows import dedupe
 
 
-def first_snapshot_per_month(snapshots: DataFrame, voucher: str = "nro_comprobante", month: str = "mes",
-                             date: str = "fecha_hasta", balance: str = "saldo") -> DataFrame:
-    """Earliest snapshot of each (voucher, month), ties broken by balance."""
-    s = snapshots.select(voucher, month, date, balance)
-    return dedupe(s, [voucher, month], [date], "first", tie_break=[balance]).drop(date)
+def monthly_snapshots(snapshots: DataFrame, voucher: str = "nro_comprobante", month: str = "mes",
+                      date: str = "fecha_hasta", balance: str = "saldo", cols: Sequence[str] = ()) -> DataFrame:
+    """(voucher, month, first, last): the earliest and the latest snapshot of each voucher and month.
+
+    Earliest: by date, then balance and ``cols`` (ascending, NULLs last); latest: the same order's last.  One
+    aggregation over the snapshots, reduced inside each map task, written once: both netting rows start from it.
+    """
+    keep = [c for c in cols if c in snapshots.columns and c not in (voucher, month, date, balance)]
+
+    def order(columns: Sequence[str]):
+        return F.struct(*[e for c in columns for e in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(c))])
+
+    s = snapshots.groupBy(voucher, month).agg(F.min(order([date, balance, *keep])).alias("first"),
+                                              F.max(order([date, balance, *keep])).alias("last"))
+    return materialize(s, "snapshots")
 
 
-def paid_after_last_snapshot(snapshots: DataFrame, voucher: str = "nro_comprobante", date: str = "fecha_hasta",
+def paid_after_last_snapshot(monthly: DataFrame, voucher: str = "nro_comprobante", date: str = "fecha_hasta",
                              balance: str = "saldo", cols: Sequence[str] = ()) -> DataFrame:
     """Last snapshot of each voucher moved one month later: the month it was paid.
 
-    Returns voucher, ``cols``, balance, ``fecha`` / ``mes`` / ``ejercicio`` of
-    the payment month.
+    ``monthly`` is :func:`monthly_snapshots`.  Returns voucher, ``cols``,
+    balance, ``fecha`` / ``mes`` / ``ejercicio`` of the payment month.
     """
-    keep = [c for c in cols if c in snapshots.columns and c not in (voucher, date, balance)]
-    s = snapshots.select(voucher, date, balance, *keep)
-    last = dedupe(s, [voucher], [date], "last", tie_break=[balance, *keep])
+    last = monthly.groupBy(voucher).agg(F.max("last").alias("_l"))
+    keep = [c for c in cols if c in [f.name for f in monthly.schema["last"].dataType]]
     paid = add_one_month(date)
-    return last.select(voucher, *keep, balance, paid.alias("fecha")) \
+    out = last.select(voucher, *[F.col("_l").getField(c).alias(c) for c in (date, balance, *keep)])
+    return out.select(voucher, *keep, balance, paid.alias("fecha")) \
         .withColumn("mes", month_of("fecha")).withColumn("ejercicio", year_from_month("mes"))
 
 
@@ -68,12 +83,13 @@ def net_pending(loads: DataFrame, snapshots: DataFrame, years: str | Sequence[st
     # steps 1 and 3 together are "every load but regularisations": one scan
     kept = loads.filter(not_in_keep_null("tipo", [regularisation]))
 
-    first = first_snapshot_per_month(snapshots, voucher, month, date, balance)
+    monthly = monthly_snapshots(snapshots, voucher, month, date, balance, snap_cols)
+    first = monthly.select(voucher, month, F.col("first").getField(balance).alias(balance))
     neg = (first.join(base, on=[voucher, month], how="inner")
            .withColumn(amount, -F.col(balance)).withColumn("tipo", F.lit(debt)).drop(balance))
 
     lc = [c for c in load_cols if c in loads.columns and c != voucher]
-    paid = paid_after_last_snapshot(snapshots, voucher, date, balance, snap_cols)
+    paid = paid_after_last_snapshot(monthly, voucher, date, balance, snap_cols)
     paid = year_filter(paid, years)
     attrs = base.select(voucher, *lc)
     if allocate == "first":
@@ -106,14 +122,14 @@ def net_pending_semi(vouchers: DataFrame, snapshots: DataFrame, years: str | Seq
     keys = vouchers.select(voucher)
     snap_rest = [c for c in snapshots.columns if c not in (voucher, month, date, balance)]
 
-    s = snapshots.select(voucher, month, balance, date, *snap_rest)
-    first = dedupe(s, [voucher, month], [date], "first", tie_break=[balance, *snap_rest]).drop(date)
+    monthly = monthly_snapshots(snapshots, voucher, month, date, balance, snap_rest)
+    first = monthly.select(voucher, month, *[F.col("first").getField(c).alias(c) for c in (balance, *snap_rest)])
     # the original also dropped repeats of (voucher, month, balance); these rows
     # are already one per (voucher, month), so that step is a no-op and skipped
     neg = first.join(keys, on=voucher, how="left_semi")
     neg = neg.withColumn(amount, -F.col(balance)).drop(balance)
 
-    paid = paid_after_last_snapshot(snapshots, voucher, date, balance, snap_rest)
+    paid = paid_after_last_snapshot(monthly, voucher, date, balance, snap_rest)
     paid = year_filter(paid, years).join(keys, on=voucher, how="left_semi")  # one row per voucher already
     pos = paid.withColumn(amount, F.col(balance)).drop(balance)
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..session import materialize
 from ..functions import codes as K
 from ..functions.nulls import contains_any, not_in_keep_null
 
@@ -32,9 +33,13 @@ def works_renditions(renditions: DataFrame, exclude_origin: str = "FUNCIONAMIENT
 
 
 def works_vs_paid_detail(loads: DataFrame, renditions: DataFrame, keys: Sequence[str] = KEYS3) -> DataFrame:
-    """D-CO4 (re-aimed, see J-16): line detail of both systems with group totals, sorted."""
-    out = op.full_detail(loads, renditions, keys, "importe", "importe_bruto", "icaro_", "sgf_")
-    return out
+    """D-CO4 (re-aimed, see J-16): line detail of both systems with group totals.
+
+    Both sides are needed twice (lines and totals) and the loads are usually
+    netted: each is written once to the shared folder and read from there.
+    """
+    return op.full_detail(materialize(loads, "loads"), materialize(renditions, "renditions"), keys,
+                          "importe", "importe_bruto", "icaro_", "sgf_")
 
 
 def payroll_vs_paid(net_vouchers: DataFrame, bank_payroll: DataFrame, keys: Sequence[str] = ("ejercicio", "mes")

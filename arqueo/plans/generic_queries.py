@@ -243,7 +243,7 @@ SELECT f.nro_comprobante, f.mes, CAST(f.saldo AS DOUBLE) AS saldo, l.id, l.ejerc
        CAST(l.importe AS DOUBLE) AS importe
 FROM first_snap f JOIN loads l ON f.nro_comprobante = l.nro_comprobante AND f.mes = l.mes""")
 def j_natural(spark, d):
-    first = op.netting.first_snapshot_per_month(V(spark, d, "snapshots"))
+    first = op.netting.monthly_snapshots(V(spark, d, "snapshots")).select("nro_comprobante", "mes", F.col("first.saldo").alias("saldo"))
     ld = V(spark, d, "loads").select("nro_comprobante", "mes", "id", "ejercicio", "cta_cte", "importe")
     return fin(op.natural_join(first, ld))
 
