@@ -147,6 +147,6 @@ def latest_period(df: DataFrame, mes_col: str = "mes", keys: Sequence[str] = ())
     d = df.withColumn("_m", month_start(mes_col))
     if not keys:
         mx = d.agg(F.max("_m").alias("_m"))
-        return d.join(F.broadcast(mx), on="_m", how="inner").drop("_m")
+        return d.join(mx, on="_m", how="inner").drop("_m")
     mx = d.groupBy(*keys).agg(F.max("_m").alias("_m"))
     return d.join(mx, on=keys + ["_m"], how="inner").select(*df.columns)

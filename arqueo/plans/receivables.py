@@ -64,7 +64,7 @@ def top_reasons_over_time(reasons: DataFrame, base_year: str, n: int = 5) -> Dat
     d = reasons.withColumn("importe", F.abs("importe"))
     d = op.share(d, "importe", ["ejercicio"])
     keys = op.top_keys(op.years(d, base_year), n, "cod_motivo", "importe").withColumn("_top", F.lit(True))
-    j = d.join(F.broadcast(keys), on="cod_motivo", how="left")
+    j = d.join(keys, on="cod_motivo", how="left")
     top = F.coalesce(F.col("_top"), F.lit(False))
     j = j.withColumns({"cod_motivo": F.when(top, F.col("cod_motivo")).otherwise(F.lit(K.TOP_OTHER_LABEL)),
                        "motivo": F.when(top, F.col("motivo")).otherwise(F.lit(OTHER_REASONS_LABEL))})
