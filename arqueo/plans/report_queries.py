@@ -16,8 +16,8 @@ from .registry import V, fin, query
 VARIATION_SQL = """
 v AS (SELECT ejercicio, cuit AS barrio, sum(importe_bruto) AS saldo_inicial,
              -sum(CASE WHEN codigo = 'R' THEN importe_bruto ELSE 0 END) AS amortizacion,
-             sum(CASE WHEN codigo = 'A' THEN importe_bruto ELSE 0 END) AS cambios,
-             sum(CASE WHEN codigo = 'N' THEN importe_bruto WHEN CAST(cuit AS BIGINT) % 5 = 0 THEN -importe_bruto ELSE 0 END) AS saldo_final
+             sum(CASE WHEN codigo = 'N' THEN importe_bruto ELSE 0 END) AS cambios,
+             sum(CASE WHEN codigo = 'A' THEN importe_bruto WHEN CAST(cuit AS BIGINT) % 5 = 0 THEN -importe_bruto ELSE 0 END) AS saldo_final
       FROM payments GROUP BY ALL)"""
 
 
@@ -25,8 +25,8 @@ def _variation(spark, d):
     n, gross = F.col("cuit").cast("long"), F.col("importe_bruto")
     pick = lambda cond, value=gross: F.sum(F.when(cond, value).otherwise(0))
     return V(spark, d, "payments").groupBy("ejercicio", F.col("cuit").alias("barrio")).agg(
-        F.sum(gross).alias("saldo_inicial"), (-pick(F.col("codigo") == "R")).alias("amortizacion"), pick(F.col("codigo") == "A").alias("cambios"),
-        F.sum(F.when(F.col("codigo") == "N", gross).when(n % 5 == 0, -gross).otherwise(0)).alias("saldo_final"))
+        F.sum(gross).alias("saldo_inicial"), (-pick(F.col("codigo") == "R")).alias("amortizacion"), pick(F.col("codigo") == "N").alias("cambios"),
+        F.sum(F.when(F.col("codigo") == "A", gross).when(n % 5 == 0, -gross).otherwise(0)).alias("saldo_final"))
 
 
 def _collected(spark, d):
