@@ -115,8 +115,8 @@ def d_rc11(spark, d):
 
 
 WITHOUT_SQL = f"""{VARIATION_SQL},
-p AS (SELECT barrio, sum(amortizacion) AS a FROM v WHERE saldo_final > 0 AND CAST(ejercicio AS INTEGER) < 1993 AND barrio IS NOT NULL GROUP BY 1),
-w AS (SELECT v.*, -p.a AS amort FROM v JOIN p USING (barrio) WHERE v.ejercicio = '1993' AND v.saldo_final > 0 AND -p.a < 0.01)"""
+p AS (SELECT barrio, sum(amortizacion) AS a FROM v WHERE saldo_final > 0 AND CAST(ejercicio AS INTEGER) < 1996 AND barrio IS NOT NULL GROUP BY 1),
+w AS (SELECT v.*, -p.a AS amort FROM v JOIN p USING (barrio) WHERE v.ejercicio = '1996' AND v.saldo_final > 0 AND -p.a < 0.01)"""
 
 
 @query("d_rc13", f"""
@@ -124,18 +124,18 @@ WITH {WITHOUT_SQL}
 SELECT barrio, ejercicio, CAST(saldo_inicial AS DOUBLE) AS saldo_inicial, CAST(cambios AS DOUBLE) AS cambios,
        CAST(saldo_final AS DOUBLE) AS saldo_final, CAST(amort AS DOUBLE) AS amortizacion FROM w""")
 def d_rc13(spark, d):
-    return fin(receivables.without_amortisation(_variation(spark, d), "1993"))
+    return fin(receivables.without_amortisation(_variation(spark, d), "1996"))
 
 
 @query("d_rc14", f"""
 WITH {VARIATION_SQL},
-p AS (SELECT barrio, sum(amortizacion) AS a FROM v WHERE saldo_final > 0 AND CAST(ejercicio AS INTEGER) < 1993 AND barrio IS NOT NULL GROUP BY 1),
-w AS (SELECT v.* FROM v JOIN p USING (barrio) WHERE v.ejercicio = '1993' AND v.saldo_final > 0 AND -p.a < 0.01),
-t AS (SELECT (SELECT count(*) FROM v WHERE ejercicio = '1993') AS n, (SELECT count(*) FROM w) AS k)
+p AS (SELECT barrio, sum(amortizacion) AS a FROM v WHERE saldo_final > 0 AND CAST(ejercicio AS INTEGER) < 1996 AND barrio IS NOT NULL GROUP BY 1),
+w AS (SELECT v.* FROM v JOIN p USING (barrio) WHERE v.ejercicio = '1996' AND v.saldo_final > 0 AND -p.a < 0.01),
+t AS (SELECT (SELECT count(*) FROM v WHERE ejercicio = '1996') AS n, (SELECT count(*) FROM w) AS k)
 SELECT 'Barrios sin amortizaciones' AS concepto, CAST(k AS DOUBLE) AS importe FROM t
 UNION ALL SELECT 'Barrios con amortizaciones', CAST(n - k AS DOUBLE) FROM t""")
 def d_rc14(spark, d):
-    return fin(receivables.with_without_amortisation(_variation(spark, d), "1993"))
+    return fin(receivables.with_without_amortisation(_variation(spark, d), "1996"))
 
 
 # ---------------------------------------------------------------- works and bank
