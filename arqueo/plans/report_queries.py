@@ -7,7 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bank, controls, receivables
+from ..functions import codes as K
+from ..functions.scalars import month_of, year_of
+from ..sources.views import table
+from . import bank, controls, receivables, withholdings
 from .registry import V, fin, query
 
 # ---------------------------------------------------------------- receivables
@@ -197,3 +200,114 @@ def d_cb5(spark, d):
     own = V(spark, d, "loads").filter(F.col("tipo") == "REG")
     debits = V(spark, d, "bank").filter(F.col("movimiento") == "DEBITO")
     return fin(bank.gap_explained(_ledger_vs_bank(spark, d), {"recursos_dif": (own, "importe", -1), "debitos_banca_dif": (debits, "importe", 1)}))
+
+
+# ---------------------------------------------------------------- withholdings of works payments
+
+#: General ledger: each order is an entry; its lines are contractor payments, withholdings and the bank's side.
+LEDGER_SQL = """
+gl AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS ejercicio, strftime(o_orderdate, '%m/%Y') AS mes, CAST(l_orderkey % 5000 AS VARCHAR) AS nro_entrada,
+              CASE l_linenumber % 3 WHEN 1 THEN '2111-1-2' WHEN 2 THEN '2122-1-2' ELSE '1112-2-6' END AS cta_contable,
+              CASE l_orderkey % 4 WHEN 0 THEN 'CAP' WHEN 1 THEN 'ANP' WHEN 2 THEN 'CAD' ELSE 'REV' END AS tipo_comprobante,
+              CASE l_linenumber % 3 WHEN 1 THEN CAST(o_custkey AS VARCHAR)
+                   WHEN 2 THEN CASE l_partkey % 7 WHEN 0 THEN '110' WHEN 1 THEN '111' WHEN 2 THEN '112' WHEN 3 THEN '113' WHEN 4 THEN '114' WHEN 5 THEN '337' ELSE '999' END
+                   ELSE c_mktsegment END AS auxiliar_1,
+              CAST(l_extendedprice AS DECIMAL(18,2)) AS debitos
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+be AS (SELECT ejercicio, nro_entrada, min(auxiliar_1) AS cta_cte FROM gl WHERE cta_contable = '1112-2-6' GROUP BY ALL),
+rt4 AS (SELECT gl.ejercicio, mes, gl.nro_entrada, tipo_comprobante, debitos AS importe_neto, auxiliar_1 AS cuit, cta_cte
+        FROM gl LEFT JOIN be ON be.ejercicio = gl.ejercicio AND be.nro_entrada = gl.nro_entrada
+        WHERE cta_contable = '2111-1-2' AND tipo_comprobante IN ('CAP', 'ANP', 'CAD')),
+rt5 AS (SELECT gl.ejercicio, mes, gl.nro_entrada, tipo_comprobante, debitos AS importe, cta_cte,
+               CASE auxiliar_1 WHEN '110' THEN 'iibb' WHEN '111' THEN 'sellos' WHEN '112' THEN 'lp' WHEN '113' THEN 'gcias' WHEN '114' THEN 'suss' ELSE 'propia' END AS cod_ret
+        FROM gl LEFT JOIN be ON be.ejercicio = gl.ejercicio AND be.nro_entrada = gl.nro_entrada
+        WHERE cta_contable = '2122-1-2' AND tipo_comprobante IN ('CAP', 'ANP', 'CAD') AND auxiliar_1 <> '999'),
+n6 AS (SELECT ejercicio, mes, cta_cte, sum(importe_neto) AS importe_neto FROM rt4 WHERE cta_cte IS NOT NULL GROUP BY ALL),
+r6 AS (SELECT ejercicio, mes, cta_cte, sum(CASE WHEN cod_ret = 'iibb' THEN importe ELSE 0 END) AS iibb, sum(CASE WHEN cod_ret = 'sellos' THEN importe ELSE 0 END) AS sellos,
+              sum(CASE WHEN cod_ret = 'lp' THEN importe ELSE 0 END) AS lp, sum(CASE WHEN cod_ret = 'gcias' THEN importe ELSE 0 END) AS gcias,
+              sum(CASE WHEN cod_ret = 'suss' THEN importe ELSE 0 END) AS suss, sum(CASE WHEN cod_ret = 'propia' THEN importe ELSE 0 END) AS propia, sum(importe) AS retenciones
+       FROM rt5 WHERE cta_cte IS NOT NULL GROUP BY ALL),
+rt6 AS (SELECT ejercicio, mes, cta_cte, coalesce(importe_neto, 0) AS importe_neto, coalesce(iibb, 0) AS iibb, coalesce(sellos, 0) AS sellos, coalesce(lp, 0) AS lp,
+               coalesce(gcias, 0) AS gcias, coalesce(suss, 0) AS suss, coalesce(propia, 0) AS propia, coalesce(retenciones, 0) AS retenciones,
+               coalesce(importe_neto, 0) + coalesce(retenciones, 0) AS importe_bruto FROM n6 FULL JOIN r6 USING (ejercicio, mes, cta_cte))"""
+
+#: Bank movements of works: two codes of works investment and the transfers of withholdings, named by their text.
+WORKS_BANK_SQL = """
+wb AS (SELECT ejercicio, mes, cta_cte, importe, CASE cod_imputacion WHEN 'view' THEN '{works}' WHEN 'click' THEN '034' ELSE cod_imputacion END AS cod,
+              CASE CAST(libramiento AS BIGINT) % 6 WHEN 0 THEN 'RET IIBB' WHEN 1 THEN 'SELLOS Y GCIAS' WHEN 2 THEN 'DEP GCI' WHEN 3 THEN 'SUSS' WHEN 4 THEN 'INV 3' END AS txt FROM bank),
+rt8 AS (SELECT ejercicio, mes, cta_cte, sum(CASE WHEN cod = '034' THEN -importe ELSE 0 END) AS retenciones,
+               sum(CASE WHEN cod = '034' AND contains(txt, 'IIBB') THEN -importe ELSE 0 END) AS iibb, sum(CASE WHEN cod = '034' AND contains(txt, 'SELLOS') THEN -importe ELSE 0 END) AS sellos,
+               sum(CASE WHEN cod = '034' AND contains(txt, 'GCI') THEN -importe ELSE 0 END) AS gcias, sum(CASE WHEN cod = '034' AND contains(txt, 'SUSS') THEN -importe ELSE 0 END) AS suss,
+               sum(CASE WHEN cod = '034' AND contains(txt, 'INV') THEN -importe ELSE 0 END) AS propia, sum(CASE WHEN cod <> '034' THEN -importe ELSE 0 END) AS importe_neto,
+               sum(-importe) AS importe_bruto
+        FROM wb WHERE cod IN ('{works}', '034') AND ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL)""".replace(
+    "{works}", K.CASH_FLOW_WORKS[0])
+NAMES = ["iibb", "sellos", "gcias", "suss", "propia", "retenciones", "importe_neto", "importe_bruto"]
+
+
+def _doubles(columns, table="") -> str:
+    return ", ".join(f"CAST({table}{c} AS DOUBLE) AS {c}" for c in columns)
+
+
+def _ledger(spark, d):
+    n = F.col("l_linenumber") % 3
+    codes = ["110", "111", "112", "113", "114", "337", "999"]
+    ret = F.element_at(F.array(*map(F.lit, codes)), (F.col("l_partkey") % 7 + 1).cast("int"))
+    kinds = F.element_at(F.array(*map(F.lit, ["CAP", "ANP", "CAD", "REV"])), (F.col("l_orderkey") % 4 + 1).cast("int"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    li = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return li.select(
+        year_of("o_orderdate").alias("ejercicio"), month_of("o_orderdate").alias("mes"), (F.col("l_orderkey") % 5000).cast("string").alias("nro_entrada"),
+        F.when(n == 1, withholdings.LEDGER_CONTRACTORS_ACCOUNT).when(n == 2, withholdings.LEDGER_WITHHOLDINGS_ACCOUNT).otherwise(withholdings.LEDGER_BANK_ACCOUNT).alias("cta_contable"),
+        kinds.alias("tipo_comprobante"), F.when(n == 1, F.col("o_custkey").cast("string")).when(n == 2, ret).otherwise(F.col("c_mktsegment")).alias("auxiliar_1"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("debitos"))
+
+
+def _ledger_summary(spark, d):
+    gl = _ledger(spark, d)
+    return withholdings.ledger_summary(withholdings.contractor_payments(gl), withholdings.withholding_payments(gl))
+
+
+def _works_bank(spark, d):
+    text = F.element_at(F.array(*map(F.lit, ["RET IIBB", "SELLOS Y GCIAS", "DEP GCI", "SUSS", "INV 3", None])), (F.col("libramiento").cast("long") % 6 + 1).cast("int"))
+    code = F.when(F.col("cod_imputacion") == "view", K.CASH_FLOW_WORKS[0]).when(F.col("cod_imputacion") == "click", "034").otherwise(F.col("cod_imputacion"))
+    return V(spark, d, "bank").withColumns({"cod_imputacion": code, "concepto": text})
+
+
+@query("d_rt4", f"WITH {LEDGER_SQL} SELECT * REPLACE (CAST(importe_neto AS DOUBLE) AS importe_neto) FROM rt4")
+def d_rt4(spark, d):
+    return fin(withholdings.contractor_payments(_ledger(spark, d)))
+
+
+@query("d_rt5", f"WITH {LEDGER_SQL} SELECT * REPLACE (CAST(importe AS DOUBLE) AS importe) FROM rt5")
+def d_rt5(spark, d):
+    return fin(withholdings.withholding_payments(_ledger(spark, d)))
+
+
+@query("d_rt6", f"WITH {LEDGER_SQL} SELECT ejercicio, mes, cta_cte, {_doubles([*NAMES, 'lp'])} FROM rt6")
+def d_rt6(spark, d):
+    return fin(_ledger_summary(spark, d))
+
+
+@query("d_rt7", """
+SELECT ejercicio, mes, cta_cte, CAST(sum(importe_bruto) AS DOUBLE) AS importe_bruto, CAST(sum(importe_neto) AS DOUBLE) AS importe_neto,
+       CAST(sum(retenciones) AS DOUBLE) AS retenciones
+FROM payments WHERE ejercicio IS NOT NULL AND mes IS NOT NULL AND cta_cte IS NOT NULL GROUP BY ALL""")
+def d_rt7(spark, d):
+    return fin(withholdings.renditions_summary(V(spark, d, "payments")))
+
+
+@query("d_rt8", f"WITH {WORKS_BANK_SQL} SELECT ejercicio, mes, cta_cte, {_doubles(NAMES)} FROM rt8")
+def d_rt8(spark, d):
+    return fin(withholdings.bank_summary(_works_bank(spark, d)))
+
+
+@query("d_rt12", f"""
+WITH {LEDGER_SQL}, {WORKS_BANK_SQL.strip()},
+a AS (SELECT ejercicio, mes, cta_cte, importe_neto, iibb, sellos + lp AS sellos, gcias, suss, propia, retenciones, importe_bruto FROM rt6)
+SELECT ejercicio, mes, cta_cte, {", ".join(f"CAST(coalesce(a.{c}, 0) - coalesce(rt8.{c}, 0) AS DOUBLE) AS {c}" for c in NAMES)}
+FROM a FULL JOIN rt8 USING (ejercicio, mes, cta_cte)""")
+def d_rt12(spark, d):
+    # lp is folded into the seals, as the bank has no text for it
+    return fin(withholdings.compare(_ledger_summary(spark, d), withholdings.bank_summary(_works_bank(spark, d)), how="union", fold_lp=True))
