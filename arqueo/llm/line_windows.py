@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, row_key, written
+from .common import BLANKS, fresh, row_key, written
 
 
 def let(value: Column, body) -> Column:
@@ -61,20 +61,22 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``docs`` with later occurrences removed from the text, and n_lines, n_removed (long) behind its columns."""
-    gone = repeated_lines(docs, id_col, text_col, width).select(
-        F.col("id").alias("_id"), F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("gone").alias("_gone"))
-    text = F.col(text_col).cast("string")
+    """``docs`` with later occurrences removed from the text, and n_lines, n_removed (long) behind its columns (instead
+    of columns of these names)."""
+    name = {c: fresh(docs.columns, f"llm_{c}") for c in ("id", "a", "b", "gone")}
+    marks = repeated_lines(docs, id_col, text_col, width).select(*(F.col(c).alias(n) for c, n in name.items()))
+    text, gone = F.col(text_col).cast("string"), F.col(name["gone"])
     key = row_key(id_col, text)
     lines = F.split(text, "\n", -1)
     count = F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long")
 
     def kept(own: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("_gone"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), gone)
         return F.array_join(F.transform(stay, lambda i: F.get(own, i)), "\n")
 
-    keyed = docs.withColumns({"_ka": key["a"], "_kb": key["b"]})
-    out = keyed.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_ka") == F.col("_a")) & (F.col("_kb") == F.col("_b")), "left")
-    return out.select(*[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(let(lines, kept)).alias(c) if c == text_col else F.col(c)
-                        for c in docs.columns],
-                      count.alias("n_lines"), F.coalesce(F.size("_gone").cast("long"), F.lit(0)).alias("n_removed"))
+    same = F.col(id_col).eqNullSafe(F.col(name["id"])) & (key["a"] == F.col(name["a"])) & (key["b"] == F.col(name["b"]))
+    # a merge join at every size: the marks grow with the documents
+    out = docs.join(marks.hint("merge"), same, "left")
+    return out.select(*[F.when(gone.isNull(), F.col(c)).otherwise(let(lines, kept)).alias(c) if c == text_col else F.col(c)
+                        for c in docs.columns if c not in ("n_lines", "n_removed")],
+                      count.alias("n_lines"), F.coalesce(F.size(gone).cast("long"), F.lit(0)).alias("n_removed"))
