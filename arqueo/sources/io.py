@@ -16,13 +16,17 @@ def read_source(spark: SparkSession, name: str, path: str, years: str | Sequence
                 year_col: str = "ejercicio") -> DataFrame:
     """Read one source with its declared schema; the year filter reaches the scan.
 
-    ``fmt`` is ``parquet`` (default), ``csv`` or ``jdbc`` (``options`` carry the
-    connection).  Tables written by :func:`write_tables` are partitioned by
+    ``fmt`` is ``parquet`` (default), ``csv`` or ``jdbc``; ``options`` then carry
+    the connection and must name a partitioned read (column, bounds, number),
+    as one task would read the whole table otherwise.  Tables written by :func:`write_tables` are partitioned by
     ``ejercicio``, so a year filter prunes whole folders.
     """
     schema = SCHEMAS.get(name)
     reader = spark.read.options(**(options or {}))
     if fmt == "jdbc":
+        missing = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} - set(options or {})
+        if missing:
+            raise ValueError(f"a JDBC read needs {sorted(missing)}")
         df = reader.format("jdbc").load()
         if schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in df.columns])
