@@ -77,66 +77,99 @@ def farthest_first(x: np.ndarray, most: int) -> np.ndarray:
 
 
 class Tree:
-    """Lower levels of a block's tree: at each level the centres, their covering radii and their children."""
+    """Lower levels of a block's tree: at each level the centres, their covering radii and their children.
 
-    def __init__(self, x: np.ndarray, number: np.ndarray):
-        self.x, self.number = x, number
-        level = [(0, np.arange(len(x)))]  # (centre, members) of each node
-        self.levels = []
+    All distances inside the block are one matrix product (a block is of bounded size); a level then picks as centres,
+    inside each node above, the vectors that no earlier centre covers.
+    """
+
+    def __init__(self, x: np.ndarray):
+        self.x, n = x, len(x)
+        d = apart(x, x)
+        owner, self.levels, self.leaves = np.zeros(n, np.int64), [], []
         for radius in LEVELS:
-            centres, members, kids = [], [], []
-            for _, own in level:
-                first = len(centres)
-                rest = own
-                while len(rest):
-                    d = apart(x[rest], x[rest[:1]])[:, 0]
-                    centres.append(rest[0])
-                    members.append(rest[d <= radius])
-                    rest = rest[d > radius]
-                kids.append(np.arange(first, len(centres)))
-            cover = np.array([apart(x[m], x[c:c + 1]).max() for c, m in zip(centres, members)])
-            self.levels.append((np.array(centres), cover, kids))
-            level = list(zip(centres, members))
-        self.leaves = [m for _, m in level]
-
-
-def expanded(pairs_a: np.ndarray, pairs_b: np.ndarray, kids_a: list[np.ndarray], kids_b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of children of the given pairs of nodes."""
-    na, nb = np.array([len(k) for k in kids_a])[pairs_a], np.array([len(k) for k in kids_b])[pairs_b]
-    total = na * nb
+            near = d <= radius
+            node, free = np.full(n, -1), np.ones(n, bool)
+            alone = np.bincount(owner)[owner] == 1 if n else free
+            centres, above = [], []
+            for i in np.lexsort((np.arange(n), owner)).tolist():  # node by node
+                if not free[i]:
+                    continue
+                if alone[i]:
+                    own = i
+                else:
+                    own = near[i] & free
+                    if self.levels:
+                        own &= owner == owner[i]
+                    own[i] = True
+                node[own] = len(centres)
+                free[own] = False
+                centres.append(i)
+                above.append(owner[i])
+            centres, above = np.array(centres, np.int64), np.array(above, np.int64)
+            cover = np.zeros(len(centres))
+            np.maximum.at(cover, node, d[np.arange(n), centres[node]])
+            # children of a node above follow one another: first place and number
+            count = np.bincount(above, minlength=owner.max() + 1 if n else 0)
+            self.levels.append((centres, cover, np.cumsum(count) - count, count))
+            owner = node
+        order = np.argsort(owner, kind="stable")
+        self.leaves = np.split(order, np.cumsum(np.bincount(owner))[:-1]) if n else []
+        self.leaf_size = np.array([len(m) for m in self.leaves])
+
+
+def expanded(i: np.ndarray, j: np.ndarray, a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of children of the given pairs of nodes; a and b: first child and number of children of each node."""
+    (first_a, count_a), (first_b, count_b) = a, b
+    nb = count_b[j]
+    total = count_a[i] * nb
     owner = np.repeat(np.arange(len(total)), total)
     inside = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-    first_a, first_b = np.array([k[0] for k in kids_a])[pairs_a], np.array([k[0] for k in kids_b])[pairs_b]
-    return first_a[owner] + inside // nb[owner], first_b[owner] + inside % nb[owner]
+    return first_a[i][owner] + inside // nb[owner], first_b[j][owner] + inside % nb[owner]
 
 
 def traverse(a: Tree, b: Tree, tau: float, threshold: float, itself: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places (in a, in b) of all pairs with a cosine of at least the threshold; ``itself``: a is b, each pair once."""
-    i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    for (ca, ra, ka), (cb, rb, kb) in zip(a.levels, b.levels):
-        # nodes' centres against each other: the pairs of children, pruned by the covering radii
-        i, j = expanded(i, j, ka, kb)
+    none = np.zeros(0, np.int64)
+    if not len(a.x) or not len(b.x):
+        return none, none
+    # below the roots every centre meets every other one: one matrix product
+    (ca, ra, _, _), (cb, rb, _, _) = a.levels[0], b.levels[0]
+    i, j = np.nonzero(apart(a.x[ca], b.x[cb]) <= ra[:, None] + rb[None, :] + tau + HAIR)
+    for (ca, ra, fa, na), (cb, rb, fb, nb) in zip(a.levels[1:], b.levels[1:]):
         if itself:
             i, j = i[i <= j], j[i <= j]
-        keep = []
-        for lo in range(0, len(i), 200_000):
-            s = slice(lo, lo + 200_000)
-            d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", a.x[ca[i[s]]], b.x[cb[j[s]]]), 0))
-            keep.append(d <= ra[i[s]] + rb[j[s]] + tau + HAIR)
-        ok = np.concatenate(keep) if keep else np.zeros(0, bool)
-        i, j = i[ok], j[ok]
-    found_a, found_b = [], []
-    for p, q in zip(i.tolist(), j.tolist()):
+        keep_i, keep_j = [none], [none]
+        for lo in range(0, len(i), 20_000):  # pairs of children, pruned by the covering radii
+            p, q = expanded(i[lo:lo + 20_000], j[lo:lo + 20_000], (fa, na), (fb, nb))
+            for at in range(0, len(p), 100_000):
+                u, v = p[at:at + 100_000], q[at:at + 100_000]
+                d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", a.x[ca[u]], b.x[cb[v]]), 0))
+                ok = d <= ra[u] + rb[v] + tau + HAIR
+                keep_i.append(u[ok])
+                keep_j.append(v[ok])
+        i, j = np.concatenate(keep_i), np.concatenate(keep_j)
+    if itself:
+        i, j = i[i <= j], j[i <= j]
+    found_a, found_b = [none], [none]
+    single = (a.leaf_size[i] == 1) & (b.leaf_size[j] == 1)
+    ends_a, ends_b = np.array([m[0] for m in a.leaves]), np.array([m[0] for m in b.leaves])
+    for lo in range(0, int(single.sum()), 100_000):
+        x, y = ends_a[i[single][lo:lo + 100_000]], ends_b[j[single][lo:lo + 100_000]]
+        ok = np.einsum("ij,ij->i", a.x[x], b.x[y]) >= threshold
+        if itself:
+            ok &= x != y
+        found_a.append(x[ok])
+        found_b.append(y[ok])
+    for p, q in zip(i[~single].tolist(), j[~single].tolist()):
         ma, mb = a.leaves[p], b.leaves[q]
-        hit = a.x[ma] @ b.x[mb].T >= threshold
-        x, y = np.nonzero(hit)
+        x, y = np.nonzero(a.x[ma] @ b.x[mb].T >= threshold)
         x, y = ma[x], mb[y]
         if itself and p == q:
             x, y = x[x < y], y[x < y]
         found_a.append(x)
         found_b.append(y)
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+    return np.concatenate(found_a), np.concatenate(found_b)
 
 
 def cells(vectors: DataFrame, count: int) -> np.ndarray:
@@ -214,7 +247,7 @@ def compared(group: pd.DataFrame, dimension: int, tau: float, threshold: float)
     node, copies, visitor = (group[c].to_numpy() for c in ("node", "copies", "visitor"))
     visitor = visitor.astype(bool)
     own, others = np.flatnonzero(~visitor), np.flatnonzero(visitor)
-    tree = Tree(x[own], own)
+    tree = Tree(x[own])
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if group["chunk"].iloc[0] == 0:
         i, j = traverse(tree, tree, tau, threshold, True)
@@ -222,7 +255,7 @@ def compared(group: pd.DataFrame, dimension: int, tau: float, threshold: float)
         b.append(own[j])
     for lo in range(0, len(others), BLOCK):
         part = others[lo:lo + BLOCK]
-        i, j = traverse(tree, Tree(x[part], part), tau, threshold, False)
+        i, j = traverse(tree, Tree(x[part]), tau, threshold, False)
         a.append(own[i])
         b.append(part[j])
     i, j = np.concatenate(a), np.concatenate(b)

@@ -191,7 +191,7 @@ def test_traversal_prunes():
     """Two far clusters: the traversal looks at leaves of neither pair across them."""
     rng = np.random.default_rng(3)
     near = cover_tree.unit(np.r_[np.tile([1, 0, 0, 0], (50, 1)), np.tile([-1, 0, 0, 0], (50, 1))] + rng.normal(0, 0.02, (100, 4)))
-    tree = cover_tree.Tree(near, np.arange(100))
+    tree = cover_tree.Tree(near)
     i, j = cover_tree.traverse(tree, tree, math.sqrt(0.1), 0.95, True)
     assert len(i) == 2 * 50 * 49 // 2 and ((i < 50) == (j < 50)).all()
 
