@@ -65,10 +65,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternating large-star and small-star steps; each round is one aggregation and one join,
     written to the shared folder.  Nothing is gathered on the driver but a count.
     """
-    spark = edges.sparkSession
     e = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges")
-    before = None
-    while True:
+    while not stars(e):
         # large star: the larger neighbours of a node move to its smallest neighbour (or the node itself)
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star")
@@ -79,15 +77,18 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u != v").distinct())
         e = written(small, "edges")
-        state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
-            break
-        before = state
     # every edge now goes from a node to the root of its component
-    return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").union(
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def stars(edges: DataFrame) -> bool:
+    """Whether every edge (u, v) joins a node of one edge to a root: then v is the component's smallest node."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("root").alias("root")).where("up > 1 OR (up = 1 AND root = 1)").isEmpty()
+
+
 def streamed(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The groups of a partition that is sorted by ``keys``, one at a time, whatever the batch borders."""
     held: list[pd.DataFrame] = []
