@@ -38,6 +38,7 @@ STATS = ["x1", "x2", "x3", "x4", "x5"]
 FLOORS = [0.35, 0.15, 0.06, 0.16, 0.16]
 SUBSET, STEPS, LEVEL, LEAST = 0.75, 3, 0.9999, 50
 GRID = 10_000
+SALTS = 16
 
 
 def chi_square(p: int, x: float) -> float:
@@ -143,9 +144,17 @@ def factor(params: DataFrame, scale: float) -> DataFrame:
     return params.select("gid", *(f"m{i}" for i in range(1, p + 1)), *(f"l{i}{j}" for i in range(1, p + 1) for j in range(1, i + 1)))
 
 
+def beside(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` joined with the one row of their group; salted, so that a group with a third of all rows is ``SALTS``
+    pieces of work in the join and is aggregated in each piece before it meets."""
+    salts = F.explode(F.array(*map(F.lit, range(SALTS))))
+    own = rows.withColumn("salt", F.pmod(F.xxhash64("key", *STATS), F.lit(SALTS)).cast("int"))
+    return own.join(groups.withColumn("salt", salts), ["gid", "salt"]).drop("salt")
+
+
 def distances(rows: DataFrame, params: DataFrame) -> DataFrame:
     """``rows`` of groups with an estimate, with d2, the squared Mahalanobis distance."""
-    own = rows.join(params, "gid")
+    own = beside(rows, params)
     for i, x in enumerate(STATS, 1):
         z = F.col(x) / F.lit(float(GRID)) - F.col(f"m{i}")
         for k in range(1, i):
@@ -170,7 +179,7 @@ def start(rows: DataFrame) -> DataFrame:
     p = range(1, len(STATS) + 1)
     coarse = 100  # medians to two decimals keep the number of values in an aggregation buffer bounded
     mids = written(rows.groupBy("gid").agg(*(F.percentile(F.round(F.col(f"x{i}") / coarse), 0.5).alias(f"c{i}") for i in p)), "medians")
-    off = rows.join(mids, "gid").groupBy("gid").agg(
+    off = beside(rows, mids).groupBy("gid").agg(
         *(F.first(f"c{i}").alias(f"c{i}") for i in p), *(F.percentile(F.abs(F.round(F.col(f"x{i}") / coarse) - F.col(f"c{i}")), 0.5).alias(f"a{i}") for i in p))
     unit = coarse / GRID
     return off.select("gid", *((F.col(f"c{i}") * unit).alias(f"m{i}") for i in p),
@@ -185,7 +194,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     for step in range(STEPS):
         near = distances(rows, params).withColumn("r", F.round(F.ln(F.col("d2") + 1), 3))
         bound = written(near.groupBy("gid").agg(F.percentile("r", SUBSET).alias("bound")), "bound")
-        subset = near.join(bound, "gid").where("r <= bound")
+        subset = beside(near, bound).where("r <= bound")
         params = written(factor(moments(subset), consistent if step == STEPS - 1 else 1.0), "mcd")
     return params
 
