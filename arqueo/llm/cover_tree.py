@@ -85,30 +85,31 @@ class Tree:
 
     def __init__(self, x: np.ndarray):
         self.x, n = x, len(x)
-        d = apart(x, x)
+        cosine = x @ x.T
         owner, self.levels, self.leaves = np.zeros(n, np.int64), [], []
         for radius in LEVELS:
-            near = d <= radius
+            near = cosine >= 1 - radius**2 / 2
             node, free = np.full(n, -1), np.ones(n, bool)
             alone = np.bincount(owner)[owner] == 1 if n else free
-            centres, above = [], []
+            centres = np.flatnonzero(alone).tolist()
+            node[alone], free[alone] = np.arange(len(centres)), False
             for i in np.lexsort((np.arange(n), owner)).tolist():  # node by node
-                if not free[i]:
-                    continue
-                if alone[i]:
-                    own = i
-                else:
+                if free[i]:
                     own = near[i] & free
                     if self.levels:
                         own &= owner == owner[i]
-                    own[i] = True
-                node[own] = len(centres)
-                free[own] = False
-                centres.append(i)
-                above.append(owner[i])
-            centres, above = np.array(centres, np.int64), np.array(above, np.int64)
+                    own = np.flatnonzero(own)
+                    node[own] = node[i] = len(centres)
+                    free[own] = free[i] = False
+                    centres.append(i)
+            centres = np.array(centres, np.int64)
+            order = np.argsort(owner[centres], kind="stable")  # children of one node follow one another
+            number = np.empty(len(centres), np.int64)
+            number[order] = np.arange(len(centres))
+            centres, node, above = centres[order], number[node], owner[centres[order]]
             cover = np.zeros(len(centres))
-            np.maximum.at(cover, node, d[np.arange(n), centres[node]])
+            np.maximum.at(cover, node, np.sqrt(np.maximum(2 - 2 * cosine[np.arange(n), centres[node]], 0)))
+            cover[np.bincount(node, minlength=len(centres)) == 1] = 0  # a vector alone: not even rounding
             # children of a node above follow one another: first place and number
             count = np.bincount(above, minlength=owner.max() + 1 if n else 0)
             self.levels.append((centres, cover, np.cumsum(count) - count, count))
@@ -135,7 +136,12 @@ def traverse(a: Tree, b: Tree, tau: float, threshold: float, itself: bool) -> tu
         return none, none
     # below the roots every centre meets every other one: one matrix product
     (ca, ra, _, _), (cb, rb, _, _) = a.levels[0], b.levels[0]
-    i, j = np.nonzero(apart(a.x[ca], b.x[cb]) <= ra[:, None] + rb[None, :] + tau + HAIR)
+    cosine = a.x[ca] @ b.x[cb].T
+    keep = cosine >= 1 - (tau + HAIR) ** 2 / 2  # between centres without a cover
+    wide_a, wide_b = np.flatnonzero(ra > 0), np.flatnonzero(rb > 0)
+    keep[wide_a] = cosine[wide_a] >= 1 - np.minimum(ra[wide_a][:, None] + rb[None, :] + tau + HAIR, 2) ** 2 / 2
+    keep[:, wide_b] = cosine[:, wide_b] >= 1 - np.minimum(ra[:, None] + rb[wide_b][None, :] + tau + HAIR, 2) ** 2 / 2
+    i, j = np.nonzero(keep)
     for (ca, ra, fa, na), (cb, rb, fb, nb) in zip(a.levels[1:], b.levels[1:]):
         if itself:
             i, j = i[i <= j], j[i <= j]
