@@ -351,6 +351,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     kinds = ("string", "string") if digests else ("array<int>", "string")
     names = ("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")
-    out = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-           .mapInPandas(run, f"id {kind}, n_tokens bigint, a {kinds[0]}, b {kinds[1]}"))
-    return out.select(F.col("id").alias(id_col), "n_tokens", F.col("a").alias(names[0]), F.col("b").alias(names[1]))
+    # ids go through pandas as text: a column of integers with a null would be one of floats
+    out = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+           .mapInPandas(run, f"id string, n_tokens bigint, a {kinds[0]}, b {kinds[1]}"))
+    return out.select(F.col("id").cast(kind).alias(id_col), "n_tokens", F.col("a").alias(names[0]), F.col("b").alias(names[1]))

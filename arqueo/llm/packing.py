@@ -146,11 +146,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                     for p, at in enumerate(range(0, len(data), 4 * capacity)):
                         cut = data[at:at + 4 * capacity]
                         rows.append((doc, p, at // 4, len(cut) // 4, zlib.crc32(cut)))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                yield out.astype({"doc_id": "Int64"}) if kind in ("bigint", "int", "smallint", "tinyint") else out
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInPandas(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"))
+    # ids go through pandas as text: a column of integers with a null would be one of floats
+    return (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+            .mapInPandas(run, "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint")
+            .withColumn("doc_id", F.col("doc_id").cast(kind)))
 
 
 def pack(cut: DataFrame, capacity: int = 4096, buckets: int = 256) -> DataFrame:
@@ -175,9 +176,9 @@ def pack(cut: DataFrame, capacity: int = 4096, buckets: int = 256) -> DataFrame:
             sequence, offset = places(pdf["length"].to_numpy(), pdf["rank"].to_numpy())
             yield pdf[names].assign(sequence_id=sequence, offset=offset)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank")
-    out = ranked.mapInPandas(run, f"{schema}, sequence_id bigint, offset bigint")
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    schema = ", ".join(f"`{f.name}` {'string' if f.name == 'doc_id' else f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank")
+    out = ranked.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, f"{schema}, sequence_id bigint, offset bigint")
+    return out.withColumn("doc_id", F.col("doc_id").cast(ranked.schema["doc_id"].dataType)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1,

@@ -160,6 +160,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], default: str
                                 "verdict": pd.Series([v or default for v in verdict], dtype=object, index=pdf.index)})
 
     host, path = host_and_path(F.col(url_col))
-    out = (pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
-           .mapInPandas(run, f"id {kind}, host string, path string, rule string, verdict string"))
-    return out.withColumnRenamed("id", id_col)
+    # ids go through pandas as text: a column of integers with a null would be one of floats
+    out = (pages.select(F.col(id_col).cast("string").alias("id"), host.alias("host"), path.alias("path"))
+           .mapInPandas(run, "id string, host string, path string, rule string, verdict string"))
+    return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

@@ -216,8 +216,6 @@ def write_archives(marked: DataFrame, folder: str, records_per_archive: int = 2_
                 part = pdf.iloc[lo:lo + records_per_archive]
                 rows = []
                 for page, url, payload, digest, refers in part.itertuples(index=False):
-                    page = None if pd.isna(page) else int(page)
-                    refers = None if pd.isna(refers) else int(refers)
                     url = url if isinstance(url, str) and url.strip() else f"urn:page:{page}"
                     rows.append((url, "0.0.0.0", date, "text/html", http_block(payload, page, refers, digest)))
                 path = f"{root}/{uuid.uuid4().hex}.warc.gz"
@@ -226,7 +224,10 @@ def write_archives(marked: DataFrame, folder: str, records_per_archive: int = 2_
                         out.write(warc_member(to_warc(record)))
                 yield pd.DataFrame({"path": [path], "records": [len(rows)]})
 
-    return written(marked.mapInPandas(run, "path string, records bigint"), "manifest")
+    # ids go through pandas as text: a column of integers with a null would be one of floats
+    ids = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    rows = marked.withColumns(ids).select("page_id", "url", "payload", "payload_digest", "refers_to")
+    return written(rows.mapInPandas(run, "path string, records bigint"), "manifest")
 
 
 def read_archives(manifest: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -248,8 +249,8 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = False) -> D
                     raise ValueError(f"wrong payload digest in {r.headers['WARC-Record-ID']}")
                 refers = r.headers.get("WARC-Refers-To", "").removeprefix("<urn:page:").rstrip(">")
                 url = r.headers["WARC-Target-URI"].replace("%0D", "\r").replace("%0A", "\n").replace("%20", " ").replace("%25", "%")
-                yield (int(http["x-page-id"]) if http["x-page-id"] else None, url, int(http["content-length"]), digest, kind,
-                       int(refers) if refers else None, payload if payloads and kind == "response" else None)
+                yield (http["x-page-id"] or None, url, int(http["content-length"]), digest, kind, refers or None,
+                       payload if payloads and kind == "response" else None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -258,12 +259,12 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = False) -> D
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
         for pdf in batches:
             for path in pdf["path"]:
-                out = pd.DataFrame(list(rows(path, store)), columns=names)
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield pd.DataFrame(list(rows(path, store)), columns=names)
 
-    schema = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
+    schema = "page_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary"
     n = max(manifest.sparkSession.sparkContext.defaultParallelism, 1)
     out = manifest.select("path").repartition(n * 4, "path").mapInPandas(run, schema)
+    out = out.withColumns({c: F.col(c).cast("bigint") for c in ("page_id", "refers_to")})
     return out if payloads else out.drop("payload")
 
 

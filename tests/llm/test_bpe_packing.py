@@ -81,6 +81,13 @@ def test_operator_gives_ids_and_text(make_docs, library):
         for i in [library.encode(t, add_special_tokens=False).ids])
 
 
+def test_large_ids_beside_a_null_stay_whole(spark):
+    big = 2**62 + 1
+    docs = spark.createDataFrame([(big, "a b"), (None, "c"), (big + 2, None)], "doc_id bigint, text string").coalesce(1)
+    assert {r.doc_id for r in bpe.encode_decode(docs, digests=True).collect()} == {big, big + 2, None}
+    assert {r.doc_id for r in packing.pack_documents(docs).collect()} == {big, big + 2, None}
+
+
 def check_packing(rows, texts, encode, capacity, end):
     """Every document whole and in order, every sequence gapless and within the capacity."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)

@@ -87,6 +87,13 @@ def test_rules_equal_a_plain_loop(tmp_path_factory, urls, rules, collide):
     assert got == [plain(h, p, list(rules.items())) for h, p in zip(hosts, paths)]
 
 
+def test_large_ids_beside_a_null_stay_whole(spark):
+    big = 2**62 + 1
+    pages = spark.createDataFrame([(big, "http://a.net/", "x" * 200), (big + 2, "u", "x" * 200), (None, "v", "w")], "page_id bigint, url string, html string").coalesce(1)
+    assert {(r.page_id, r.refers_to) for r in warc.convert_pages(pages).collect()} == {(big, None), (big + 2, big), (None, None)}
+    assert {r.page_id for r in url_filter.judge_urls(pages, RULES).collect()} == {big, big + 2, None}
+
+
 def test_contradicting_rules_raise():
     with pytest.raises(ValueError, match="two verdicts"):
         url_filter.pack_rules([("a/", "allow"), ("a/", "block")])
