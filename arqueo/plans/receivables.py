@@ -157,8 +157,9 @@ def with_without_amortisation(variation: DataFrame, year: str, by_balance: bool
     else:
         t_all = cur.agg(F.count(F.lit(1)).cast("decimal(38,2)").alias("v"))
         t_alta = alta.agg(F.count(F.lit(1)).cast("decimal(38,2)").alias("v"))
-    j = t_all.withColumn("_k", F.lit(1)).join(t_alta.withColumnRenamed("v", "va").withColumn("_k", F.lit(1)), "_k")
-    j = j.select(F.col("va").alias("sin"), (F.col("v") - F.col("va")).alias("con"))
-    return op.unpivot(j, [], ["sin", "con"], "concepto", "importe").withColumn(
-        "concepto", F.when(F.col("concepto") == "sin", "Barrios sin amortizaciones")
-        .otherwise("Barrios con amortizaciones"))
+    without, with_ = F.lit("Barrios sin amortizaciones"), F.lit("Barrios con amortizaciones")
+    # signed one-row totals, added up per label: no join
+    signed = op.union_all(t_alta.select(without.alias("concepto"), F.col("v").alias("importe")),
+                          t_all.select(with_.alias("concepto"), F.col("v").alias("importe")),
+                          t_alta.select(with_.alias("concepto"), (-F.col("v")).alias("importe")))
+    return op.group_sum(signed, ["concepto"], ["importe"])
