@@ -181,7 +181,7 @@ def test_noise_contrastive_gradient():
     net = log_bilinear.Net.start(share)
     u, v, w = (np.random.default_rng(k).integers(0, 50, 500) for k in (2, 3, 4))
     w = (v + 1) % 50
-    score = lambda: float(((net.r[v] @ net.c1 + net.r[u] @ net.c2) * net.q[w]).sum(axis=1).mean() + net.b[w].mean())
+    score = lambda: float(((net.r[v] * net.c1 + net.r[u] * net.c2) * net.q[w]).sum(axis=1).mean() + net.b[w].mean())
     before = score()
     assert net.train(iter([(u, v, w)] * 30), share, 0) == 15_000
     assert score() > before + 0.5
