@@ -187,6 +187,20 @@ def test_noise_contrastive_gradient():
     assert score() > before + 0.5
 
 
+def test_context_weights_are_full_matrices():
+    """A step moves weights off the diagonals of C1 and C2, and the score tables follow them."""
+    m = log_bilinear.Net.M
+    share = np.full(m, 1 / m)
+    net = log_bilinear.Net.start(share)
+    u, v, w = (np.random.default_rng(k).integers(0, 50, 256) for k in (2, 3, 4))
+    net.train(iter([(u, v, w)] * 5), share, 0)
+    full = [np.diag(c) + e for c, e in ((net.c1, net.e1), (net.c2, net.e2))]
+    assert all(c.shape == (32, 32) and np.abs(c - np.diag(np.diag(c))).max() > 1e-3 for c in full)
+    after_v, after_u = net.tables()
+    assert after_v == pytest.approx(net.r @ full[0] @ net.q.T + net.b, abs=1e-4) and after_u == pytest.approx(net.r @ full[1] @ net.q.T, abs=1e-4)
+    assert (log_bilinear.SIZE, log_bilinear.NOISE, log_bilinear.BATCH) == (32, 64, 256)
+
+
 def test_stages(spark, sf):
     """Each stage's decisions take effect on what its predecessor kept; all but the last keep the documents' columns."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
