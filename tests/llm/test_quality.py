@@ -201,6 +201,16 @@ def test_context_weights_are_full_matrices():
     assert (log_bilinear.SIZE, log_bilinear.NOISE, log_bilinear.BATCH) == (32, 64, 256)
 
 
+def test_model_does_not_follow_the_partitions(spark, sf, monkeypatch):
+    """The same rows in many more partitions learn as much; more than one group is averaged."""
+    monkeypatch.setattr(log_bilinear, "GROUP", 20_000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    few, many = ({r.doc_id: r for r in log_bilinear.score_documents(docs.repartition(n)).collect()} for n in (1, 24))
+    held = lambda got: sum(r.score for r in got.values() if r.held_out)
+    assert held(many) >= held(few) + 1e-4 * held(few)
+    assert {d: r.score for d, r in many.items()} == pytest.approx({d: r.score for d, r in few.items()}, rel=1e-3)
+
+
 def test_stages(spark, sf):
     """Each stage's decisions take effect on what its predecessor kept; all but the last keep the documents' columns."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
