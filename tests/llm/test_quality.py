@@ -211,6 +211,28 @@ def test_model_does_not_follow_the_partitions(spark, sf, monkeypatch):
     assert {d: r.score for d, r in many.items()} == pytest.approx({d: r.score for d, r in few.items()}, rel=1e-3)
 
 
+def test_classes_grow_with_the_vocabulary():
+    classes = [short + log_bilinear.RARE * split for short, split in map(log_bilinear.sizes, (0, 1_000, 400_000, 40_000_000))]
+    assert classes[0] == classes[1] == log_bilinear.Net.M and classes[1] < classes[2] < classes[3] / 4
+    words = [b"%dation" % i for i in range(2_000)]
+    assert len({log_bilinear.rare_class(w) for w in words}) == 1 and len({log_bilinear.rare_class(w, 896, 5) for w in words}) == 5
+
+
+def test_words_of_one_class_are_told_apart(spark, make_docs, monkeypatch):
+    """Two equally frequent words of one class go by what stands before them; words of a class sum to 1."""
+    monkeypatch.setattr(log_bilinear, "HEAD", 2)
+    x, y = (i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2), (i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 7 == 2)
+    x, y = next(x), next(y)
+    texts = {i: "left left mation right right nation " * 200 for i in range(60)} | {x: "left left mation right right nation " * 50, y: "left left nation right right mation " * 50}
+    got = check_model(log_bilinear.score_documents(make_docs(list(texts.items()))).collect(), texts)
+    assert log_bilinear.rare_class(b"mation") == log_bilinear.rare_class(b"nation")
+    assert got[x].base_score == pytest.approx(got[y].base_score) and got[x].score > got[y].score + 10
+    words, h = log_bilinear.Words(np.array([5, 1, 9])), np.random.default_rng(0).normal(size=(4, log_bilinear.SIZE))
+    words.train(np.repeat(h, 100, axis=0), np.arange(400) % 3, 0)
+    assert np.abs(words.q).max() > 0.1
+    assert sum(np.exp(words.log_p(h, np.full(4, k))) for k in range(4)) == pytest.approx(1, abs=1e-5)
+
+
 def test_stages(spark, sf):
     """Each stage's decisions take effect on what its predecessor kept; all but the last keep the documents' columns."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
