@@ -6,7 +6,8 @@ root of each run a node picks one coordinate, or two (so that 1 / threshold on
 average are picked), and a set goes to the child of each picked token; sets that
 share tokens stay together.  A node of at most ``LEAF`` sets, or at ``DEPTH``,
 is compared by brute force on the coordinates.  Runs are repeated until a pair at
-the threshold is found with probability ``RECALL`` (see :func:`runs`).
+the threshold is found with probability ``RECALL``, over the coordinates that all
+runs share and the cut of that comparison (see :func:`recall`).
 
 What is found ties sets into candidate groups, and an exact check follows: in
 each group all pairs are compared by the true Jaccard similarity of their sets,
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import BLANK_RUN, components, dealt, roots, row_key, streamed, written
 
-COORDS, LEAF, DEPTH, RECALL, SEED = 128, 256, 3, 0.999, 77
-#: Pairs whose share of equal coordinates is this much below the threshold go to the exact check (3.5 deviations).
+COORDS, LEAF, DEPTH, RECALL, SEED = 128, 256, 3, 0.9995, 77
+#: Pairs whose share of equal coordinates is this much below the threshold go to the exact check (3.5 deviations), or more if the cut alone would lose a quarter of what ``RECALL`` leaves (:func:`cut`).
 SLACK = 0.125
 #: Sets in a chunk of a big node; sets and shingles in a block of a big group.
 CHUNK, BLOCK_SETS, BLOCK_SHINGLES = 16_384, 2_048, 2_000_000
@@ -52,13 +53,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def runs(threshold: float, recall: float = RECALL, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold shares a leaf with this probability, be the leaf as deep as can be."""
-    two, found = 1 / threshold - 1, 1.0
+def equal_coordinates(threshold: float) -> np.ndarray:
+    """Probabilities of 0 to ``COORDS`` equal coordinates of a pair at the threshold."""
+    return np.array([math.comb(COORDS, k) * threshold**k * (1 - threshold) ** (COORDS - k) for k in range(COORDS + 1)])
+
+
+def cut(threshold: float, least: float = RECALL) -> int:
+    """Equal coordinates that a pair needs for the exact check."""
+    lost = np.cumsum(equal_coordinates(threshold))
+    return min(math.floor((threshold - SLACK) * COORDS), int(np.searchsorted(lost, (1 - least) / 4, side="right")))
+
+
+def recall(n: int, threshold: float, least: float = RECALL, depth: int = DEPTH) -> float:
+    """Probability that a pair at the threshold shares a leaf in one of ``n`` runs and passes the cut, be the leaf as deep as can be.
+
+    All runs see the same coordinates, so they are independent only for a given number of equal ones.
+    """
+    two, share, found = 1 / threshold - 1, np.arange(COORDS + 1) / COORDS, np.ones(COORDS + 1)
     for _ in range(depth):
-        s = threshold * found
+        s = share * found
         found = (1 - two) * s + two * (1 - (1 - s) ** 2)
-    return math.ceil(math.log(1 - recall) / math.log(1 - found))
+    return float((equal_coordinates(threshold) * (1 - (1 - found) ** n))[cut(threshold, least):].sum())
+
+
+def runs(threshold: float, least: float = RECALL, depth: int = DEPTH) -> int:
+    """Runs after which a pair at the threshold is found with this probability."""
+    n = 1
+    while recall(n, threshold, least, depth) < least:
+        n += 1
+    return n
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -178,7 +201,7 @@ def paired(rows: DataFrame, parts: str, number: Column) -> DataFrame:
 
 def candidate_edges(sets: DataFrame, threshold: float) -> DataFrame:
     """Spanning forest (u, v) of the leaves' pairs that are similar by their coordinates."""
-    least = math.floor((threshold - SLACK) * COORDS)
+    least = cut(threshold)
     rows = paired(leaves(sets, threshold), "chunks", F.xxhash64("node")).join(sets.select("node", "coords"), "node")
     keys = ["path", "p", "q"]
 

@@ -135,6 +135,23 @@ def test_runs_reach_the_recall():
     assert found / n >= 0.98
 
 
+def test_runs_count_shared_coordinates_and_the_cut():
+    """Drawn coordinates, the cut included: the runs reach the recall, which 7 do not."""
+    rng = np.random.default_rng(2)
+    threshold, n = 0.8, 100_000
+    equal = rng.binomial(chosen_path.COORDS, threshold, n)
+    reached = {}
+    for total in (7, chosen_path.runs(threshold)):
+        # the path lives on by as many equal tokens as it picks
+        paths = np.full(n, total)
+        for _ in range(chosen_path.DEPTH):
+            paths = rng.binomial(paths + rng.binomial(paths, 1 / threshold - 1), equal / chosen_path.COORDS)
+        reached[total] = np.mean((paths > 0) & (equal >= chosen_path.cut(threshold)))
+        assert reached[total] == pytest.approx(chosen_path.recall(total, threshold), abs=3e-4)
+    assert chosen_path.recall(7, threshold) < 0.999 < 0.9995 <= chosen_path.recall(chosen_path.runs(threshold), threshold)
+    assert 0 < chosen_path.runs(0.5) < 100
+
+
 def test_join_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     assert {r.doc_id: (r.class_id, r.n_links) for r in queries.op8(spark, sf).collect()} == brute_join(texts)
