@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chosen_path, cover_tree, line_windows, log_bilinear, mcd_rules, packing, rff_quality, url_filter, warc
+from . import (best_position, bpe, chosen_path, cover_tree, line_windows, log_bilinear, mcd_rules, packing, parsing_fingerprint, permuterm,
+               rff_quality, url_filter, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +121,61 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_parsing_fingerprint")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing_fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_best_position", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS big_n, sum(len(t))::BIGINT AS big_l FROM d WHERE len(t) > 0),
+p AS (SELECT doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d),
+f AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM p GROUP BY 1, 2, 3),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, s GROUP BY term, big_n),
+r AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term), s GROUP BY 1, 2)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank FROM r WHERE score > 0) WHERE rank <= 20
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query("op13_permuterm", """
+WITH RECURSIVE tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+own AS (SELECT doc_id, x, count(*) AS n FROM runs GROUP BY 1, 2),
+code AS (SELECT doc_id, x, n, hex(encode(doc_id::VARCHAR || ':' || x)) AS h FROM own),
+crc AS (
+  SELECT x, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2), lambda p: ('0x' || substr(h, p, 2))::BIGINT)),
+                   lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM code, tab),
+word AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(x, 1, (h % length(x))::BIGINT) || substr(x, (h % length(x))::BIGINT + 2) ELSE x END AS word, sum(n)::BIGINT AS n
+  FROM crc GROUP BY 1 HAVING sum(n) >= 3),
+v AS (SELECT word, n FROM word WHERE length(word) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM v, range(1, 1000) r(i) WHERE i <= length(word)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY 1),
+form AS (
+  SELECT b.word, min(other) AS form, b.m FROM best b JOIN near USING (word) JOIN v USING (word)
+  WHERE near.m = b.m AND b.m >= 2 * v.n GROUP BY b.word, b.m),
+chain(word, target, k) AS (SELECT word, form, 1 FROM form UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN form f ON f.word = c.target),
+root AS (SELECT word, arg_max(target, k) AS root FROM chain GROUP BY 1)
+SELECT v.word, form, coalesce(root, v.word) AS root, v.n, coalesce(n_near, 0) AS n_near, form.m AS form_n
+FROM v LEFT JOIN best USING (word) LEFT JOIN form USING (word) LEFT JOIN root USING (word)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.group_words(table(spark, sf_dir, "documents"), damage_every=97)

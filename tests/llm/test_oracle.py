@@ -11,7 +11,7 @@ from arqueo.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_oracle(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     df = queries.QUERIES[name](spark, sf)
     columns = sorted(df.columns)
@@ -22,4 +22,4 @@ def test_query_matches_oracle(spark, sf, name):
 
 def test_one_query_per_operator():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
