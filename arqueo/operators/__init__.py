@@ -12,4 +12,4 @@ from .reconcile import match_vouchers, reconcile, subtract  # noqa: F401
 from .reshape import dedupe_subset, union_all, unpivot  # noqa: F401
 from .topk import recent_years, sort_out, top_keys, top_n, top_n_other  # noqa: F401
 from .windows import (cumulative, dedupe, forward_fill, latest_snapshot, rank_by,  # noqa: F401
-                      running_balance, share)
+                      running_balance, severity_rank, share)

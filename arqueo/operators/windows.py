@@ -200,3 +200,19 @@ def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool
     offsets = counts.select("_pid", *part, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     j = _null_safe_join(r, offsets, ["_pid", *part])
     return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).select(*df.columns, out)
+
+
+def severity_rank(df: DataFrame, flags: Sequence[str], out: str = "orden") -> DataFrame:
+    """Place of each row (1 + rows before it, long) when sorted by boolean ``flags`` descending, the first one weighing most.
+
+    Rows are counted by their combination of flags first, so the running count is over at most ``2 ** len(flags)`` rows
+    however many rows there are.
+    """
+    if len(flags) > 20:
+        raise ValueError("at most 20 flags")
+    weight = sum((F.coalesce(F.col(c), F.lit(False)).cast("long") * F.lit(2 ** (len(flags) - 1 - i)) for i, c in enumerate(flags)), F.lit(0).cast("long"))
+    df = df.withColumn("_severity", weight)
+    n = df.groupBy("_severity").agg(F.count("*").alias("_n"))
+    before = Window.orderBy(F.desc("_severity")).rowsBetween(Window.unboundedPreceding, -1)
+    n = n.select("_severity", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias(out))
+    return df.join(n, "_severity").drop("_severity")

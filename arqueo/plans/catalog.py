@@ -3,4 +3,5 @@
 from . import generic_queries  # noqa: F401
 from . import domain_queries  # noqa: F401
 from . import report_queries  # noqa: F401
+from . import ledger_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

@@ -214,7 +214,8 @@ def yearly_execution(budget: DataFrame, loads: DataFrame, keys: Sequence[str] =
     return r
 
 
-def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFrame, tol: float = 0.1) -> DataFrame:
+def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFrame, tol: float = 0.1,
+                     rank: str | None = None) -> DataFrame:
     """D-IV3: contractor advances (fund summary) with their regularisation
     vouchers, against advance loads and regularisation loads.
 
@@ -222,7 +223,8 @@ def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFr
     loads (fund number) LEFT JOIN regularisation loads (year, voucher).  Ledger
     lines and load lines are both summed per voucher first, so like faces like.
     Missing values compare equal (the original filled everything with 0);
-    amounts differ beyond ``tol``.  Sorted by severity of the flags.
+    amounts differ beyond ``tol``.  Sorted by severity of the flags; ``rank``
+    names a column for a row's place in that order (1 + rows more severe).
     """
     from ..functions.scalars import voucher_number
     f = fund_summary.select("ejercicio", voucher_number("nro_fondo", "ejercicio").alias("siif_nro_fondo"),
@@ -263,6 +265,8 @@ def advances_control(fund_summary: DataFrame, vouchers: DataFrame, loads: DataFr
     out = op.flag_mismatch(df, pairs, null_policy="equal")
     order = ["err_nro_fondo", "err_importe_pa6", "err_nro_reg", "err_importe_reg", "err_fuente", "err_cta_cte",
              "err_cuit", "err_tipo", "err_mes_pa6", "err_mes_reg"]
+    if rank is not None:
+        out = op.severity_rank(out, order, rank)
     return out.orderBy(*[F.col(c).desc() for c in order])
 
 

@@ -102,11 +102,13 @@ def ledger_of_debt(debt_by_year: DataFrame, liab: DataFrame, years: Sequence[str
 
 def _one_row_per_origin(debt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Debt lines of one origin number summed into one row (first attributes),
-    so the join with the ledger is one-to-many."""
+    so the join with the ledger is one-to-many.  Lines without an origin number
+    match nothing and stay as they are."""
     attrs = [c for c in DEBT_COLS if c not in keys and c != "saldo_rdeu"]
     first = F.struct(*[e for i, c in enumerate(attrs) for e in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(c))])
-    g = debt.groupBy(*keys).agg(F.sum("saldo_rdeu").alias("saldo_rdeu"), F.min(first).alias("_a"))
-    return g.select(*keys, *[F.col("_a").getField(c).alias(c) for c in attrs], "saldo_rdeu")
+    g = debt.filter(F.col("nro_original").isNotNull()).groupBy(*keys).agg(F.sum("saldo_rdeu").alias("saldo_rdeu"), F.min(first).alias("_a"))
+    g = g.select(*keys, *[F.col("_a").getField(c).alias(c) for c in attrs], "saldo_rdeu")
+    return g.unionByName(debt.filter(F.col("nro_original").isNull()).select(*g.columns))
 
 
 def debt_with_accounting_class(snapshots: DataFrame, ledger: DataFrame, years: Sequence[str]) -> DataFrame:
