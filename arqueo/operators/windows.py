@@ -9,10 +9,11 @@ No operator here sorts a whole raw group inside one task:
 * forward fill is a blocked prefix scan: a window per (group, block of rows),
   then a window over the per-block summaries, then a join back;
 * shares divide by a group total computed by aggregation and joined back;
-* ranks and running totals range-partition the rows once, write them with
-  their partition number and work from the written table: a range exchange
-  samples its boundaries anew each time it runs, so rows and per-partition
-  totals must come from one run of it.
+* ranks range-partition the rows, and running totals the sums per (group,
+  order key), once, write them with their partition number and work from the
+  written table: a range exchange samples its boundaries anew each time it
+  runs, so rows and per-partition totals must come from one run of it.  The
+  number of ranges follows the size of the input.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from ..functions.nulls import drop_null_keys, sum0
 from ..session import materialize
 
 FILL_BLOCK_ROWS = 1 << 16
+#: Scanned bytes per range partition; sizes from here on only say that Spark does not know the size.
+RANGE_BYTES, UNKNOWN_BYTES = 64 << 20, 1 << 60
 
 
 def _null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,10 +66,11 @@ def cumulative(df: DataFrame, order: Sequence[str], value: str, part: Sequence[s
     """W-02: running total in ``order`` within ``part``; rows with equal order
     keys share one running value (their sum is taken together).
 
-    Default: range-partition on (part, order) and write the rows (a job of its
-    own), running sums inside each range partition (equal keys never straddle
-    two partitions), plus each part's total of the earlier partitions, so no
-    window holds a whole group.
+    Default: the rows are summed by (part, order) first (before any shuffle), so
+    that a busy day is one row; these sums are range-partitioned on (part, order)
+    and written (a job of its own), run inside each range partition (equal keys
+    never straddle two partitions), are moved up by each part's total of the
+    earlier partitions and joined back to the rows.
     ``presummed=True`` is for small results with one row per (part, order),
     such as a monthly reconciliation: one window, no extra job.
     ``order_expr`` orders the keys when their text order is not the right one.
@@ -78,14 +82,25 @@ def cumulative(df: DataFrame, order: Sequence[str], value: str, part: Sequence[s
     if presummed:
         w = Window.partitionBy(*part).orderBy(*ok)  # default frame: RANGE unbounded preceding .. current row
         return df.withColumn(out, F.sum(v).over(w))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = materialize(df.repartitionByRange(n, *[F.col(c) for c in part], *ok).withColumn("_pid", F.spark_partition_id()), "ranges")
-    r = r.withColumn("_lc", F.sum(v).over(Window.partitionBy("_pid", *part).orderBy(*ok)))
-    tot = r.groupBy("_pid", *part).agg(F.sum(v).alias("_t"))
+    n = partitions or range_count(df)
+    keys = [*part, *(c for c in order if c not in part)]
+    r = df.groupBy(*keys).agg(F.sum(v).alias("_v"))
+    r = materialize(r.repartitionByRange(n, *[F.col(c) for c in part], *ok).withColumn("_pid", F.spark_partition_id()), "ranges")
+    r = r.withColumn("_lc", F.sum("_v").over(Window.partitionBy("_pid", *part).orderBy(*ok)))
+    tot = r.groupBy("_pid", *part).agg(F.sum("_v").alias("_t"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_pid", *part, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
-    j = _null_safe_join(r, off, ["_pid", *part])
-    return j.withColumn(out, F.col("_lc") + F.col("_off")).select(*df.columns, out)
+    run = _null_safe_join(r, off, ["_pid", *part]).select(*keys, (F.col("_lc") + F.col("_off")).alias(out))
+    return _null_safe_join(df.drop(out), run, keys).select(*(c for c in df.columns if c != out), out)
+
+
+def range_count(df: DataFrame) -> int:
+    """Range partitions for ``df``: one for each ``RANGE_BYTES`` of what its plan scans, at least the session's shuffle
+    partitions (which also stand where the size is not known)."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(least, -(-sum(x for x in sizes if x < UNKNOWN_BYTES) // RANGE_BYTES))
 
 
 def share(df: DataFrame, value: str, part: Sequence[str] = (), out: str = "participacion",
@@ -171,7 +186,7 @@ def latest_snapshot(df: DataFrame, part: Sequence[str], order: str) -> DataFrame
 
 def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool = True, out: str = "ranking",
             tie_break: Sequence[str] = (), method: str = "range", partitions: int | None = None) -> DataFrame:
-    """W-07: row number by (absolute) ``value`` descending within ``part``
+    """W-07: row number (long) by (absolute) ``value`` descending within ``part``
     (ties ordered by ``tie_break``).
 
     ``method='range'`` (default) never holds a whole group in one task: rows
@@ -191,15 +206,15 @@ def rank_by(df: DataFrame, value: str, part: Sequence[str] = (), absolute: bool
     local_order = order[len(part):]
     if method == "window":
         w = Window.partitionBy(*part).orderBy(*local_order)
-        return d.withColumn(out, F.row_number().over(w)).drop("_rv")
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return d.withColumn(out, F.row_number().over(w).cast("long")).drop("_rv")
+    n = partitions or range_count(df)
     r = materialize(d.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranges")
     r = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", *part).orderBy(*local_order)))
     counts = r.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *part, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     j = _null_safe_join(r, offsets, ["_pid", *part])
-    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int")).select(*df.columns, out)
+    return j.withColumn(out, F.col("_lrn") + F.col("_off")).select(*df.columns, out)
 
 
 def severity_rank(df: DataFrame, flags: Sequence[str], out: str = "orden") -> DataFrame:

@@ -126,7 +126,8 @@ def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
     alone.  It is all aggregation: no line is joined to another.  A flag is
     raised for every attribute present on both sides that differs (NULL on
     either side counts), and for amounts (missing = 0) more than ``tol``
-    apart; rows with any flag are kept.
+    apart; rows with any flag are kept.  A line of NULL and a line of '' are two
+    lines.
     """
     lg = ledger
     if "clase_reg" in lg.columns:
@@ -155,10 +156,15 @@ def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
     by_line = lines.groupBy(*voucher, "_line").agg(*both(per_line))
     # lines of one side only are numbered inside their voucher and side, so that they pair off in order
     alone = F.when(F.col("siif_n") == 0, F.lit("icaro")).when(F.col("icaro_n") == 0, F.lit("siif")).otherwise(F.lit("both"))
-    by_line = by_line.withColumn("_alone", alone)
+    # one exchange of the summed lines by voucher serves the numbering and the pairing
+    by_line = by_line.withColumn("_alone", alone).repartition(*voucher)
     rank = F.row_number().over(Window.partitionBy(*voucher, "_alone").orderBy("_line"))
-    by_line = by_line.withColumn("_slot", F.when(F.col("_alone") == "both", F.concat(F.lit("="), F.coalesce("_line", F.lit(""))))
-                                 .otherwise(rank.cast("string")))
+
+    def slot(number, no_line, line):
+        return F.struct(number.cast("int").alias("number"), no_line.alias("no_line"), line.alias("line"))
+
+    by_line = by_line.withColumn("_slot", F.when(F.col("_alone") == "both", slot(F.lit(0), F.col("_line").isNull(), F.coalesce("_line", F.lit(""))))
+                                 .otherwise(slot(rank, F.lit(False), F.lit(""))))
     m = by_line.groupBy(*voucher, "_slot").agg(*[f(f"{n}_{c}").alias(f"{n}_{c}") for n in ("siif", "icaro")
                                                  for c, f in (("n", F.sum), ("importe", F.sum), ("a", F.min))])
     out = m.select("ejercicio", *[x for n, own in (("siif", la), ("icaro", ia)) for x in (

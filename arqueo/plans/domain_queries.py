@@ -420,7 +420,7 @@ WITH {REASONS_SQL},
 y AS (SELECT ejercicio, cod_motivo, motivo, abs(importe) AS importe FROM r WHERE ejercicio = '1998')
 SELECT ejercicio, cod_motivo, motivo, CAST(importe AS DOUBLE) AS importe,
        CAST(importe AS DOUBLE) / CAST(sum(importe) OVER () AS DOUBLE) * 100.0 AS participacion,
-       CAST(row_number() OVER (ORDER BY importe DESC, cod_motivo) AS INTEGER) AS ranking
+       CAST(row_number() OVER (ORDER BY importe DESC, cod_motivo) AS BIGINT) AS ranking
 FROM y""")
 def d_rc5(spark, d):
     return fin(receivables.reason_ranking(_reasons(spark, d), "1998"))

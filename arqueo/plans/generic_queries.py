@@ -582,7 +582,7 @@ def w_dedupe(spark, d):
 @query("w_rank", """
 WITH g AS (SELECT ejercicio, cta_cte, sum(importe) AS importe FROM loads GROUP BY ALL)
 SELECT ejercicio, cta_cte, CAST(importe AS DOUBLE) AS importe,
-       CAST(row_number() OVER (PARTITION BY ejercicio ORDER BY abs(importe) DESC, cta_cte) AS INTEGER) AS ranking
+       CAST(row_number() OVER (PARTITION BY ejercicio ORDER BY abs(importe) DESC, cta_cte) AS BIGINT) AS ranking
 FROM g""")
 def w_rank(spark, d):
     g = op.group_sum(V(spark, d, "loads"), ["ejercicio", "cta_cte"], ["importe"])
@@ -591,7 +591,7 @@ def w_rank(spark, d):
 
 @query("w_rank_lines", """
 SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) AS importe,
-       CAST(row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS ranking
+       CAST(row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS BIGINT) AS ranking
 FROM lineitem""")
 def w_rank_lines(spark, d):
     # every line by amount, no group at all
