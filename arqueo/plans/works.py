@@ -145,8 +145,9 @@ def works_as_of_years(df: DataFrame, group_cols: Sequence[str], years: Sequence[
     yr = F.col(year).cast("int")
     hy = F.col("hasta").cast("int")
     e = op.as_of_years(d, years, year)
-    w = Window.partitionBy(work, "hasta")
     has_work = F.col(work).isNotNull()
+    # rows without a work need no window over them: they are spread by their group
+    w = Window.partitionBy(work, F.when(~has_work, F.xxhash64(*g)).otherwise(0), "hasta")
     e = e.withColumns({"_mx_le": F.when(has_work, F.max("mx").over(w)),
                        "_mx_lt": F.when(has_work, F.max(F.when(yr < hy, F.col("mx"))).over(w))})
     agg = e.groupBy(*g, "hasta").agg(

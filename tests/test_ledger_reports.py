@@ -109,3 +109,96 @@ def test_debt_without_origin_stays_apart_and_adjustments_repeat(spark):
     assert rows(out, "ejercicio_contable", "ejercicio", "nro_original", "saldo_rdeu", "saldo_contable") == [
         ("2023", "2023", None, D(20), None), ("2023", "2023", None, D(30), None), ("2023", "2023", "1", D(15), D(15)), ("2023", "2023", "77", D(3), D(-3)),
         ("2024", "2023", "1", D(10), D(15)), ("2024", "2023", "77", D(3), D(-3)), ("2024", "2024", "4", D(7), D(7))]
+
+
+# ---------------------------------------------------------------- the registered queries cover their cases
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def sf():
+    import os
+
+    if not os.path.isdir(SF):
+        pytest.skip("driver tables not present")
+    return SF
+
+
+def test_debt_query_has_matched_and_unmatched_sides(spark, sf):
+    from arqueo.plans import ledger_queries as q
+
+    parts = q._net8(spark, sf)
+    joined = parts["rdeu_cta_contable"]
+    r = joined.agg(F.count_if(F.expr("saldo_contable IS NULL")).alias("debt_only"), F.count_if(F.expr("nro_original IS NULL")).alias("no_origin"),
+                   F.count_if(F.expr("tipo_comprobante = 'AJU'")).alias("adjustments")).first()
+    assert r.debt_only > 0 and r.no_origin > 0 and r.adjustments > 0
+    # an adjustment of the first year is there again in the later ones
+    again = joined.filter("ejercicio = '2011' AND tipo_comprobante = 'AJU' AND fuente = '11' AND cuit IS NULL").select("ejercicio_contable").distinct()
+    assert {x[0] for x in again.collect()} == {"2011", "2012", "2013"}
+
+
+def test_advances_query_has_all_kinds(spark, sf):
+    from arqueo.plans.ledger_queries import d_iv3
+
+    r = d_iv3(spark, sf).agg(*[F.count_if(F.expr(c)).alias(f"n{i}") for i, c in enumerate((
+        "icaro_nro_fondo IS NULL", "siif_nro_fondo IS NULL", "siif_nro_reg IS NOT NULL AND icaro_nro_reg IS NULL", "err_importe_reg AND icaro_nro_reg IS NOT NULL", "err_cta_cte", "err_tipo"))]).first()
+    assert min(r) > 0
+
+
+def test_gap_reads_each_source_once(spark, sf):
+    from arqueo.plans import gap_queries as q
+
+    s = q.gap_inputs(spark, sf)
+    read = {f.rsplit("/", 1)[1] for f in q.whole_gap(s).inputFiles() if f.startswith(f"file://{sf}") or f.startswith(f"file:{sf}")}
+    # beside the notaries' lines and the advances the controls read the written tables, not the joins of the views
+    assert read == {"lineitem.parquet", "orders.parquet"}
+    out = {(r.ejercicio, r.concepto): r.importe for r in q.whole_gap(s).collect()}
+    assert out["1998", "pa6_reg"] is None and out["1998", "dif_sldo_ajustado"] is None
+    parts = ["dif_sldo", *q.PARTS]
+    assert out["1999", "dif_sldo_ajustado"] == sum(out["1999", p] for p in parts)
+
+
+def test_written_sources_are_pruned_by_year(spark, sf):
+    from arqueo.plans import year_queries as q
+    from arqueo.sources import systems
+
+    root = q.write_sources(spark, sf)
+    df = systems.works_loads(spark, root, years=["1998"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [ejercicio" in plan or "PartitionFilters: [isnotnull(ejercicio" in plan
+    whole = systems.works_loads(spark, root)
+    # the column that is not declared is gone, declared ones that were not written are NULL, rows without a year are kept
+    assert "extra" not in whole.columns and whole.filter("obra IS NOT NULL").isEmpty()
+    assert whole.filter("ejercicio IS NULL").count() > 0
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, sf):
+    from arqueo.plans import year_queries as q
+
+    df = q.bucketed_join(spark, q.bucketed_pair(spark, sf, 4))
+    assert exchanges(df) == []
+    assert df.filter("pagado IS NULL").count() > 0 and df.filter("pagos > 1").count() > 0
+
+
+def test_crosswalk_has_ambiguous_and_coded_names(spark, sf):
+    from arqueo.plans import year_queries as q
+
+    out = q.d_co3(spark, sf)
+    long = out.filter("obra LIKE 'obra larga%'")
+    assert long.count() > 10 and long.select("obra", "cod_obra").distinct().count() == 1 and long.first().cod_obra is not None
+    assert out.filter("cod_obra = '123'").count() > 0 and out.filter("cod_obra IS NULL").count() > 0
+    assert q.d_co3_inverso(spark, sf).filter("imputacion IS NULL").count() > 0
+
+
+def test_cash_basis_moves_rows_between_years(spark, sf):
+    from arqueo.plans import year_queries as q
+
+    net = q._works_net(spark, sf)
+    debt_rows = net.filter("tipo = 'RDEU'")
+    moved = debt_rows.filter("id LIKE '%C' AND month(fecha) = 1")
+    assert moved.count() > 0 and debt_rows.filter("importe < 0").count() > 0
+    totals = {r.ejercicio: r.acum for r in q.d_eo7_cash_total(spark, sf).collect()}
+    loads = net.filter("fecha <= '2000-10-31' AND (ejercicio = '2000' OR ejercicio BETWEEN '1996' AND '1999' AND tipo <> 'PA6')")
+    for y, total in totals.items():
+        assert total == float(loads.filter(F.col("ejercicio") <= y).agg(F.sum("importe")).first()[0])
