@@ -232,6 +232,6 @@ def contribution_control(revenue_sum: DataFrame, withholding_sum: DataFrame, key
                          only_diff: bool = False) -> DataFrame:
     """D-AE3: 3 % revenue vs code-337 payments side by side on the union of
     keys (gaps 0), no difference column."""
-    out = op.reconcile(revenue_sum, withholding_sum, list(keys), {"recurso_3%": "recurso_3%"},
+    out = op.reconcile(revenue_sum, withholding_sum.drop("gastos_337_siif"), list(keys), {"recurso_3%": "recurso_3%"},
                        {"pagos_337_siif": "pagos_337_siif"}, diff=None, aggregate=False)
     return op.only_diff(out) if only_diff else out

@@ -61,8 +61,9 @@ def works_report(df: DataFrame, group_cols: Sequence[str], current_year: str | i
     cur = int(current_year)
     d = _pre(df, g, work, year, value, progress)
     yr = F.col(year).cast("int")
-    w = Window.partitionBy(work)
     has_work = F.col(work).isNotNull()
+    # rows without a work need no window over them: they are spread by their group
+    w = Window.partitionBy(work, F.when(~has_work, F.xxhash64(*g)).otherwise(0))
     j = d.withColumns({
         "_wmax": F.when(has_work, F.max("mx").over(w)),
         "_wprev1": F.when(has_work, F.max(F.when(yr < F.lit(cur), F.col("hit1"))).over(w))})
