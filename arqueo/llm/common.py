@@ -59,6 +59,26 @@ def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col:
     return docs.join(gone.hint("merge"), same, "left_anti")
 
 
+def one_per_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each :func:`row_key`; of rows that differ in other columns any one stays.
+
+    Only the keys are counted over all rows.  Rows of repeated keys are cut to one in each task before they are shuffled, so
+    that a row which fills a third of the table is a few rows by then; the others stay where they are.  The repeated keys
+    are a written table, which Spark joins by broadcast only while it is below its threshold.
+    """
+    names = {c: fresh(docs.columns, f"llm_{c}") for c in ("id", "a", "b")}
+    own = row_key(id_col, F.col(text_col).cast("string"))
+    counts = docs.select(own.alias("k")).groupBy("k.id", "k.a", "k.b").agg(F.count("*").alias("n")).where("n > 1")
+    keys = written(counts.select(*(F.col(c).alias(n) for c, n in names.items())), "repeated")
+    if keys.isEmpty():
+        return docs
+    same = F.col(id_col).eqNullSafe(F.col(names["id"])) & (own["a"] == F.col(names["a"])) & (own["b"] == F.col(names["b"]))
+    row = fresh(docs.columns, "llm_row")
+    key = [own[c].alias(n) for c, n in names.items()]
+    first = docs.join(keys, same, "left_semi").groupBy(*key).agg(F.first(F.struct(*docs.columns)).alias(row)).select(f"{row}.*")
+    return docs.join(keys, same, "left_anti").unionByName(first)
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components: (node, component), component being the smallest node; only nodes of ``edges``.
 

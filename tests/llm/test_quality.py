@@ -248,7 +248,10 @@ def test_stages(spark, sf):
         elif k == 1:
             verdict = {r.key.id: r.kept for r in mcd_rules.judge(docs).collect()}
         elif k == 2:
-            verdict = dict.fromkeys(before, True)
+            from .test_dedup import brute_lines
+
+            left = brute_lines([(d, before[d].text) for d in sorted(before)])
+            verdict = {d: left[d] == r.text or bool(WORD.search(left[d])) for d, r in before.items()}
             assert all(r.n_chars == len(r.text) for r in after.values())
         else:
             from .test_dedup import brute_join
@@ -263,3 +266,34 @@ def test_stages_of_an_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert docs.count() == 0
+
+
+def test_copies_leave_between_line_dedup_and_packing(spark, sf, make_docs):
+    """A hot group of exact copies, repeated rows, null texts and clashing columns through the last three stages."""
+    lines = ["one line of the text", "another line of it", "and a third one here", "the last line of all"]
+    text = "\n".join(lines)
+    rows = [(d, text) for d in range(2000)] + [(5000, "a text of one line that is here alone")] * 700 + [(5001, None), (5002, ""), (None, "null id with its own text here")]
+    rows += [(6000, "some words before\n" + text), (6001, " \n\t\n "), (6002, "x y z"), (6002, "x y z")]
+    docs = make_docs(rows).withColumnRenamed("source", "n_removed").withColumnRenamed("lang", "llm_row")
+    out = corpus_pipeline.written(corpus_pipeline.lines_stage(spark, docs, sf), "stage")
+    # copies are emptied and go; what had no words before stays, as do words beside removed lines
+    assert out.columns == docs.columns
+    left = Counter((r.doc_id, r.text) for r in out.collect())
+    assert left == Counter({(None, "null id with its own text here"): 1, (0, text): 1, (5000, "a text of one line that is here alone"): 700, (5001, None): 1, (5002, ""): 1,
+                            (6000, "some words before"): 1, (6001, " \n\t\n "): 1, (6002, "x y z"): 2})
+    out = corpus_pipeline.written(corpus_pipeline.near_copies_stage(spark, out, sf), "stage")
+    assert out.columns == docs.columns and Counter((r.doc_id, r.text) for r in out.collect()) == Counter(dict.fromkeys(left, 1))
+    pieces = corpus_pipeline.pack_stage(spark, out, sf).collect()
+    assert sorted((r.doc_id for r in pieces), key=str) == sorted((d for d, _ in left), key=str)
+    # without repeats the near-copy stage's input is passed on as it is
+    from arqueo.llm.common import one_per_key
+
+    assert one_per_key(out) is out and one_per_key(out.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_cut_before_their_shuffle(spark, make_docs):
+    from arqueo.llm.common import one_per_key
+
+    docs = make_docs([(1, "same")] * 50 + [(1, "other"), (None, "n"), (None, "n"), (2, None), (2, None)])
+    once = one_per_key(docs)
+    assert Counter((r.doc_id, r.text, r.id) for r in once.collect()) == Counter({(1, "same", 7): 1, (1, "other", 7): 1, (None, "n", 7): 1, (2, None, 7): 1})
