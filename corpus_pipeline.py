@@ -1,8 +1,9 @@
 """The corpus pipeline: documents through filters and dedup to packed token sequences.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns the columns of the
-documents, but for the last one, which returns a row per packed piece.  A document whose lines all went in line dedup
-stays, with an empty text.  Rows equal in id and text are one document and stay or go together.
+documents, but for the last one, which returns a row per packed piece.  A document whose words all went in line dedup
+goes with them: all its lines are there in earlier documents.  Rows equal in id and text are one document, of which the
+stage of near copies keeps one row.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arqueo.llm import chosen_path, line_windows, mcd_rules, packing, rff_quality
-from arqueo.llm.common import table, without, written
+from arqueo.llm.common import BLANKS, one_per_key, table, without, written
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,13 +27,14 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows go; n_chars follows the text."""
-    out = line_windows.dedup_lines(docs)
+    """Later occurrences of three-line windows go, and documents that hold no word without them; n_chars follows the text."""
+    out = line_windows.dedup_lines(docs).where((F.col("n_removed") == 0) | (F.btrim("text", F.lit(BLANKS)) != ""))
     return out.select(*[F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies one document stays."""
+    """Of each class of near copies one document stays, once."""
+    docs = one_per_key(docs)
     return without(docs, chosen_path.join_documents(docs).where("NOT kept").select("id", "a", "b").distinct())
 
 
