@@ -3,8 +3,9 @@
 Method (exact-complement hashing): only how many pieces there are of each length
 matters, a table of at most ``capacity`` counts whatever the number of documents.
 The longest open piece starts a pattern; the gap left is looked up among single
-lengths, pair sums and triple sums, under the counts still available; while no
-combination fills it exactly, the longest piece that fits is put in (best fit).
+lengths, in an index from sums to pairs of lengths, and as a length and a pair of
+that index (triple sums), under the counts still available; while no combination
+fills it exactly, the longest piece that fits is put in (best fit).
 A pattern is used as often as its counts allow at once, so the plan is short.
 Spark then ranks the pieces of each length (in hash buckets, so that a very
 frequent length is not one group) and each rank finds its place in the plan.
@@ -30,27 +31,58 @@ from .bpe import text_bytes, tokenizer_path
 from .common import written
 
 
-class Sums:
-    """Combinations of available lengths by their exact sum."""
+class SumIndex:
+    """Available lengths, and an index from each sum to the pairs of lengths that make it.
 
-    def __init__(self, capacity: int):
-        self.have = np.zeros(capacity + 1, dtype=np.int64)
+    The pairs of a sum lie together, the shorter length ascending.  Counts only fall, so a pair that has run out is linked
+    past for good, and a lookup goes from live pair to live pair.
+    """
 
-    def pair(self, total: int, most: int | None = None) -> tuple[int, ...]:
-        """Two available lengths with this sum, the longer one as long as can be (at most ``most``)."""
-        half = total // 2
-        if half < 1:
-            return ()
-        low = 1 if most is None else max(1, total - most)
-        ok = (self.have[low:half + 1] > 0) & (self.have[total - half:total - low + 1][::-1] > 0) if low <= half else np.empty(0, bool)
-        for x in np.flatnonzero(ok):
-            a, b = low + int(x), total - low - int(x)
-            if a != b or self.have[a] > 1:
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.have = np.zeros(capacity + 1, dtype=np.int64)
+        for length, n in counts.items():
+            self.have[length] = n
+        lengths = np.flatnonzero(self.have).astype(np.int32)
+        partners = [lengths[i:np.searchsorted(lengths, capacity - x, side="right")] for i, x in enumerate(lengths)]
+        low = np.repeat(lengths, [len(p) for p in partners])
+        total = low + np.concatenate([np.empty(0, np.int32), *partners])
+        order = np.lexsort((low, total))
+        self.low = low[order]
+        self.start = np.searchsorted(total[order], np.arange(capacity + 2))
+        #: The next pair of each pair that has run out; a live one's is itself.
+        self.next = np.arange(len(low) + 1)
+
+    def live(self, i: int) -> int:
+        """The first pair from place ``i`` on that has not run out."""
+        end = i
+        while self.next[end] != end:
+            end = self.next[end]
+        while i != end:
+            self.next[i], i = end, self.next[i]
+        return int(end)
+
+    def pair(self, total: int, most: int | None = None, held: int = 0) -> tuple[int, ...]:
+        """Two available lengths with this sum, the longer one as long as can be (at most ``most``).
+
+        One piece of length ``held`` is set aside by the caller for the time being.
+        """
+        i, end = int(self.start[total]), int(self.start[total + 1])
+        if most is not None:
+            i += int(np.searchsorted(self.low[i:end], total - most))
+        i = self.live(i)
+        while i < end:
+            a = int(self.low[i])
+            b = total - a
+            if self.have[a] and self.have[b] and (a != b or self.have[a] > 1):
                 return b, a
+            if held not in (a, b):
+                self.next[i] = i + 1
+            i = self.live(i + 1)
         return ()
 
     def fill(self, gap: int) -> tuple[int, ...]:
-        """One, two or three available lengths that fill the gap exactly."""
+        """One, two or three available lengths that fill the gap exactly: a single one, else a pair of the index, else a
+        length with a pair for what it leaves."""
         if self.have[gap] > 0:
             return (gap,)
         if two := self.pair(gap):
@@ -59,7 +91,7 @@ class Sums:
             if 3 * a < gap:
                 break
             self.have[a] -= 1
-            two = self.pair(gap - a, a)
+            two = self.pair(gap - a, a, held=a)
             self.have[a] += 1
             if two:
                 return (a, *two)
@@ -72,12 +104,10 @@ class Sums:
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
     """Patterns [(length, how often), ...] longest first, and how many sequences have each."""
-    sums = Sums(capacity)
-    for length, n in counts.items():
+    for length in counts:
         if not 0 < length <= capacity:
             raise ValueError(f"length {length} for capacity {capacity}")
-        sums.have[length] = n
-    out = []
+    sums, out = SumIndex(counts, capacity), []
     while first := sums.longest(capacity):
         used, gap = Counter(), capacity
         add: tuple[int, ...] = (first,)

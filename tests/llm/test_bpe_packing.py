@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -147,3 +148,73 @@ def test_exact_complements_are_found():
 def test_frequent_length_is_one_pattern():
     plan = packing.plan({100: 3_000_000, 96: 7}, 4096)
     assert len(plan) < 50 and sum(t for _, t in plan) <= math.ceil((300_000_000 + 672) / 4096 * 1.03)
+
+
+def brute_fill(have, gap):
+    """By enumeration: a single length, else the pair with the longest longer one, else the triple with the longest first one."""
+    fits = lambda *x: all(have[y] >= n for y, n in Counter(x).items())
+    for n in (1, 2, 3):
+        found = [x for x in itertools.combinations_with_replacement(sorted(have, reverse=True), n) if sum(x) == gap and fits(*x)]
+        if found:
+            return max(found)
+    return ()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 3), min_size=1), st.lists(st.integers(1, 20), max_size=25))
+def test_index_finds_what_enumeration_finds(counts, gaps):
+    """Also as counts run out, which links pairs past."""
+    index, have = packing.SumIndex(counts, 20), Counter(counts)
+    for gap in gaps:
+        got = index.fill(gap)
+        assert got == brute_fill(have, gap)
+        for x in got:
+            index.have[x] -= 1
+            have[x] -= 1
+            have += Counter()
+
+
+def test_triple_only_fill_comes_from_the_index():
+    counts = {25: 1, 8: 1, 4: 1, 3: 1, 12: 1}
+    index = packing.SumIndex(counts, 40)
+    asked = []
+    real = index.pair
+    index.pair = lambda *a, **k: asked.append((a, k)) or real(*a, **k)
+    # no single length and no pair makes 15 but 12 + 3; without 12 only 8 + 4 + 3 does
+    assert index.fill(15) == (12, 3)
+    index.have[12] = 0
+    assert index.fill(15) == (8, 4, 3) and asked[-1] == ((7, 8), {"held": 8})
+    # what was set aside for a lookup is not taken for run out, and what has run out is not looked at again
+    assert index.fill(15) == (8, 4, 3)
+    dead = [i for i in range(index.start[15], index.start[16]) if index.next[i] != i]
+    assert [int(index.low[i]) for i in dead] == [3]
+
+
+def best_fit_alone(counts, capacity):
+    have, n = Counter(counts), 0
+    while have:
+        gap, n = capacity, n + 1
+        while fits := [x for x in have if x <= gap]:
+            gap -= (x := max(fits))
+            have[x] -= 1
+            have += Counter()
+    return n
+
+
+def test_index_needs_fewer_sequences_than_best_fit_alone():
+    rng = np.random.default_rng(6)
+    fewer = 0
+    for _ in range(20):
+        counts = Counter(rng.integers(15, 70, 150).tolist())
+        own, other = sum(t for _, t in packing.plan(counts, 100)), best_fit_alone(counts, 100)
+        assert own <= other
+        fewer += own < other
+    assert fewer
+
+
+def test_pieces_of_one_length(make_docs, own):
+    docs = make_docs([(d, "a b c d e f g") for d in range(300)])
+    n = len(own.encode("a b c d e f g")) + 1
+    rows = packing.pack_documents(docs, capacity=3 * n).collect()
+    check_packing(rows, {d: ["a b c d e f g"] for d in range(300)}, own.encode, 3 * n, 1)
+    assert len({r.sequence_id for r in rows}) == 100
