@@ -3,10 +3,12 @@
 Method: each document gives a vector of transformed statistics (log of the words
 and of their mean length; square roots of the shares of symbols, repeated lines
 and repeated 8-word windows).  Per (language, source) the minimum-covariance-
-determinant estimate is found by C-steps: from medians and absolute deviations,
-the ``SUBSET`` of smallest Mahalanobis distances gives the next mean and
-covariance, ``STEPS`` times; the last one is made consistent for a normal law.
-A document whose squared distance is over the chi-square ``LEVEL`` is rejected.
+determinant estimate is found by C-steps: the ``SUBSET`` of smallest Mahalanobis
+distances gives the next mean and covariance, until no group's determinant changes
+(``STEPS`` times at most).  Two starts, from medians and absolute deviations and from
+the plain mean and covariance, go through this; of each group's two ends the one of
+smaller determinant is kept and made consistent for a normal law.  A document whose
+squared distance is over the chi-square ``LEVEL`` is rejected.
 
 Scale: the texts are read once, the statistics written as a narrow table.  All
 estimates are sums and counts aggregated before their shuffle, so a source with
@@ -15,9 +17,11 @@ are exact decimals whatever the order of tasks, and medians and the subset's
 bound are exact percentiles over a bounded number of grid values.
 
 Groups of fewer than ``LEAST`` documents are pooled per language, then over all;
-a pool that is still smaller rejects nothing.  ``FLOORS`` (standard deviations)
-are added to the variances, so that a statistic that is 0 in most documents
-rejects by size, not because any value differs (one repeated line is no outlier even in a short text).
+a pool that is still smaller rejects nothing.  Floors (standard deviations) are
+added to the variances, as most documents have no symbol and no repeat at all: for
+the sparse statistics it is what one symbol, one repeated line and the ``REPEAT``
+words of one repeated passage are in a text of the group's median size, for the
+other two ``FLOORS``.
 
 Defined cases: a null text has no words and fails the base rule; null languages
 and sources are groups of their own; documents that fail the base rule take no
@@ -35,8 +39,10 @@ from .common import BLANK_RUN, BLANKS, row_key, written
 from .line_windows import let
 
 STATS = ["x1", "x2", "x3", "x4", "x5"]
-FLOORS = [0.35, 0.15, 0.06, 0.16, 0.16]
-SUBSET, STEPS, LEVEL, LEAST = 0.75, 3, 0.9999, 50
+#: Logarithms (in hundredths) of the sizes that the sparse statistics are shares of.
+SIZES = ["size3", "size4", "size5"]
+FLOORS, REPEAT = [0.35, 0.15], 16
+SUBSET, STEPS, LEVEL, LEAST = 0.75, 20, 0.9999, 50
 GRID = 10_000
 SALTS = 16
 
@@ -109,11 +115,12 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def vector() -> list[Column]:
-    """The transformed statistics, on the grid (whole numbers)."""
+    """The transformed statistics on the grid (whole numbers), and the sizes."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     values = [F.ln(n), F.ln(F.greatest(F.col("word_chars") / n, F.lit(1.0))), F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
               F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))), F.sqrt(F.col("n_repeat_words") / n)]
-    return [F.round(v * GRID).cast("long").alias(x) for v, x in zip(values, STATS)]
+    sizes = [F.round(F.ln(F.greatest(F.col(c), F.lit(1))) * 100).cast("int").alias(x) for c, x in zip(("word_chars", "n_lines", "n_words"), SIZES)]
+    return [F.round(v * GRID).cast("long").alias(x) for v, x in zip(values, STATS)] + sizes
 
 
 def grouped(stats: DataFrame) -> DataFrame:
@@ -127,21 +134,23 @@ def grouped(stats: DataFrame) -> DataFrame:
               .select("g.lang", "g.source", F.when(~F.col("small"), named(1, "g.lang", "g.source")).when(F.col("pool") >= LEAST, named(2, "g.lang"))
                       .when(F.lit(rest >= LEAST), F.xxhash64(F.lit(3))).alias("gid")))
     g = written(groups, "groups").alias("g")
-    return own.alias("o").join(g, F.col("o.lang").eqNullSafe(F.col("g.lang")) & F.col("o.source").eqNullSafe(F.col("g.source"))).select("o.key", *STATS, "gid")
+    return own.alias("o").join(g, F.col("o.lang").eqNullSafe(F.col("g.lang")) & F.col("o.source").eqNullSafe(F.col("g.source"))).select("o.key", *STATS, *SIZES, "gid")
 
 
 def factor(params: DataFrame, scale: float) -> DataFrame:
-    """gid, m1.., and the Cholesky factor l11, l21, l22, .. of scale times the covariance plus the floors."""
+    """gid, m1.., and the Cholesky factor l11, l21, l22, .. of scale times the covariance plus the squared floors f1.., and
+    its determinant."""
     p = len(STATS)
     for i in range(1, p + 1):
         for j in range(1, i + 1):
             rest = F.col(f"s{i}{j}") * F.lit(scale)
             if i == j:
-                rest = rest + F.lit(FLOORS[i - 1] ** 2)
+                rest = rest + F.col(f"f{i}") * F.col(f"f{i}")
             for k in range(1, j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}"))
-    return params.select("gid", *(f"m{i}" for i in range(1, p + 1)), *(f"l{i}{j}" for i in range(1, p + 1) for j in range(1, i + 1)))
+    root = math.prod((F.col(f"l{i}{i}") for i in range(2, p + 1)), start=F.col("l11"))
+    return params.select("gid", *(f"m{i}" for i in range(1, p + 1)), *(f"l{i}{j}" for i in range(1, p + 1) for j in range(1, i + 1)), (root * root).alias("det"))
 
 
 def beside(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -175,28 +184,47 @@ def moments(rows: DataFrame) -> DataFrame:
 
 
 def start(rows: DataFrame) -> DataFrame:
-    """Per group: medians, and squared scaled median absolute deviations on the diagonal."""
+    """Per group: medians, squared scaled median absolute deviations on the diagonal, and the floors."""
     p = range(1, len(STATS) + 1)
     coarse = 100  # medians to two decimals keep the number of values in an aggregation buffer bounded
-    mids = written(rows.groupBy("gid").agg(*(F.percentile(F.round(F.col(f"x{i}") / coarse), 0.5).alias(f"c{i}") for i in p)), "medians")
-    off = beside(rows, mids).groupBy("gid").agg(
-        *(F.first(f"c{i}").alias(f"c{i}") for i in p), *(F.percentile(F.abs(F.round(F.col(f"x{i}") / coarse) - F.col(f"c{i}")), 0.5).alias(f"a{i}") for i in p))
+    half = lambda c: F.percentile(c, 0.5)
+    # one symbol, line or passage in a text of median size, as the square root of its share
+    one = [F.sqrt(F.lit(float(n)) * F.exp(-half(x) / 100)) for x, n in zip(SIZES, (1, 1, REPEAT))]
+    mids = written(rows.groupBy("gid").agg(*(half(F.round(F.col(f"x{i}") / coarse)).alias(f"c{i}") for i in p),
+                                           *(f.alias(f"f{i}") for i, f in enumerate([*map(F.lit, FLOORS), *one], 1))), "medians")
+    off = beside(rows, mids).groupBy("gid").agg(*(F.first(f"{c}{i}").alias(f"{c}{i}") for c in "cf" for i in p),
+                                                *(half(F.abs(F.round(F.col(f"x{i}") / coarse) - F.col(f"c{i}"))).alias(f"a{i}") for i in p))
     unit = coarse / GRID
     return off.select("gid", *((F.col(f"c{i}") * unit).alias(f"m{i}") for i in p),
-                      *(((F.col(f"a{i}") * (1.4826 * unit)) ** 2 if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in p for j in range(1, i + 1)))
+                      *(((F.col(f"a{i}") * (1.4826 * unit)) ** 2 if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in p for j in range(1, i + 1)), *(f"f{i}" for i in p))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
     """The groups' MCD estimates as written factors, consistent for a normal law."""
     p = len(STATS)
     consistent = SUBSET / chi_square(p + 2, chi_square_quantile(p, SUBSET))
-    params = written(factor(start(rows), 1.0), "mcd")
-    for step in range(STEPS):
-        near = distances(rows, params).withColumn("r", F.round(F.ln(F.col("d2") + 1), 3))
+    tried = lambda n: F.xxhash64("gid", F.lit(n))
+    medians = written(start(rows), "mcd")
+    floors = medians.select("gid", *(f"f{i}" for i in range(1, p + 1)))
+    # both starts at once, each group once for each of them
+    groups = written(medians.select("gid", F.explode(F.array(F.lit(0), F.lit(1))).alias("start")).select("gid", F.xxhash64("gid", "start").alias("try")), "tries")
+    first = medians.withColumn("gid", tried(0)).unionByName(moments(rows).join(floors, "gid").withColumn("gid", tried(1)))
+    floors = written(floors.join(groups, "gid").select(F.col("try").alias("gid"), *(f"f{i}" for i in range(1, p + 1))), "floors")
+    both = rows.select("key", *STATS, F.explode(F.array(tried(0), tried(1))).alias("gid"))
+    raw = None
+    params = written(factor(first, 1.0), "mcd")
+    for _ in range(STEPS):
+        near = distances(both, params).withColumn("r", F.round(F.ln(F.col("d2") + 1), 3))
         bound = written(near.groupBy("gid").agg(F.percentile("r", SUBSET).alias("bound")), "bound")
-        subset = beside(near, bound).where("r <= bound")
-        params = written(factor(moments(subset), consistent if step == STEPS - 1 else 1.0), "mcd")
-    return params
+        raw = written(moments(beside(near, bound).where("r <= bound")).join(floors, "gid"), "moments")
+        before, params = params, written(factor(raw, 1.0), "mcd")
+        moved = params.join(before.select("gid", F.col("det").alias("was")), "gid").where(F.abs(F.col("det") - F.col("was")) > 1e-9 * F.col("was"))
+        if moved.isEmpty():
+            break
+    best = params.join(groups, params["gid"] == groups["try"]).groupBy(groups["gid"]).agg(F.min(F.struct("det", "try")).alias("best"))
+    best = best.select("gid", F.col("best.try").alias("try"))
+    chosen = raw.withColumnRenamed("gid", "try").join(best, "try").drop("try")
+    return written(factor(chosen, consistent), "mcd")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
