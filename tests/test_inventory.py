@@ -35,3 +35,16 @@ def test_every_inventory_id_has_a_function():
     ids = _survey_ids()
     assert len(ids) > 150
     assert not sorted(ids - _code_ids())
+
+
+def test_appendix_names_the_registered_queries():
+    from arqueo.plans import catalog
+
+    text = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
+    listed = dict(re.findall(r"^\| (D-[A-Z]+\d+) \| .* \| (.*) \|$", text[text.index("## Appendix"):], re.M))
+    assert len(listed) > 80
+    for i, queries in listed.items():
+        base = i.lower().replace("-", "_")
+        assert queries == ", ".join(q for q in sorted(catalog.QUERIES) if re.fullmatch(base + "(_.*)?", q)), i
+    named = {q for row in re.findall(r"^\| [A-Z]+-[A-Z]*\d+ \| .* \| (.*) \|$", text[text.index("## Appendix"):], re.M) for q in re.findall(r"\w+", row)}
+    assert {q for q in catalog.QUERIES if q.startswith("d_")} <= named
