@@ -7,14 +7,19 @@ nodes whose centres are further apart than both covering radii and tau hold no
 pair, so their subtrees are never looked at; what is left at the leaves is
 compared in double precision.
 
-On Spark the tree's upper part (``cells``: nested farthest-first levels over a
-bounded sample of ``SAMPLE`` vectors) deals the vectors out to cells.  Cells of
-more than ``BLOCK`` vectors are cut into blocks.  Pairs of blocks that their
-covering radii do not rule out are the pieces of work; a vector is sent to the
-blocks of lower number that its own distance to their centre does not rule out.
-Each piece builds the lower levels of both blocks' trees and traverses them
-together.  Links are counted where they are found and only a spanning forest is
-written, so the result is linear in the vectors however large a cluster is.
+On Spark the tree's upper part is built level by level (``upper_levels``): every
+cell of more than ``BLOCK`` vectors is split by farthest-first centres, found in a
+sample of about ``SAMPLE`` of its vectors and chosen until half its radius covers
+that sample, ``FANOUT`` at most; its vectors are dealt to tasks in parts.  The nodes
+are a table.  Pairs of leaves come from a descent of the tree against itself, a join
+of levels in which covering angles (which add up, and bound closer than distances)
+rule out pairs after every step (``leaf_pairs``).  Pairs of leaf blocks are the pieces
+of work; a vector visits those blocks that its own angle to their centre does not rule
+out.  Each piece builds the lower levels of both blocks' trees and traverses them
+together.  A leaf whose covering angle is below half the threshold's is not compared
+with itself: all its vectors link.  Links are counted where they are found and only a
+spanning forest is written, so the result is linear in the vectors however large a
+cluster is.
 
 Without cluster structure the bounds rule out little, as for any exact method in
 many dimensions: the number of compared block pairs is then quadratic.
@@ -38,7 +43,9 @@ from pyspark.sql import functions as F
 
 from .common import components, dealt, roots, streamed, written
 
-SAMPLE, CELL, BLOCK, VISITORS = 2_048, 4_096, 2_048, 8_192
+SAMPLE, BLOCK, VISITORS = 2_048, 2_048, 8_192
+#: Children of a cell at most, levels at most, vectors of a cell dealt to one task, groups that the hosts of a block come in.
+FANOUT, DEPTH, PART, STRIPES = 64, 24, 8_192, 4
 #: Radii of the nested levels inside a block.
 LEVELS = (1.0, 0.5, 0.25)
 #: Bounds on distances are widened by this much against rounding.
@@ -64,12 +71,12 @@ def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
 
 
-def farthest_first(x: np.ndarray, most: int) -> np.ndarray:
-    """Places of up to ``most`` centres, each the farthest from those before it: every prefix is a level of a nested cover."""
+def farthest_first(x: np.ndarray, most: int, enough: float = HAIR) -> np.ndarray:
+    """Places of up to ``most`` centres, each the farthest from those before it, until all are within ``enough``: every prefix is a level of a nested cover."""
     order, far = [0], apart(x, x[:1])[:, 0]
     while len(order) < min(most, len(x)):
         nxt = int(far.argmax())
-        if far[nxt] <= HAIR:
+        if far[nxt] <= enough:
             break
         order.append(nxt)
         far = np.minimum(far, apart(x, x[nxt:nxt + 1])[:, 0])
@@ -178,65 +185,152 @@ def traverse(a: Tree, b: Tree, tau: float, threshold: float, itself: bool) -> tu
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def cells(vectors: DataFrame, count: int) -> np.ndarray:
-    """Centres of the upper level: about one for ``CELL`` vectors, from a sample of at most ``SAMPLE`` (smallest hashes)."""
-    got = vectors.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").collect()
-    x = unit(np.array([r["v"] for r in got]))
-    return x[farthest_first(x, max(1, math.ceil(count / CELL)))]
+def angles(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1, 1))
 
 
-def linked(vectors: DataFrame, dimension: int, count: int, threshold: float) -> DataFrame:
-    """(node, links, root): partial results of each piece of work over vectors (node, copies, v) of one length."""
-    spark, tau = vectors.sparkSession, math.sqrt(2 - 2 * threshold)
-    centres = cells(vectors, count)
-    shared = spark.sparkContext.broadcast(centres)
+def vectors_of(rows, dimension: int) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), dtype=np.float64).reshape(-1, dimension)
+
+
+def centres_of(pdf: pd.DataFrame, dimension: int) -> pd.DataFrame:
+    """Centres of one cell's children, farthest first: the vector farthest from the cell's centre and its sample, to half its radius."""
+    n, cover = int(pdf["n"].iloc[0]), float(pdf["cover"].iloc[0])
+    x = vectors_of([pdf["far"].iloc[0], *pdf.sort_values("node")["v"]], dimension)
+    centres = x[farthest_first(x, min(FANOUT, max(2, math.ceil(2 * n / BLOCK))), 2 * math.sin(cover / 4))]
+    return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "parts": [math.ceil(n / PART)], "centres": [centres.tobytes()]})
+
+
+def children_of(vectors: pd.DataFrame, centres: pd.DataFrame, dimension: int) -> pd.DataFrame:
+    """A part of one cell's vectors, each with the child of nearest centre, the angle to it and the centre."""
+    if not len(vectors):
+        return pd.DataFrame(columns=["node", "copies", "v", "parent", "cell", "d", "centre"])
+    c = vectors_of(centres["centres"], dimension)
+    cosine = vectors_of(vectors["v"], dimension) @ c.T
+    at, parent = cosine.argmax(axis=1), vectors["cell"].iloc[0]
+    return vectors[["node", "copies", "v"]].assign(parent=parent, cell=[f"{parent}.{k}" for k in at], d=angles(cosine.max(axis=1)),
+                                                   centre=[c[k].tobytes() for k in at])
+
 
-    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def upper_levels(vectors: DataFrame, dimension: int, theta: float) -> tuple[DataFrame, DataFrame, int]:
+    """The tree above the blocks: (vectors (node, copies, v, cell), nodes (depth, parent, cell, centre, cover, n, leaf, tight), depth).
+
+    A level splits all cells of more than ``BLOCK`` vectors at once.  Two kinds of leaves may be larger: a ``tight`` one,
+    whose vectors all link (its covering angle is below half the threshold's), and what ``DEPTH`` levels have not split.
+    """
+    start = vectors.withColumns({"cell": F.lit("0"), "parent": F.lit(""), "d": F.lit(math.pi), "centre": F.col("v")})
+    leaves, nodes, depth = None, None, 0
+    while True:
+        found = start.groupBy("parent", "cell").agg(F.count("*").alias("n"), F.max("d").alias("cover"), F.max_by("v", F.struct("d", "node")).alias("far"),
+                                                    F.first("centre").alias("centre"))
+        tight = F.col("cover") <= (theta - HAIR) / 2
+        big = (F.col("n") > BLOCK) & ~tight & F.lit(depth < DEPTH)
+        found = written(found.select(F.lit(depth).alias("depth"), "*", (~big).alias("leaf"), tight.alias("tight")), "cells")
+        own = found.drop("far")
+        nodes = own if nodes is None else nodes.union(own)
+        open_ = found.where("NOT leaf")
+        done = start.join(found.where("leaf").select("cell"), "cell").select("node", "copies", "v", "cell")
+        leaves = done if leaves is None else leaves.union(done)
+        if open_.isEmpty():
+            return leaves, nodes, depth
+        # a sample of the same size from every cell, however large it is, and its farthest vector
+        rows = start.select("node", "copies", "v", "cell").join(open_.select("cell", "n", "cover", "far"), "cell")
+        sample = rows.where(F.pmod(F.xxhash64(F.lit(3), "node"), F.col("n")) < SAMPLE).select("node", "v", "cell", "n", "cover", "far")
+        sample = sample.union(open_.select(F.lit(-1).cast("long"), "far", "cell", "n", "cover", "far"))
+        centres = written(sample.groupBy("cell").applyInPandas(lambda pdf: centres_of(pdf, dimension), "cell string, parts int, centres binary"), "centres")
+        part = F.pmod(F.xxhash64(F.lit(4), "node"), F.col("parts")).cast("int")
+        dealt_out = (start.select("node", "copies", "v", "cell").join(centres.select("cell", "parts"), "cell").withColumn("part", part)
+                     .drop("parts").groupBy("cell", "part"))
+        each = centres.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).groupBy("cell", "part")
+        start = written(dealt_out.cogroup(each).applyInPandas(
+            lambda v, c: children_of(v, c, dimension),
+            "node bigint, copies bigint, v binary, parent string, cell string, d double, centre binary"), "level")
+        depth += 1
+
+
+def near(pairs: DataFrame, dimension: int, theta: float) -> DataFrame:
+    """Those pairs of nodes (a, b, with their centres and covers) that the covering angles do not rule out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                x = unit(np.stack(pdf["v"].to_numpy()))
-                d = apart(x, shared.value)
-                yield pdf[["node", "copies"]].assign(cell=d.argmin(axis=1), d=d.min(axis=1), v=[r.tobytes() for r in x])
-
-    own = written(vectors.mapInPandas(home, "node bigint, copies bigint, cell int, d double, v binary"), "cells")
-    sizes = {r["cell"]: r["n"] for r in own.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    first, total = {}, 0
-    for c in sorted(sizes):
-        first[c] = total
-        total += math.ceil(sizes[c] / BLOCK)
-    # block numbers: those of a cell follow one another
-    starts = F.create_map(*[F.lit(x) for c in sizes for x in (c, first[c])])
-    parts = F.create_map(*[F.lit(x) for c in sizes for x in (c, math.ceil(sizes[c] / BLOCK))])
-    own = own.withColumn("block", (starts[F.col("cell")] + F.pmod(F.xxhash64("node"), parts[F.col("cell")])).cast("int"))
-    radius = {r["block"]: (r["cell"], r["r"], r["n"]) for r in own.groupBy("block", "cell").agg(F.max("d").alias("r"), F.count("*").alias("n")).collect()}
-    numbers = np.array(sorted(radius))
-    cell_of, cover, size_of = (np.array([radius[b][k] for b in numbers]) for k in range(3))
-    plan = spark.sparkContext.broadcast((numbers, cell_of, cover))
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Each vector to its own block, and as a visitor to every block before it that can hold a partner."""
-        numbers, cell_of, cover = plan.value
-        block_centre = shared.value[cell_of]
-        between = apart(block_centre, block_centre)
+                cosine = np.einsum("ij,ij->i", vectors_of(pdf["a_centre"], dimension), vectors_of(pdf["b_centre"], dimension))
+                yield pdf[angles(cosine) <= pdf["a_cover"].to_numpy() + pdf["b_cover"].to_numpy() + theta + HAIR]
+
+    return pairs.mapInPandas(run, pairs.schema)
+
+
+def leaf_pairs(nodes: DataFrame, depth: int, dimension: int, theta: float) -> DataFrame:
+    """Pairs (a, b) of leaves that may hold links, a = b among them: both trees are gone down together, level by level."""
+    both = [F.col(c).alias(f"{x}_{c}") for x in "ab" for c in ("centre", "cover")]
+    pairs = nodes.where("depth = 0").select(F.col("cell").alias("a"), F.col("cell").alias("b"), *both)
+    for level in range(1, depth + 1):
+        # leaves above this level stand for themselves
+        below = nodes.where(F.col("depth") == level).select("parent", "cell", "centre", "cover").union(
+            nodes.where((F.col("depth") < level) & F.col("leaf")).select(F.col("cell").alias("parent"), "cell", "centre", "cover"))
+        for x, y in ("ab", "ba"):
+            # the children of a node within a pair with itself meet each other once, when both sides have gone down
+            same = F.col("same") if x == "b" else (F.col("a") == F.col("b"))
+            pairs = pairs.withColumn("same", same).withColumnRenamed(x, "parent").drop(f"{x}_centre", f"{x}_cover")
+            pairs = pairs.join(below.select("parent", F.col("cell").alias(x), F.col("centre").alias(f"{x}_centre"), F.col("cover").alias(f"{x}_cover")), "parent")
+            pairs = near(pairs.drop("parent"), dimension, theta)
+        pairs = written(pairs.where("NOT same OR a <= b").drop("same"), "pairs")
+    return pairs.select("a", "b")
+
+
+def linked(vectors: DataFrame, dimension: int, threshold: float) -> DataFrame:
+    """(node, links, root): partial results of each piece of work over vectors (node, copies, v) of one length."""
+    tau, theta = math.sqrt(2 - 2 * threshold), math.acos(max(-1.0, min(1.0, threshold)))
+
+    def scaled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 4_096):
-                part = pdf.iloc[lo:lo + 4_096]
-                x = np.frombuffer(b"".join(part["v"]), dtype=np.float64).reshape(-1, dimension)
-                at = np.searchsorted(numbers, part["block"].to_numpy())
-                # a partner in block p is no further from p's centre than its radius, and this vector no further from it than tau
-                near = apart(x, block_centre) <= cover[None, :] + tau + HAIR
-                near &= (between[at] <= cover[at][:, None] + cover[None, :] + tau + HAIR) & (np.arange(len(numbers))[None, :] < at[:, None])
-                row, to = np.nonzero(near)
-                for frame in (part.assign(to=part["block"], visitor=False), part.iloc[row].assign(to=numbers[to], visitor=True)):
-                    yield frame[["to", "visitor", "node", "copies", "v"]]
-
-    sent = own.mapInPandas(send, "to int, visitor boolean, node bigint, copies bigint, v binary")
+            if len(pdf):
+                yield pdf.assign(v=[r.tobytes() for r in unit(np.stack(pdf["v"].to_numpy()))])
+
+    own, nodes, depth = upper_levels(written(vectors.mapInPandas(scaled, "node bigint, copies bigint, v binary"), "unit"), dimension, theta)
+    pairs = leaf_pairs(nodes, depth, dimension, theta)
+    # blocks: a leaf is one but for the large ones, which are cut by hash
+    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    blocks = written(nodes.where("leaf").select("cell", "centre", "cover", "tight", "n", count.alias("count"), F.explode(F.sequence(F.lit(0), count - 1)).alias("part"))
+                     .withColumn("block", F.monotonically_increasing_id()), "blocks")
+    side = lambda x, *more: blocks.select(F.col("cell").alias(x), F.col("block").alias(f"{x}_block"), *more)
+    held = F.ceil(F.col("n") / F.col("count"))
+    met = (pairs.join(side("a", F.col("tight").alias("a_tight"), held.alias("a_n"), F.col("centre").alias("a_centre"), F.col("cover").alias("a_cover")), "a")
+           .join(side("b", held.alias("b_n"), F.col("centre").alias("b_centre"), F.col("cover").alias("b_cover")), "b")
+           .where("a_block != b_block AND (a != b OR (a_block < b_block AND NOT a_tight))"))
+    # vectors of one block visit the other: those of the smaller block travel
+    go = F.expr("a_n < b_n OR (a_n = b_n AND a_block < b_block)")
+    pick = lambda p, q, name: F.when(go, F.col(p)).otherwise(F.col(q)).alias(name)
+    met = met.select(pick("a_block", "b_block", "block"), pick("a_n", "b_n", "n"), pick("b_block", "a_block", "to"),
+                     pick("b_centre", "a_centre", "centre"), pick("b_cover", "a_cover", "cover"))
+    met = written(met, "meetings")
+    chunks = met.groupBy(F.col("to").alias("block")).agg(F.ceil(F.sum("n") / VISITORS).cast("int").alias("chunks"))
+    blocks = written(blocks.join(chunks, "block", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))), "blocks")
+    place = F.pmod(F.xxhash64(F.lit(6), "node"), F.col("count")).cast("int")
+    own = written(own.join(nodes.where("leaf").select("cell", "tight", count.alias("count")), "cell").withColumn("part", place)
+                  .join(blocks.select("cell", "part", "block", "chunks"), ["cell", "part"]).select("node", "copies", "v", "cell", "tight", "block", "chunks"), "placed")
+    # hosts of a block, so many at a time
+    hosts = met.join(blocks.select(F.col("block").alias("to"), "chunks"), "to").withColumn("stripe", F.pmod(F.xxhash64("to"), F.lit(STRIPES)).cast("int"))
+    stripes = written(hosts.select("block", "stripe").distinct(), "stripes")
+
+    def send(v: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
+        """A block's vectors to those hosts where a partner can be: no further from the host's centre than its cover and the threshold."""
+        if not len(v) or not len(h):
+            return pd.DataFrame(columns=["to", "chunks", "node", "copies", "v"])
+        ok = angles(vectors_of(v["v"], dimension) @ vectors_of(h["centre"], dimension).T) <= h["cover"].to_numpy()[None, :] + theta + HAIR
+        row, to = np.nonzero(ok)
+        return v[["node", "copies", "v"]].iloc[row].assign(to=h["to"].to_numpy()[to], chunks=h["chunks"].to_numpy()[to])[["to", "chunks", "node", "copies", "v"]]
+
+    sent = (own.join(stripes, "block").select("block", "stripe", "node", "copies", "v").groupBy("block", "stripe")
+            .cogroup(hosts.select("block", "stripe", "to", "chunks", "centre", "cover").groupBy("block", "stripe"))
+            .applyInPandas(send, "to bigint, chunks int, node bigint, copies bigint, v binary"))
+    sent = sent.select("to", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(True).alias("visitor"),
+                       F.lit(False).alias("tight"), "node", "copies", "v")
     # a block's own vectors go along with each chunk of its visitors
-    chunks = np.maximum(1, np.ceil([size_of[i + 1:].sum() / VISITORS for i in range(len(numbers))]).astype(int))
-    many = F.create_map(*[F.lit(x) for b, c in zip(numbers.tolist(), chunks.tolist()) for x in (b, c)])[F.col("to")]
-    chunk = F.when(F.col("visitor"), F.array(F.pmod(F.xxhash64(F.lit(5), "node"), many).cast("int"))).otherwise(F.sequence(F.lit(0), many - 1))
+    homes = own.select(F.col("block").alias("to"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("visitor"),
+                       "tight", "node", "copies", "v")
     keys = ["to", "chunk"]
-    rows = dealt(sent.withColumn("chunk", F.explode(chunk)), keys).select(*keys, "visitor", "node", "copies", "v")
+    rows = dealt(sent.union(homes), keys)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in streamed(batches, keys):
@@ -244,7 +338,10 @@ def linked(vectors: DataFrame, dimension: int, count: int, threshold: float) ->
             if len(out):
                 yield out
 
-    return rows.mapInPandas(work, "node bigint, links bigint, root bigint")
+    # in a tight leaf all vectors link: counted, not compared
+    whole = own.where("tight").groupBy("cell").agg(F.sum("copies").alias("all"), F.min("node").alias("root"), F.count("*").alias("size")).where("size > 1")
+    inside = own.where("tight").join(whole, "cell").select("node", (F.col("all") - F.col("copies")).alias("links"), "root")
+    return rows.mapInPandas(work, "node bigint, links bigint, root bigint").union(inside)
 
 
 def compared(group: pd.DataFrame, dimension: int, tau: float, threshold: float) -> pd.DataFrame:
@@ -255,7 +352,7 @@ def compared(group: pd.DataFrame, dimension: int, tau: float, threshold: float)
     own, others = np.flatnonzero(~visitor), np.flatnonzero(visitor)
     tree = Tree(x[own])
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if group["chunk"].iloc[0] == 0:
+    if group["chunk"].iloc[0] == 0 and not group["tight"].any():
         i, j = traverse(tree, tree, tau, threshold, True)
         a.append(own[i])
         b.append(own[j])
@@ -281,8 +378,8 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     sets = written(keyed.where("v IS NOT NULL").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.first("v").alias("v"))
                    .withColumn("node", F.monotonically_increasing_id()), "vectors")
     partial = None
-    for r in sets.groupBy(F.size("v").alias("dimension")).agg(F.count("*").alias("n")).collect():
-        own = linked(sets.where(F.size("v") == r["dimension"]).select("node", "copies", "v"), r["dimension"], r["n"], threshold)
+    for r in sets.select(F.size("v").alias("dimension")).distinct().collect():
+        own = linked(sets.where(F.size("v") == r["dimension"]).select("node", "copies", "v"), r["dimension"], threshold)
         partial = own if partial is None else partial.union(own)
     if partial is None:
         partial = spark.createDataFrame([], "node bigint, links bigint, root bigint")

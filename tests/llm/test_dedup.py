@@ -189,7 +189,7 @@ def brute_vectors(rows, threshold=0.95):
 @pytest.mark.parametrize("small", [False, True])
 def test_vectors_equal_brute_force(spark, monkeypatch, small):
     if small:  # many cells, blocks and chunks
-        for name, value in (("SAMPLE", 40), ("CELL", 20), ("BLOCK", 9), ("VISITORS", 11)):
+        for name, value in (("SAMPLE", 40), ("FANOUT", 3), ("PART", 20), ("BLOCK", 9), ("VISITORS", 11)):
             monkeypatch.setattr(cover_tree, name, value)
     rng = np.random.default_rng(2)
     rows = []
@@ -204,6 +204,52 @@ def test_vectors_equal_brute_force(spark, monkeypatch, small):
     assert cover_tree.link_vectors(df.limit(0)).count() == 0
 
 
+def unit_table(spark, x):
+    return spark.createDataFrame([(i, 1, bytearray(r.tobytes())) for i, r in enumerate(cover_tree.unit(x))], "node bigint, copies bigint, v binary")
+
+
+def test_upper_levels_are_nested_and_prune(spark, monkeypatch):
+    """Clusters of clusters: every vector in one leaf and within its covers on all levels, far clusters never paired."""
+    for name, value in (("SAMPLE", 60), ("FANOUT", 4), ("PART", 50), ("BLOCK", 20)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.eye(6)[k % 6] + rng.normal(size=6) * 0.03 * (1 + k % 4) for k in range(300)]).reshape(-1, 6)
+    x[:100] = np.eye(6)[0] + rng.normal(size=(100, 6)) * 0.02  # a third of all in one place
+    theta = math.acos(0.95)
+    leaves, nodes, depth = cover_tree.upper_levels(unit_table(spark, x), 6, theta)
+    own, tree = {r.node: r.cell for r in leaves.collect()}, {r.cell: r for r in nodes.collect()}
+    assert sorted(own) == list(range(300)) and depth > 1
+    u = cover_tree.unit(x)
+    for node, cell in own.items():
+        assert tree[cell].leaf and (tree[cell].n <= 20 or tree[cell].tight)
+        while cell != "0":
+            assert math.acos(min(1, np.frombuffer(tree[cell].centre) @ u[node])) <= tree[cell].cover + 1e-6
+            cell = tree[cell].parent
+    pairs = {(r.a, r.b) for r in cover_tree.leaf_pairs(nodes, depth, 6, theta).collect()}
+    n = sum(r.leaf for r in tree.values())
+    assert len(pairs) < n * (n + 1) // 4  # of all pairs of leaves most are ruled out
+    cosine = u @ u.T
+    for i, j in zip(*np.nonzero(np.triu(cosine >= 0.95, 1))):  # and none that holds a link
+        assert (own[i], own[j]) in pairs or (own[j], own[i]) in pairs
+    assert all((b, a) not in pairs or a == b for a, b in pairs)
+
+
+@pytest.mark.parametrize("depth", [24, 1])
+def test_a_hot_cluster_is_counted_whole(spark, monkeypatch, depth):
+    """A third of all vectors so close that they all link, a leaf that levels do not split, a null id and a repeated row."""
+    for name, value in (("SAMPLE", 30), ("FANOUT", 8), ("BLOCK", 16), ("DEPTH", depth)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rng = np.random.default_rng(6)
+    x = [np.ones(5) + rng.normal(size=5) * (0.01 if i < 60 else 1.5) for i in range(180)]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in cover_tree.link_vectors(
+        spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert got == brute_vectors(rows)
+    odd = spark.createDataFrame([(None, [1.0, 2.0]), (4, [1.0, 2.0]), (4, [1.0, 2.0]), (9, [2.0, -1.0]), (None, None)], "vec_id bigint, embedding array<double>")
+    got = Counter(tuple(r) for r in cover_tree.link_vectors(odd).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert got == Counter({(None, 2, 4, False): 1, (4, 2, 4, True): 2, (9, 0, 9, True): 1, (None, 0, None, False): 1})
+
+
 def test_traversal_prunes():
     """Two far clusters: the traversal looks at leaves of neither pair across them."""
     rng = np.random.default_rng(3)
