@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 
 from .common import components, dealt, roots, streamed, written
 
-SAMPLE, BLOCK, VISITORS = 2_048, 2_048, 8_192
-#: Children of a cell at most, levels at most, vectors of a cell dealt to one task, groups that the hosts of a block come in.
+SAMPLE, BLOCK, VISITORS, TOGETHER = 2_048, 4_096, 16_384, 2_048
+#: Children of a cell at most, levels at most, vectors of a cell dealt to one task, groups that the hosts of a block come in; visitors of one tree: ``TOGETHER``.
 FANOUT, DEPTH, PART, STRIPES = 64, 24, 8_192, 4
 #: Radii of the nested levels inside a block.
 LEVELS = (1.0, 0.5, 0.25)
@@ -197,7 +197,7 @@ def centres_of(pdf: pd.DataFrame, dimension: int) -> pd.DataFrame:
     """Centres of one cell's children, farthest first: the vector farthest from the cell's centre and its sample, to half its radius."""
     n, cover = int(pdf["n"].iloc[0]), float(pdf["cover"].iloc[0])
     x = vectors_of([pdf["far"].iloc[0], *pdf.sort_values("node")["v"]], dimension)
-    centres = x[farthest_first(x, min(FANOUT, max(2, math.ceil(2 * n / BLOCK))), 2 * math.sin(cover / 4))]
+    centres = x[farthest_first(x, min(FANOUT, max(2, math.ceil(n / BLOCK))), 2 * math.sin(cover / 4))]
     return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "parts": [math.ceil(n / PART)], "centres": [centres.tobytes()]})
 
 
@@ -218,7 +218,8 @@ def upper_levels(vectors: DataFrame, dimension: int, theta: float) -> tuple[Data
     A level splits all cells of more than ``BLOCK`` vectors at once.  Two kinds of leaves may be larger: a ``tight`` one,
     whose vectors all link (its covering angle is below half the threshold's), and what ``DEPTH`` levels have not split.
     """
-    start = vectors.withColumns({"cell": F.lit("0"), "parent": F.lit(""), "d": F.lit(math.pi), "centre": F.col("v")})
+    # written, so that the first level's joins too are by a column and not by a constant
+    start = written(vectors.withColumns({"parent": F.lit(""), "cell": F.lit("0"), "d": F.lit(math.pi), "centre": F.col("v")}), "root")
     leaves, nodes, depth = None, None, 0
     while True:
         found = start.groupBy("parent", "cell").agg(F.count("*").alias("n"), F.max("d").alias("cover"), F.max_by("v", F.struct("d", "node")).alias("far"),
@@ -287,7 +288,7 @@ def linked(vectors: DataFrame, dimension: int, threshold: float) -> DataFrame:
             if len(pdf):
                 yield pdf.assign(v=[r.tobytes() for r in unit(np.stack(pdf["v"].to_numpy()))])
 
-    own, nodes, depth = upper_levels(written(vectors.mapInPandas(scaled, "node bigint, copies bigint, v binary"), "unit"), dimension, theta)
+    own, nodes, depth = upper_levels(vectors.mapInPandas(scaled, "node bigint, copies bigint, v binary"), dimension, theta)
     pairs = leaf_pairs(nodes, depth, dimension, theta)
     # blocks: a leaf is one but for the large ones, which are cut by hash
     count = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -356,8 +357,8 @@ def compared(group: pd.DataFrame, dimension: int, tau: float, threshold: float)
         i, j = traverse(tree, tree, tau, threshold, True)
         a.append(own[i])
         b.append(own[j])
-    for lo in range(0, len(others), BLOCK):
-        part = others[lo:lo + BLOCK]
+    for lo in range(0, len(others), TOGETHER):
+        part = others[lo:lo + TOGETHER]
         i, j = traverse(tree, Tree(x[part]), tau, threshold, False)
         a.append(own[i])
         b.append(part[j])
