@@ -183,6 +183,29 @@ def test_isotonic():
     assert (np.diff(values) >= 0).all() and len(values) == 3 and values[1] == pytest.approx(8.5 / 21)
 
 
+def test_classifier_equals_plain_ridge(spark):
+    """Weights and calibrated scores against one numpy solution over all rows; the same bits in a second run."""
+    rng, p = np.random.default_rng(8), len(rff_quality.NAMES)
+    x = rng.normal(size=(900, p))
+    y = (np.sin(x[:, 0]) + x[:, 1] ** 2 + rng.normal(0, 0.3, 900) > 0.8).astype(float)
+    held = rng.random(900) < 0.25
+    rows = spark.createDataFrame([(a.tolist(), float(b), bool(c)) for a, b, c in zip(x, y, held)], "x array<double>, y double, calibrate boolean").repartition(7, "x")
+    model, again = rff_quality.fit(rows), rff_quality.fit(rows)
+    assert (model.weights == again.weights).all() and (model.values == again.values).all()
+    t = x[~held]
+    z = rff_quality.Basis(t.mean(axis=0), t.std(axis=0))
+    want = np.linalg.solve(z(t).T @ z(t) + rff_quality.RIDGE * np.eye(rff_quality.FEATURES), z(t).T @ y[~held])
+    assert np.allclose(model.weights, want, atol=1e-6)
+    # calibration: the least squares fit that never falls, by the min-max formula over the bins
+    bins = np.clip(np.floor((z(x[held]) @ want + 0.5) * rff_quality.BINS / 2), 0, rff_quality.BINS - 1)
+    at = np.unique(bins)
+    n, pos = np.array([(bins == b).sum() for b in at]), np.array([y[held][bins == b].sum() for b in at])
+    up = [max(min(pos[i:j + 1].sum() / n[i:j + 1].sum() for j in range(k, len(at))) for i in range(k + 1)) for k in range(len(at))]
+    blocks = [np.flatnonzero(np.isclose(up, v)) for v in sorted({round(v, 9) for v in up})]
+    # half a row of either kind added to each block, and still in order after it
+    assert np.allclose(model.values, np.maximum.accumulate([(pos[b].sum() + 0.5) / (n[b].sum() + 1) for b in blocks]))
+
+
 def test_classifier_query(spark, sf):
     rows = queries.op6(spark, sf).collect()
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
