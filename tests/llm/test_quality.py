@@ -302,6 +302,27 @@ def test_classes_grow_with_the_vocabulary():
     assert len({log_bilinear.rare_class(w) for w in words}) == 1 and len({log_bilinear.rare_class(w, 896, 5) for w in words}) == 5
 
 
+def test_frequent_long_tokens_are_words_of_their_own(spark, make_docs):
+    """A token longer than LONGEST goes by its digest: counted and known as itself, whatever its length and frequency."""
+    long, other = "x" * 200, "x" * 199 + "y"
+    texts = {i: f"{long} a {other} " * 20 for i in range(30)} | {50: f"{long} {long.upper()}", 51: other, 52: "x" * 198 + "zz", 53: "y" * 100_000}
+    check_model(log_bilinear.score_documents(make_docs(list(texts.items()))).collect(), texts)
+    (a, b, c), want = log_bilinear.tokens(f"{long} {other} " + "w" * log_bilinear.LONGEST), b"w" * log_bilinear.LONGEST
+    assert c == want and a != b and a[:1] == log_bilinear.END and max(len(a), len(b)) <= log_bilinear.LONGEST + 1
+
+
+def test_training_order_follows_the_tokens_alone():
+    """Tokens in another order give the same sequence, and repeats of one token do not stay together."""
+    rng = np.random.default_rng(0)
+    uv, code = rng.integers(0, 50, 5_000), rng.integers(0, 20, 5_000)
+    uv[:2_000], code[:2_000] = 7, 3
+    mixed = rng.permutation(5_000)
+    a, b = log_bilinear.dealt_anew(uv, code), log_bilinear.dealt_anew(uv[mixed], code[mixed])
+    assert sorted(a) == list(range(5_000)) and (uv[a] == uv[mixed][b]).all() and (code[a] == code[mixed][b]).all()
+    hot = ((uv[a] == 7) & (code[a] == 3)).reshape(10, 500).sum(axis=1)
+    assert hot.min() > 100 and hot.max() < 300
+
+
 def test_words_of_one_class_are_told_apart(spark, make_docs, monkeypatch):
     """Two equally frequent words of one class go by what stands before them; words of a class sum to 1."""
     monkeypatch.setattr(log_bilinear, "HEAD", 2)
