@@ -137,9 +137,9 @@ def grouped(stats: DataFrame) -> DataFrame:
     return own.alias("o").join(g, F.col("o.lang").eqNullSafe(F.col("g.lang")) & F.col("o.source").eqNullSafe(F.col("g.source"))).select("o.key", *STATS, *SIZES, "gid")
 
 
-def factor(params: DataFrame, scale: float) -> DataFrame:
-    """gid, m1.., and the Cholesky factor l11, l21, l22, .. of scale times the covariance plus the squared floors f1.., and
-    its determinant."""
+def factor(params: DataFrame, scale: float, *kept: str) -> DataFrame:
+    """gid, m1.., and the Cholesky factor l11, l21, l22, .. of scale times the covariance plus the squared floors f1..,
+    its determinant and the columns ``kept``."""
     p = len(STATS)
     for i in range(1, p + 1):
         for j in range(1, i + 1):
@@ -150,7 +150,7 @@ def factor(params: DataFrame, scale: float) -> DataFrame:
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}"))
     root = math.prod((F.col(f"l{i}{i}") for i in range(2, p + 1)), start=F.col("l11"))
-    return params.select("gid", *(f"m{i}" for i in range(1, p + 1)), *(f"l{i}{j}" for i in range(1, p + 1) for j in range(1, i + 1)), (root * root).alias("det"))
+    return params.select("gid", *(f"m{i}" for i in range(1, p + 1)), *(f"l{i}{j}" for i in range(1, p + 1) for j in range(1, i + 1)), (root * root).alias("det"), *kept)
 
 
 def beside(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -205,25 +205,25 @@ def estimates(rows: DataFrame) -> DataFrame:
     consistent = SUBSET / chi_square(p + 2, chi_square_quantile(p, SUBSET))
     tried = lambda n: F.xxhash64("gid", F.lit(n))
     medians = written(start(rows), "mcd")
-    floors = medians.select("gid", *(f"f{i}" for i in range(1, p + 1)))
+    floors, spread = [f"f{i}" for i in range(1, p + 1)], [f"s{i}{j}" for i in range(1, p + 1) for j in range(1, i + 1)]
     # both starts at once, each group once for each of them
     groups = written(medians.select("gid", F.explode(F.array(F.lit(0), F.lit(1))).alias("start")).select("gid", F.xxhash64("gid", "start").alias("try")), "tries")
-    first = medians.withColumn("gid", tried(0)).unionByName(moments(rows).join(floors, "gid").withColumn("gid", tried(1)))
-    floors = written(floors.join(groups, "gid").select(F.col("try").alias("gid"), *(f"f{i}" for i in range(1, p + 1))), "floors")
+    plain = moments(rows).join(medians.select("gid", *floors), "gid")
+    first = medians.withColumn("gid", tried(0)).unionByName(plain.withColumn("gid", tried(1)))
     both = rows.select("key", *STATS, F.explode(F.array(tried(0), tried(1))).alias("gid"))
-    raw = None
-    params = written(factor(first, 1.0), "mcd")
+    params = written(factor(first, 1.0, *floors), "mcd")
     for _ in range(STEPS):
         near = distances(both, params).withColumn("r", F.round(F.ln(F.col("d2") + 1), 3))
         bound = written(near.groupBy("gid").agg(F.percentile("r", SUBSET).alias("bound")), "bound")
-        raw = written(moments(beside(near, bound).where("r <= bound")).join(floors, "gid"), "moments")
-        before, params = params, written(factor(raw, 1.0), "mcd")
-        moved = params.join(before.select("gid", F.col("det").alias("was")), "gid").where(F.abs(F.col("det") - F.col("was")) > 1e-9 * F.col("was"))
-        if moved.isEmpty():
+        before = params.select("gid", *floors, F.col("det").alias("was"))
+        raw = moments(beside(near, bound).where("r <= bound")).join(before, "gid")
+        params = written(factor(raw, 1.0, *spread, *floors, "was"), "mcd")
+        if params.where(F.abs(F.col("det") - F.col("was")) > 1e-9 * F.col("was")).isEmpty():
             break
     best = params.join(groups, params["gid"] == groups["try"]).groupBy(groups["gid"]).agg(F.min(F.struct("det", "try")).alias("best"))
     best = best.select("gid", F.col("best.try").alias("try"))
-    chosen = raw.withColumnRenamed("gid", "try").join(best, "try").drop("try")
+    means = [f"m{i}" for i in range(1, p + 1)]
+    chosen = params.select(F.col("gid").alias("try"), *means, *spread, *floors).join(best, "try").drop("try")
     return written(factor(chosen, consistent), "mcd")
 
 
