@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import together
 from .schemas import SCHEMAS
 
 
@@ -53,10 +55,10 @@ def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "parquet",
     year prune the rest.  ``bucket_by`` maps a table to (buckets, columns): the
     table is registered in the session catalog with that bucketing (and sorted
     by those columns), so two tables bucketed alike on a join key join without
-    a shuffle; read them back with ``spark.table(name)``.
+    a shuffle; read them back with ``spark.table(name)``.  Tables are
+    written several at a time, bucketed ones one after another.
     """
-    out = {}
-    for name, df in tables.items():
+    def save(name: str, df: DataFrame) -> str:
         target = os.path.join(path, name)
         w = df.write.mode(mode).format(fmt)
         if fmt == "csv":
@@ -68,5 +70,13 @@ def write_tables(tables: dict[str, DataFrame], path: str, fmt: str = "parquet",
             w.bucketBy(int(n), *cols).sortBy(*cols).option("path", target).saveAsTable(name)
         else:
             w.save(target)
-        out[name] = target
-    return out
+        return target
+
+    bucketed = [name for name in tables if bucket_by and name in bucket_by]
+    plain = [name for name in tables if name not in bucketed]
+    out = {}
+    if plain:
+        spark = tables[plain[0]].sparkSession
+        out.update(zip(plain, together(spark, [partial(save, name, tables[name]) for name in plain])))
+    out.update({name: save(name, tables[name]) for name in bucketed})
+    return {name: out[name] for name in tables}
