@@ -136,7 +136,8 @@ def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
                                           F.lit("CYO")).otherwise(F.col("clase_reg")))
     ic = loads.filter(not_in_keep_null("tipo", [K.WORKS_ADVANCE_TYPE]))
     la, ia = ([a for a in attrs if a in d.columns] for d in (lg, ic))
-    voucher = ["ejercicio", "nro_comprobante"]
+    # the number first: where sorts compare years first, most comparisons go on to the number
+    voucher = ["nro_comprobante", "ejercicio"]
 
     def side(d: DataFrame, name: str, own: Sequence[str]) -> DataFrame:
         line = F.col("partida").cast("string") if "partida" in d.columns else F.lit(None).cast("string")
@@ -154,19 +155,13 @@ def voucher_control(ledger: DataFrame, loads: DataFrame, tol: float = 0.1,
     per_line = {"n": lambda s, w: F.count(F.when(w, 1)), "importe": lambda s, w: F.sum(F.when(w, F.col("importe"))),
                 "a": lambda s, w: _first_attrs(every, w)}
     by_line = lines.groupBy(*voucher, "_line").agg(*both(per_line))
-    # lines of one side only are numbered inside their voucher and side, so that they pair off in order
-    alone = F.when(F.col("siif_n") == 0, F.lit("icaro")).when(F.col("icaro_n") == 0, F.lit("siif")).otherwise(F.lit("both"))
-    # one exchange of the summed lines by voucher serves the numbering and the pairing
-    by_line = by_line.withColumn("_alone", alone).repartition(*voucher)
-    rank = F.row_number().over(Window.partitionBy(*voucher, "_alone").orderBy("_line"))
-
-    def slot(number, no_line, line):
-        return F.struct(number.cast("int").alias("number"), no_line.alias("no_line"), line.alias("line"))
-
-    by_line = by_line.withColumn("_slot", F.when(F.col("_alone") == "both", slot(F.lit(0), F.col("_line").isNull(), F.coalesce("_line", F.lit(""))))
-                                 .otherwise(slot(rank, F.lit(False), F.lit(""))))
-    m = by_line.groupBy(*voucher, "_slot").agg(*[f(f"{n}_{c}").alias(f"{n}_{c}") for n in ("siif", "icaro")
-                                                 for c, f in (("n", F.sum), ("importe", F.sum), ("a", F.min))])
+    # most lines are on both sides and are done; only the others meet by voucher, numbered inside their voucher and side
+    paired = (F.col("siif_n") > 0) & (F.col("icaro_n") > 0)
+    sums = [f"{n}_{c}" for n in ("siif", "icaro") for c in ("n", "importe", "a")]
+    rank = F.row_number().over(Window.partitionBy(*voucher, F.col("siif_n") == 0).orderBy("_line"))
+    alone = by_line.filter(~paired).withColumn("_slot", rank).groupBy(*voucher, "_slot").agg(
+        *[(F.min(c) if c.endswith("_a") else F.sum(c)).alias(c) for c in sums])
+    m = op.union_all(by_line.filter(paired).select(*voucher, *sums), alone.select(*voucher, *sums))
     out = m.select("ejercicio", *[x for n, own in (("siif", la), ("icaro", ia)) for x in (
         F.when(F.col(f"{n}_n") > 0, F.col("nro_comprobante")).alias(f"{n}_nro"),
         F.coalesce(F.col(f"{n}_importe"), F.lit(0)).alias(f"{n}_importe"),

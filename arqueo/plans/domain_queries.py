@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..session import materialize
 from . import bank, controls, receivables, withholdings, works
 from .generic_queries import FIRST_SNAP_SQL
 from .registry import V, fin, query
@@ -300,20 +301,25 @@ def d_sg1(spark, d):
     return fin(controls.payments_vs_bank(V(spark, d, "payments"), V(spark, d, "bank"), debit_code="error"))
 
 
-def _iv_ledger(spark, d):
+def _iv_payments(spark, d):
+    """The renditions in the columns of both sides, joined and written once."""
+    return materialize(V(spark, d, "payments").select("ejercicio", "nro_comprobante", "importe_bruto", "mes", "cta_cte", "cuit", "codigo"), "payments")
+
+
+def _iv_ledger(payments):
     """Ledger lines: renditions with a fund number on every third voucher."""
     nro = F.col("nro_comprobante").cast("long")
-    return V(spark, d, "payments").select(
+    return payments.select(
         "ejercicio", "nro_comprobante", F.col("importe_bruto").alias("importe"), "mes", "cta_cte", "cuit",
         F.col("codigo").alias("partida"), F.concat(F.lit("1"), F.substring("cuit", -1, 1)).alias("fuente"),
         F.when(nro % 2 == 0, "REG").otherwise("CYO").alias("clase_reg"),
         F.when(nro % 3 == 0, F.col("nro_comprobante")).alias("nro_fondo"))
 
 
-def _iv_loads(spark, d):
+def _iv_loads(payments):
     """Loads of the same works, with a gap, another type, line, amount, month, account, tax id or fund in some vouchers."""
     nro = F.col("nro_comprobante").cast("long")
-    led = _iv_ledger(spark, d).filter(nro % 13 != 0)
+    led = _iv_ledger(payments).filter(nro % 13 != 0)
     return led.select(
         "ejercicio", F.when(nro % 17 == 0, F.concat(F.lit("x"), "nro_comprobante")).otherwise(F.col("nro_comprobante")).alias("nro_comprobante"),
         F.when(nro % 11 == 0, F.col("importe") + 1).otherwise(F.col("importe")).alias("importe"),
@@ -366,7 +372,8 @@ f AS (SELECT *, coalesce(siif_nro <> icaro_nro, true) AS err_nro, coalesce(siif_
 SELECT * REPLACE (CAST(siif_importe AS DOUBLE) AS siif_importe, CAST(icaro_importe AS DOUBLE) AS icaro_importe) FROM f
 WHERE err_nro OR err_tipo OR err_fuente OR err_importe OR err_mes OR err_cta_cte OR err_cuit OR err_partida""")
 def d_iv2(spark, d):
-    out = controls.voucher_control(_iv_ledger(spark, d), _iv_loads(spark, d))
+    payments = _iv_payments(spark, d)
+    out = controls.voucher_control(_iv_ledger(payments), _iv_loads(payments))
     sides = [f"{s}_{a}" for a in ("nro", "tipo", "fuente", "importe", "mes", "cta_cte", "cuit", "partida") for s in ("siif", "icaro")]
     return fin(out.select("ejercicio", *sides, *[f"err_{a}" for a in ("nro", "tipo", "fuente", "importe", "mes", "cta_cte", "cuit", "partida")]))
 
