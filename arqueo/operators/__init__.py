@@ -7,7 +7,7 @@ from .filters import (beyond, classify, codes, date_bound, dropna, fill0, flag_m
                       up_to, with_literals, years)
 from .joins import (anti, as_of_years, concat_columns, enrich, full_detail,  # noqa: F401
                     having_semi, hierarchy, inner, lookup, natural_join, semi, star)
-from .netting import net_pending, net_pending_semi  # noqa: F401
+from .netting import monthly_snapshots, net_pending, net_pending_semi  # noqa: F401
 from .reconcile import match_vouchers, reconcile, subtract  # noqa: F401
 from .reshape import dedupe_subset, union_all, unpivot  # noqa: F401
 from .topk import recent_years, sort_out, top_keys, top_n, top_n_other  # noqa: F401

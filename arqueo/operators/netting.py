@@ -65,7 +65,8 @@ def net_pending(loads: DataFrame, snapshots: DataFrame, years: str | Sequence[st
                                             "origen", "obra"),
                 require: str | None = "actividad", allocate: str = "each",
                 advance: str = codes.WORKS_ADVANCE_TYPE, regularisation: str = codes.WORKS_REGULARISATION_TYPE,
-                debt: str = codes.FLOATING_DEBT_TYPE, amount: str = "importe") -> DataFrame:
+                debt: str = codes.FLOATING_DEBT_TYPE, amount: str = "importe",
+                monthly: DataFrame | None = None) -> DataFrame:
     """D-NET1: works loads net of floating debt.
 
     1. loads that are neither advances nor regularisations;
@@ -78,12 +79,16 @@ def net_pending(loads: DataFrame, snapshots: DataFrame, years: str | Sequence[st
        (one row per load line: ``allocate='each'``, the original result; or
        only one: ``allocate='first'``); only for the requested years;
     5. the year filter on the union.
+
+    ``monthly``: :func:`monthly_snapshots` of the same snapshots whose columns
+    start with ``snap_cols``, where a caller has it already.
     """
     base = loads.filter(not_in_keep_null("tipo", [advance, regularisation]))
     # steps 1 and 3 together are "every load but regularisations": one scan
     kept = loads.filter(not_in_keep_null("tipo", [regularisation]))
 
-    monthly = monthly_snapshots(snapshots, voucher, month, date, balance, snap_cols)
+    if monthly is None:
+        monthly = monthly_snapshots(snapshots, voucher, month, date, balance, snap_cols)
     first = monthly.select(voucher, month, F.col("first").getField(balance).alias(balance))
     neg = (first.join(base, on=[voucher, month], how="inner")
            .withColumn(amount, -F.col(balance)).withColumn("tipo", F.lit(debt)).drop(balance))
@@ -107,14 +112,15 @@ def net_pending(loads: DataFrame, snapshots: DataFrame, years: str | Sequence[st
 def net_pending_semi(vouchers: DataFrame, snapshots: DataFrame, years: str | Sequence[str] | None,
                      voucher: str = "nro_comprobante", month: str = "mes", balance: str = "saldo",
                      date: str = "fecha_hasta", amount: str = "importe",
-                     flags: dict | None = None) -> DataFrame:
+                     flags: dict | None = None, monthly: DataFrame | None = None) -> DataFrame:
     """D-NET3: ledger vouchers net of floating debt, matched on the voucher only.
 
     Negative rows: earliest snapshot per (voucher, month) of vouchers present in
     ``vouchers`` (semi-join), not filtered by year.  Positive rows: last
     snapshot per voucher one month later, in the requested years, same
     semi-join.  ``flags`` are literal columns
-    written on the synthetic rows.
+    written on the synthetic rows.  ``monthly``: :func:`monthly_snapshots` of
+    the same snapshots with all their columns, where a caller has it already.
     """
     flags = flags if flags is not None else {
         "clase_reg": "CYO", "clase_mod": "NOR", "clase_gto": codes.FLOATING_DEBT_TYPE,
@@ -122,7 +128,8 @@ def net_pending_semi(vouchers: DataFrame, snapshots: DataFrame, years: str | Seq
     keys = vouchers.select(voucher)
     snap_rest = [c for c in snapshots.columns if c not in (voucher, month, date, balance)]
 
-    monthly = monthly_snapshots(snapshots, voucher, month, date, balance, snap_rest)
+    if monthly is None:
+        monthly = monthly_snapshots(snapshots, voucher, month, date, balance, snap_rest)
     first = monthly.select(voucher, month, *[F.col("first").getField(c).alias(c) for c in (balance, *snap_rest)])
     # the original also dropped repeats of (voucher, month, balance); these rows
     # are already one per (voucher, month), so that step is a no-op and skipped

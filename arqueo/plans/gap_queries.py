@@ -5,13 +5,15 @@ The oracles are written from the report's definition, not from the code beside t
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import codes as K
 from ..functions.scalars import month_of, year_of
-from ..session import materialize
+from ..session import materialize, together
 from ..sources.views import MONEY, table
 from . import bank, controls, fees
 from .domain_queries import LAST_SNAP_SQL, NET3_SQL, NET_SQL
@@ -131,12 +133,14 @@ def d_ce3(spark, d):
 
 def gap_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The sources of the report, each written once in the columns that the controls need; all controls read from there."""
-    net_columns = ["id", "nro_comprobante", "ejercicio", "mes", "fecha", "cta_cte", "tipo", "fuente", "cuit", "importe"]
-    loads = materialize(V(spark, d, "loads").select(*net_columns), "loads")
-    snapshots = materialize(V(spark, d, "snapshots"), "snapshots")
-    return {"loads": loads, "snapshots": snapshots, "payments": materialize(V(spark, d, "payments"), "payments"), "bank": materialize(V(spark, d, "bank"), "bank"),
-            "lines": table(spark, d, "lineitem"), "advances": table(spark, d, "orders").filter("o_orderkey % 3 = 0 AND year(o_orderdate) != 1998").select(
-                year_of("o_orderdate").alias("ejercicio"), F.col("o_totalprice").cast(MONEY).alias("egresos"))}
+    columns = {"loads": ["id", "nro_comprobante", "ejercicio", "mes", "fecha", "cta_cte", "tipo", "fuente", "cuit", "importe"],
+               "snapshots": ["nro_comprobante", "ejercicio", "mes", "fecha_hasta", "cuit", "saldo"],
+               "payments": ["nro_comprobante", "ejercicio", "mes", "cta_cte", "cuit", "beneficiario", "codigo", "importe_bruto", "importe_neto", "retenciones"],
+               "bank": ["ejercicio", "mes", "cta_cte", "cod_imputacion", "movimiento", "importe"]}
+    written = together(spark, [partial(materialize, V(spark, d, name).select(*own), name) for name, own in columns.items()])
+    return dict(zip(columns, written)) | {
+        "lines": table(spark, d, "lineitem"), "advances": table(spark, d, "orders").filter("o_orderkey % 3 = 0 AND year(o_orderdate) != 1998").select(
+            year_of("o_orderdate").alias("ejercicio"), F.col("o_totalprice").cast(MONEY).alias("egresos"))}
 
 
 def whole_gap(s: dict[str, DataFrame]) -> DataFrame:
@@ -145,13 +149,16 @@ def whole_gap(s: dict[str, DataFrame]) -> DataFrame:
                                 (F.col("importe_bruto") - F.col("retenciones")).alias("saldo"))
     ledger_bank = bank.ledger_vs_bank_final(bank.ledger_bank_summary(book, ["ejercicio", "cta_cte"]), s["bank"].withColumnRenamed("importe", "saldo"))
     revenue = s["loads"].withColumns({"es_propio": F.col("tipo") == "PA6", "es_remanente": F.col("tipo") == "REG"})
-    net = op.net_pending(s["loads"], s["snapshots"], snap_cols=["cuit"], load_cols=["cta_cte", "fuente"], require=None)
     payroll = s["loads"].filter(F.col("tipo") == "CYO").select("ejercicio", "nro_comprobante", "mes", "cta_cte", "importe")
+    # both nettings start from one aggregation of the snapshots; a snapshot's year follows from its date, so it decides no order
+    monthly = op.monthly_snapshots(s["snapshots"], cols=["cuit", "ejercicio"])
+    net = op.net_pending(s["loads"], s["snapshots"], snap_cols=["cuit"], load_cols=["cta_cte", "fuente"], require=None, monthly=monthly)
+    net_payroll = op.net_pending_semi(payroll, s["snapshots"], ["1998", "1999"], monthly=monthly)
     return bank.ledger_bank_gap(
         ledger_bank,
         revenue_ctrl=controls.revenue_vs_deposits(revenue, controls.revenue_deposits(s["bank"])),
         works_ctrl=controls.works_vs_paid(net, s["payments"]),
-        payroll_ctrl=controls.payroll_vs_paid(op.net_pending_semi(payroll, s["snapshots"], ["1998", "1999"]), s["payments"].withColumnRenamed("importe_neto", "importe")),
+        payroll_ctrl=controls.payroll_vs_paid(net_payroll, s["payments"].withColumnRenamed("importe_neto", "importe")),
         debits_ctrl=fees.debits_control(debit_vouchers(s["payments"]), debit_movements(s["bank"])),
         advances=s["advances"], fees_ctrl=fee_difference(s["payments"]), notary_ctrl=notary_difference(s["lines"]))
 
