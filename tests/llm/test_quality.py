@@ -259,6 +259,33 @@ def test_model_is_normalised():
         assert np.exp(after_v + after_u[u] - z[:, None]).sum(axis=1) == pytest.approx(1, abs=1e-4)
 
 
+def test_normalisers_are_products_of_two_tables(monkeypatch):
+    """No context has its own sum of exp over the classes but where the product loses digits; blocks taken whole, by rows and kept give the same."""
+    monkeypatch.setattr(log_bilinear, "BLOCK", 200)
+    rng, m = np.random.default_rng(0), log_bilinear.Net.M
+    net = log_bilinear.Net.start(np.full(m, 1 / m))
+    net.flat += rng.normal(0, 0.2, net.flat.shape).astype(np.float32)
+    u, v, w = rng.integers(0, 300, 20_000), rng.integers(0, m + 1, 20_000), rng.integers(0, m, 20_000)
+    s = (net.hidden(v, u) @ net.q.T + net.b).astype(np.float64)
+    top = s.max(axis=1)
+    want = s[np.arange(len(w)), w] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
+    direct, real = [], log_bilinear.log_sums
+    monkeypatch.setattr(log_bilinear, "log_sums", lambda s: direct.append(len(s)) or real(s))
+    for few in (1, 10_000):
+        monkeypatch.setattr(log_bilinear, "FEW", few)
+        for _ in range(2):
+            assert net.log_p(u, v, w) == pytest.approx(want, abs=1e-3)
+    assert len(net.kept) > 1 and sum(direct) == 0
+    # a class far ahead after v, another one after u
+    net = log_bilinear.Net(net.flat.copy())
+    net.q[:], net.b[:], net.r[:] = 0, 0, 0
+    net.c[:] = np.concatenate([np.eye(log_bilinear.SIZE)] * 2)
+    net.r[7, 0], net.q[1, 0], net.q[2, 0] = 10, 9, -9
+    net.r[8, 0] = -10
+    one = np.array([8, 0]), np.array([7, 0]), np.array([1, 2])
+    assert net.log_p(*one) == pytest.approx([-math.log(m)] * 2, abs=1e-4) and sum(direct) == 1
+
+
 def test_noise_contrastive_gradient():
     """One step goes down the loss: numeric check on a small batch."""
     share = np.random.default_rng(1).dirichlet(np.ones(log_bilinear.Net.M))
