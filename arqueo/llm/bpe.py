@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -201,43 +204,126 @@ class TextIds:
         return " ".join(ids), " ".join(out)
 
 
+class Chunks:
+    """Chunks of text in columns: the strings, and where each one's ids begin and how many they are."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.large_string())
+        self.first, self.size, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Places of the words; -1 for those that are not there."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+
+    def add(self, words: pa.Array, size: np.ndarray, ids: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
+
+    def cut(self, n: int) -> None:
+        """Only the first ``n`` stay."""
+        if n < len(self):
+            self.words, self.ids = self.words[:n], self.ids[:self.first[n]]
+            self.first, self.size = self.first[:n], self.size[:n]
+
+
+def gathered(ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The stretches of ``n`` ids from ``first`` on, one after another."""
+    at = np.repeat(first - (np.cumsum(n) - n), n)
+    at += np.arange(len(at))
+    return ids[at]
+
+
 class TextBytes:
     """Whole texts to their ids as little-endian unsigned 32-bit numbers, one after another.
 
-    The unseen words of a batch of texts are merged side by side (:class:`Lockstep`); what lies between spaces is
-    kept in a bounded cache of two generations.
+    What lies between spaces is split off, numbered, looked up and put together again in columns (Arrow and numpy); Python
+    sees only the chunks that are new.  Their words are merged side by side (:class:`Lockstep`); the chunks are kept in a
+    bounded cache of two generations.
     """
 
-    def __init__(self, bpe: WordBpe, limit: int = 2 * CACHE_WORDS):
+    #: White space beside the six ASCII blanks to Python or the tokenizer; signs that are a pre-token of their own after letters.
+    OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+    SIGNS = frozenset(".,;:!?")
+
+    def __init__(self, bpe: WordBpe, limit: int = 4 * CACHE_WORDS):
         self.bpe, self.limit = bpe, limit
         self.merged = Lockstep(bpe)
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def learn(self, fresh: set[str]) -> list[str]:
-        """Put every chunk of ``fresh`` into the cache; those that are too long to stay there."""
-        cache, old, words = self.cache, self.old, self.bpe.words
-        fresh -= cache.keys()
-        cache.update((c, old[c]) for c in fresh & old.keys())
-        fresh -= cache.keys()
-        whole = [c for c in fresh if c.isalpha()]  # letters only: one pre-token
-        parts = {c: words(c) for c in fresh.difference(whole)}
-        known = self.merged({*whole, *(w for p in parts.values() for w in p)})
-        cache.update((c, known[c]) for c in whole)
-        cache.update((c, b"".join([known[w] for w in p])) for c, p in parts.items())
-        return [c for c in fresh if len(c) > CACHE_LENGTH]
+        self.cache, self.old = Chunks(), Chunks()
+
+    def made(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks that are not known, one after another, and how many each has."""
+        words = chunks.to_pylist()
+        whole = np.fromiter((c.isalpha() for c in words), bool, len(words))  # letters only: one pre-token
+        signed = np.fromiter((c[-1:] in self.SIGNS and c[:-1].isalpha() for c in words), bool, len(words))  # two
+        one = np.flatnonzero(whole | signed)
+        letters = pc.utf8_rtrim(chunks.take(pa.array(one)), characters="".join(self.SIGNS)).dictionary_encode()
+        place, base = letters.indices.to_numpy(), letters.dictionary
+        at = self.cache.find(base)
+        known = at >= 0
+        size, first = np.empty(len(base), np.int64), np.empty(len(base), np.int64)
+        size[known], first[known] = self.cache.size[at[known]], self.cache.first[at[known]]
+        ids, size[~known] = self.merged.columns(base.filter(pa.array(~known)))
+        first[~known] = len(self.cache.ids) + np.cumsum(size[~known]) - size[~known]
+        # the other chunks, each of any number of pre-tokens
+        rest = np.flatnonzero(~(whole | signed))
+        parts = [self.bpe.words(words[i]) for i in rest.tolist()]
+        got = self.merged({w for p in parts for w in p})
+        data = [b"".join([got[w] for w in p]) for p in parts]
+        # each chunk's stretch, and then the stretch of its sign, which is empty for most
+        sign = self.bpe.byte_end
+        ends = np.array([sign[ord(words[i][-1])] if s else 0 for i, s in zip(one.tolist(), signed[one].tolist())], dtype="<u4")
+        parts_of = [self.cache.ids, ids, np.frombuffer(b"".join(data), "<u4"), ends]
+        start = np.cumsum([0, *map(len, parts_of)])
+        stretch, n = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        stretch[one, 0], n[one, 0] = first[place], size[place]
+        n[rest, 0] = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        stretch[rest, 0] = start[2] + np.cumsum(n[rest, 0]) - n[rest, 0]
+        stretch[one, 1], n[one, 1] = start[3] + np.arange(len(one)), signed[one]
+        return gathered(np.concatenate(parts_of), stretch.ravel(), n.ravel()), n.sum(axis=1)
+
+    def learn(self, chunks: pa.Array) -> int:
+        """Put every one of the chunks (none twice) into the cache; how many of its first may stay, those too long being last."""
+        fresh = chunks.filter(pa.array(self.cache.find(chunks) < 0))
+        at = self.old.find(fresh)
+        back = at[at >= 0]
+        size = self.old.size[back]
+        self.cache.add(fresh.filter(pa.array(at >= 0)), size, gathered(self.old.ids, self.old.first[back], size))
+        words = fresh.filter(pa.array(at < 0))
+        long = pc.utf8_length(words).to_numpy() > CACHE_LENGTH
+        words = words.take(pa.array(np.argsort(long, kind="stable")))
+        ids, size = self.made(words)
+        self.cache.add(words, size, ids)
+        return len(self.cache) - int(long.sum())
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        bpe = self.bpe
         if len(self.cache) > self.limit:
-            self.old, self.cache = self.cache, {}
-        parts = [[(special, [part] if special else bpe.chunks(part)) for special, part in bpe.pieces(t)] for t in texts]
-        long = self.learn(set().union(*(chunks for row in parts for special, chunks in row if not special)))
-        get = self.cache.__getitem__
-        out = [b"".join([struct.pack("<I", bpe.special[c[0]]) if special else b"".join(map(get, c)) for special, c in row]) for row in parts]
-        for c in long:
-            del self.cache[c]
-        return out
+            self.old, self.cache = self.cache, Chunks()
+        bpe, special = self.bpe, tuple(self.bpe.special)
+        plain = [not self.OTHER_SPACE(t) and not any(x in t for x in special) for t in texts]
+        done = iter(self.columns([bpe.normal(t) for t, p in zip(texts, plain) if p]))
+        return [next(done) if p else self.one(t) for t, p in zip(texts, plain)]
+
+    def columns(self, texts: list[str]) -> list[bytes]:
+        """The ids of normalised texts without specials, whose white space is ASCII blanks."""
+        chunks = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = chunks.flatten().dictionary_encode()
+        code = coded.indices.to_numpy()
+        stay = self.learn(coded.dictionary)
+        at = self.cache.find(coded.dictionary)[code]
+        n = self.cache.size[at]
+        ids = gathered(self.cache.ids, self.cache.first[at], n).tobytes()
+        self.cache.cut(stay)
+        cuts = (4 * np.concatenate([[0], np.cumsum(n)]))[chunks.offsets.to_numpy()].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def one(self, text: str) -> bytes:
+        """The ids of any text: its chunks, as the tokenizer parts them, go through the columns again."""
+        return b"".join(struct.pack("<I", self.bpe.special[part]) if special else self.columns([" ".join(self.bpe.chunks(part))])[0]
+                        for special, part in self.bpe.pieces(text))
 
 
 class Lockstep:
@@ -246,7 +332,7 @@ class Lockstep:
     Words are rows of a padded matrix of symbols; finished words leave it.  Longer words go one by one.
     """
 
-    WIDTH, ROWS = 24, 20_000
+    WIDTH, ROWS = 24, 4_000
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
@@ -279,10 +365,39 @@ class Lockstep:
             out.update(zip(part, self.rows([some[w] for w in part])))
         return out
 
+    def columns(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words, one after another, and how many each has."""
+        if not len(words):
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        words = pa.concat_arrays([words])  # its buffers may begin before it
+        _, offsets, data = words.buffers()
+        begin = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+        data, length = np.frombuffer(data, np.uint8), np.diff(begin)
+        n, parts, order = np.empty(len(words), np.int64), [], np.argsort(length, kind="stable")
+        short = np.searchsorted(length[order], self.WIDTH, side="right")
+        for lo in range(0, short, self.ROWS):
+            own = order[lo:min(lo + self.ROWS, short)]
+            size = length[own]
+            place = np.minimum(begin[own][:, None] + np.arange(size[-1]), len(data) - 1)
+            flat, n[own] = self.merge(data[place], size)
+            parts.append(flat)
+        for i in order[short:].tolist():
+            parts.append(np.array(self.bpe.word(words[i].as_py()), "<u4"))
+            n[i] = len(parts[-1])
+        first = np.empty(len(words), np.int64)
+        first[order] = np.cumsum(n[order]) - n[order]
+        return gathered(np.concatenate(parts), first, n), n
+
     def rows(self, data: list[bytes]) -> list[bytes]:
-        n, width = len(data), max(map(len, data))
-        size = np.array([len(d) for d in data])
-        raw = np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), dtype=np.uint8).reshape(n, width)
+        width = max(map(len, data))
+        flat, size = self.merge(np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), dtype=np.uint8).reshape(len(data), width),
+                                np.array([len(d) for d in data]))
+        data, at = flat.tobytes(), np.concatenate([[0], np.cumsum(size) * 4])
+        return [data[a:b] for a, b in zip(at[:-1], at[1:])]
+
+    def merge(self, raw: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words (rows of ``raw``, of ``size`` bytes), one after another, and how many each has."""
+        n, width = raw.shape
         sym = np.where(np.arange(width) < size[:, None], self.byte[raw], -1).astype(np.int32)
         sym[np.arange(n), size - 1] = self.byte_end[raw[np.arange(n), size - 1]]
         out = np.full((n, width), -1, dtype=np.int32)
@@ -310,9 +425,7 @@ class Lockstep:
             rank[row, left] = np.where(at > 0, self.look(sym[row, left], sym[row, left + 1])[0], rank[row, left])
             here = self.look(sym[row, right], sym[row, right + 1])[0]
             rank[row, right] = np.where(at < rank.shape[1], here, rank[row, right])
-        size = (out >= 0).sum(axis=1)
-        flat, at = out[out >= 0].astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(size) * 4])
-        return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+        return out[out >= 0].astype("<u4"), (out >= 0).sum(axis=1)
 
 
 @lru_cache(maxsize=2)

@@ -168,7 +168,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
         for pdf in batches:
             # some millions of characters at a time
             size = pdf["text"].str.len().fillna(0).cumsum().to_numpy()
-            for _, part in pdf.groupby(size // 4_000_000, sort=False):
+            for _, part in pdf.groupby(size // 8_000_000, sort=False):
                 ids = encode.batch([x if isinstance(x, str) else "" for x in part["text"]])
                 rows = []
                 for doc, data in zip(part["id"], ids):

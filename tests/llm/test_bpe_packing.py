@@ -64,6 +64,32 @@ def test_cache_overflow_keeps_results(own):
     assert len(small.cache) <= 10
 
 
+def test_known_words_are_not_parted_or_merged_again(own, monkeypatch):
+    """A batch works on what is new to it: letters with a sign need no pattern, and only unseen words are merged."""
+    raw = bpe.TextBytes(own)
+    raw.batch(["One two three."])
+    parted, merged = [], []
+    words, rows = own.words, raw.merged.merge
+    monkeypatch.setattr(own, "words", lambda c: parted.append(c) or words(c))
+    monkeypatch.setattr(raw.merged, "merge", lambda data, size: merged.extend(bytes(d[:n]) for d, n in zip(data, size)) or rows(data, size))
+    texts = ["two, one! THREE: four? four", " four. "]
+    got = raw.batch(texts)
+    assert sorted(merged) == [b"four", b"three"] and not any(parted)
+    monkeypatch.undo()
+    assert got == [np.array(own.encode(t), dtype="<u4").tobytes() for t in texts]
+
+
+def test_chunks_in_columns_equal_whole_texts(own):
+    """Blanks at the ends, signs after long and accented words, specials and rare blanks between them, over batches with a small cache."""
+    texts = ["", "  ", " \ta.\x0b\x0cb \n", "w" * 70 + ". é.", "w" * 24 + "! " + "w" * 25 + "?", "Ünï, Ünï. ünï", "a.<|endoftext|>a. b", "x\u2003y.\x1cz", "..", ". . ,", "a1. b2, 3", "don't. 's,",
+             "\u4e2d. \u4e2d\u6587\uff0c", "a.b.c.", "no\u0308el. no\u0308el"]
+    raw = bpe.TextBytes(own, limit=3)
+    for part in (texts, texts[::-1], texts[3:5] * 2, texts):
+        assert raw.batch(part) == [np.array(own.encode(t), dtype="<u4").tobytes() for t in part]
+        assert not any(len(c) > bpe.CACHE_LENGTH for c in raw.cache.words.to_pylist())
+    assert raw.batch([]) == []
+
+
 def test_query_equals_the_library(spark, sf, library):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = {r.doc_id: r for r in queries.op5(spark, sf).collect()}
