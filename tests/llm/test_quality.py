@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,6 +287,68 @@ def test_normalisers_are_products_of_two_tables(monkeypatch):
     assert net.log_p(*one) == pytest.approx([-math.log(m)] * 2, abs=1e-4) and sum(direct) == 1
 
 
+def test_normalisers_of_all_contexts_at_once():
+    """Where many tokens are scored, Z of all contexts is made once and kept, by products where these keep their digits."""
+    rng, m = np.random.default_rng(0), log_bilinear.Net.M
+    net = log_bilinear.Net.start(np.full(m, 1 / m))
+    net.flat += rng.normal(0, 0.2, net.flat.shape).astype(np.float32)
+    net.r[7, 0], net.q[1, 0], net.q[2, 0], net.r[8, 0] = 40, 12, -12, -40
+    u, v, w = rng.integers(0, m + 1, 40_000), rng.integers(0, m + 1, 40_000), rng.integers(0, m, 40_000)
+    u[:50], v[:50] = 8, 7
+    s = (net.hidden(v, u) @ net.q.T + net.b).astype(np.float64)
+    top = s.max(axis=1)
+    want = s[np.arange(len(w)), w] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
+    assert net.log_p(u, v, w) == pytest.approx(want, rel=1e-5, abs=1e-3) and net.whole_z.shape == ((m + 1) ** 2,)
+    kept = net.whole_z
+    assert net.log_p(u[:10], v[:10], w[:10]) == pytest.approx(want[:10], rel=1e-5, abs=1e-3) and net.whole_z is kept
+
+
+def test_training_finds_samples_and_repeats_ahead(monkeypatch):
+    """Many steps at once give what one step at a time gives, over texts of any length; each step is the plain one."""
+    rng, m = np.random.default_rng(4), log_bilinear.Net.M
+    share = rng.dirichlet(np.ones(m))
+    texts = [rng.choice(m, n, p=share).astype(np.int32) for n in (1, 2, 3, 900, 1, 300, 2_000, 5)]
+    nets, calls, real = [], [], log_bilinear.Repeats
+    monkeypatch.setattr(log_bilinear, "Repeats", lambda at, size: calls.append(at.shape) or real(at, size))
+    for ahead in (1, 5, 32):
+        monkeypatch.setattr(log_bilinear, "AHEAD", ahead)
+        nets.append(log_bilinear.Net.start(share))
+        assert nets[-1].train(log_bilinear.minibatches(iter(texts), m), share, 3) == sum(map(len, texts))
+        calls.append(None)
+    assert (nets[0].flat == nets[1].flat).all() and (nets[0].flat == nets[2].flat).all()
+    assert calls.index(None) == 26 and len(calls[calls.index(None):]) == 3 + 8 + 4
+    # one minibatch by the book, in doubles
+    u, v, w = next(log_bilinear.minibatches(iter(texts), m))
+    net, sampled = log_bilinear.Net.start(share), np.random.default_rng((log_bilinear.SEED, 3))
+    r, out, c = (x.astype(np.float64) for x in (net.r, net.out, net.c))
+    j = np.minimum(np.searchsorted(np.cumsum(share), sampled.random(log_bilinear.NOISE)), m - 1)
+    x = np.concatenate([r[v], r[u]], axis=1)
+    h, noise = np.column_stack([x @ c, np.ones(len(w))]), np.log(share * log_bilinear.NOISE)
+    up = -1 / (1 + np.exp((h * out[w]).sum(axis=1) - noise[w]))
+    down = 1 / (1 + np.exp(noise[j] - h @ out[j].T))
+    dh = down @ out[j][:, :-1] + up[:, None] * out[w][:, :-1]
+    grads = [np.zeros_like(y) for y in (r, out, c)]
+    np.add.at(grads[0], v, dh @ c[:log_bilinear.SIZE].T)
+    np.add.at(grads[0], u, dh @ c[log_bilinear.SIZE:].T)
+    np.add.at(grads[1], w, up[:, None] * h)
+    np.add.at(grads[1], j, down.T @ h)
+    grads[2] += x.T @ dh
+    assert net.train(iter([(u, v, w)]), share, 3) == len(w)
+    for old, got, grad in zip((r, out, c), (net.r, net.out, net.c), grads):
+        grad /= len(w)
+        assert got == pytest.approx(old - log_bilinear.RATE * grad / np.sqrt(log_bilinear.FIRST + grad * grad), abs=1e-5)
+
+
+def test_words_of_a_column():
+    """The words of many texts at once are those of each, whatever blanks, signs and lengths."""
+    texts = ["", " ", "a  b", " A \u00c9\x1cx\n\n", "x" * 200 + " y \x00z", "a\tb\x0bc\x0cd\re", "\u00c9" * 40 + " " + "\u00e9" * 32, "\x85 q\u2003r", "w" * 64 + " " + "W" * 65, ""]
+    for some in (texts, texts[:2], texts[4:5], []):
+        words, n = log_bilinear.word_column(pa.array(some, pa.string()))
+        want = [log_bilinear.tokens(t) for t in some]
+        assert n.tolist() == [len(x) for x in want] and words.cast(pa.binary()).to_pylist() == [x for y in want for x in y]
+    assert log_bilinear.word_column(pa.array(texts).slice(2, 3))[0].to_pylist()[:2] == ["a", "b"]
+
+
 def test_noise_contrastive_gradient():
     """One step goes down the loss: numeric check on a small batch."""
     share = np.random.default_rng(1).dirichlet(np.ones(log_bilinear.Net.M))
