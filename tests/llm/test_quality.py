@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -303,6 +304,54 @@ def test_normalisers_of_all_contexts_at_once():
     assert net.log_p(u[:10], v[:10], w[:10]) == pytest.approx(want[:10], rel=1e-5, abs=1e-3) and net.whole_z is kept
 
 
+def test_normalisers_of_a_large_class_table_come_in_slices(spark, make_docs, monkeypatch):
+    """Where no worker may hold log Z of all contexts, none has a sum of its own for want of that: a slice of u at a time is made whole."""
+    rng, m = np.random.default_rng(0), log_bilinear.Net.M
+    net = log_bilinear.Net.start(np.full(m, 1 / m))
+    net.flat += rng.normal(0, 0.2, net.flat.shape).astype(np.float32)
+    net.r[7, 0], net.q[1, 0], net.q[2, 0], net.r[8, 0] = 40, 12, -12, -40
+    assert net.slices() == [(0, m + 1)]
+    texts = {i: f"a b {'c' * (i % 7)} d zeta eta theta {i} " * 30 for i in range(40)}
+    docs = make_docs(list(texts.items()))
+    whole = {r.doc_id: r.score for r in log_bilinear.score_documents(docs).collect()}
+    monkeypatch.setattr(log_bilinear, "KEPT", 1)
+    monkeypatch.setattr(log_bilinear, "BLOCK", 300)
+    assert len(net.slices()) > 10 and [lo for lo, _ in net.slices()[1:]] == [hi for _, hi in net.slices()[:-1]]
+    u, v, w = rng.integers(0, m + 1, 5_000), rng.integers(0, m + 1, 5_000), rng.integers(0, m, 5_000)
+    u[:50], v[:50] = 8, 7
+    s = (net.hidden(v, u) @ net.q.T + net.b).astype(np.float64)
+    top = s.max(axis=1)
+    want = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+    assert net.scores(u, v, w) == pytest.approx(s[np.arange(len(w)), w], rel=1e-5, abs=1e-3)
+    for lo, hi in net.slices():
+        at = (u >= lo) & (u < hi)
+        z = net.slice_z(lo, hi)
+        assert z.size <= log_bilinear.BLOCK ** 2 and z is net.slice_z(lo, hi) and z[u[at] - lo, v[at]] == pytest.approx(want[at], rel=1e-5, abs=1e-3)
+    assert {r.doc_id: r.score for r in log_bilinear.score_documents(docs).collect()} == pytest.approx(whole, rel=1e-6)
+    check_model(log_bilinear.score_documents(docs).collect(), texts)
+
+
+def test_a_net_travels_without_its_normalisers():
+    """A worker's tasks share one net, so that what a task normalised serves the next; only the parameters are sent."""
+    net = log_bilinear.Net.start(np.full(log_bilinear.Net.M, 1 / log_bilinear.Net.M))
+    sent = len(pickle.dumps(net))
+    net.slice_z(0, 300)
+    assert len(pickle.dumps(net)) == sent < net.flat.nbytes + 1_000
+    got = pickle.loads(pickle.dumps(net))
+    assert got.slice is None and (got.flat == net.flat).all()
+
+
+def test_classes_of_a_column():
+    """The classes of many words at once are those of each: frequent words by place, the others by ending and hash."""
+    short = [b"the", b"\n", b"\xc3\xa9"]
+    words = [b"the", b"a", b"ab", b"abc", b"\xc3\xa9", b"x" * 65, b"\n" + b"0" * 64, b"The", b"\n", b"\xff\x00"] + [b"%dation" % i for i in range(300)]
+    for n_short, split in ((896, 1), (1_914, 15)):
+        classes = log_bilinear.Classes(short, n_short, split)
+        want = [short.index(w) if w in short else log_bilinear.rare_class(w, n_short, split) for w in words]
+        column = pa.array([b"zz", *words], pa.binary())
+        assert classes(column.slice(1)).tolist() == want and classes(column.slice(1, 1)).tolist() == [0] and classes(column.slice(0, 0)).tolist() == []
+
+
 def test_training_finds_samples_and_repeats_ahead(monkeypatch):
     """Many steps at once give what one step at a time gives, over texts of any length; each step is the plain one."""
     rng, m = np.random.default_rng(4), log_bilinear.Net.M
